@@ -4,6 +4,8 @@ expressions (no Python UDF), so they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -88,8 +90,10 @@ def _strip_ws(c: Column) -> Column:
 def canonical_name(c: ColumnOrName) -> Column:
     """Canonical region key from a free-form boundary name; NULL -> ''."""
     s = _strip_ws(F.upper(_col(c)))
+    # One anchored replacement per prefix: strips it once, only at the start,
+    # and keeps the expression linear in the number of prefixes.
     for tok in NAME_PREFIXES:
-        s = F.when(s.startswith(tok), F.substring(s, len(tok) + 1, 1 << 30)).otherwise(s)
+        s = F.regexp_replace(s, "^" + tok.replace(".", r"\."), "")
     s = F.replace(s, F.lit(ABBREVIATION[0]), F.lit(ABBREVIATION[1]))
     s = F.when(s.contains(ISLAND_MARKER), F.lit(ISLAND_NAME)).otherwise(s)
     return F.coalesce(_strip_ws(s), F.lit(""))

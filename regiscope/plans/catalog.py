@@ -1,7 +1,7 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Every query reads the driver's test tables (or frames Spark derives from
-them) in full, so its work grows with the data.
+Every query reads the driver's test tables in full (or frames Spark derives
+from them), so its work grows with the data. Names follow SURVEY §7.4.
 """
 
 from __future__ import annotations
@@ -9,9 +9,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..session import prepare
+from ..functions import format as FMT
+from ..functions import numeric as NUM
+from ..functions import text as TXT
+from ..operators import aggregate as AGG
+from ..operators import audit as AUD
+from ..operators import clean as CLN
+from ..operators import cluster as CL
+from ..operators import geo as GEO
+from ..operators import iforest as IF
+from ..operators import rank as RK
+from ..operators import stats as ST
+from ..session import materialize, prepare, scratch_path
+from ..sources import messages as MSG
+from ..sources import tables as TBL
+from ..streaming import ingest as ING
+from . import features as FE
 from . import gold as G
+from . import serve as SV
 from . import testtables as TT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,12 +47,524 @@ def register(name: str):
     return deco
 
 
-def gold_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Query parameters (not data): dictionaries, lists and fixed model inputs.
+Q01_DICTIONARY = [("AUTOMOBILE", "AUTO"), ("MIDDLE EAST", "MIDEAST"),
+                  ("MACHINERY", "MACHINES"), ("AUTOMOBILE", "AUTO")]  # repeated key on purpose
+Q02_RECODE = ("PURCHASE", "ORDER")
+Q02_WHITELIST = ["CLICK", "VIEW", "ORDER", "SIGNUP"]
+Q03_BLACKLIST = ["OLD BOLT", ""]
+Q03_PREFIXES = ["NEW ", "HOT "]
+Q05_PLACEHOLDERS = ("1",)
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+CLUSTER_FEATURES = ["z_avg_price", "z_acctbal"]
+FIXED_CENTRES = [(-1.0, -1.0), (0.0, 0.0), (1.0, 1.0)]
+GOLD_CLUSTER_FEATURES = ["z_prevalensi", "z_rasio_nakes"]
+CONTAMINATION = 0.15
+CONTAMINATION_LEVELS = [0.10, 0.15, 0.20]
+INGEST_BATCH = "20240131_000000"
+INGEST_STAMP = "2024-01-31T00:00:00"
+EVENTS_TOPIC = "events-raw"
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _t(spark, sf_dir, name):
+    return TT.load(spark, sf_dir, name)
+
+
+# --- 2.2 projections, filters, scalar functions ------------------------------
+
+@register("q01_standardize_map")
+def q01(spark, sf_dir):
+    """P1 + P2: normalise and standardise through a dictionary (pass-through
+    for unknown values); the dictionary repeats a key (trap 4)."""
+    c = _t(spark, sf_dir, "customer")
+    n = _t(spark, sf_dir, "nation")
+    r = _t(spark, sf_dir, "region")
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    return j.select("c_custkey",
+                    TXT.standardize("c_mktsegment", Q01_DICTIONARY).alias("segment_std"),
+                    TXT.standardize("r_name", Q01_DICTIONARY).alias("region_std"))
+
+
+@register("q02_recode_whitelist")
+def q02(spark, sf_dir):
+    """P3 + P6 + A2: recode one category, keep a whitelist, count."""
+    e = _t(spark, sf_dir, "events")
+    std = e.select(TXT.recode("event_type", *Q02_RECODE).alias("event_type_std"))
+    kept = CLN.keep_in(std, "event_type_std", Q02_WHITELIST)
+    return kept.groupBy("event_type_std").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("q03_sentinel_filter")
+def q03(spark, sf_dir):
+    """P7 + P8: drop blacklisted / blank / prefix-rejected names."""
+    p = _t(spark, sf_dir, "part")
+    kept = CLN.drop_sentinels(p, "p_name", Q03_BLACKLIST, Q03_PREFIXES)
+    return kept.select("p_partkey", TXT.normalize("p_name").alias("p_name_std"))
+
+
+@register("q04_try_cast_filter")
+def q04(spark, sf_dir):
+    """P4 + P5: lenient int cast of a JSON field, keep not-NULL and >= 0."""
+    e = _t(spark, sf_dir, "events")
+    k = NUM.lenient_cast(F.get_json_object("props", "$.k"), "int")
+    return CLN.keep_non_negative(e.select("event_id", k.alias("k")), "k")
+
+
+@register("q05_placeholder_fill")
+def q05(spark, sf_dir):
+    """P10 + P4 + P11 + P12: placeholder -> 0 before the cast; exact x1000."""
+    p = _t(spark, sf_dir, "part")
+    brand_no = F.regexp_extract("p_brand", r"#(\d+)$", 1)
+    return p.select("p_partkey",
+                    NUM.count_value(brand_no, Q05_PLACEHOLDERS).alias("brand_no"),
+                    NUM.scale_to_int(F.col("p_retailprice").cast("string"), 1000).alias("price_milli"))
+
+
+# --- 2.4 aggregation / dedupe ------------------------------------------------
+
+@register("q06_dedupe_key")
+def q06(spark, sf_dir):
+    """A1: one deterministic row per (l_orderkey, l_linenumber): latest ship
+    date, then the greatest remaining columns."""
+    li = _t(spark, sf_dir, "lineitem")
+    return CLN.dedupe_latest(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@register("q07_group_sum")
+def q07(spark, sf_dir):
+    """A2: quantity per supplier nation x return flag; lineitem is
+    pre-aggregated on its supplier key before meeting the supplier table."""
+    li = _t(spark, sf_dir, "lineitem")
+    s = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    per = li.groupBy("l_suppkey", "l_returnflag").agg(F.sum("l_quantity").alias("q"))
+    return (per.join(s, "l_suppkey").groupBy("s_nationkey", "l_returnflag")
+            .agg(F.sum("q").alias("sum_qty")))
+
+
+@register("q08_pivot_sum")
+def q08(spark, sf_dir):
+    """A3: per-user value pivoted on event type (exact decimal sums), absent -> 0."""
+    e = _t(spark, sf_dir, "events").withColumn("v", F.col("value").cast("decimal(18,2)"))
+    return AGG.pivot_sum(e, ["user_id"], "event_type", EVENT_TYPES, value="v", fill=0, cast="double")
+
+
+# --- Gold steps ---------------------------------------------------------------
+
+def _master(spark, sf_dir):
     pop, bur, fac, wrk = TT.silver_inputs(spark, sf_dir)
-    return G.gold(pop, bur, fac, wrk, burden_map=TT.BURDEN_MAP, period=None)
+    return G.master_table(pop, bur, fac, wrk, burden_map=TT.BURDEN_MAP, period=None)
+
+
+def _scored(spark, sf_dir):
+    return G.scores(G.indicators(_master(spark, sf_dir)))
+
+
+def gold_frame(spark, sf_dir):
+    return G.finalize(_scored(spark, sf_dir))
+
+
+@register("q09_left_join_master")
+def q09(spark, sf_dir):
+    """J1 + P15 + P11: population ⟕ burden ⟕ facilities ⟕ workers, NULL -> 0."""
+    return _master(spark, sf_dir).drop("total_balita_gizi_buruk")
+
+
+@register("q10_row_sum")
+def q10(spark, sf_dir):
+    """burden = sum of four pivoted categories."""
+    return _master(spark, sf_dir).select(G.KEY, "total_balita_gizi_buruk")
+
+
+@register("q11_ratio_per_10k")
+def q11(spark, sf_dir):
+    """P17 + P19: guarded ratios per 10k, 4 dp."""
+    ind = G.indicators(_master(spark, sf_dir))
+    return ind.select(G.KEY, *[F.round(c, 4).alias(c) for c in (
+        "rasio_faskes_per_10k_balita", "rasio_posyandu_per_10k_populasi", "rasio_nakes_per_10k_populasi")])
+
+
+@register("q12_percentage")
+def q12(spark, sf_dir):
+    """P18 + P19: guarded percentage, 2 dp."""
+    ind = G.indicators(_master(spark, sf_dir))
+    return ind.select(G.KEY, F.round("prevalensi_stunting_pct", 2).alias("prevalensi_stunting_pct"))
+
+
+NORM_NAMES = ["norm_stunting", "norm_faskes", "norm_posyandu", "norm_nakes"]
+
+
+@register("q13_minmax")
+def q13(spark, sf_dir):
+    """W1 via J5: table-wide min-max of the four indicators."""
+    ind = G.indicators(_master(spark, sf_dir))
+    n = ST.min_max_normalize(ind, G.NORM_INPUTS, NORM_NAMES)
+    return n.select(G.KEY, *[F.round(c, 6).alias(c) for c in NORM_NAMES])
+
+
+@register("q14_inverse_minmax")
+def q14(spark, sf_dir):
+    """1 - norm (constant column -> 1.0)."""
+    ind = G.indicators(_master(spark, sf_dir))
+    n = ST.min_max_normalize(ind, G.NORM_INPUTS, NORM_NAMES)
+    return n.select(G.KEY, F.round(NUM.inverse("norm_faskes"), 6).alias("norm_faskes_inv"),
+                    F.round(NUM.inverse("norm_nakes"), 6).alias("norm_nakes_inv"))
+
+
+@register("q15_mean_index")
+def q15(spark, sf_dir):
+    """NCI = mean of three norms."""
+    return _scored(spark, sf_dir).select(
+        G.KEY, F.round("nutrition_coverage_index", 4).alias("nutrition_coverage_index"))
+
+
+@register("q16_weighted_score")
+def q16(spark, sf_dir):
+    """P20: NRS = .5 / .3 / .2 weighted norms."""
+    return _scored(spark, sf_dir).select(
+        G.KEY, F.round("nutrition_risk_score", 4).alias("nutrition_risk_score"))
+
+
+@register("q17_priority_rank")
+def q17(spark, sf_dir):
+    """W2 + T1 + T4: rank on the unrounded NRS (gaps on ties, NULL last);
+    the top-10 preview is the feature here."""
+    ranked = RK.rank(materialize(_scored(spark, sf_dir)), "nutrition_risk_score", out="priority_rank")
+    return (ranked.select(G.KEY, F.round("nutrition_risk_score", 4).alias("nutrition_risk_score"),
+                          "priority_rank")
+            .orderBy("priority_rank", G.KEY).limit(10))
 
 
 @register("q18_gold_region_scores")
 def q18(spark, sf_dir):
     """Flagship: full Gold table per region (nation)."""
     return gold_frame(spark, sf_dir)
+
+
+@register("q19_minmax_rows")
+def q19(spark, sf_dir):
+    """W1 at row level via J5: global min-max of l_extendedprice."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    n = ST.min_max_normalize(li, ["l_extendedprice"], ["price_norm"])
+    return n.select("l_orderkey", "l_linenumber", "l_extendedprice", F.round("price_norm", 6).alias("price_norm"))
+
+
+@register("q20_global_rank")
+def q20(spark, sf_dir):
+    """W2 at scale: rank by total price without a single-task window."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return RK.rank(o, "o_totalprice", out="price_rank")
+
+
+# --- statistics ---------------------------------------------------------------
+
+def _cust(spark, sf_dir):
+    return FE.customer_features(spark, sf_dir)
+
+
+@register("q21_median_low_fill")
+def q21(spark, sf_dir):
+    """NULLs filled with the exact lower median (distributed)."""
+    return ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc")
+
+
+@register("q22_median_mid_fill")
+def q22(spark, sf_dir):
+    """NULLs filled with the midpoint median."""
+    return ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "cont")
+
+
+Z_NAMES = ["z_avg_price", "z_max_price", "z_n_orders", "z_acctbal"]
+
+
+def _z(spark, sf_dir, ddof):
+    z = ST.zscore(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, Z_NAMES, ddof=ddof)
+    return z.select("c_custkey", *[F.round(c, 6).alias(c) for c in Z_NAMES])
+
+
+@register("q23_scale_sample")
+def q23(spark, sf_dir):
+    """M2: z-scores with the sample sd."""
+    return _z(spark, sf_dir, 1)
+
+
+@register("q24_scale_pop")
+def q24(spark, sf_dir):
+    """M3: z-scores with the population sd."""
+    return _z(spark, sf_dir, 0)
+
+
+def _cluster_input(spark, sf_dir):
+    """Lower-median fill then sample z-scores (the K-Means preparation)."""
+    filled = ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc")
+    return ST.zscore(filled, FE.CUSTOMER_FEATURES, Z_NAMES, ddof=1)
+
+
+@register("q25_kmeans_fit")
+def q25(spark, sf_dir):
+    """M1 + M2 + M4 + S15 + M8: fit K-Means (k=3, seed 42), save the pipeline,
+    reload it, assign and label clusters by mean order value."""
+    from pyspark.ml import PipelineModel
+    filled = ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc")
+    model = CL.assemble_scale_fit(filled, FE.CUSTOMER_FEATURES, k=3, seed=42)
+    path = scratch_path(spark, "kmeans-model")
+    model.write().overwrite().save(path)
+    pred = PipelineModel.load(path).transform(filled)
+    lab = CL.label_by_mean(pred.select("c_custkey", "cluster_id", "f_avg_price"), "cluster_id", "f_avg_price")
+    return lab.select("c_custkey", "cluster_id", "cluster_label")
+
+
+@register("q26_assign_fixed")
+def q26(spark, sf_dir):
+    """M4 assignment step against fixed centres."""
+    a = CL.assign_nearest(_cluster_input(spark, sf_dir), CLUSTER_FEATURES, FIXED_CENTRES)
+    return a.select("c_custkey", "cluster_id")
+
+
+@register("q27_wsse_fixed")
+def q27(spark, sf_dir):
+    """M6: within-set squared error for the fixed assignment."""
+    a = CL.assign_nearest(_cluster_input(spark, sf_dir), CLUSTER_FEATURES, FIXED_CENTRES)
+    return CL.wsse(a, CLUSTER_FEATURES, FIXED_CENTRES).select(F.round("wsse", 6).alias("wsse"))
+
+
+@register("q28_silhouette_fixed")
+def q28(spark, sf_dir):
+    """M7: silhouette (squared Euclidean) in closed form."""
+    a = CL.assign_nearest(_cluster_input(spark, sf_dir), CLUSTER_FEATURES, FIXED_CENTRES)
+    return CL.silhouette_closed_form(a, CLUSTER_FEATURES).select(F.round("silhouette", 6).alias("silhouette"))
+
+
+@register("q29_label_by_mean")
+def q29(spark, sf_dir):
+    """M8: Low/Medium/High by ascending mean order value per cluster."""
+    a = CL.assign_nearest(_cluster_input(spark, sf_dir), CLUSTER_FEATURES, FIXED_CENTRES)
+    return CL.label_by_mean(a, "cluster_id", "f_avg_price").select("c_custkey", "cluster_id", "cluster_label")
+
+
+@register("q30_k_sweep")
+def q30(spark, sf_dir):
+    """M5: (k, WSSE, silhouette) for k = 2..5."""
+    filled = ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc")
+    return CL.k_sweep(filled, FE.CUSTOMER_FEATURES, [2, 3, 4, 5])
+
+
+def _forest_input(spark, sf_dir):
+    li = FE.lineitem_features(spark, sf_dir)
+    filled = ST.impute_quantile(li, FE.LINEITEM_FEATURES, "cont")
+    zs = [f"z_{c}" for c in FE.LINEITEM_FEATURES]
+    return ST.zscore(filled, FE.LINEITEM_FEATURES, zs, ddof=0), zs
+
+
+@register("q31_isolation_forest")
+def q31(spark, sf_dir):
+    """M9 + A12 + S16: distributed isolation forest (100 trees, seed 42),
+    node table saved as Parquet, contamination 0.15 flag."""
+    x, zs = _forest_input(spark, sf_dir)
+    path = scratch_path(spark, "iforest-input")
+    x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *zs).write.parquet(path)
+    x = spark.read.parquet(path)
+    nodes, psi = IF.fit(x, zs, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    npath = scratch_path(spark, "iforest-nodes")
+    nodes.write.parquet(npath)
+    scored = IF.score(x, spark.read.parquet(npath), zs, psi)
+    flagged = IF.flag(scored, "anomaly_score", CONTAMINATION)
+    return flagged.select("l_orderkey", "l_linenumber", "anomaly_score", "is_anomaly")
+
+
+def _net_price(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("score"))
+
+
+@register("q32_quantile_flag")
+def q32(spark, sf_dir):
+    """Flag rows below the exact 15 % quantile of a deterministic score."""
+    f = ST.flag_below_quantile(_net_price(spark, sf_dir), "score", CONTAMINATION)
+    return f.select("l_orderkey", "l_linenumber", "l_partkey", "is_anomaly")
+
+
+@register("q33_contamination_sweep")
+def q33(spark, sf_dir):
+    """Flagged counts for three contamination levels from one quantile job."""
+    sw = IF.contamination_sweep(_net_price(spark, sf_dir), "score", CONTAMINATION_LEVELS)
+    return sw.select("contamination", F.round("cut", 6).alias("cut"), "n_flagged")
+
+
+# --- Gold final and serving ----------------------------------------------------
+
+def gold_final(spark, sf_dir):
+    """Gold ⟕ cluster labels ⟕ anomaly flags (deterministic models:
+    nearest fixed centre on z-scored features; distance-based anomaly score
+    flagged below its 15 % quantile)."""
+    g = materialize(gold_frame(spark, sf_dir))
+    as_of = _t(spark, sf_dir, "orders").agg(FMT.iso_timestamp(F.max("o_orderdate")).alias("last_updated"))
+    feats = ST.impute_quantile(g.select(G.KEY, "prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi",
+                                        "nutrition_risk_score"),
+                               ["prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi"], "disc")
+    z = ST.zscore(feats, ["prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi"], GOLD_CLUSTER_FEATURES)
+    a = CL.assign_nearest(z, GOLD_CLUSTER_FEATURES, FIXED_CENTRES, dist_out="__d")
+    lab = CL.label_by_mean(a, "cluster_id", "nutrition_risk_score")
+    an = lab.withColumn("anomaly_score", F.round(-F.col("__d"), 6))
+    an = ST.flag_below_quantile(an, "anomaly_score", CONTAMINATION)
+    models = an.select(G.KEY, "cluster_id", "cluster_label", "is_anomaly", "anomaly_score")
+    return g.crossJoin(F.broadcast(as_of)).join(models, G.KEY, "left")
+
+
+@register("q34_gold_final")
+def q34(spark, sf_dir):
+    """J2 + P24: the 23-field final contract."""
+    return gold_final(spark, sf_dir)
+
+
+@register("q35_summary")
+def q35(spark, sf_dir):
+    """A5: mean NRS (3 dp), sums, anomaly count, region count."""
+    return SV.dashboard_summary(gold_final(spark, sf_dir))
+
+
+@register("q36_argmax")
+def q36(spark, sf_dir):
+    """Highest-risk and best-covered region."""
+    return SV.highlights(gold_final(spark, sf_dir))
+
+
+@register("q37_insights")
+def q37(spark, sf_dir):
+    """Insight sentences."""
+    return SV.insights(gold_final(spark, sf_dir))
+
+
+@register("q38_display")
+def q38(spark, sf_dir):
+    """P30 + P25 + P26: display fields of the priority list."""
+    return SV.display(gold_final(spark, sf_dir))
+
+
+@register("q39_name_canonical")
+def q39(spark, sf_dir):
+    """P27 + P28 + J3: canonical boundary key and title label joined to scores."""
+    n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    g = gold_frame(spark, sf_dir).select(G.KEY, "nutrition_risk_score", "priority_rank")
+    j = GEO.join_boundaries(n, "n_name", g)
+    return j.select("n_nationkey", "wilayah_key", TXT.title_case("wilayah_key").alias("label"),
+                    "nutrition_risk_score", "priority_rank")
+
+
+FIELD_CANDIDATES = ["c_name", "c_mktsegment", "n_name", "r_name"]
+
+
+@register("q40_field_detect")
+def q40(spark, sf_dir):
+    """J4 + A11 + T5: the column whose canonical values overlap the region
+    names most (customer ⋈ nation ⋈ region as the boundary attribute table)."""
+    c = _t(spark, sf_dir, "customer")
+    n = _t(spark, sf_dir, "nation")
+    r = _t(spark, sf_dir, "region")
+    attrs = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    ref = n.select(TXT.canonical_name("n_name").alias("value"))
+    return GEO.detect_name_field(attrs, FIELD_CANDIDATES, ref)
+
+
+@register("q41_bounds")
+def q41(spark, sf_dir):
+    """A10: bounding box of the first two embedding dimensions."""
+    e = _t(spark, sf_dir, "embeddings")
+    pts = e.select(F.element_at("embedding", 1).cast("double").alias("x"),
+                   F.element_at("embedding", 2).cast("double").alias("y"))
+    return GEO.total_bounds(pts, "x", "y", "x", "y")
+
+
+@register("q42_sanitize")
+def q42(spark, sf_dir):
+    """NaN / +Inf / -Inf -> NULL (non-finite values derived per event type)."""
+    e = _t(spark, sf_dir, "events")
+    x = (F.when(F.col("event_type") == "error", F.lit(float("nan")))
+         .when(F.col("event_type") == "signup", F.lit(float("inf")))
+         .when(F.col("event_type") == "view", F.lit(float("-inf")))
+         .otherwise(F.col("value")))
+    return NUM.sanitize(e.select("event_id", x.alias("x_clean")))
+
+
+# --- ingestion ---------------------------------------------------------------
+
+def _event_schema(spark, sf_dir):
+    return _t(spark, sf_dir, "events").schema
+
+
+@register("q43_stream_ingest")
+def q43(spark, sf_dir):
+    """Events -> keyed JSON messages -> availableNow stream ->
+    Bronze Parquet (checkpointed, replay-safe) -> read back."""
+    e = _t(spark, sf_dir, "events")
+    topics = scratch_path(spark, "topics")
+    MSG.write_messages(MSG.to_messages(e, EVENTS_TOPIC, key="event_id"), topics)
+    bronze = scratch_path(spark, "bronze")
+    ING.ingest(spark, topics, bronze, scratch_path(spark, "ingest-ckpt"),
+               _event_schema(spark, sf_dir), INGEST_BATCH, INGEST_STAMP)
+    b = spark.read.parquet(bronze).where(F.col("topic") == EVENTS_TOPIC)
+    return b.select(*EVENT_COLS, "source", "ingested_at", F.col("ingested_batch").cast("string"))
+
+
+@register("q44_json_roundtrip")
+def q44(spark, sf_dir):
+    """S3 + S6: to_json messages decoded back with the declared schema."""
+    e = _t(spark, sf_dir, "events")
+    msgs = MSG.to_messages(e, EVENTS_TOPIC, key="event_id")
+    return MSG.decode(msgs, e.schema, corrupt_col=None).select(*EVENT_COLS)
+
+
+@register("q45_topic_route")
+def q45(spark, sf_dir):
+    """Route events to one topic per type, written partitioned by topic,
+    read back and counted."""
+    e = _t(spark, sf_dir, "events")
+    path = scratch_path(spark, "routed")
+    MSG.write_messages(MSG.to_messages(e, F.concat(F.col("event_type"), F.lit("-raw")), key="event_id"), path)
+    back = spark.read.schema(MSG.MESSAGE_SCHEMA).json(path)
+    return MSG.route_counts(back)
+
+
+@register("q46_partitioned_read")
+def q46(spark, sf_dir):
+    """S12 + S11: write orders partitioned by priority, read one partition
+    back (partition pruning)."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    path = scratch_path(spark, "orders-by-priority")
+    TBL.write_table(o, path, ["o_orderpriority"])
+    back = TBL.read_table(spark, path, o.schema)
+    return back.where(F.col("o_orderpriority") == "1-URGENT")
+
+
+@register("q47_stage_counts")
+def q47(spark, sf_dir):
+    """A4: rows in / out per stage, observed while the stage is written."""
+    li = _t(spark, sf_dir, "lineitem")
+    li_in, o1 = AUD.observed(li, "lineitem_in")
+    dd, o2 = AUD.observed(CLN.dedupe_latest(li_in, ["l_orderkey", "l_linenumber"], ["l_shipdate"]),
+                          "lineitem_out")
+    TBL.write_table(dd, scratch_path(spark, "lineitem-dedupe"))
+    o = _t(spark, sf_dir, "orders")
+    o_in, o3 = AUD.observed(o, "orders_in")
+    pos, o4 = AUD.observed(CLN.keep_positive(o_in, "o_totalprice"), "orders_out")
+    TBL.write_table(pos, scratch_path(spark, "orders-positive"))
+    rows = [("lineitem_dedupe", AUD.rows_of(o1), AUD.rows_of(o2)),
+            ("orders_positive", AUD.rows_of(o3), AUD.rows_of(o4))]
+    return spark.createDataFrame(rows, "stage string, rows_in bigint, rows_out bigint")
+
+
+@register("q48_iso_timestamp")
+def q48(spark, sf_dir):
+    """Timestamp -> ISO string."""
+    o = _t(spark, sf_dir, "orders")
+    return o.select("o_orderkey", FMT.iso_timestamp("o_orderdate").alias("o_orderdate_iso"))
+
+
+@register("q49_json_export")
+def q49(spark, sf_dir):
+    """S14 + S18: Gold written as JSON records and read back with its schema."""
+    g = gold_frame(spark, sf_dir)
+    path = scratch_path(spark, "gold-json")
+    TBL.export_json(g, path)
+    return TBL.read_json(spark, path, g.schema)

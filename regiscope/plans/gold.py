@@ -17,6 +17,7 @@ from ..functions.numeric import percentage, ratio_per, row_sum, weighted_score
 from ..operators.join import left_join_all, latest_period
 from ..operators.rank import rank
 from ..operators.stats import attach_stats
+from ..session import materialize
 
 KEY = "kabupaten_kota"
 
@@ -95,7 +96,12 @@ def scores(ind: DataFrame) -> DataFrame:
 
 
 def finalize(scored: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """W2 on the unrounded NRS, then P19 rounding and the Gold projection."""
+    """W2 on the unrounded NRS, then P19 rounding and the Gold projection.
+
+    The scored table has one row per region; it is checkpointed before the
+    rank so the rank's several passes read stored rows, not the fact-table
+    aggregations again."""
+    scored = materialize(scored)
     ranked = rank(scored, "nutrition_risk_score", out="priority_rank", descending=True)
     cols = [
         KEY, "populasi", "total_balita_gizi_buruk", *BURDEN_COLS, *FACILITY_COLS, WORKER_COL,

@@ -8,6 +8,8 @@ result type (BIGINT / INTEGER).
 
 from __future__ import annotations
 
+import re
+
 # --- Gold over the test tables -------------------------------------------
 
 _SILVER = """
@@ -125,3 +127,270 @@ def gold_sql(select: str = GOLD_COLS, tail: str = "FROM gold") -> str:
 
 SQL: dict[str, str] = {}
 SQL["q18_gold_region_scores"] = gold_sql()
+
+
+def _canon(x: str) -> str:
+    """SQL twin of functions.text.canonical_name."""
+    from ..functions.text import ABBREVIATION, ISLAND_MARKER, ISLAND_NAME, NAME_PREFIXES
+    s = f"regexp_replace(upper({x}), '^\\s+|\\s+$', '', 'g')"
+    for tok in NAME_PREFIXES:
+        s = f"regexp_replace({s}, '^{tok.replace(".", chr(92) + ".")}', '')"
+    s = f"replace({s}, '{ABBREVIATION[0]}', '{ABBREVIATION[1]}')"
+    s = f"(CASE WHEN contains({s}, '{ISLAND_MARKER}') THEN '{ISLAND_NAME}' ELSE {s} END)"
+    return f"COALESCE(regexp_replace({s}, '^\\s+|\\s+$', '', 'g'), '')"
+
+
+def _title(x: str) -> str:
+    return (f"array_to_string(list_transform(string_split(lower({x}), ' '), "
+            f"lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ')")
+
+
+def _std(x: str) -> str:
+    n = f"upper(trim({x}))"
+    return (f"COALESCE(CASE {n} WHEN 'AUTOMOBILE' THEN 'AUTO' WHEN 'MIDDLE EAST' THEN 'MIDEAST' "
+            f"WHEN 'MACHINERY' THEN 'MACHINES' END, {n})")
+
+
+SQL["q01_standardize_map"] = f"""
+SELECT c.c_custkey, {_std('c.c_mktsegment')} AS segment_std, {_std('r.r_name')} AS region_std
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+SQL["q02_recode_whitelist"] = """
+SELECT t AS event_type_std, count(*) AS n FROM (
+  SELECT CASE WHEN upper(trim(event_type)) = 'PURCHASE' THEN 'ORDER' ELSE upper(trim(event_type)) END AS t
+  FROM events) WHERE t IN ('CLICK', 'VIEW', 'ORDER', 'SIGNUP') GROUP BY t"""
+
+SQL["q03_sentinel_filter"] = """
+SELECT p_partkey, upper(trim(p_name)) AS p_name_std FROM part
+WHERE upper(trim(p_name)) IS NOT NULL AND upper(trim(p_name)) NOT IN ('OLD BOLT', '')
+  AND NOT starts_with(upper(trim(p_name)), 'NEW ') AND NOT starts_with(upper(trim(p_name)), 'HOT ')"""
+
+SQL["q04_try_cast_filter"] = """
+SELECT event_id, k FROM (
+  SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+WHERE k IS NOT NULL AND k >= 0"""
+
+SQL["q05_placeholder_fill"] = """
+SELECT p_partkey,
+  COALESCE(TRY_CAST(CASE WHEN trim(regexp_extract(p_brand, '#(\\d+)$', 1)) IN ('1') THEN '0'
+                         ELSE regexp_extract(p_brand, '#(\\d+)$', 1) END AS INTEGER), 0) AS brand_no,
+  CAST(TRY_CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(18,4)) * 1000 AS INTEGER) AS price_milli
+FROM part"""
+
+SQL["q06_dedupe_key"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus, l_shipdate FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC,
+    l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC,
+    l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
+  FROM lineitem) WHERE rn = 1"""
+
+SQL["q07_group_sum"] = """
+SELECT s.s_nationkey, l.l_returnflag, sum(l.l_quantity) AS sum_qty
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY s.s_nationkey, l.l_returnflag"""
+
+SQL["q08_pivot_sum"] = "SELECT user_id, " + ", ".join(
+    f"CAST(COALESCE(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = '{t}'), 0) AS DOUBLE) AS {t}"
+    for t in ["click", "error", "purchase", "signup", "view"]) + " FROM events GROUP BY user_id"
+
+SQL["q09_left_join_master"] = GOLD_CTE + "SELECT * FROM m0"
+SQL["q10_row_sum"] = GOLD_CTE + "SELECT kabupaten_kota, total_balita_gizi_buruk FROM m"
+SQL["q11_ratio_per_10k"] = GOLD_CTE + """SELECT kabupaten_kota,
+  round(rasio_faskes_per_10k_balita, 4) AS rasio_faskes_per_10k_balita,
+  round(rasio_posyandu_per_10k_populasi, 4) AS rasio_posyandu_per_10k_populasi,
+  round(rasio_nakes_per_10k_populasi, 4) AS rasio_nakes_per_10k_populasi FROM ind"""
+SQL["q12_percentage"] = GOLD_CTE + """SELECT kabupaten_kota,
+  round(prevalensi_stunting_pct, 2) AS prevalensi_stunting_pct FROM ind"""
+SQL["q13_minmax"] = GOLD_CTE + """SELECT kabupaten_kota, round(n0, 6) AS norm_stunting,
+  round(n1, 6) AS norm_faskes, round(n2, 6) AS norm_posyandu, round(n3, 6) AS norm_nakes FROM nrm"""
+SQL["q14_inverse_minmax"] = GOLD_CTE + """SELECT kabupaten_kota, round(1.0 - n1, 6) AS norm_faskes_inv,
+  round(1.0 - n3, 6) AS norm_nakes_inv FROM nrm"""
+SQL["q15_mean_index"] = GOLD_CTE + "SELECT kabupaten_kota, round(nci, 4) AS nutrition_coverage_index FROM sc"
+SQL["q16_weighted_score"] = GOLD_CTE + "SELECT kabupaten_kota, round(nrs, 4) AS nutrition_risk_score FROM sc"
+SQL["q17_priority_rank"] = GOLD_CTE + """SELECT kabupaten_kota, nutrition_risk_score, priority_rank
+FROM gold ORDER BY priority_rank, kabupaten_kota LIMIT 10"""
+
+SQL["q19_minmax_rows"] = """
+WITH st AS (SELECT min(l_extendedprice) AS mn, max(l_extendedprice) AS mx FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_extendedprice,
+  round(CASE WHEN mx = mn THEN 0.0 ELSE (l_extendedprice - mn) / (mx - mn) END, 6) AS price_norm
+FROM lineitem CROSS JOIN st"""
+
+SQL["q20_global_rank"] = """
+SELECT o_orderkey, o_totalprice,
+  CAST(rank() OVER (ORDER BY o_totalprice DESC NULLS LAST) AS INTEGER) AS price_rank FROM orders"""
+
+_CUST = """
+cper AS (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS s, max(o_totalprice) AS mx,
+                count(*) AS n FROM orders GROUP BY o_custkey),
+cf AS (SELECT c.c_custkey, CAST(cper.s AS DOUBLE) / cper.n AS f_avg_price, cper.mx AS f_max_price,
+              CAST(cper.n AS DOUBLE) AS f_n_orders, c.c_acctbal AS f_acctbal
+       FROM customer c LEFT JOIN cper ON c.c_custkey = cper.o_custkey)"""
+
+_FEATS = ["f_avg_price", "f_max_price", "f_n_orders", "f_acctbal"]
+
+
+def _fill(fn: str, default: str | None) -> str:
+    meds = ", ".join(f"{fn}({f}, 0.5) AS m_{f}" for f in _FEATS)
+    cols = ", ".join(
+        f"COALESCE({f}, m_{f}{', ' + default if default else ''}) AS {f}" for f in _FEATS)
+    return f"med AS (SELECT {meds} FROM cf), filled AS (SELECT c_custkey, {cols} FROM cf CROSS JOIN med)"
+
+
+SQL["q21_median_low_fill"] = f"WITH {_CUST.strip()},\n{_fill('quantile_disc', '0.0')}\nSELECT * FROM filled"
+SQL["q22_median_mid_fill"] = f"WITH {_CUST.strip()},\n{_fill('quantile_cont', None)}\nSELECT * FROM filled"
+
+_Z = ["z_avg_price", "z_max_price", "z_n_orders", "z_acctbal"]
+
+
+def _zsql(src: str, sd: str, digits: int | None = 6) -> str:
+    aggs = ", ".join(f"avg({f}) AS mu_{f}, {sd}({f}) AS sd_{f}" for f in _FEATS)
+    cols = []
+    for f, z in zip(_FEATS, _Z):
+        e = f"CASE WHEN sd_{f} IS NULL OR sd_{f} = 0 THEN 0.0 ELSE ({f} - mu_{f}) / sd_{f} END"
+        cols.append(f"round({e}, {digits}) AS {z}" if digits else f"{e} AS {z}")
+    return (f"zs AS (SELECT {aggs} FROM {src}), "
+            f"z AS (SELECT {src}.*, {', '.join(cols)} FROM {src} CROSS JOIN zs)")
+
+
+SQL["q23_scale_sample"] = f"WITH {_CUST.strip()}, {_zsql('cf', 'stddev_samp')} SELECT c_custkey, {', '.join(_Z)} FROM z"
+SQL["q24_scale_pop"] = f"WITH {_CUST.strip()}, {_zsql('cf', 'stddev_pop')} SELECT c_custkey, {', '.join(_Z)} FROM z"
+
+_CENTRES = [(-1.0, -1.0), (0.0, 0.0), (1.0, 1.0)]
+
+
+def _dist(xs: list[str], c: tuple) -> str:
+    return " + ".join(f"({x} - ({v})) * ({x} - ({v}))" for x, v in zip(xs, c))
+
+
+def _assign(src: str, xs: list[str]) -> str:
+    d = [_dist(xs, c) for c in _CENTRES]
+    return (f"dd AS (SELECT {src}.*, {d[0]} AS d0, {d[1]} AS d1, {d[2]} AS d2 FROM {src}), "
+            "asg AS (SELECT dd.*, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END "
+            "AS cluster_id, CASE WHEN d0 <= d1 AND d0 <= d2 THEN d0 WHEN d1 <= d2 THEN d1 ELSE d2 END AS dmin FROM dd)")
+
+
+_CL_BASE = (f"WITH {_CUST.strip()},\n{_fill('quantile_disc', '0.0')},\n{_zsql('filled', 'stddev_samp', None)},\n"
+            + _assign("z", ["z_avg_price", "z_acctbal"]))
+
+SQL["q26_assign_fixed"] = _CL_BASE + " SELECT c_custkey, CAST(cluster_id AS INTEGER) AS cluster_id FROM asg"
+SQL["q27_wsse_fixed"] = _CL_BASE + " SELECT round(sum(dmin), 6) AS wsse FROM asg"
+SQL["q28_silhouette_fixed"] = _CL_BASE + """,
+cs AS (SELECT cluster_id AS c, count(*) AS n, sum(z_avg_price * z_avg_price + z_acctbal * z_acctbal) AS p,
+              sum(z_avg_price) AS y0, sum(z_acctbal) AS y1 FROM asg GROUP BY cluster_id),
+pd AS (SELECT a.c_custkey, a.cluster_id, cs.c, cs.n,
+              (cs.n * (a.z_avg_price * a.z_avg_price + a.z_acctbal * a.z_acctbal) + cs.p
+               - 2.0 * (a.z_avg_price * cs.y0 + a.z_acctbal * cs.y1)) AS tot
+       FROM asg a CROSS JOIN cs),
+sv AS (SELECT c_custkey,
+         max(CASE WHEN c = cluster_id THEN n END) AS own_n,
+         max(CASE WHEN c = cluster_id AND n > 1 THEN tot / (n - 1) END) AS a,
+         min(CASE WHEN c <> cluster_id THEN tot / n END) AS b
+       FROM pd GROUP BY c_custkey)
+SELECT round(avg(CASE WHEN own_n <= 1 OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM sv"""
+SQL["q29_label_by_mean"] = _CL_BASE + """,
+mm AS (SELECT cluster_id, avg(f_avg_price) AS mean FROM asg GROUP BY cluster_id),
+oo AS (SELECT cluster_id, least(row_number() OVER (ORDER BY mean ASC NULLS FIRST, cluster_id) - 1, 2) AS o FROM mm)
+SELECT a.c_custkey, CAST(a.cluster_id AS INTEGER) AS cluster_id,
+  CASE o WHEN 0 THEN 'Risiko Rendah' WHEN 1 THEN 'Risiko Sedang' ELSE 'Risiko Tinggi' END AS cluster_label
+FROM asg a JOIN oo ON a.cluster_id = oo.cluster_id"""
+
+_NET = "net AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice * (1.0 - l_discount) AS score FROM lineitem)"
+SQL["q32_quantile_flag"] = f"""WITH {_NET}, ct AS (SELECT quantile_cont(score, 0.15) AS cut FROM net)
+SELECT l_orderkey, l_linenumber, l_partkey, COALESCE(score < cut, false) AS is_anomaly FROM net CROSS JOIN ct"""
+SQL["q33_contamination_sweep"] = f"""WITH {_NET},
+qs AS (SELECT quantile_cont(score, [0.10, 0.15, 0.20]) AS cuts FROM net),
+ct AS (SELECT CAST(unnest([0.10, 0.15, 0.20]) AS DOUBLE) AS contamination, unnest(cuts) AS cut FROM qs)
+SELECT ct.contamination, round(ct.cut, 6) AS cut, count(*) FILTER (WHERE net.score < ct.cut) AS n_flagged
+FROM ct CROSS JOIN net GROUP BY ct.contamination, ct.cut"""
+
+_GF = GOLD_CTE.rstrip() + """,
+gf AS (SELECT kabupaten_kota, prevalensi_stunting_pct AS x0, rasio_nakes_per_10k_populasi AS x1,
+              nutrition_risk_score FROM gold),
+gm AS (SELECT quantile_disc(x0, 0.5) AS m0, quantile_disc(x1, 0.5) AS m1 FROM gf),
+gfl AS (SELECT kabupaten_kota, nutrition_risk_score, COALESCE(x0, m0, 0.0) AS x0, COALESCE(x1, m1, 0.0) AS x1
+        FROM gf CROSS JOIN gm),
+gzs AS (SELECT avg(x0) AS mu0, stddev_samp(x0) AS sd0, avg(x1) AS mu1, stddev_samp(x1) AS sd1 FROM gfl),
+gz AS (SELECT gfl.*, CASE WHEN sd0 IS NULL OR sd0 = 0 THEN 0.0 ELSE (x0 - mu0) / sd0 END AS z0,
+              CASE WHEN sd1 IS NULL OR sd1 = 0 THEN 0.0 ELSE (x1 - mu1) / sd1 END AS z1
+       FROM gfl CROSS JOIN gzs),
+""" + _assign("gz", ["z0", "z1"]) + """,
+gmean AS (SELECT cluster_id, avg(nutrition_risk_score) AS mean FROM asg GROUP BY cluster_id),
+gord AS (SELECT cluster_id, least(row_number() OVER (ORDER BY mean ASC NULLS FIRST, cluster_id) - 1, 2) AS o FROM gmean),
+glab AS (SELECT a.kabupaten_kota, CAST(a.cluster_id AS INTEGER) AS cluster_id,
+           CASE o WHEN 0 THEN 'Risiko Rendah' WHEN 1 THEN 'Risiko Sedang' ELSE 'Risiko Tinggi' END AS cluster_label,
+           round(-dmin, 6) AS anomaly_score
+         FROM asg a JOIN gord ON a.cluster_id = gord.cluster_id),
+gcut AS (SELECT quantile_cont(anomaly_score, 0.15) AS cut FROM glab),
+gmod AS (SELECT glab.*, COALESCE(anomaly_score < cut, false) AS is_anomaly FROM glab CROSS JOIN gcut),
+final AS (SELECT g.kabupaten_kota, g.populasi, g.total_balita_gizi_buruk, g.total_stunting, g.total_gizi_buruk,
+    g.total_gizi_kurang, g.total_underweight, g.jumlah_rs_umum, g.jumlah_rs_khusus, g.jumlah_posyandu,
+    g.total_nakes, g.rasio_faskes_per_10k_balita, g.rasio_posyandu_per_10k_populasi,
+    g.rasio_nakes_per_10k_populasi, g.prevalensi_stunting_pct, g.nutrition_coverage_index,
+    g.nutrition_risk_score, g.priority_rank,
+    (SELECT strftime(max(o_orderdate), '%Y-%m-%dT%H:%M:%S') FROM orders) AS last_updated,
+    m.cluster_id, m.cluster_label, m.is_anomaly, m.anomaly_score
+  FROM gold g LEFT JOIN gmod m ON g.kabupaten_kota = m.kabupaten_kota)
+"""
+
+SQL["q34_gold_final"] = _GF + "SELECT * FROM final"
+SQL["q35_summary"] = _GF + """SELECT count(*) AS n_rows, round(avg(nutrition_risk_score), 3) AS avg_nutrition_risk_score,
+  CAST(sum(jumlah_posyandu) AS BIGINT) AS sum_jumlah_posyandu, CAST(sum(total_nakes) AS BIGINT) AS sum_total_nakes,
+  count(*) FILTER (WHERE is_anomaly) AS n_is_anomaly FROM final"""
+_ARGMAX = """hr AS (SELECT kabupaten_kota, nutrition_risk_score AS value FROM final WHERE nutrition_risk_score IS NOT NULL
+            ORDER BY nutrition_risk_score DESC, kabupaten_kota DESC LIMIT 1),
+bc AS (SELECT kabupaten_kota, nutrition_coverage_index AS value FROM final WHERE nutrition_coverage_index IS NOT NULL
+       ORDER BY nutrition_coverage_index DESC, kabupaten_kota DESC LIMIT 1)
+"""
+SQL["q36_argmax"] = _GF + "," + _ARGMAX + """SELECT 'highest_risk' AS metric, kabupaten_kota, value FROM hr
+UNION ALL SELECT 'best_coverage' AS metric, kabupaten_kota, value FROM bc"""
+SQL["q37_insights"] = _GF + "," + _ARGMAX + """SELECT 'Prioritas Intervensi' AS title,
+  printf('%s memiliki Nutrition Risk Score tertinggi (%.4f)', kabupaten_kota, value) AS body FROM hr
+UNION ALL SELECT 'Coverage Tertinggi' AS title, kabupaten_kota AS body FROM bc
+UNION ALL SELECT 'Audit Distribusi' AS title,
+  'Perbedaan rasio fasilitas dan tenaga kesehatan menunjukkan ketimpangan.' AS body"""
+SQL["q38_display"] = _GF + """SELECT kabupaten_kota, priority_rank,
+  CASE WHEN priority_rank = 1 THEN '1' WHEN priority_rank <= 3 THEN 'top' ELSE 'mid' END AS rank_tier,
+  least(nutrition_risk_score * 100.0, 100.0) AS risk_bar_pct,
+  CAST(round(nutrition_coverage_index * 100.0, 0) AS INTEGER) AS coverage_pct,
+  CASE WHEN is_anomaly THEN 'Ya' WHEN NOT is_anomaly THEN 'Tidak' END AS anomaly_label,
+  cluster_label FROM final"""
+
+SQL["q39_name_canonical"] = GOLD_CTE.rstrip() + f""",
+b AS (SELECT n_nationkey, {_canon('n_name')} AS wilayah_key FROM nation),
+s AS (SELECT {_canon('kabupaten_kota')} AS wilayah_key, nutrition_risk_score, priority_rank FROM gold)
+SELECT b.n_nationkey, b.wilayah_key, {_title('b.wilayah_key')} AS label, s.nutrition_risk_score, s.priority_rank
+FROM b LEFT JOIN s ON b.wilayah_key = s.wilayah_key"""
+
+_FIELDS = ["c_name", "c_mktsegment", "n_name", "r_name"]
+SQL["q40_field_detect"] = """WITH attrs AS (SELECT * FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey),
+lv AS (""" + " UNION ALL ".join(
+    f"SELECT DISTINCT '{f}' AS field, {_canon(f)} AS value FROM attrs" for f in _FIELDS) + f"""),
+ref AS (SELECT DISTINCT {_canon('n_name')} AS value FROM nation),
+fl AS (SELECT * FROM (VALUES {", ".join(f"('{f}', {i})" for i, f in enumerate(_FIELDS))}) t(field, pos)),
+sc AS (SELECT fl.field, fl.pos, count(ref.value) AS score FROM fl
+       LEFT JOIN lv ON lv.field = fl.field LEFT JOIN ref ON lv.value = ref.value GROUP BY fl.field, fl.pos)
+SELECT field, score FROM sc ORDER BY score DESC, pos ASC LIMIT 1"""
+
+SQL["q41_bounds"] = """SELECT min(CAST(embedding[1] AS DOUBLE)) AS minx, min(CAST(embedding[2] AS DOUBLE)) AS miny,
+  max(CAST(embedding[1] AS DOUBLE)) AS maxx, max(CAST(embedding[2] AS DOUBLE)) AS maxy FROM embeddings"""
+
+SQL["q42_sanitize"] = """SELECT event_id, CASE WHEN isnan(x) OR isinf(x) THEN NULL ELSE x END AS x_clean FROM (
+  SELECT event_id, CASE WHEN event_type = 'error' THEN 'NaN'::DOUBLE WHEN event_type = 'signup' THEN 'inf'::DOUBLE
+    WHEN event_type = 'view' THEN -'inf'::DOUBLE ELSE value END AS x FROM events)"""
+
+SQL["q43_stream_ingest"] = """SELECT event_id, ts, user_id, event_type, value, props, 'csv_fallback' AS source,
+  '2024-01-31T00:00:00' AS ingested_at, '20240131_000000' AS ingested_batch FROM events"""
+SQL["q44_json_roundtrip"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+SQL["q45_topic_route"] = "SELECT event_type || '-raw' AS topic, count(*) AS n_messages FROM events GROUP BY 1"
+SQL["q46_partitioned_read"] = """SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
+WHERE o_orderpriority = '1-URGENT'"""
+SQL["q47_stage_counts"] = """SELECT 'lineitem_dedupe' AS stage, (SELECT count(*) FROM lineitem) AS rows_in,
+  (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS rows_out
+UNION ALL SELECT 'orders_positive', (SELECT count(*) FROM orders),
+  (SELECT count(*) FROM orders WHERE o_totalprice > 0)"""
+SQL["q48_iso_timestamp"] = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate_iso FROM orders"""
+SQL["q49_json_export"] = gold_sql()

@@ -81,3 +81,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/regiscope/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage at a layer boundary with a reliable checkpoint into the
+    shared checkpoint folder (never a machine-local one). Used for small,
+    region-grain frames that several later operators reference, so that
+    each reference reads the stored rows instead of re-planning the whole
+    upstream plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
