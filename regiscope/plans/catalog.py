@@ -403,13 +403,16 @@ def gold_final(spark, sf_dir):
     feats = ST.impute_quantile(g.select(G.KEY, "prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi",
                                         "nutrition_risk_score"),
                                ["prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi"], "disc")
-    z = ST.zscore(feats, ["prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi"], GOLD_CLUSTER_FEATURES)
+    # region-grain intermediates are checkpointed so each quantile step plans
+    # against stored rows
+    z = ST.zscore(materialize(feats), ["prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi"],
+                  GOLD_CLUSTER_FEATURES)
     a = CL.assign_nearest(z, GOLD_CLUSTER_FEATURES, FIXED_CENTRES, dist_out="__d")
     lab = CL.label_by_mean(a, "cluster_id", "nutrition_risk_score")
-    an = lab.withColumn("anomaly_score", F.round(-F.col("__d"), 6))
+    an = materialize(lab.withColumn("anomaly_score", F.round(-F.col("__d"), 6)))
     an = ST.flag_below_quantile(an, "anomaly_score", CONTAMINATION)
     models = an.select(G.KEY, "cluster_id", "cluster_label", "is_anomaly", "anomaly_score")
-    return g.crossJoin(F.broadcast(as_of)).join(models, G.KEY, "left")
+    return materialize(g.crossJoin(F.broadcast(as_of)).join(models, G.KEY, "left"))
 
 
 @register("q34_gold_final")

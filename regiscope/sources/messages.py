@@ -48,15 +48,14 @@ def to_messages(df: DataFrame, topic: str | Column, key: str | Column | None = N
 def decode(messages: DataFrame, schema: T.StructType, corrupt_col: str | None = "_corrupt") -> DataFrame:
     """Parse ``value`` with a declared schema. A message that is not a
     JSON object keeps its raw text in ``corrupt_col`` instead of failing."""
-    parsed = F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE", **JSON_TIME_OPTIONS})
-    cols = [F.col("topic"), F.col("key").cast("string").alias("key"), parsed.alias("__v")]
-    out = messages.select(*cols)
-    fields = [F.col(f"__v.`{f.name}`").alias(f.name) for f in schema.fields]
+    opts = {"mode": "PERMISSIVE", **JSON_TIME_OPTIONS}
+    parse_schema = schema
     if corrupt_col:
-        bad = F.col("__v").isNull() | F.col("value").isNull()
-        out = messages.select(*cols, F.when(bad, F.col("value").cast("string")).alias(corrupt_col))
-        return out.select("topic", "key", *fields, corrupt_col)
-    return out.select("topic", "key", *fields)
+        parse_schema = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
+        opts["columnNameOfCorruptRecord"] = corrupt_col
+    parsed = F.from_json(F.col("value").cast("string"), parse_schema, opts)
+    out = messages.select(F.col("topic"), F.col("key").cast("string").alias("key"), parsed.alias("__v"))
+    return out.select("topic", "key", *[F.col(f"__v.`{f.name}`").alias(f.name) for f in parse_schema.fields])
 
 
 def write_messages(messages: DataFrame, path: str, mode: str = "append") -> None:
