@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import spread
 from .stats import attach_stats, exact_quantiles
 
 EULER_GAMMA = 0.5772156649015329
@@ -120,18 +121,25 @@ def fit(df: DataFrame, features: Sequence[str], key: Sequence[str], n_trees: int
     q = min(1.0, POOL * psi * n_trees / n)
     pool = df.select(*feats, *key_cols).where(_unit(F.xxhash64(*key_cols, F.lit(seed))) < F.lit(q))
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    hashed = pool.select(*feats, F.explode(F.transform(trees, lambda t: F.struct(
-        t.alias("tree"), _unit(F.xxhash64(*key_cols, t, F.lit(seed) + 1)).alias("u")))).alias("__tu"))
-    hashed = hashed.select(*feats, "__tu.tree", "__tu.u")
     pool_n = max(1.0, q * n)
     thr = min(1.0, CANDIDATE * psi / pool_n)
-    cand = hashed.where(F.col("u") < F.lit(thr))
+
+    def draws(limit: float | None):
+        pairs = F.transform(trees, lambda t: F.struct(
+            t.alias("tree"), _unit(F.xxhash64(*key_cols, t, F.lit(seed) + 1)).alias("u")))
+        if limit is not None and limit < 1.0:
+            # keep only the (row, tree) pairs below the threshold before exploding
+            pairs = F.filter(pairs, lambda x: x["u"] < F.lit(limit))
+        return pool.select(*feats, F.explode(pairs).alias("__tu")).select(*feats, "__tu.tree", "__tu.u")
+
+    # ~CANDIDATE * psi rows per tree: bounded, so checkpointing it is cheap
+    cand = draws(thr).checkpoint(eager=True)
     counts = {r["tree"]: r["c"] for r in cand.groupBy("tree").agg(F.count(F.lit(1)).alias("c")).collect()}
     # q < 1 only when n > POOL * psi * T, so the pool always holds >= psi rows.
     short = [t for t in range(n_trees) if counts.get(t, 0) < psi]
     if short:
         cand = cand.where(~F.col("tree").isin(short)).unionByName(
-            hashed.where(F.col("tree").isin(short)))
+            draws(None).where(F.col("tree").isin(short)))
 
     f_names = feats
 
@@ -152,35 +160,47 @@ def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
     collected once (bounded by trees x (2 psi - 1) rows) and broadcast."""
     spark = df.sparkSession
     nd = nodes.toPandas().sort_values(["tree", "node"])
-    trees = []
-    for _, g in nd.groupby("tree"):
-        trees.append(tuple(g[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size", "depth")))
-    bc = spark.sparkContext.broadcast(trees)
+    # Flatten the forest into one node array; child ids become global offsets.
+    offs = nd.groupby("tree")["node"].transform("size").groupby(nd["tree"]).first().cumsum().shift(fill_value=0)
+    base = nd["tree"].map(offs).to_numpy()
+    feat = nd["feature"].to_numpy()
+    glob = {
+        "feature": feat,
+        "threshold": nd["threshold"].to_numpy(),
+        "left": np.where(feat >= 0, nd["left"].to_numpy() + base, -1),
+        "right": np.where(feat >= 0, nd["right"].to_numpy() + base, -1),
+        "path": nd["depth"].to_numpy() + _c_vec(nd["size"].to_numpy()),
+        "roots": offs.to_numpy(),
+        "max_depth": int(nd["depth"].max()) if len(nd) else 0,
+    }
+    bc = spark.sparkContext.broadcast(glob)
     c_psi = c_factor(psi) or 1.0
     feats = list(features)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType())])
 
     def run(batches):
-        forest = bc.value
+        g = bc.value
+        feat, thr, left, right = g["feature"], g["threshold"], g["left"], g["right"]
+        n_trees = len(g["roots"])
         for pdf in batches:
             x = pdf[feats].to_numpy(dtype=float)
-            total = np.zeros(len(pdf))
-            for feat, thr, left, right, size, depth in forest:
-                node = np.zeros(len(pdf), dtype=np.int64)
-                for _ in range(int(depth.max()) + 1):
-                    f = feat[node]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    xi = x[np.arange(len(pdf)), np.where(inner, f, 0)]
-                    nxt = np.where(xi < thr[node], left[node], right[node])
-                    node = np.where(inner, nxt, node)
-                total += depth[node] + _c_vec(size[node])
-            mean_path = total / max(1, len(forest))
+            m = len(pdf)
+            rows = np.repeat(np.arange(m), n_trees)
+            node = np.tile(g["roots"], m)
+            # all trees of all rows descend together, one level per step
+            for _ in range(g["max_depth"] + 1):
+                f = feat[node]
+                inner = f >= 0
+                if not inner.any():
+                    break
+                xi = x[rows, np.where(inner, f, 0)]
+                nxt = np.where(xi < thr[node], left[node], right[node])
+                node = np.where(inner, nxt, node)
+            mean_path = g["path"][node].reshape(m, n_trees).mean(axis=1) if n_trees else np.zeros(m)
             pdf[out] = -np.power(2.0, -mean_path / c_psi)
             yield pdf
 
-    return df.mapInPandas(run, schema=schema)
+    return spread(df).mapInPandas(run, schema=schema)
 
 
 def flag(df: DataFrame, score_col: str, contamination: float, out: str = "is_anomaly") -> DataFrame:

@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -131,18 +132,117 @@ def value_index(df: DataFrame, value: str, group_by: Sequence[str] = (),
                       "n", "n_distinct")
 
 
+def _positions(n: int, p: float, method: str) -> tuple[int, int, float]:
+    if method == "cont":
+        pos = p * (n - 1)
+        lo = math.floor(pos)
+        return lo, math.ceil(pos), pos - lo
+    if method == "disc":
+        k = max(math.ceil(p * n) - 1, 0)
+        return k, k, 0.0
+    raise ValueError(method)
+
+
+BAND_COLLECT_LIMIT = 200_000
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    method: str = "cont", buckets: int | None = None) -> DataFrame:
-    """Exact quantiles of several columns, distributed.
+                    method: str = "cont", accuracy: int = 10000,
+                    buckets: int | None = None) -> DataFrame:
+    """Exact quantiles of several columns without sorting the data.
 
     ``method="cont"``: linear interpolation between order statistics
     (``percentile`` / ``median`` / numpy default). ``method="disc"``: the
     smallest value whose cumulative share is >= p (``percentile_disc``; for
-    p = 0.5 that is the lower middle value).
-
-    Returns one row per (column, p): ``name, p, value`` (value NULL when the
-    column has no non-NULL value).
+    p = 0.5 the lower middle value).
+
+    1. One aggregate (partial sketches) gives ``n`` and approximate values
+       at ``p -/+ 2/accuracy`` that bracket each target order statistic.
+    2. One aggregate counts the rows below each bracket and the rows inside.
+    3. The exact values are the order statistics at ``target - below``
+       inside the band (a ~4/accuracy share of the rows): collected when
+       the band is small, else ranked with ``value_index``. If the counts
+       show a bracket missed its target the column falls back to the full
+       ``value_index`` (exactness never depends on the sketch).
+
+    Returns one row per (column, p): ``name, p, value`` (value NULL when
+    the column has no non-NULL value). Only bounded, per-(column, p)
+    numbers reach the driver.
     """
+    spark = df.sparkSession
+    stacked = unpivot_values(df, cols).where(F.col("value").isNotNull())
+    d = 2.0 / accuracy
+    br_probs = sorted({min(1.0, max(0.0, x)) for p in probs for x in (p - d, p + d)})
+    first = stacked.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("value", br_probs, accuracy).alias("br")).collect()
+    stats1 = {r["name"]: (r["n"], dict(zip(br_probs, r["br"]))) for r in first}
+    brackets = []
+    for c in cols:
+        if c not in stats1:
+            continue
+        n, br = stats1[c]
+        for p in probs:
+            lo_b = br[min(1.0, max(0.0, p - d))]
+            hi_b = br[min(1.0, max(0.0, p + d))]
+            brackets.append((c, float(p), float(lo_b), float(hi_b)))
+    results: dict[tuple[str, float], float | None] = {(c, float(p)): None for c in cols for p in probs}
+    fallback: set[str] = set()
+    if brackets:
+        bdf = spark.createDataFrame(brackets, "name string, p double, lo_b double, hi_b double")
+        # brackets has columns x probs rows: a bounded broadcast
+        j = stacked.join(F.broadcast(bdf), "name")
+        counts = {(r["name"], r["p"]): (r["below"], r["inside"]) for r in j.groupBy("name", "p").agg(
+            F.count_if(F.col("value") < F.col("lo_b")).alias("below"),
+            F.count_if((F.col("value") >= F.col("lo_b")) & (F.col("value") <= F.col("hi_b"))).alias("inside"),
+        ).collect()}
+        band = j.where((F.col("value") >= F.col("lo_b")) & (F.col("value") <= F.col("hi_b")))
+        small, large = [], []
+        for c, p, _, _ in brackets:
+            n = stats1[c][0]
+            below, inside = counts.get((c, p), (0, 0))
+            lo, hi, _ = _positions(n, p, method)
+            if not (below <= lo and hi < below + inside):
+                fallback.add(c)
+            elif inside <= BAND_COLLECT_LIMIT:
+                small.append((c, p))
+            else:
+                large.append((c, p))
+        if small:
+            sel = spark.createDataFrame(small, "name string, p double")
+            vals: dict[tuple[str, float], list[float]] = {}
+            for r in band.join(F.broadcast(sel), ["name", "p"], "left_semi").select("name", "p", "value").collect():
+                vals.setdefault((r["name"], r["p"]), []).append(r["value"])
+            for (c, p) in small:
+                n = stats1[c][0]
+                below = counts[(c, p)][0]
+                lo, hi, frac = _positions(n, p, method)
+                v = sorted(vals[(c, p)])
+                vlo, vhi = v[lo - below], v[hi - below]
+                results[(c, p)] = vlo + (vhi - vlo) * frac
+        for (c, p) in large:
+            idx = value_index(band.where((F.col("name") == c) & (F.col("p") == p)), "value",
+                              buckets=buckets)
+            n = stats1[c][0]
+            below = counts[(c, p)][0]
+            lo, hi, frac = _positions(n, p, method)
+            got = {}
+            for i in {lo, hi}:
+                k = i - below
+                got[i] = idx.where((F.col("before") <= k) & (F.lit(k) < F.col("before") + F.col("cnt"))) \
+                    .select("v").first()[0]
+            results[(c, p)] = got[lo] + (got[hi] - got[lo]) * frac
+    for c in sorted(fallback):
+        for r in _exact_quantiles_full(df, [c], probs, method, buckets).collect():
+            results[(c, float(r["p"]))] = r["value"]
+    rows = [(c, float(p), None if results[(c, float(p))] is None else float(results[(c, float(p))]))
+            for c in cols for p in probs]
+    return spark.createDataFrame(rows, "name string, p double, value double")
+
+
+def _exact_quantiles_full(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                          method: str = "cont", buckets: int | None = None) -> DataFrame:
+    """Exact quantiles from the full distributed value index (fallback)."""
     stacked = unpivot_values(df, cols)
     idx = value_index(stacked, "value", group_by=["name"], buckets=buckets)
     counts = idx.select("name", "n").distinct()
@@ -197,15 +297,25 @@ def impute_quantile(df: DataFrame, cols: Sequence[str], method: str,
     NULLs of each column are filled with that column's median; a column with
     no value at all falls back to ``default`` (lower median) or stays NULL
     (midpoint, as pandas does)."""
-    med = quantile_row(df, cols, 0.5, method).select(
-        *[F.col(f"`{c}`").alias(f"__med{i}") for i, c in enumerate(cols)])
-    j = attach_stats(df, med)
-    for i, c in enumerate(cols):
+    # One bounded (single-row) look at the NULL counts decides which columns
+    # need a median at all; columns without NULLs skip the quantile job.
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    todo = [c for i, c in enumerate(cols) if nulls[f"n{i}"] > 0]
+    out = df
+    for c in cols:
+        if c not in todo:
+            out = out.withColumn(c, F.col(c).cast("double"))
+    if not todo:
+        return out
+    med = quantile_row(df, todo, 0.5, method).select(
+        *[F.col(f"`{c}`").alias(f"__med{i}") for i, c in enumerate(todo)])
+    j = attach_stats(out, med)
+    for i, c in enumerate(todo):
         fill = F.col(f"__med{i}")
         if method == "disc":
             fill = F.coalesce(fill, F.lit(default))
         j = j.withColumn(c, F.coalesce(F.col(c).cast("double"), fill))
-    return j.drop(*[f"__med{i}" for i in range(len(cols))])
+    return j.drop(*[f"__med{i}" for i in range(len(todo))])
 
 
 def flag_below_quantile(df: DataFrame, score: str, contamination: float,

@@ -22,7 +22,7 @@ from ..operators import geo as GEO
 from ..operators import iforest as IF
 from ..operators import rank as RK
 from ..operators import stats as ST
-from ..session import materialize, prepare, scratch_path
+from ..session import materialize, prepare, scratch_path, spread
 from ..sources import messages as MSG
 from ..sources import tables as TBL
 from ..streaming import ingest as ING
@@ -305,7 +305,8 @@ def q25(spark, sf_dir):
     """M1 + M2 + M4 + S15 + M8: fit K-Means (k=3, seed 42), save the pipeline,
     reload it, assign and label clusters by mean order value."""
     from pyspark.ml import PipelineModel
-    filled = ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc")
+    # the fit makes many passes over its input: cut the lineage first
+    filled = materialize(ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc"))
     model = CL.assemble_scale_fit(filled, FE.CUSTOMER_FEATURES, k=3, seed=42)
     path = scratch_path(spark, "kmeans-model")
     model.write().overwrite().save(path)
@@ -345,7 +346,7 @@ def q29(spark, sf_dir):
 @register("q30_k_sweep")
 def q30(spark, sf_dir):
     """M5: (k, WSSE, silhouette) for k = 2..5."""
-    filled = ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc")
+    filled = materialize(ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc"))
     return CL.k_sweep(filled, FE.CUSTOMER_FEATURES, [2, 3, 4, 5])
 
 
@@ -362,7 +363,7 @@ def q31(spark, sf_dir):
     node table saved as Parquet, contamination 0.15 flag."""
     x, zs = _forest_input(spark, sf_dir)
     path = scratch_path(spark, "iforest-input")
-    x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *zs).write.parquet(path)
+    spread(x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *zs)).write.parquet(path)
     x = spark.read.parquet(path)
     nodes, psi = IF.fit(x, zs, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
     npath = scratch_path(spark, "iforest-nodes")

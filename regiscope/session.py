@@ -32,6 +32,7 @@ def get_session(app_name: str = "regiscope", master: str | None = None,
     if master:
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("REGISCOPE_DRIVER_MEM", "8g"))
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
@@ -91,3 +92,14 @@ def materialize(df):
     upstream plan."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Give CPU-heavy per-row work (Python scoring) at least one partition
+    per core. Only frames with fewer partitions than the default parallelism
+    are repartitioned (a single small file, say); large inputs already have
+    many more partitions and are left alone, so no shuffle is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
