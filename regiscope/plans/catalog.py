@@ -229,7 +229,7 @@ def q16(spark, sf_dir):
 def q17(spark, sf_dir):
     """W2 + T1 + T4: rank on the unrounded NRS (gaps on ties, NULL last);
     the top-10 preview is the feature here."""
-    ranked = RK.rank(materialize(_scored(spark, sf_dir)), "nutrition_risk_score", out="priority_rank")
+    ranked = RK.rank_checked(materialize(_scored(spark, sf_dir)), "nutrition_risk_score", out="priority_rank")
     return (ranked.select(G.KEY, F.round("nutrition_risk_score", 4).alias("nutrition_risk_score"),
                           "priority_rank")
             .orderBy("priority_rank", G.KEY).limit(10))

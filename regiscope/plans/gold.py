@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import percentage, ratio_per, row_sum, weighted_score
 from ..operators.join import left_join_all, latest_period
-from ..operators.rank import rank
+from ..operators.rank import rank_checked
 from ..operators.stats import attach_stats
 from ..session import materialize
 
@@ -99,10 +99,10 @@ def finalize(scored: DataFrame, as_of: Column | None = None) -> DataFrame:
     """W2 on the unrounded NRS, then P19 rounding and the Gold projection.
 
     The scored table has one row per region; it is checkpointed before the
-    rank so the rank's several passes read stored rows, not the fact-table
-    aggregations again."""
+    rank, whose strategy is then chosen from its measured size (window for a
+    small table, the distributed rank beyond ``SINGLE_TASK_ROWS``)."""
     scored = materialize(scored)
-    ranked = rank(scored, "nutrition_risk_score", out="priority_rank", descending=True)
+    ranked = rank_checked(scored, "nutrition_risk_score", out="priority_rank", descending=True)
     cols = [
         KEY, "populasi", "total_balita_gizi_buruk", *BURDEN_COLS, *FACILITY_COLS, WORKER_COL,
         F.round("rasio_faskes_per_10k_balita", 4).alias("rasio_faskes_per_10k_balita"),
