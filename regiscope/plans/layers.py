@@ -123,3 +123,139 @@ def gold_from_silver(s: dict[str, DataFrame], as_of: F.Column | None = None) ->
     burden = s["gizi_agregat"]
     return G.gold(s["populasi_clean"], burden, s["faskes_clean"], s["nakes_agregat"],
                   period="periode_data", as_of=as_of)
+
+
+# --- dataset registry and the whole job (S2, S9-S13, A4, M1-M10, J2) ----------
+
+class DatasetSpec:
+    """One raw dataset: name, topic, CSV header (file order) and file name."""
+
+    def __init__(self, name: str, topic: str, header: list[str], file: str):
+        self.name, self.topic, self.header, self.file = name, topic, header, file
+
+    @property
+    def columns(self) -> list[str]:
+        from ..sources.csv import snake
+        return [snake(c) for c in self.header]
+
+    def schema(self):
+        from ..sources.csv import string_schema
+        return string_schema(self.columns + META)
+
+
+# Dataset names, topics, raw headers and file names.
+DATASETS = [
+    DatasetSpec("gizi", "gizi-raw", ["periode_data", "wilayah", "kecamatan", "kategori_masalah_gizi", "jumlah"],
+                "balita_stunting.csv"),
+    DatasetSpec("faskes", "faskes-raw", ["Kabupaten/Kota", "Jumlah Rumah Sakit Umum", "Jumlah Rumah Sakit Khusus",
+                                         "Jumlah Posyandu"], "sebaran_rumahSakit.csv"),
+    DatasetSpec("nakes", "nakes-raw", ["periode_data", "wilayah", "kecamatan", "tenaga_kesehatan", "jumlah"],
+                "jumlah_nakes.csv"),
+    DatasetSpec("populasi", "populasi-raw", ["Kabupaten/Kota", "Population (Thousand)", "Population Growth Rate",
+                                             "Percentage of Total Population", "Population Density per sq.km (Km2)",
+                                             "Population Sex Ratio"], "lajupertumbuhan.csv"),
+]
+
+# Model features.
+FEATURE_COLS = ["prevalensi_stunting_pct", "rasio_faskes_per_10k_balita", "rasio_posyandu_per_10k_populasi",
+                "rasio_nakes_per_10k_populasi", "nutrition_coverage_index"]
+IFOREST_FEATURES = ["prevalensi_stunting_pct", "rasio_faskes_per_10k_balita", "rasio_posyandu_per_10k_populasi",
+                    "rasio_nakes_per_10k_populasi", "nutrition_risk_score"]
+
+
+def publish(spark, csv_dir: str, topic_path: str, ingested_at: str) -> dict[str, int]:
+    """CSV files -> keyed JSON messages per topic (S1 + S3 + S4). Returns
+    messages written per topic, counted while writing (A4)."""
+    import os
+
+    from ..operators.audit import observed, rows_of
+    from ..sources.csv import read_csv
+    from ..sources.messages import to_messages, write_messages
+    counts = {}
+    for spec in DATASETS:
+        raw = read_csv(spark, os.path.join(csv_dir, spec.file), spec.header)
+        key = F.monotonically_increasing_id().cast("string")
+        msgs, obs = observed(to_messages(raw, spec.topic, key=key, ingested_at=ingested_at), spec.topic)
+        write_messages(msgs, topic_path)
+        counts[spec.topic] = rows_of(obs)
+    return counts
+
+
+def bronze_tables(spark, bronze_path: str) -> dict[str, DataFrame]:
+    """Bronze read back per dataset with its declared schema."""
+    b = spark.read.parquet(bronze_path)
+    return {spec.name: b.where(F.col("topic") == spec.topic).select(*spec.columns, *META) for spec in DATASETS}
+
+
+def ingest_all(spark, topic_path: str, bronze_path: str, checkpoint: str, batch_id: str) -> dict[str, DataFrame]:
+    """All topics in one bounded stream (S5-S10): the union schema of the
+    declared datasets, each topic keeping its own columns."""
+    from pyspark.sql import types as T
+
+    from ..streaming.ingest import ingest
+    names: list[str] = []
+    for spec in DATASETS:
+        for c in spec.columns:
+            if c not in names:
+                names.append(c)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names + ["source", "ingested_at"]])
+    ingest(spark, topic_path, bronze_path, checkpoint, schema, batch_id)
+    return bronze_tables(spark, bronze_path)
+
+
+def write_silver(s: dict[str, DataFrame], base: str) -> None:
+    """Silver tables partitioned by ingestion batch (low cardinality),
+    not by region."""
+    from ..sources.tables import write_table
+    for name, df in s.items():
+        write_table(df, f"{base}/{name}", ["ingested_batch"] if "ingested_batch" in df.columns else [])
+
+
+def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
+          contamination: float = 0.15) -> DataFrame:
+    """Gold -> Gold final (J2): K-Means labels and Isolation Forest flags.
+
+    * K-Means on FEATURE_COLS: exact lower-median fill (A8), sample-sd
+      scaling (M2), k = min(k, n), labels by ascending mean NRS (M8).
+    * Isolation Forest on IFOREST_FEATURES: midpoint-median fill (A9),
+      population-sd scaling (M3), score, flag below the contamination
+      quantile (A12).
+    """
+    from ..functions.format import iso_timestamp
+    from ..operators import cluster as CL
+    from ..operators import iforest as IF
+    from ..operators import stats as ST
+    from ..session import materialize
+
+    g = materialize(gold)
+    n = g.count()
+    km_in = materialize(ST.impute_quantile(g, FEATURE_COLS, "disc"))
+    model = CL.assemble_scale_fit(km_in, FEATURE_COLS, k=min(k, n), seed=seed)
+    clusters = CL.label_by_mean(model.transform(km_in).select(KEY, "cluster_id", "nutrition_risk_score"),
+                                "cluster_id", "nutrition_risk_score").select(KEY, "cluster_id", "cluster_label")
+    zs = [f"z_{c}" for c in IFOREST_FEATURES]
+    if_in = materialize(ST.zscore(ST.impute_quantile(g.select(KEY, *IFOREST_FEATURES), IFOREST_FEATURES, "cont"),
+                                  IFOREST_FEATURES, zs, ddof=0))
+    nodes, psi = IF.fit(if_in, zs, [KEY], n_trees=n_trees, seed=seed)
+    scored = IF.score(if_in, materialize(nodes), zs, psi)
+    flags = IF.flag(scored, "anomaly_score", contamination).select(KEY, "is_anomaly", "anomaly_score")
+    out = g.join(clusters, KEY, "left").join(flags, KEY, "left")
+    if "last_updated" in out.columns:
+        out = out.withColumn("last_updated", iso_timestamp("last_updated"))
+    return out
+
+
+def run(spark, csv_dir: str, out_base: str, batch_id: str, ingested_at: str,
+        as_of: F.Column | None = None) -> dict[str, object]:
+    """The whole job: publish -> ingest -> Silver -> Gold -> final, with
+    every layer written under ``out_base`` (a shared folder)."""
+    counts = publish(spark, csv_dir, f"{out_base}/topics", ingested_at)
+    bronze = ingest_all(spark, f"{out_base}/topics", f"{out_base}/bronze", f"{out_base}/_ingest_ckpt", batch_id)
+    s = silver(bronze)
+    write_silver(s, f"{out_base}/silver")
+    g = gold_from_silver(s, as_of=as_of if as_of is not None else F.current_timestamp())
+    g.write.mode("overwrite").parquet(f"{out_base}/gold/wilayah_risk_score")
+    fin = final(spark.read.parquet(f"{out_base}/gold/wilayah_risk_score"))
+    fin.write.mode("overwrite").parquet(f"{out_base}/gold/wilayah_final")
+    fin.write.mode("overwrite").json(f"{out_base}/export/wilayah_final_json")
+    return {"messages": counts, "final": spark.read.parquet(f"{out_base}/gold/wilayah_final")}

@@ -117,3 +117,24 @@ def test_zero_burden_ranks_last_and_ties_share_rank(spark):
     assert sorted(r.priority_rank for r in g.values()) in ([1, 1, 3, 4], [1, 2, 2, 4])
     # all regions have the same worker ratio -> norm 0, inverse 1
     assert all(r.jumlah_posyandu is not None for r in g.values())
+
+
+def test_whole_job_from_csv_files(spark):
+    from regiscope.session import scratch_path
+    base = scratch_path(spark, "job")
+    res = L.run(spark, FIXTURES, base, "20250101_000000", "2025-01-01T00:00:00",
+                as_of=F.lit("2025-01-01 00:00:00").cast("timestamp"))
+    assert res["messages"] == {"gizi-raw": 53, "faskes-raw": 7, "nakes-raw": 30, "populasi-raw": 11}
+    fin = {r.kabupaten_kota: r for r in res["final"].collect()}
+    assert len(fin) == 6 and len(res["final"].columns) == 23
+    for k, g in GOLDEN.items():
+        assert fin[k].priority_rank == g[16]
+        assert fin[k].nutrition_risk_score == pytest.approx(g[15], abs=1e-4)
+    assert fin["KEPULAUAN SERIBU"].last_updated == "2025-01-01T00:00:00"
+    # the planted-outlier behaviour of the golden run: Kepulauan Seribu is the
+    # most isolated region and the only one flagged at contamination 0.15
+    worst = min(fin.values(), key=lambda r: r.anomaly_score)
+    assert worst.kabupaten_kota == "KEPULAUAN SERIBU" and worst.is_anomaly
+    assert sum(r.is_anomaly for r in fin.values()) == 1
+    assert fin["KEPULAUAN SERIBU"].cluster_label == "Risiko Tinggi"
+    assert {fin[k].cluster_label for k in ("JAKARTA PUSAT", "JAKARTA SELATAN")} == {"Risiko Rendah"}
