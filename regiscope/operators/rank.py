@@ -53,18 +53,26 @@ def salted_lookup(big: DataFrame, lookup: DataFrame, keys: Sequence[str],
 
 def rank(df: DataFrame, score: str, out: str = "rank", descending: bool = True,
          dense: bool = False, buckets: int | None = None) -> DataFrame:
-    """Whole-table ``rank()`` / ``dense_rank()`` by ``score``, NULLs last."""
-    idx = value_index(df, score, descending=descending, buckets=buckets)
+    """Whole-table ``rank()`` / ``dense_rank()`` by ``score``, NULLs last.
+
+    The per-value counts (one partial aggregate over the data) are
+    checkpointed once into the shared checkpoint folder; the bucketed index,
+    the hot-value list and the NULL rank all read that stored table, so the
+    data itself is scanned twice in total (count, final lookup)."""
+    counts = df.groupBy(F.col(score).alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
+    counts = counts.checkpoint(eager=True)
+    idx = value_index(counts.where(F.col("v").isNotNull()), "v", descending=descending,
+                      buckets=buckets, counted=True)
     before = "dense_before" if dense else "before"
     ranked = idx.select(F.col("v").alias(score), (F.col(before) + 1).alias(out))
-    totals = idx.agg(F.max("n").alias("n"), F.max("n_distinct").alias("nd"))
+    totals = counts.agg(F.sum("cnt").alias("__n"),
+                        F.sum(F.when(F.col("v").isNotNull(), F.col("cnt"))).alias("__nn"),
+                        F.count_if(F.col("v").isNotNull()).alias("__nd"))
     null_rank = totals.select(F.lit(None).cast(df.schema[score].dataType).alias(score),
-                              (F.coalesce(F.col("nd" if dense else "n"), F.lit(0)) + 1).alias(out))
+                              (F.coalesce(F.col("__nd" if dense else "__nn"), F.lit(0)) + 1).alias(out))
     lookup = ranked.unionByName(null_rank)
-    counts = df.groupBy(score).agg(F.count(F.lit(1)).alias("__c"))
-    total = counts.agg(F.sum("__c").alias("__n"))
-    hot = (counts.crossJoin(F.broadcast(total))
-           .where(F.col("__c") * HOT_FRACTION > F.col("__n")).select(score))
+    hot = (counts.crossJoin(F.broadcast(totals.select("__n")))
+           .where(F.col("cnt") * HOT_FRACTION > F.col("__n")).select(F.col("v").alias(score)))
     return salted_lookup(df, lookup, [score], hot).withColumn(out, F.col(out).cast("int"))
 
 

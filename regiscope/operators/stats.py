@@ -87,18 +87,24 @@ def zscore(df: DataFrame, cols: Sequence[str], out: Sequence[str] | None = None,
 
 
 def value_index(df: DataFrame, value: str, group_by: Sequence[str] = (),
-                descending: bool = False, buckets: int | None = None) -> DataFrame:
+                descending: bool = False, buckets: int | None = None,
+                counted: bool = False) -> DataFrame:
     """Distinct non-NULL values with exact order statistics.
 
     Returns ``group..., v, cnt, before, dense_before, n, n_distinct`` where
     ``before`` = rows strictly ahead of ``v`` in the requested order within
     its group, ``dense_before`` = distinct values ahead, ``n`` = non-NULL rows
-    in the group.
+    in the group. With ``counted=True`` the input already is
+    ``group..., v, cnt`` with non-NULL ``v`` (e.g. a checkpointed count
+    table), so every pass below reads it instead of re-aggregating the data.
     """
     g = list(group_by)
     buckets = buckets or default_buckets(df.sparkSession)
-    d = (df.where(F.col(value).isNotNull())
-         .groupBy(*g, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
+    if counted:
+        d = df.select(*g, F.col(value).alias("v"), "cnt")
+    else:
+        d = (df.where(F.col(value).isNotNull())
+             .groupBy(*g, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
     probs = [i / buckets for i in range(1, buckets)]
     if probs:
         cut_agg = F.percentile_approx("v", probs, 10000).alias("__cuts")
