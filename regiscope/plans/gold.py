@@ -123,7 +123,9 @@ def gold(population: DataFrame, burden: DataFrame, facilities: DataFrame, worker
          as_of: Column | None = None, check_unique: bool = False) -> DataFrame:
     """The whole Silver -> Gold plan (q18)."""
     m = master_table(population, burden, facilities, workers, burden_map, period, check_unique)
-    return finalize(scores(indicators(m)), as_of)
+    # one row per region: checkpoint it so the statistics row and the rows it
+    # is joined back to do not each recompute the fact-table aggregates
+    return finalize(scores(materialize(indicators(m))), as_of)
 
 
 def top(df: DataFrame, n: int = 10, by: Sequence[str] = ("priority_rank", KEY)) -> DataFrame:

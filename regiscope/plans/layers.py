@@ -237,7 +237,7 @@ def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
     if_in = materialize(ST.zscore(ST.impute_quantile(g.select(KEY, *IFOREST_FEATURES), IFOREST_FEATURES, "cont"),
                                   IFOREST_FEATURES, zs, ddof=0))
     nodes, psi = IF.fit(if_in, zs, [KEY], n_trees=n_trees, seed=seed)
-    scored = IF.score(if_in, materialize(nodes), zs, psi)
+    scored = materialize(IF.score(if_in, materialize(nodes), zs, psi).select(KEY, "anomaly_score"))
     flags = IF.flag(scored, "anomaly_score", contamination).select(KEY, "is_anomaly", "anomaly_score")
     out = g.join(clusters, KEY, "left").join(flags, KEY, "left")
     if "last_updated" in out.columns:

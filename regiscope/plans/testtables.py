@@ -68,33 +68,39 @@ def _supplier_nation(spark, sf_dir) -> DataFrame:
     return load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sk"), F.col("s_nationkey").alias("nk"))
 
 
-def _supplier_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitems per (supplier, part): one partial aggregate of the fact
-    table serving both the distinct-part count and the lineitem count."""
+def nation_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct parts and lineitem count per supplier nation from ONE pass
+    over lineitem: (supplier, part) partial aggregate -> supplier nation ->
+    (nation, part) -> nation. The result has one row per nation, so it is
+    checkpointed and both Silver inputs read the stored rows (otherwise
+    column pruning gives the two uses different plans and the fact table
+    would be aggregated twice)."""
+    from ..session import materialize
     li = load(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_suppkey").alias("sk"), "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    pairs = li.groupBy(F.col("l_suppkey").alias("sk"), "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    per_part = (pairs.join(_supplier_nation(spark, sf_dir), "sk", "inner")
+                .groupBy("nk", "l_partkey").agg(F.sum("n").alias("n")))
+    out = per_part.groupBy("nk").agg(F.count("l_partkey").cast("int").alias("jumlah_posyandu"),
+                                     F.sum("n").cast("bigint").alias("total_nakes"))
+    return materialize(out)
 
 
-def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+def facilities(spark: SparkSession, sf_dir: str, supply: DataFrame | None = None) -> DataFrame:
     s = load(spark, sf_dir, "supplier")
     sup = s.groupBy(F.col("s_nationkey").alias("nk")).agg(
         F.count_if(F.col("s_acctbal") >= ACCTBAL_SPLIT).cast("int").alias("jumlah_rs_umum"),
         F.count_if(F.col("s_acctbal") < ACCTBAL_SPLIT).cast("int").alias("jumlah_rs_khusus"))
-    pairs = _supplier_parts(spark, sf_dir).where(F.col("l_partkey").isNotNull()).select("sk", "l_partkey")
-    parts = (pairs.join(_supplier_nation(spark, sf_dir), "sk", "inner")
-             .select("nk", "l_partkey").distinct()
-             .groupBy("nk").agg(F.count(F.lit(1)).cast("int").alias("jumlah_posyandu")))
-    fac = sup.join(parts, "nk", "left").na.fill(0, subset=["jumlah_posyandu"])
+    supply = supply if supply is not None else nation_supply(spark, sf_dir)
+    fac = sup.join(supply.select("nk", "jumlah_posyandu"), "nk", "left").na.fill(0, subset=["jumlah_posyandu"])
     return _named(spark, sf_dir, fac, "nk")
 
 
-def workers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_sup = _supplier_parts(spark, sf_dir).groupBy("sk").agg(F.sum("n").alias("n"))
-    per_nat = (per_sup.join(_supplier_nation(spark, sf_dir), "sk", "inner")
-               .groupBy("nk").agg(F.sum("n").cast("bigint").alias("total_nakes")))
-    return _named(spark, sf_dir, per_nat, "nk")
+def workers(spark: SparkSession, sf_dir: str, supply: DataFrame | None = None) -> DataFrame:
+    supply = supply if supply is not None else nation_supply(spark, sf_dir)
+    return _named(spark, sf_dir, supply.select("nk", "total_nakes"), "nk")
 
 
 def silver_inputs(spark: SparkSession, sf_dir: str):
+    supply = nation_supply(spark, sf_dir)
     return (population(spark, sf_dir), burden(spark, sf_dir),
-            facilities(spark, sf_dir), workers(spark, sf_dir))
+            facilities(spark, sf_dir, supply), workers(spark, sf_dir, supply))
