@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .testtables import load
 
 CUSTOMER_FEATURES = ["f_avg_price", "f_max_price", "f_n_orders", "f_acctbal"]
@@ -18,7 +19,9 @@ def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The order side is aggregated on ``o_custkey`` before the join. The money
     sum is exact (decimal) so the mean is the same whatever the summation
-    order."""
+    order. The frame is checkpointed: imputation, scaling and fitting read it
+    several times, and one write is cheaper than re-aggregating the orders
+    for every pass."""
     o = load(spark, sf_dir, "orders")
     per = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("__s"),
@@ -26,12 +29,12 @@ def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("__n"))
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     j = c.join(per, "c_custkey", "left")
-    return j.select(
+    return materialize(j.select(
         "c_custkey",
         (F.col("__s").cast("double") / F.col("__n")).alias("f_avg_price"),
         "f_max_price",
         F.col("__n").cast("double").alias("f_n_orders"),
-        F.col("c_acctbal").alias("f_acctbal"))
+        F.col("c_acctbal").alias("f_acctbal")))
 
 
 def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
