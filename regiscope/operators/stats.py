@@ -183,16 +183,27 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("value", br_probs, accuracy).alias("br")).collect()
     stats1 = {r["name"]: (r["n"], dict(zip(br_probs, r["br"]))) for r in first}
+    results: dict[tuple[str, float], float | None] = {(c, float(p)): None for c in cols for p in probs}
+    # columns whose non-NULL rows fit the collect bound: one bounded collect
+    tiny = [c for c in cols if c in stats1 and stats1[c][0] <= BAND_COLLECT_LIMIT]
+    if tiny:
+        vals_t: dict[str, list[float]] = {}
+        for r in stacked.where(F.col("name").isin(tiny)).collect():
+            vals_t.setdefault(r["name"], []).append(r["value"])
+        for c in tiny:
+            v = sorted(vals_t.get(c, []))
+            for p in probs:
+                lo, hi, frac = _positions(len(v), float(p), method)
+                results[(c, float(p))] = v[lo] + (v[hi] - v[lo]) * frac
     brackets = []
     for c in cols:
-        if c not in stats1:
+        if c not in stats1 or c in tiny:
             continue
         n, br = stats1[c]
         for p in probs:
             lo_b = br[min(1.0, max(0.0, p - d))]
             hi_b = br[min(1.0, max(0.0, p + d))]
             brackets.append((c, float(p), float(lo_b), float(hi_b)))
-    results: dict[tuple[str, float], float | None] = {(c, float(p)): None for c in cols for p in probs}
     fallback: set[str] = set()
     if brackets:
         bdf = spark.createDataFrame(brackets, "name string, p double, lo_b double, hi_b double")

@@ -42,14 +42,19 @@ def write_bronze(df: DataFrame, path: str, partition_by: Sequence[str] = ("inges
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite; partitioned output is first clustered on the
-    partition columns so each task writes few files (no ``coalesce(1)``)."""
-    w = df
+    """Overwrite, without ``coalesce(1)``.
+
+    Partitioned output goes through the ``REBALANCE`` hint on the partition
+    columns: rows of one partition value are clustered so each task writes
+    few files, and AQE splits a value that holds a large share of the rows
+    into several tasks instead of sending it all to one (a plain
+    ``repartition(col)`` would)."""
     if partition_by:
-        w = df.repartition(*[F.col(c) for c in partition_by])
-        w.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        w = df.hint("rebalance", *partition_by)
+        (w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
     else:
-        w.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -80,13 +80,18 @@ def test_rank_ascending_ties(spark):
     assert got == {1: 1, 3: 1, 2: 3, 4: 4}
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("limit,accuracy", [(10**9, 10000), (50, 10000), (0, 100)])
+def test_exact_quantiles_match_numpy(spark, monkeypatch, limit, accuracy):
+    # limit 1e9: whole column collected; 50: bracket + collected band;
+    # 0: bracket + distributed value index on the band
+    monkeypatch.setattr(ST, "BAND_COLLECT_LIMIT", limit)
     rnd = np.random.default_rng(3)
     a = rnd.normal(size=2001).round(3)
     b = rnd.integers(0, 5, size=2001).astype(float)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
     probs = [0.0, 0.1, 0.15, 0.5, 0.9, 1.0]
-    q = {(r.name, r.p): r.value for r in ST.exact_quantiles(df, ["a", "b"], probs, "cont", buckets=5).collect()}
+    q = {(r.name, r.p): r.value for r in
+         ST.exact_quantiles(df, ["a", "b"], probs, "cont", accuracy=accuracy, buckets=5).collect()}
     for p in probs:
         assert q[("a", p)] == pytest.approx(float(np.quantile(a, p)), abs=1e-9)
         assert q[("b", p)] == pytest.approx(float(np.quantile(b, p)), abs=1e-9)
@@ -171,3 +176,13 @@ def test_label_by_mean_is_monotone(spark):
     df = spark.createDataFrame([(0, 0.9), (0, 0.8), (1, 0.1), (2, 0.5), (3, 0.99)], "cluster_id int, s double")
     lab = {r.cluster_id: r.cluster_label for r in CL.label_by_mean(df, "cluster_id", "s").collect()}
     assert lab == {1: "Risiko Rendah", 2: "Risiko Sedang", 0: "Risiko Tinggi", 3: "Risiko Tinggi"}
+
+
+def test_exact_quantiles_full_index_fallback(spark):
+    vals = [float(x) for x in [5, 1, 1, 9, 3, 3, 3, 7, 2]]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = {r.p: r.value for r in ST._exact_quantiles_full(df, ["x"], [0.15, 0.5, 0.9], "cont", buckets=3).collect()}
+    for p in (0.15, 0.5, 0.9):
+        assert got[p] == pytest.approx(float(np.quantile(vals, p)))
+    disc = {r.p: r.value for r in ST._exact_quantiles_full(df, ["x"], [0.5], "disc", buckets=3).collect()}
+    assert disc[0.5] == 3.0
