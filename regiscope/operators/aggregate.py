@@ -22,17 +22,24 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequen
               cast: str | None = "bigint") -> DataFrame:
     """A3: ``groupBy(keys).pivot(col, values).sum(value)``; absent -> ``fill``.
 
-    The value list is explicit, so Spark skips the distinct pre-pass; when
-    ``value`` is None rows are counted.
+    Written as one conditional aggregate per listed value, so it is a single
+    partial + final aggregation with one shuffle (the built-in pivot groups
+    by (keys, pivot value) first and shuffles twice). Values outside the list
+    are ignored, as with an explicit pivot list. ``value=None`` counts rows.
     """
-    g = df.groupBy(*keys).pivot(pivot_col, list(values))
-    agg = F.count(F.lit(1)) if value is None else F.sum(value)
-    if cast:
-        agg = agg.cast(cast)
-    out = g.agg(agg)
-    if fill is not None:
-        out = out.na.fill(fill, subset=list(values))
-    return out
+    p = F.col(pivot_col)
+    aggs = []
+    for v in values:
+        if value is None:
+            a = F.count(F.when(p == F.lit(v), F.lit(1)))
+        else:
+            a = F.sum(F.when(p == F.lit(v), F.col(value)))
+        if cast:
+            a = a.cast(cast)
+        if fill is not None:
+            a = F.coalesce(a, F.lit(fill).cast(cast) if cast else F.lit(fill))
+        aggs.append(a.alias(v))
+    return df.groupBy(*keys).agg(*aggs)
 
 
 def summary(df: DataFrame, mean_col: str, sum_cols: Sequence[str], flag_col: str,

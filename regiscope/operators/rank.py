@@ -40,10 +40,11 @@ def salted_lookup(big: DataFrame, lookup: DataFrame, keys: Sequence[str],
         .otherwise(F.lit(0)).cast("int")).drop("__hot")
     lk = lookup.select(*[F.col(k).alias(f"__l_{k}") for k in keys],
                        *[F.col(c) for c in lookup.columns if c not in keys])
-    hot_l = lk.join(F.broadcast(hk), [F.col(f"__l_{k}").eqNullSafe(F.col(f"__h_{k}")) for k in keys],
-                    "left_semi")
-    salted_hot = hot_l.withColumn("__lsalt", F.explode(F.sequence(F.lit(1), F.lit(salt_buckets))))
-    lk = lk.withColumn("__lsalt", F.lit(0)).unionByName(salted_hot)
+    # one pass over the lookup: hot keys get one copy per salt, others salt 0
+    lk = lk.join(F.broadcast(hk), [F.col(f"__l_{k}").eqNullSafe(F.col(f"__h_{k}")) for k in keys], "left")
+    lk = lk.withColumn("__lsalt", F.explode(
+        F.when(F.col("__hot"), F.sequence(F.lit(1), F.lit(salt_buckets))).otherwise(F.array(F.lit(0)))))
+    lk = lk.drop("__hot", *[f"__h_{k}" for k in keys])
     jcond = F.col("__salt") == F.col("__lsalt")
     for k in keys:
         jcond = jcond & F.col(k).eqNullSafe(F.col(f"__l_{k}"))
@@ -65,14 +66,15 @@ def rank(df: DataFrame, score: str, out: str = "rank", descending: bool = True,
                       buckets=buckets, counted=True)
     before = "dense_before" if dense else "before"
     ranked = idx.select(F.col("v").alias(score), (F.col(before) + 1).alias(out))
-    totals = counts.agg(F.sum("cnt").alias("__n"),
-                        F.sum(F.when(F.col("v").isNotNull(), F.col("cnt"))).alias("__nn"),
-                        F.count_if(F.col("v").isNotNull()).alias("__nd"))
-    null_rank = totals.select(F.lit(None).cast(df.schema[score].dataType).alias(score),
-                              (F.coalesce(F.col("__nd" if dense else "__nn"), F.lit(0)) + 1).alias(out))
+    # three numbers, read once from the stored counts
+    t = counts.agg(F.sum("cnt").alias("n"), F.sum(F.when(F.col("v").isNotNull(), F.col("cnt"))).alias("nn"),
+                   F.count_if(F.col("v").isNotNull()).alias("nd")).first()
+    n_all, n_rows, n_vals = int(t["n"] or 0), int(t["nn"] or 0), int(t["nd"] or 0)
+    null_rank = counts.sparkSession.range(1).select(
+        F.lit(None).cast(df.schema[score].dataType).alias(score),
+        F.lit((n_vals if dense else n_rows) + 1).cast("long").alias(out))
     lookup = ranked.unionByName(null_rank)
-    hot = (counts.crossJoin(F.broadcast(totals.select("__n")))
-           .where(F.col("cnt") * HOT_FRACTION > F.col("__n")).select(F.col("v").alias(score)))
+    hot = counts.where(F.col("cnt") * HOT_FRACTION > F.lit(n_all)).select(F.col("v").alias(score))
     return salted_lookup(df, lookup, [score], hot).withColumn(out, F.col(out).cast("int"))
 
 

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows whose value holds more than 1/HOT_FRACTION of the table are "hot";
 # there can be at most HOT_FRACTION of them per group, which bounds every
@@ -107,11 +108,24 @@ def value_index(df: DataFrame, value: str, group_by: Sequence[str] = (),
              .groupBy(*g, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
     probs = [i / buckets for i in range(1, buckets)]
     if probs:
+        # The cut points are at most groups x buckets numbers: computed once
+        # (one sketch pass), brought back and inlined, so the later passes do
+        # not each re-run the sketch.
         cut_agg = F.percentile_approx("v", probs, 10000).alias("__cuts")
-        cuts = d.groupBy(*g).agg(cut_agg) if g else d.agg(cut_agg)
-        db = d.crossJoin(F.broadcast(cuts)) if not g else d.join(cuts, g, "inner")
+        rows = (d.groupBy(*g).agg(cut_agg) if g else d.agg(cut_agg)).collect()
         cmp = (lambda c: c > F.col("v")) if descending else (lambda c: c < F.col("v"))
-        db = db.withColumn("__b", F.size(F.filter("__cuts", cmp))).drop("__cuts")
+        if not g:
+            cuts = rows[0]["__cuts"] or []
+            arr = F.array(*[F.lit(x).cast(d.schema["v"].dataType) for x in cuts]) if cuts \
+                else F.array().cast(T.ArrayType(d.schema["v"].dataType))
+            db = d.withColumn("__b", F.size(F.filter(arr, cmp)))
+        else:
+            schema = T.StructType([d.schema[c] for c in g] +
+                                  [T.StructField("__cuts", T.ArrayType(d.schema["v"].dataType))])
+            cuts_df = d.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+            # groups x buckets values: a bounded broadcast
+            db = d.join(F.broadcast(cuts_df), g, "inner")
+            db = db.withColumn("__b", F.size(F.filter("__cuts", cmp))).drop("__cuts")
     else:
         db = d.withColumn("__b", F.lit(0))
     # Per-bucket totals: at most groups x buckets rows.

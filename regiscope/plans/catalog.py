@@ -581,3 +581,12 @@ def q49(spark, sf_dir):
     path = scratch_path(spark, "gold-json")
     TBL.export_json(g, path)
     return TBL.read_json(spark, path, g.schema)
+
+
+@register("q50_gold_final_models")
+def q50(spark, sf_dir):
+    """J2 with the real models: Gold per region -> K-Means (k=3, lower-median
+    fill, sample-sd scaling, labels by mean NRS) and the distributed
+    Isolation Forest (midpoint fill, population-sd scaling, 15 % cut)."""
+    from . import layers as L
+    return L.final(gold_frame(spark, sf_dir))
