@@ -138,3 +138,15 @@ def test_whole_job_from_csv_files(spark):
     assert sum(r.is_anomaly for r in fin.values()) == 1
     assert fin["KEPULAUAN SERIBU"].cluster_label == "Risiko Tinggi"
     assert {fin[k].cluster_label for k in ("JAKARTA PUSAT", "JAKARTA SELATAN")} == {"Risiko Rendah"}
+    # serving tables over the golden final: the dashboard figures of the source
+    from regiscope.plans import serve as SV
+    summ = SV.dashboard_summary(res["final"]).first()
+    assert summ.n_rows == 6 and summ.avg_nutrition_risk_score == pytest.approx(0.485, abs=5e-4)
+    assert (summ.sum_jumlah_posyandu, summ.sum_total_nakes, summ.n_is_anomaly) == (4472, 44351, 1)
+    hl = {r.metric: (r.kabupaten_kota, r.value) for r in SV.highlights(res["final"]).collect()}
+    assert hl == {"highest_risk": ("KEPULAUAN SERIBU", 0.9171), "best_coverage": ("JAKARTA PUSAT", 0.6324)}
+    ins = [r.body for r in SV.insights(res["final"]).collect()]
+    assert ins[0] == "KEPULAUAN SERIBU memiliki Nutrition Risk Score tertinggi (0.9171)" and ins[1] == "JAKARTA PUSAT"
+    disp = {r.kabupaten_kota: r for r in SV.display(res["final"]).collect()}
+    assert disp["KEPULAUAN SERIBU"].rank_tier == "1" and disp["JAKARTA UTARA"].rank_tier == "top"
+    assert disp["JAKARTA PUSAT"].coverage_pct == 63 and disp["KEPULAUAN SERIBU"].anomaly_label == "Ya"
