@@ -31,7 +31,7 @@ def assemble_scale_fit(df: DataFrame, features: Sequence[str], k: int = 3, seed:
                        prediction: str = "cluster_id") -> PipelineModel:
     """M1 + M2 + M4: assemble, standardise (sample sd, centred) and fit.
 
-    The scaler is saved with the model as one pipeline (the reference drops
+    The scaler is saved with the model as one pipeline (the original job drops
     it), so reloaded models score new rows in the same space."""
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features_raw"),

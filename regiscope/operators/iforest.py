@@ -213,7 +213,7 @@ def flag(df: DataFrame, score_col: str, contamination: float, out: str = "is_ano
 def contamination_sweep(df: DataFrame, score_col: str, levels: Sequence[float]) -> DataFrame:
     """One quantile job for all levels -> (contamination, cut, n_flagged).
 
-    The forest is fitted once (the reference refits per level)."""
+    The forest is fitted once (the original job refits per level)."""
     cuts = exact_quantiles(df, [score_col], list(levels), "cont").select(
         F.col("p").alias("contamination"), F.col("value").alias("cut"))
     j = df.select(score_col).crossJoin(F.broadcast(cuts))

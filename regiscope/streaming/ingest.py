@@ -3,7 +3,7 @@
 ``readStream`` over the topic files (or ``kafka`` with ``subscribe``) ->
 ``from_json`` -> metadata -> non-finite sanitising -> ``foreachBatch`` into
 Bronze Parquet, run with ``trigger(availableNow=True)``: every message
-available at start is consumed, then the query stops (the reference's
+available at start is consumed, then the query stops (the original job's
 "drain until idle"). Progress lives in the checkpoint, committed only after
 the batch's write succeeded; a replayed batch overwrites only its own
 ``ingested_batch`` partition, so a retry after executor loss never
