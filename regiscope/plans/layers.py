@@ -227,11 +227,25 @@ def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
     from ..operators import stats as ST
     from ..session import materialize
 
+    from pyspark.sql import types as T
+
     g = materialize(gold)
     n = g.count()
+    if n == 0:  # S19: empty Gold -> typed empty result, nothing to fit
+        schema = T.StructType(g.schema.fields + [
+            T.StructField("cluster_id", T.IntegerType()), T.StructField("cluster_label", T.StringType()),
+            T.StructField("is_anomaly", T.BooleanType()), T.StructField("anomaly_score", T.DoubleType())])
+        out = g.sparkSession.createDataFrame([], schema)
+        if "last_updated" in out.columns:
+            out = out.withColumn("last_updated", iso_timestamp("last_updated"))
+        return out
     km_in = materialize(ST.impute_quantile(g, FEATURE_COLS, "disc"))
-    model = CL.assemble_scale_fit(km_in, FEATURE_COLS, k=min(k, n), seed=seed)
-    clusters = CL.label_by_mean(model.transform(km_in).select(KEY, "cluster_id", "nutrition_risk_score"),
+    if min(k, n) >= 2:
+        model = CL.assemble_scale_fit(km_in, FEATURE_COLS, k=min(k, n), seed=seed)
+        pred = model.transform(km_in).withColumn("cluster_id", F.col("cluster_id").cast("int"))
+    else:  # one region: a single cluster (K-Means needs k >= 2)
+        pred = km_in.withColumn("cluster_id", F.lit(0))
+    clusters = CL.label_by_mean(pred.select(KEY, "cluster_id", "nutrition_risk_score"),
                                 "cluster_id", "nutrition_risk_score").select(KEY, "cluster_id", "cluster_label")
     zs = [f"z_{c}" for c in IFOREST_FEATURES]
     if_in = materialize(ST.zscore(ST.impute_quantile(g.select(KEY, *IFOREST_FEATURES), IFOREST_FEATURES, "cont"),

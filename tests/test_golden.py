@@ -163,3 +163,13 @@ def test_k_sweep_reproduces_measured_figures(spark, bronze):
     assert got[2] == (pytest.approx(14.42, abs=5e-3), pytest.approx(0.454, abs=5e-4))
     assert got[3] == (pytest.approx(3.353, abs=5e-3), pytest.approx(0.633, abs=5e-4))
     assert got[4] == (pytest.approx(1.046, abs=5e-3), pytest.approx(0.437, abs=5e-4))
+
+
+def test_final_guards_empty_and_single_region(spark, bronze):
+    g = L.gold_from_silver(L.silver(bronze), as_of=F.lit("2025-01-01 00:00:00").cast("timestamp"))
+    empty = L.final(g.where(F.lit(False)))
+    assert empty.count() == 0 and len(empty.columns) == 23
+    assert dict(empty.dtypes)["cluster_id"] == "int" and dict(empty.dtypes)["is_anomaly"] == "boolean"
+    one = L.final(g.where(F.col("kabupaten_kota") == "JAKARTA BARAT")).collect()
+    assert len(one) == 1 and one[0].cluster_label == "Risiko Rendah" and one[0].cluster_id == 0
+    assert one[0].is_anomaly is False
