@@ -186,3 +186,21 @@ def test_exact_quantiles_full_index_fallback(spark):
         assert got[p] == pytest.approx(float(np.quantile(vals, p)))
     disc = {r.p: r.value for r in ST._exact_quantiles_full(df, ["x"], [0.5], "disc", buckets=3).collect()}
     assert disc[0.5] == 3.0
+
+
+def test_hot_score_rows_spread_over_tasks(spark):
+    """Half the rows share one score; after the salted lookup they sit in
+    many partitions (a plain hash join on the score would put them in one)."""
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(20000).select(F.col("id"), F.when(F.col("id") % 2 == 0, F.lit(7.0))
+                                       .otherwise(F.col("id").cast("double")).alias("s"))
+        ranked = RK.rank(df, "s", out="rk", buckets=4)
+        parts = (ranked.where(F.col("s") == 7.0).select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+        assert parts >= 4
+        hot = ranked.where(F.col("s") == 7.0).select("rk").distinct().collect()
+        assert [r.rk for r in hot] == [9997]  # 1 + number of odd ids above 7
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
