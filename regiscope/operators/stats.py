@@ -109,23 +109,11 @@ def value_index(df: DataFrame, value: str, group_by: Sequence[str] = (),
     probs = [i / buckets for i in range(1, buckets)]
     if probs:
         # The cut points are at most groups x buckets numbers: computed once
-        # (one sketch pass), brought back and inlined, so the later passes do
-        # not each re-run the sketch.
+        # (one sketch pass) and brought back, so later passes do not re-run
+        # the sketch.
         cut_agg = F.percentile_approx("v", probs, 10000).alias("__cuts")
         rows = (d.groupBy(*g).agg(cut_agg) if g else d.agg(cut_agg)).collect()
-        cmp = (lambda c: c > F.col("v")) if descending else (lambda c: c < F.col("v"))
-        if not g:
-            cuts = rows[0]["__cuts"] or []
-            arr = F.array(*[F.lit(x).cast(d.schema["v"].dataType) for x in cuts]) if cuts \
-                else F.array().cast(T.ArrayType(d.schema["v"].dataType))
-            db = d.withColumn("__b", F.size(F.filter(arr, cmp)))
-        else:
-            schema = T.StructType([d.schema[c] for c in g] +
-                                  [T.StructField("__cuts", T.ArrayType(d.schema["v"].dataType))])
-            cuts_df = d.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
-            # groups x buckets values: a bounded broadcast
-            db = d.join(F.broadcast(cuts_df), g, "inner")
-            db = db.withColumn("__b", F.size(F.filter("__cuts", cmp))).drop("__cuts")
+        db = _assign_buckets(d, g, rows, descending)
     else:
         db = d.withColumn("__b", F.lit(0))
     # Per-bucket totals: at most groups x buckets rows.
@@ -166,6 +154,50 @@ def _positions(n: int, p: float, method: str) -> tuple[int, int, float]:
 BAND_COLLECT_LIMIT = 200_000
 
 
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def _assign_buckets(d: DataFrame, g: list[str], rows: list, descending: bool) -> DataFrame:
+    """Range bucket of every distinct value ``v`` from the collected cut points.
+
+    Numeric values use ``Bucketizer`` (a JVM binary search, O(log buckets) per
+    row); bucket numbers are monotone in ``v`` and equal values always share a
+    bucket (a monotone cast to double can only merge neighbours, never
+    reorder them). Descending order negates the bucket number. Other types
+    count the cuts below the value with a built-in array filter.
+    """
+    from pyspark.ml.feature import Bucketizer
+    vtype = d.schema["v"].dataType
+    sign = -1 if descending else 1
+    if isinstance(vtype, _NUMERIC):
+        parts = []
+        for r in rows:
+            cuts = sorted({float(x) for x in (r["__cuts"] or []) if x is not None})
+            splits = [float("-inf")] + cuts + [float("inf")]
+            part = d
+            for c in g:
+                part = part.where(F.col(c) == F.lit(r[c]))
+            part = part.withColumn("__vd", F.col("v").cast("double"))
+            b = Bucketizer(splits=splits, inputCol="__vd", outputCol="__bd", handleInvalid="keep").transform(part)
+            parts.append(b.withColumn("__b", (F.col("__bd") * sign).cast("int")).drop("__vd", "__bd"))
+        if not parts:
+            return d.withColumn("__b", F.lit(0))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    cmp = (lambda c: c > F.col("v")) if descending else (lambda c: c < F.col("v"))
+    if not g:
+        cuts = rows[0]["__cuts"] if rows else None
+        arr = F.array(*[F.lit(x).cast(vtype) for x in cuts]) if cuts else F.array().cast(T.ArrayType(vtype))
+        return d.withColumn("__b", F.size(F.filter(arr, cmp)))
+    schema = T.StructType([d.schema[c] for c in g] + [T.StructField("__cuts", T.ArrayType(vtype))])
+    cuts_df = d.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+    # groups x buckets values: a bounded broadcast
+    db = d.join(F.broadcast(cuts_df), g, "inner")
+    return db.withColumn("__b", F.size(F.filter("__cuts", cmp))).drop("__cuts")
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     method: str = "cont", accuracy: int = 10000,
                     buckets: int | None = None) -> DataFrame:
