@@ -45,18 +45,51 @@ def get_session(app_name: str = "regiscope", master: str | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the operators assume, on any session."""
+    """Apply the runtime SQL settings the operators assume, on any session,
+    and make the package importable by the Python workers."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, BASE_CONF[k])
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application
+    (``SparkContext.addPyFile``), as ``spark-submit --py-files`` would.
+
+    The Python steps that run inside tasks (tree growing, forest scoring)
+    refer to functions of this package, so every worker must be able to
+    import it. The zip is built on the driver and served by Spark itself.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="regiscope-pyfiles-"), "regiscope.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
