@@ -590,3 +590,10 @@ def q50(spark, sf_dir):
     Isolation Forest (midpoint fill, population-sd scaling, 15 % cut)."""
     from . import layers as L
     return L.final(gold_frame(spark, sf_dir))
+
+
+@register("q51_map_layer")
+def q51(spark, sf_dir):
+    """P25 + P26: map fill colour per cluster label (default for none) and
+    NULL-safe rounded tooltip fields over the Gold final table."""
+    return SV.map_layer(gold_final(spark, sf_dir))

@@ -394,3 +394,11 @@ UNION ALL SELECT 'orders_positive', (SELECT count(*) FROM orders),
   (SELECT count(*) FROM orders WHERE o_totalprice > 0)"""
 SQL["q48_iso_timestamp"] = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate_iso FROM orders"""
 SQL["q49_json_export"] = gold_sql()
+
+SQL["q51_map_layer"] = _GF + """SELECT kabupaten_kota,
+  COALESCE(CASE cluster_label WHEN 'Risiko Rendah' THEN '#2ecc71' WHEN 'Risiko Sedang' THEN '#f39c12'
+                WHEN 'Risiko Tinggi' THEN '#e74c3c' END, 'lightgrey') AS fill_color,
+  round(nutrition_risk_score, 4) AS tooltip_nrs, round(nutrition_coverage_index, 4) AS tooltip_nci,
+  round(prevalensi_stunting_pct, 2) AS tooltip_prevalence, priority_rank, cluster_label,
+  CASE WHEN is_anomaly THEN 'Ya' WHEN NOT is_anomaly THEN 'Tidak' END AS tooltip_anomaly
+FROM final"""

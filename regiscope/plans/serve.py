@@ -64,3 +64,22 @@ def display(final: DataFrame) -> DataFrame:
 def ranked_regions(final: DataFrame) -> DataFrame:
     """The region list in priority order (ordering at the reading edge)."""
     return final.orderBy("priority_rank", KEY)
+
+
+# Cluster colours of the map and the colour for unlabelled regions.
+CLUSTER_COLORS = {"Risiko Rendah": "#2ecc71", "Risiko Sedang": "#f39c12", "Risiko Tinggi": "#e74c3c"}
+NO_LABEL_COLOR = "lightgrey"
+
+
+def map_layer(final: DataFrame) -> DataFrame:
+    """P25 + P26: per-region fill colour (lookup with default) and the
+    tooltip fields, rounded for display (NULL stays NULL)."""
+    from ..functions.format import lookup, round_or_null
+    return final.select(
+        KEY,
+        lookup("cluster_label", CLUSTER_COLORS, NO_LABEL_COLOR).alias("fill_color"),
+        round_or_null(NRS, 4).alias("tooltip_nrs"),
+        round_or_null(NCI, 4).alias("tooltip_nci"),
+        round_or_null("prevalensi_stunting_pct", 2).alias("tooltip_prevalence"),
+        "priority_rank", "cluster_label",
+        yes_no("is_anomaly").alias("tooltip_anomaly"))

@@ -23,7 +23,7 @@ def test_entry_runs(spark):
 
 def test_registry_and_oracle_keys():
     q, o = E.queries(), E.oracle_sql()
-    assert len(q) >= 49
+    assert len(q) >= 51
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
 

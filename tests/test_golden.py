@@ -173,3 +173,15 @@ def test_final_guards_empty_and_single_region(spark, bronze):
     one = L.final(g.where(F.col("kabupaten_kota") == "JAKARTA BARAT")).collect()
     assert len(one) == 1 and one[0].cluster_label == "Risiko Rendah" and one[0].cluster_id == 0
     assert one[0].is_anomaly is False
+
+
+def test_map_layer_colours(spark):
+    from regiscope.plans import serve as SV
+    df = spark.createDataFrame([("A", "Risiko Tinggi", 0.91714, None, 0.351, 1, True),
+                                ("B", None, None, 0.2, None, 2, False)],
+                               "kabupaten_kota string, cluster_label string, nutrition_risk_score double, "
+                               "nutrition_coverage_index double, prevalensi_stunting_pct double, "
+                               "priority_rank int, is_anomaly boolean")
+    rows = {r.kabupaten_kota: r for r in SV.map_layer(df).collect()}
+    assert rows["A"].fill_color == "#e74c3c" and rows["A"].tooltip_nrs == 0.9171 and rows["A"].tooltip_nci is None
+    assert rows["B"].fill_color == "lightgrey" and rows["B"].tooltip_nrs is None and rows["B"].tooltip_anomaly == "Tidak"
