@@ -83,3 +83,10 @@ def map_layer(final: DataFrame) -> DataFrame:
         round_or_null("prevalensi_stunting_pct", 2).alias("tooltip_prevalence"),
         "priority_rank", "cluster_label",
         yes_no("is_anomaly").alias("tooltip_anomaly"))
+
+
+def anomaly_listing(final: DataFrame) -> DataFrame:
+    """Regions from most to least anomalous (ascending score), ordered at
+    the reading edge."""
+    return final.select(KEY, "anomaly_score", "is_anomaly").orderBy(
+        F.col("anomaly_score").asc_nulls_last(), KEY)

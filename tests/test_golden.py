@@ -147,6 +147,9 @@ def test_whole_job_from_csv_files(spark):
     assert hl == {"highest_risk": ("KEPULAUAN SERIBU", 0.9171), "best_coverage": ("JAKARTA PUSAT", 0.6324)}
     ins = [r.body for r in SV.insights(res["final"]).collect()]
     assert ins[0] == "KEPULAUAN SERIBU memiliki Nutrition Risk Score tertinggi (0.9171)" and ins[1] == "JAKARTA PUSAT"
+    listing = SV.anomaly_listing(res["final"]).collect()
+    assert listing[0].kabupaten_kota == "KEPULAUAN SERIBU"
+    assert [r.anomaly_score for r in listing] == sorted(r.anomaly_score for r in listing)
     disp = {r.kabupaten_kota: r for r in SV.display(res["final"]).collect()}
     assert disp["KEPULAUAN SERIBU"].rank_tier == "1" and disp["JAKARTA UTARA"].rank_tier == "top"
     assert disp["JAKARTA PUSAT"].coverage_pct == 63 and disp["KEPULAUAN SERIBU"].anomaly_label == "Ya"
