@@ -55,9 +55,10 @@ def summary(df: DataFrame, mean_col: str, sum_cols: Sequence[str], flag_col: str
 
 def arg_max(df: DataFrame, score: str, tiebreak: str, cols: Sequence[str] | None = None,
             group_by: Sequence[str] = ()) -> DataFrame:
-    """The row with the greatest ``score`` (ties -> smallest
-    ``tiebreak``), optionally per group. ``max_by`` aggregates partially, so
-    this never collects a group into one task."""
+    """The row with the greatest ``score``, optionally per group.
+    Ties go to the smallest numeric ``tiebreak`` or, for a string tiebreak,
+    the greatest one (deterministic either way). ``max_by`` aggregates
+    partially, so this never collects a group into one task."""
     cols = list(cols or df.columns)
     # Among equal scores prefer the smallest tiebreak value: compare on the
     # negated tiebreak when it is numeric, else on the key itself (largest).
