@@ -41,10 +41,16 @@ def kafka_stream(spark: SparkSession, bootstrap: str, topics: list[str]) -> Data
             .select(F.col("key").cast("string"), F.col("value").cast("string"), "topic"))
 
 
+CORRUPT_COL = "_corrupt_record"
+
+
 def bronze_frame(messages: DataFrame, schema: T.StructType, batch_id: str,
                  ingested_at: str | None = None, source: str = "csv_fallback") -> DataFrame:
-    """Decode + metadata + sanitise; works on batch and streaming frames."""
-    rows = decode(messages, schema, corrupt_col=None)
+    """Decode + metadata + sanitise; works on batch and streaming frames.
+    A message that is not valid JSON is kept, its raw text in
+    ``_corrupt_record`` (NULL for good messages), instead of failing the
+    stream."""
+    rows = decode(messages, schema, corrupt_col=CORRUPT_COL)
     rows = with_ingest_metadata(rows, batch_id, ingested_at, source)
     return sanitize(rows)
 

@@ -55,6 +55,7 @@ def test_stream_ingest_is_bounded_and_replay_safe(spark):
     rows = [(str(i), json.dumps({"wilayah": f"R{i % 3}", "jumlah": str(i), "ratio": 1.5}), "gizi-raw")
             for i in range(40)]
     rows.append(("40", '{"wilayah": "R0", "jumlah": "1", "ratio": NaN}', "gizi-raw"))
+    rows.append(("41", '{"wilayah": "R1", "jumlah": ', "gizi-raw"))  # truncated message
     msgs = spark.createDataFrame(rows, "key string, value string, topic string")
     topics = scratch_path(spark, "t-topics")
     MSG.write_messages(msgs, topics)
@@ -62,9 +63,11 @@ def test_stream_ingest_is_bounded_and_replay_safe(spark):
     ckpt = scratch_path(spark, "t-ckpt")
     ING.ingest(spark, topics, bronze, ckpt, SCHEMA, "20250101_000000", "2025-01-01T00:00:00")
     first = spark.read.parquet(bronze)
-    assert first.count() == 41
-    assert first.where(F.col("ratio").isNull()).count() == 1  # NaN sanitised
+    assert first.count() == 42
+    bad = first.where(F.col("_corrupt_record").isNotNull()).collect()
+    assert len(bad) == 1 and bad[0]._corrupt_record.startswith('{"wilayah": "R1"')
+    assert first.where(F.col("ratio").isNull() & F.col("_corrupt_record").isNull()).count() == 1  # NaN sanitised
     assert {r.ingested_batch for r in first.select("ingested_batch").distinct().collect()} == {"20250101_000000"}
     # same checkpoint: nothing new to read, nothing duplicated
     ING.ingest(spark, topics, bronze, ckpt, SCHEMA, "20250101_000000", "2025-01-01T00:00:00")
-    assert spark.read.parquet(bronze).count() == 41
+    assert spark.read.parquet(bronze).count() == 42
