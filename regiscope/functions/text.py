@@ -4,8 +4,6 @@ expressions (no Python UDF), so they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
-import re
-
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import count_value, lenient_cast, scale_to_int
-from ..functions.text import normalize, recode, standardize
+from ..functions.text import recode, standardize
 from ..operators.aggregate import pivot_sum
 from ..operators.clean import dedupe_latest, drop_sentinels, keep_in, keep_non_negative, keep_positive
 from . import gold as G

@@ -8,7 +8,6 @@ result type (BIGINT / INTEGER).
 
 from __future__ import annotations
 
-import re
 
 # --- Gold over the test tables -------------------------------------------
 
