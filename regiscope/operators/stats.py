@@ -173,10 +173,13 @@ def _assign_buckets(d: DataFrame, g: list[str], rows: list, descending: bool) ->
         parts = []
         for r in rows:
             cuts = sorted({float(x) for x in (r["__cuts"] or []) if x is not None})
-            splits = [float("-inf")] + cuts + [float("inf")]
             part = d
             for c in g:
                 part = part.where(F.col(c) == F.lit(r[c]))
+            if not cuts:  # no cut points (empty input): one bucket
+                parts.append(part.withColumn("__b", F.lit(0)))
+                continue
+            splits = [float("-inf")] + cuts + [float("inf")]
             part = part.withColumn("__vd", F.col("v").cast("double"))
             b = Bucketizer(splits=splits, inputCol="__vd", outputCol="__bd", handleInvalid="keep").transform(part)
             parts.append(b.withColumn("__b", (F.col("__bd") * sign).cast("int")).drop("__vd", "__bd"))

@@ -204,3 +204,10 @@ def test_hot_score_rows_spread_over_tasks(spark):
         assert [r.rk for r in hot] == [9997]  # 1 + number of odd ids above 7
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
+def test_rank_all_null_and_empty(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "id int, s double")
+    assert {r.rk for r in RK.rank(df, "s", out="rk").collect()} == {1}
+    empty = spark.createDataFrame([], "id int, s double")
+    assert RK.rank(empty, "s", out="rk").count() == 0
