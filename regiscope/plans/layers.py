@@ -182,7 +182,11 @@ def publish(spark, csv_dir: str, topic_path: str, ingested_at: str) -> dict[str,
 
 
 def bronze_tables(spark, bronze_path: str) -> dict[str, DataFrame]:
-    """Bronze read back per dataset with its declared schema."""
+    """Bronze read back per dataset with its declared schema (S11); typed
+    empty frames when nothing has been ingested yet (S19)."""
+    from ..session import path_exists
+    if not path_exists(spark, bronze_path):
+        return {spec.name: spark.createDataFrame([], spec.schema()) for spec in DATASETS}
     b = spark.read.parquet(bronze_path)
     return {spec.name: b.where(F.col("topic") == spec.topic).select(*spec.columns, *META) for spec in DATASETS}
 

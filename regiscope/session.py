@@ -138,3 +138,12 @@ def spread(df):
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of ``path`` (works for
+    file:, hdfs:, s3a: ... alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))

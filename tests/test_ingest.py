@@ -71,3 +71,14 @@ def test_stream_ingest_is_bounded_and_replay_safe(spark):
     # same checkpoint: nothing new to read, nothing duplicated
     ING.ingest(spark, topics, bronze, ckpt, SCHEMA, "20250101_000000", "2025-01-01T00:00:00")
     assert spark.read.parquet(bronze).count() == 42
+
+
+def test_missing_topic_folder_is_an_empty_run(spark):
+    from regiscope.plans import layers as L
+    bronze = scratch_path(spark, "none-bronze")
+    assert ING.ingest(spark, scratch_path(spark, "never-published"), bronze, scratch_path(spark, "none-ckpt"),
+                      SCHEMA, "B1", "T") == {}
+    tables = L.bronze_tables(spark, bronze)
+    assert set(tables) == {"gizi", "faskes", "nakes", "populasi"}
+    assert all(t.count() == 0 for t in tables.values())
+    assert "ingested_batch" in tables["gizi"].columns
