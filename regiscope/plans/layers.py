@@ -207,12 +207,18 @@ def ingest_all(spark, topic_path: str, bronze_path: str, checkpoint: str, batch_
     return bronze_tables(spark, bronze_path)
 
 
-def write_silver(s: dict[str, DataFrame], base: str) -> None:
-    """Silver tables partitioned by ingestion batch (low cardinality),
-    not by region."""
+def write_silver(s: dict[str, DataFrame], base: str) -> dict[str, int]:
+    """S12 + A4: Silver tables partitioned by ingestion batch (low
+    cardinality), not by region; returns the rows written per table,
+    observed during the write (no second scan)."""
+    from ..operators.audit import observed, rows_of
     from ..sources.tables import write_table
+    counts = {}
     for name, df in s.items():
-        write_table(df, f"{base}/{name}", ["ingested_batch"] if "ingested_batch" in df.columns else [])
+        obs_df, obs = observed(df, f"silver_{name}")
+        write_table(obs_df, f"{base}/{name}", ["ingested_batch"] if "ingested_batch" in df.columns else [])
+        counts[name] = rows_of(obs)
+    return counts
 
 
 def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
@@ -270,10 +276,11 @@ def run(spark, csv_dir: str, out_base: str, batch_id: str, ingested_at: str,
     counts = publish(spark, csv_dir, f"{out_base}/topics", ingested_at)
     bronze = ingest_all(spark, f"{out_base}/topics", f"{out_base}/bronze", f"{out_base}/_ingest_ckpt", batch_id)
     s = silver(bronze)
-    write_silver(s, f"{out_base}/silver")
+    silver_rows = write_silver(s, f"{out_base}/silver")
     g = gold_from_silver(s, as_of=as_of if as_of is not None else F.current_timestamp())
     g.write.mode("overwrite").parquet(f"{out_base}/gold/wilayah_risk_score")
     fin = final(spark.read.parquet(f"{out_base}/gold/wilayah_risk_score"))
     fin.write.mode("overwrite").parquet(f"{out_base}/gold/wilayah_final")
     fin.write.mode("overwrite").json(f"{out_base}/export/wilayah_final_json")
-    return {"messages": counts, "final": spark.read.parquet(f"{out_base}/gold/wilayah_final")}
+    return {"messages": counts, "silver_rows": silver_rows,
+            "final": spark.read.parquet(f"{out_base}/gold/wilayah_final")}

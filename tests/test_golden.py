@@ -125,6 +125,9 @@ def test_whole_job_from_csv_files(spark):
     res = L.run(spark, FIXTURES, base, "20250101_000000", "2025-01-01T00:00:00",
                 as_of=F.lit("2025-01-01 00:00:00").cast("timestamp"))
     assert res["messages"] == {"gizi-raw": 53, "faskes-raw": 7, "nakes-raw": 30, "populasi-raw": 11}
+    # 48 + WASTING; duplicate, negative, non-numeric and unknown category dropped
+    assert res["silver_rows"] == {"gizi_kecamatan_clean": 49, "gizi_agregat": 6, "faskes_clean": 6,
+                                  "nakes_kecamatan_clean": 30, "nakes_agregat": 6, "populasi_clean": 6}
     fin = {r.kabupaten_kota: r for r in res["final"].collect()}
     assert len(fin) == 6 and len(res["final"].columns) == 23
     for k, g in GOLDEN.items():
