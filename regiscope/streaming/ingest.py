@@ -57,14 +57,16 @@ def bronze_frame(messages: DataFrame, schema: T.StructType, batch_id: str,
 
 def ingest(spark: SparkSession, topic_path: str, bronze_path: str, checkpoint: str,
            schema: T.StructType, batch_id: str, ingested_at: str | None = None,
-           topics: list[str] | None = None, timeout_s: int = 600) -> dict:
+           topics: list[str] | None = None, timeout_s: int = 600,
+           max_files_per_trigger: int | None = None) -> dict:
     """Run the bounded stream to completion; returns rows read per micro-batch.
     A topic folder that does not exist yet (nothing published) is an empty
     run, not an error."""
     from ..session import path_exists
     if not path_exists(spark, topic_path):
         return {}
-    stream = bronze_frame(message_stream(spark, topic_path, topics), schema, batch_id, ingested_at)
+    stream = bronze_frame(message_stream(spark, topic_path, topics, max_files_per_trigger),
+                          schema, batch_id, ingested_at)
     written: dict[str, int] = {}
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:

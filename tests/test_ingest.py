@@ -82,3 +82,19 @@ def test_missing_topic_folder_is_an_empty_run(spark):
     assert set(tables) == {"gizi", "faskes", "nakes", "populasi"}
     assert all(t.count() == 0 for t in tables.values())
     assert "ingested_batch" in tables["gizi"].columns
+
+
+def test_stream_ingest_over_several_micro_batches(spark):
+    """availableNow with one file per trigger: several epochs in one run;
+    each epoch owns its Bronze partition, so none overwrites another."""
+    rows = [(str(i), json.dumps({"wilayah": f"R{i % 5}", "jumlah": str(i)}), "gizi-raw") for i in range(100)]
+    msgs = spark.createDataFrame(rows, "key string, value string, topic string").repartition(4)
+    topics = scratch_path(spark, "mb-topics")
+    MSG.write_messages(msgs, topics)
+    bronze = scratch_path(spark, "mb-bronze")
+    progress = ING.ingest(spark, topics, bronze, scratch_path(spark, "mb-ckpt"), SCHEMA, "B1", "T",
+                          max_files_per_trigger=1)
+    assert len(progress) >= 2 and sum(progress.values()) == 100
+    b = spark.read.parquet(bronze)
+    assert b.count() == 100 and b.select("epoch").distinct().count() == len(progress)
+    assert sorted(int(r.jumlah) for r in b.collect()) == list(range(100))
