@@ -58,7 +58,7 @@ def bronze_frame(messages: DataFrame, schema: T.StructType, batch_id: str,
 def ingest(spark: SparkSession, topic_path: str, bronze_path: str, checkpoint: str,
            schema: T.StructType, batch_id: str, ingested_at: str | None = None,
            topics: list[str] | None = None, timeout_s: int = 600,
-           max_files_per_trigger: int | None = None) -> dict:
+           max_files_per_trigger: int | None = None, after_write=None) -> dict:
     """Run the bounded stream to completion; returns rows read per micro-batch.
     A topic folder that does not exist yet (nothing published) is an empty
     run, not an error."""
@@ -76,6 +76,8 @@ def ingest(spark: SparkSession, topic_path: str, bronze_path: str, checkpoint: s
          .write.mode("overwrite").option("compression", "snappy")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("topic", "ingested_batch", "epoch").parquet(bronze_path))
+        if after_write is not None:  # hook (e.g. to inject a failure after the write)
+            after_write(epoch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
