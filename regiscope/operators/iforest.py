@@ -144,7 +144,9 @@ def fit(df: DataFrame, features: Sequence[str], key: Sequence[str], n_trees: int
     f_names = feats
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("u", kind="mergesort").head(psi)
+        # total order (hash, then features): a retried task rebuilds the
+        # same tree whatever order the shuffle delivered the rows in
+        pdf = pdf.sort_values(["u", *f_names], kind="mergesort").head(psi)
         t = int(pdf["tree"].iloc[0])
         x = pdf[f_names].to_numpy(dtype=float)
         rows = grow_tree(x, t, height, seed)
