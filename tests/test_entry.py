@@ -42,9 +42,11 @@ def duck():
     return con
 
 
-SAMPLE = ["q01_standardize_map", "q06_dedupe_key", "q08_pivot_sum", "q18_gold_region_scores",
-          "q20_global_rank", "q21_median_low_fill", "q28_silhouette_fixed", "q33_contamination_sweep",
-          "q39_name_canonical", "q40_field_detect", "q44_json_roundtrip"]
+SAMPLE = ["q01_standardize_map", "q05_placeholder_fill", "q06_dedupe_key", "q08_pivot_sum",
+          "q13_minmax", "q17_priority_rank", "q18_gold_region_scores", "q20_global_rank",
+          "q21_median_low_fill", "q22_median_mid_fill", "q28_silhouette_fixed", "q32_quantile_flag",
+          "q33_contamination_sweep", "q34_gold_final", "q39_name_canonical", "q40_field_detect",
+          "q43_stream_ingest", "q44_json_roundtrip", "q47_stage_counts", "q51_map_layer"]
 
 
 @pytest.mark.parametrize("name", SAMPLE)
