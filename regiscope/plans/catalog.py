@@ -593,7 +593,8 @@ def q50(spark, sf_dir):
     fill, sample-sd scaling, labels by mean NRS) and the distributed
     Isolation Forest (midpoint fill, population-sd scaling, 15 % cut)."""
     from . import layers as L
-    return L.final(gold_frame(spark, sf_dir))
+    as_of = _t(spark, sf_dir, "orders").agg(F.max("o_orderdate").alias("last_updated"))
+    return L.final(gold_frame(spark, sf_dir).crossJoin(F.broadcast(as_of)))
 
 
 @register("q51_map_layer")

@@ -60,3 +60,19 @@ def test_matches_oracle_sf0001(spark, duck, name):
     d = sorted((tuple(_norm(x) for x in r) for r in ddf[cols].astype(object).itertuples(index=False)), key=key)
     assert len(s) == len(d)
     assert s == d
+
+
+def test_rows_only_queries_semantics(spark):
+    q = E.queries()
+    f = q["q31_isolation_forest"](spark, SF_SMALL)
+    n, flagged = f.count(), f.where("is_anomaly").count()
+    assert 0.14 <= flagged / n <= 0.16
+    assert f.where("anomaly_score >= 0 OR anomaly_score < -1").count() == 0
+    km = q["q25_kmeans_fit"](spark, SF_SMALL)
+    assert {r.cluster_label for r in km.select("cluster_label").distinct().collect()} == \
+        {"Risiko Rendah", "Risiko Sedang", "Risiko Tinggi"}
+    sweep = sorted(q["q30_k_sweep"](spark, SF_SMALL).collect())
+    assert [r.k for r in sweep] == [2, 3, 4, 5]
+    assert all(a.wsse >= b.wsse - 1e-9 for a, b in zip(sweep, sweep[1:]))
+    fin = q["q50_gold_final_models"](spark, SF_SMALL)
+    assert len(fin.columns) == 23 and fin.count() == q["q18_gold_region_scores"](spark, SF_SMALL).count()
