@@ -93,8 +93,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` always wins. Only when it is unset
-    (tests, a laptop) a private folder is created and registered.
+    The cluster's ``spark.checkpoint.dir`` always wins. Only a ``local``
+    master without it (tests, a laptop) gets a private folder; on a cluster
+    that would be a different folder on every machine, so it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -104,6 +105,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="regiscope-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
