@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import store
 
-BUCKETS = 64
-
 
 def digest(text_col: str = "text"):
     """Lowercase hex SHA-256 of the text's UTF-8 bytes, NULL as empty."""
@@ -28,12 +26,14 @@ class DigestIndex:
     """``text_sha256 -> keep_id`` for every distinct text seen so far.
 
     ``path`` defaults to a fresh folder below the shared checkpoint folder;
-    give the path of an earlier index (and its ``buckets``) to go on with it.
+    give the path of an earlier index and its ``buckets`` to go on with it. A
+    new one has as many buckets as the session has shuffle partitions.
     """
 
     def __init__(self, spark: SparkSession, id_type: str = "bigint", path: str | None = None,
-                 buckets: int = BUCKETS):
-        self.spark, self.buckets, self.id_type = spark, buckets, id_type
+                 buckets: int | None = None):
+        self.spark, self.id_type = spark, id_type
+        self.buckets = buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.path = path or scratch_path(spark, "digest-index")
         self.table = f"digest_index_{uuid.uuid4().hex[:12]}"
         spark.sql(f"CREATE TABLE {self.table} (text_sha256 STRING, keep_id {id_type}) USING parquet "
