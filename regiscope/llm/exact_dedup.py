@@ -48,7 +48,8 @@ class DigestIndex:
     def add(self, digests: DataFrame, id_col: str = "doc_id") -> None:
         """Append the digests of a batch that the index lacks; of equal texts
         in the batch the row with the greatest id stays."""
-        new = digests.groupBy("text_sha256").agg(F.max(id_col).alias("keep_id"))
+        # stored: else the anti-join is planned below this aggregate, on every row
+        new = store(digests.groupBy("text_sha256").agg(F.max(id_col).alias("keep_id")), "digest-batch")
         fresh = new.join(self.read().select("text_sha256").hint("merge"), "text_sha256", "left_anti")
         # the stored rows are read back: the table is not written while it is read
         fresh = store(fresh, "digest-new")

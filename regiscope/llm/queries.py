@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import decontam, exact_dedup, langid, minhash, packing, tokens
+from . import decontam, exact_dedup, langid, licenses, minhash, packing, secret_scan, tokens, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,6 +43,83 @@ def op1(spark, table):
         "doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+#: From this probability on a document counts as toxic.
+TOXIC_FROM = 0.5
+
+
+@register("op2_toxicity")
+def op2(spark, table):
+    """Chain low quality -> toxic, learned from ``labels``, on every document."""
+    docs = table("documents")
+    labels = table("labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    chain = toxicity.fit(docs, labels, ["low_quality", "toxic"])
+    return toxicity.predict(docs, chain).select(
+        "doc_id", (F.col("p_toxic") >= TOXIC_FROM).alias("toxic"), F.col("p_toxic").alias("score"), "p_low_quality", "p_toxic")
+
+
+#: (host, path, verdict)
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+# The canonical form of a URL (url_filter.canonical), for DuckDB.
+_NODE = r"""
+CASE WHEN contains({u}, '://') THEN
+ regexp_replace(translate(regexp_extract({u}, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ':(80|443)$', '')
+ || regexp_replace(regexp_extract({u}, '://[^/?#]*([^?#]*)', 1), '/+$', '')
+ || CASE WHEN {q} <> '' THEN '?' || {q} ELSE '' END END"""
+_QUERY = (r"regexp_replace(regexp_replace(regexp_extract({u}, '://[^?#]*\?([^#]*)', 1), "
+          r"'(^|&)(utm_[a-z]+|gclid|fbclid)=[^&]*', '', 'g'), '^&', '')").replace("\\\\", "\\")
+
+
+def _node(u: str) -> str:
+    return _NODE.format(u=u, q=_QUERY.format(u=u))
+
+
+URL_SQL = r"""
+WITH RECURSIVE rules(host, path, verdict) AS (VALUES %s),
+page AS (SELECT page_id, url, html FROM pages),
+tag AS (SELECT url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\b[^>]*>')) AS t FROM page),
+href AS (SELECT url, CASE
+   WHEN regexp_matches(t, '(?i)^<link') AND regexp_matches(t, '(?i)\brel\s*=\s*["'']?canonical\b')
+     THEN regexp_extract(t, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+   WHEN regexp_matches(t, '(?i)^<meta') AND regexp_matches(t, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')
+     THEN regexp_extract(t, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1) END AS h FROM tag WHERE contains(url, '://')),
+link AS (SELECT url, CASE WHEN contains(h, '://') THEN h
+   WHEN starts_with(h, '//') THEN regexp_extract(url, '^(.*?)://', 1) || ':' || h
+   WHEN starts_with(h, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1) || h
+   ELSE regexp_extract(url, '^(.*?://[^/?#]*)', 1)
+     || coalesce(nullif(regexp_extract(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '^(.*/)', 1), ''), '/') || h
+   END AS target FROM href WHERE h <> ''),
+urls AS (SELECT url FROM page WHERE url IS NOT NULL UNION SELECT target FROM link),
+split AS (SELECT url, CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '://([^/?#]*)', 1),
+     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+   CASE WHEN contains(url, '://') THEN regexp_extract(url, '://[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM urls),
+best AS (SELECT url, max(row(length(r.host || r.path), r.verdict = 'allow', r.host || r.path, r.verdict)) AS b
+   FROM split s JOIN rules r ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
+   GROUP BY url),
+fits AS (SELECT s.url, s.host, s.path, b[3] AS rule, b[4] AS verdict, %s AS node
+   FROM split s LEFT JOIN best USING (url)),
+edge AS (SELECT %s AS a, %s AS b FROM link),
+both_ways AS (SELECT a, b FROM edge WHERE a IS NOT NULL AND b IS NOT NULL
+   UNION SELECT b, a FROM edge WHERE a IS NOT NULL AND b IS NOT NULL),
+reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+comp AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a),
+nodes AS (SELECT f.*, coalesce(component, node) AS alias_of FROM fits f LEFT JOIN comp USING (node)),
+blocked AS (SELECT DISTINCT alias_of FROM nodes WHERE verdict = 'block' AND alias_of IS NOT NULL)
+SELECT p.page_id, coalesce(n.host, '') AS host, coalesce(n.path, '') AS path, n.rule,
+  coalesce(n.verdict, CASE WHEN b.alias_of IS NOT NULL THEN 'block' END, 'allow') AS verdict,
+  CASE WHEN n.rule IS NOT NULL THEN 'rule' WHEN b.alias_of IS NOT NULL THEN 'alias' ELSE 'default' END AS reason,
+  n.alias_of
+FROM page p LEFT JOIN nodes n USING (url) LEFT JOIN blocked b ON b.alias_of = n.alias_of
+""" % (", ".join(map(repr, URL_RULES)), _node("s.url"), _node("url"), _node("target"))
+
+
+@register("op3_url_filter", URL_SQL)
+def op3(spark, table):
+    """Verdict on every page's URL by rules and redirect equivalence."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table("pages"), rules)
+
+
 @register("op4_token_counts")
 def op4(spark, table):
     """Tokens of every document."""
@@ -79,3 +156,15 @@ def op10(spark, table):
     pairs = decontam.contamination(table("documents"), table("benchmark"))
     return pairs.where("contaminated").select(
         "doc_id", "item_id", "item_tokens", "covered", "coverage", F.size("tiles").alias("n_tiles"), "contaminated")
+
+
+@register("op7_secret_scan")
+def op7(spark, table):
+    """Secrets in every document, false positives removed."""
+    return secret_scan.scan(table("documents"))
+
+
+@register("op9_license_scan")
+def op9(spark, table):
+    """License notices in every document."""
+    return licenses.scan(table("documents"))
