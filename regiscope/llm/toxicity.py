@@ -152,7 +152,7 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, cate
         if total > max_features:
             break
         last = o
-    return got.where(F.col("__o") <= last).orderBy("__o", "n", *names).collect() if last is not None else []
+    return got.where(F.col("__o") <= (last if last is not None else F.lit(None))).orderBy("__o", "n", *names).toArrow()
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: str = "doc_id",
@@ -166,21 +166,23 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: s
     by ``max_rows`` and ``max_features``."""
     import numpy as np
     rows = _sample(docs, labels, id_col, text_col, categories, max_rows, max_features)
-    sizes = np.array([r["n"] for r in rows], np.int64)
-    flat = np.array([x for r in rows for x in r["f"]], np.uint32)
+    sizes = np.array(rows["n"], np.int64)
+    flat = np.array(rows["f"].combine_chunks().flatten(), np.int64).astype(np.uint32)
     words, index, count = np.unique(flat, return_inverse=True, return_counts=True)
     often = count >= MIN_DOCS
-    owner = np.repeat(np.arange(len(rows)), sizes)[often[index]]
+    n = len(sizes)
+    owner = np.repeat(np.arange(n), sizes)[often[index]]
     index = (np.cumsum(often) - 1)[index[often[index]]]
     words = words[often]
-    start = np.searchsorted(owner, np.arange(len(rows) + 1))
-    fold = np.arange(len(rows)) % folds
-    earlier = np.array([r["s"] for r in rows], np.float64).reshape(len(rows), STATISTICS)
+    start = np.searchsorted(owner, np.arange(n + 1))
+    fold = np.arange(n) % folds
+    earlier = np.array(rows["s"].combine_chunks().flatten(), np.float64).reshape(n, STATISTICS)
     models = []
     for c in range(len(categories)):
-        y = np.array([r[f"__c{c}"] or 0 for r in rows], np.float64)
-        known = np.array([r[f"__c{c}"] is not None for r in rows], bool)
-        out = np.zeros(len(rows))
+        label = rows[f"__c{c}"]
+        y = np.array(label.fill_null(0), np.float64)
+        known = ~np.array(label.is_null(), bool)
+        out = np.zeros(n)
         for f in range(folds):
             part = Linear(index, start, earlier, y, known & (fold != f), len(words))
             out[fold == f] = part.predict(index, start, earlier)[fold == f]
