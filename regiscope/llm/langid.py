@@ -138,12 +138,14 @@ def score_texts(model: dict, texts: list[str | None]) -> tuple[list[str], list[f
 def predict(df: DataFrame, model: dict, text_col: str = "text", keep: list[str] | None = None,
             lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
     """The columns ``keep`` of every row (all when None) with ``lang_out`` and
-    ``score_out`` (posterior probability, 0 to 1).
+    ``score_out`` (posterior probability, 0 to 1), which replace input columns
+    of these names.
 
     The whole text is read. A NULL text or one without a letter is ``und`` with
     score 0, and so is every text when the model knows no language. Repeated
     rows are predicted each; an empty table gives no rows."""
-    keep = df.columns if keep is None else keep
+    keep = [c for c in df.columns if keep is None or c in keep]
+    keep = [c for c in keep if c not in (lang_out, score_out)]
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)  # at most BUCKETS x MAX_LANGUAGES numbers
     schema = T.StructType([df.schema[c] for c in keep]

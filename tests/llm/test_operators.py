@@ -1,0 +1,350 @@
+"""The operators on small fixtures: brute force, library and edge cases."""
+
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from regiscope.llm import (components, decontam, exact_dedup, langid, licenses, minhash, packing, queries, secret_scan,
+                           tokens, toxicity, url_filter)
+
+from ..conftest import SF_SMALL
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, kept boolean"
+WORDS = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta", "iota", "kappa", "lambda", "mu"]
+
+
+def odd_rows():
+    """NULLs in every column, empty, very long, tied and repeated rows, and
+    extra columns with names the operators use themselves."""
+    long = " ".join(f"w{i % 977}" for i in range(60_000))
+    rows = [(1, None, "en"), (2, "", None), (3, long, "en"), (None, "a null id", "en"), (4, "same text here", "fr"),
+            (5, "same text here", "fr"), (5, "same text here", "fr"), (6, " \n\t ", "de"), (7, "12 34", None),
+            (None, None, None), (8, "x" * 300_000, "de")]
+    return [(i, t, g, None, None, 0.0, None) for i, t, g in rows]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(odd_rows(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+
+
+def test_components_match_union_find(spark):
+    rnd = random.Random(1)
+    edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(20)] + [
+        (200, 300 + i) for i in range(30)] + [(7, 7), (999, 999)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = components.connected_components(spark.createDataFrame([*edges, (None, 1)], "src long, dst long")).collect()
+    assert {r.node: r.component for r in got} == {x: find(x) for x in root} and len(got) == len(root)
+    assert components.connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_op1_held_out_accuracy_and_edges(spark, docs, odd, none):
+    got = queries.QUERIES["op1_language_id"](spark, SF_SMALL)
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"] and got.count() == docs.count()
+    held = got.join(docs, "doc_id").where("held_out and text is not null")
+    assert held.where("lang = lang_pred").count() / held.count() > 0.95
+    assert got.where("score < 0 or score > 1").count() == 0
+    for r in docs.select("doc_id", langid.held_out().alias("h")).collect():
+        assert r.h == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+    model = langid.fit(odd)
+    out = {(r.doc_id, r.text): r.lang_pred for r in langid.predict(odd, model).collect()}
+    assert out[(1, None)] == out[(2, "")] == out[(7, "12 34")] == "und" and out[(5, "same text here")] == "fr"
+    assert langid.predict(odd, model).count() == len(odd_rows())
+    empty = langid.fit(none)
+    assert empty["langs"] == [] and {r.lang_pred for r in langid.predict(odd, empty).collect()} == {"und"}
+    assert langid.predict(none, model).count() == 0
+
+
+def test_op1_scores_equal_plain_sums(docs, monkeypatch):
+    model = langid.fit(docs)
+    texts = [r.text for r in docs.limit(20).collect()] + ["é", "ab", "Straße 12"]
+    whole = langid.score_texts(model, texts)
+    assert whole == tuple(map(list, zip(*[(a[0], b[0]) for a, b in (langid.score_texts(model, [t]) for t in texts)])))
+    monkeypatch.setattr(langid, "_PIECE", 50)  # long texts in overlapping pieces
+    assert langid.score_texts(model, texts) == whole
+
+
+def test_op2_learns_toxic_words(spark, none):
+    rnd = random.Random(5)
+    rows, flags = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        words = [rnd.choice(WORDS) for _ in range(30)] + (["idiot", "scum"] if bad else [])
+        rnd.shuffle(words)
+        rows.append((i, " ".join(words)))
+        flags.append((i, int(i % 8 == 0) if i % 5 else None, int(bad)))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    y = spark.createDataFrame(flags, "doc_id long, severe int, toxic int")
+    chain = toxicity.fit(d.where("doc_id < 200"), y, ["severe", "toxic"])
+    got = {r.doc_id: r for r in toxicity.predict(d.where("doc_id >= 200"), chain).collect()}
+    assert all((got[i].p_toxic >= 0.5) == (i % 4 == 0) for i in range(200, 400))
+    assert len(chain["models"][1].dense) == len(chain["models"][0].dense) + 1  # the earlier probability
+    flat = toxicity.fit(none, y, ["toxic"])
+    assert toxicity.predict(none, flat).count() == 0
+    odd = spark.createDataFrame([(1, None), (None, ""), (2, "idiot")], "doc_id long, text string")
+    assert toxicity.predict(odd, flat).count() == 3 and toxicity.predict(odd, chain).count() == 3
+    assert toxicity.fit(odd, spark.createDataFrame([(1, None)], "doc_id long, toxic int"), ["toxic"])["models"]
+
+
+RULES = "host string, path string, verdict string"
+
+
+def test_op3_matches_sql_with_links(spark):
+    rows = [(1, "http://A.example.com/en/x", '<link rel="canonical" href="https://b.example.org/q">'),
+            (2, "https://b.example.org/q?utm_source=f#t", "<p>"),
+            (3, "http://z.org/a/b.html", "<META http-equiv='refresh' content='0; url=c.html'>"),
+            (4, "http://z.org/a/c.html", '<link href="//x.net/fr/1" rel=canonical>'), (5, None, None), (6, "nope", ""),
+            (7, "http://www.example.com/en/", '<link rel="canonical" href="/es/">'), (8, "http://x.net/es/", None),
+            (9, "http://x.net/es", None), (9, "http://x.net/es", None), (None, "http://X.net:80?x://y", ""),
+            (11, "http://com", ""), (12, "://net/fr/", ""), (13, "", None)]
+    pages = spark.createDataFrame([(*r, "v") for r in rows], "page_id long, url string, html string, verdict string")
+    got = url_filter.judge(pages, spark.createDataFrame(queries.URL_RULES, RULES))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(con.execute(queries.URL_SQL).fetchall(), key=str)
+    by = {(r.page_id, r.verdict, r.reason) for r in got.collect()}
+    assert {(2, "block", "alias"), (3, "block", "alias"), (7, "allow", "rule"), (9, "block", "alias")} <= by
+    logged = spark.createDataFrame([("http://com", "http://x.net/es/1")], "url string, target string")
+    rules = spark.createDataFrame(queries.URL_RULES, RULES)
+    assert url_filter.judge(pages, rules, edges=logged).where("page_id = 11").first().verdict == "block"
+    assert url_filter.judge(pages.limit(0), rules).count() == 0
+    assert url_filter.judge(pages, rules.limit(0)).where("verdict <> 'allow'").count() == 0
+
+
+TEXTS = ["<|endoftext|>", "a<|endoftext|>b x", "Hello, World's it's I'LL", "ΑΣ ΣΑΣ é é", "foo\x1cbar a b", "", "  \n",
+         "12 3½ ²", "ﬁ Å İstanbul ẞ", 'x\'y "quoted" (a) --b-- c/d #e %f&g*$', "日本語 テスト", "​﻿ a",
+         "Ünïted ª º µ ÿ × ÷", "a.b,c;d...e!!", "***x%%%"]
+
+
+def library(text):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokens.default_vocabulary())
+    return t.encode(text or "", add_special_tokens=False).ids
+
+
+def test_op4_equals_library(spark, docs, odd, none, monkeypatch):
+    d = spark.createDataFrame(list(enumerate([*TEXTS, None])), "doc_id long, text string").unionByName(
+        docs.select("doc_id", "text").limit(60))
+    want = sorted((r.doc_id, len((r.text or "").encode()), len(library(r.text)), len(library(r.text)) > 2048) for r in d.collect())
+    assert sorted(map(tuple, tokens.count_tokens(d).collect())) == want
+    enc = tokens.WordIds(tokens.default_vocabulary())
+    monkeypatch.setattr(tokens, "CHUNK_BYTES", 100)
+    for r in docs.limit(5).collect():
+        assert np.frombuffer(enc.ids([r.text])[0], "<u4").tolist() == library(r.text)
+    got = sorted(map(tuple, tokens.count_tokens(odd).collect()), key=str)
+    assert len(got) == len(odd_rows()) and (1, 0, 0, False) in got and (None, 0, 0, False) in got
+    assert tokens.count_tokens(none).count() == 0
+    import public_tokenizers
+    other = tokens.count_tokens(d, vocabulary=public_tokenizers.path("piece_bpe_32k.model"))
+    assert other.where("n_tokens > 0").count() > 60
+
+
+def test_op5_sql_index_and_edges(spark, docs, odd, none):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+    for n in (1, 2, 5):
+        got = sorted(map(tuple, exact_dedup.dedup(docs, batches=n).collect()))
+        assert got == sorted(con.execute(queries.SQL["op5_exact_dedup"]).fetchall())
+    got = {(r.doc_id, r.group_size, r.kept, r.n_rows) for r in exact_dedup.dedup(odd).collect()}
+    assert {(4, 3, False, 1), (5, 3, True, 2), (None, 3, False, 1), (2, 3, True, 1), (1, 3, False, 1)} <= got
+    assert exact_dedup.dedup(none).count() == 0
+    # the index persists: a second delivery is held against the first
+    index = exact_dedup.DigestIndex(spark, "bigint", buckets=4)
+    exact_dedup.dedup(docs, index=index)
+    again = exact_dedup.DigestIndex(spark, "bigint", path=index.path, buckets=4)
+    more = docs.limit(5).withColumn("doc_id", F.col("doc_id") + 10_000).unionByName(
+        spark.createDataFrame([(99_999, "never seen", "en", "s", 1)], docs.schema))
+    assert [r.doc_id for r in exact_dedup.dedup(more, index=again).where("kept").collect()] == [99_999]
+    plan = docs.select(exact_dedup.digest().alias("text_sha256")).join(
+        again.read().hint("merge"), "text_sha256", "left_anti")._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan
+
+
+def test_op6_round_trip(spark, docs, odd, none):
+    d = docs.select("doc_id", "text").limit(40).unionByName(odd.select("doc_id", "text").where("doc_id is not null").distinct())
+    rows = packing.pack(d, with_ids=True).collect()
+    by = {}
+    for r in rows:
+        by.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+        assert r.length & (r.length - 1) == 0 and r.length <= 2048 and r.offset == 0 and len(r.ids) == r.length == r.bucket
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    for t in d.collect():
+        want = [*library(t.text), 1]
+        got = [x for r in sorted(by[(t.doc_id, len(want))], key=lambda r: r.start) for x in r.ids]
+        assert got == want
+    assert packing.pack(none).count() == 0 and packing.pack(odd).count() > len(odd_rows())
+    assert packing.binary_lengths(2048 + 5, 2048) == [2048, 4, 1]
+
+
+def test_op7_forest_removes_false_positives(spark, none):
+    rnd = random.Random(3)
+    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    rows = []
+    for i in range(120):
+        body = [f'token = "{hexes(40)}"', f"password={hexes(18)}", "call 555-1234567 now", "card 4052817825807270",
+                "AKIA" + "".join(rnd.choice("ABCDEFGHJKMNPQRSTUVWXYZ23456789") for _ in range(16)), "version20240131 out"][i % 6]
+        rows.append((i, f"some words {body} and more", "docs/x" if i % 7 == 0 else None, i))
+    d = spark.createDataFrame([*rows, (500, None, None, 1), (501, "", "", 1), (None, "no digits", None, 1)],
+                              "doc_id long, text string, source string, position long")
+    cand = secret_scan.with_features(secret_scan.candidates(d))
+    truth = cand.withColumn("label", F.when(F.col("doc_id") % 6 < 2, 1).when(F.col("doc_id") % 6 == 4, 1).otherwise(0))
+    assert truth.where("label <> " + "int(" + "(doc_id % 6) in (0, 1, 4))").count() == 0
+    model = secret_scan.fit(truth.where("doc_id % 2 = 0 or doc_id < 60"))
+    held = {r.doc_id: r.is_secret for r in secret_scan.judge(cand.where("doc_id >= 60"), model).collect()}
+    assert all(v == (i % 6 in (0, 1, 4)) for i, v in held.items()) and len(held) == 60
+    got = secret_scan.scan(d).collect()
+    assert {r.doc_id for r in got if r.is_secret} == {i for i in range(120) if i % 6 in (0, 1, 4)}
+    assert all(len(r.masked) == 7 for r in got)
+    assert secret_scan.scan(none).count() == 0
+
+
+def brute_components(rows, k, num, den):
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = frozenset(tuple(w[j:j + k]) for j in range(max(len(w) - k + 1, 1))) if w else frozenset()
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def near_copies(seed=2, base=60, copies=40):
+    rnd = random.Random(seed)
+    rows = [(i, " ".join(rnd.choice(WORDS) + str(rnd.randrange(40)) for _ in range(rnd.randrange(0, 80)))) for i in range(base)]
+    core = [f"c{i}" for i in range(90)]
+    for i in range(copies):
+        w = list(core)
+        for _ in range(rnd.randrange(0, 8)):
+            w[rnd.randrange(len(w))] = f"e{rnd.randrange(10_000)}"
+        rows.append((1000 + i, " ".join(w)))
+    return [*rows, (2000, rows[5][1].upper()), (2001, None), (2002, " \n"), (2003, "one"), (2004, "One")]
+
+
+@pytest.mark.parametrize("chunked", [False, True])
+def test_op8_equals_brute_force(spark, monkeypatch, chunked):
+    rows = near_copies()
+    if chunked:  # every group with more than five sets is worked in chunks
+        monkeypatch.setattr(minhash, "GROUP_SETS", 5)
+        monkeypatch.setattr(minhash, "CENTRES", 2)
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    for k, num in ((3, 85), (5, 80)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(d, k=k, similarity=(num, 100)).collect()}
+        assert got == brute_components(rows, k, num, 100)
+
+
+def test_op8_edges(spark, odd, none):
+    got = minhash.near_duplicates(odd, k=3, similarity=(85, 100)).collect()
+    assert len(got) == len(odd_rows())
+    by = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got), key=str)
+    assert (1, 0, 1, True) in by and (None, 0, None, True) in by and (4, 1, 4, True) in by
+    assert by.count((5, 1, 4, False)) == 2 and (None, 1, None, True) in by
+    assert minhash.near_duplicates(none).count() == 0
+
+
+def test_op9_equals_brute_force(spark, odd, none):
+    text = ("intro line\nReleased under the MIT License.\n\nLicensed under the Apache License,\nversion 2.0.\nbye\n"
+            "This work is licenced under the GNU General Public License, version 3.\nLicensed under nothing.")
+    d = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "plain words only")], "doc_id long, text string")
+    got = sorted((r.first_line, r.last_line, r.license, round(r.dice, 6)) for r in licenses.scan(d).collect())
+    best = {}
+    lines = text.split("\n")
+    for i in range(len(lines)):
+        for j in range(i, len(lines)):
+            w = decontam.tokens("\n".join(lines[i:j + 1]))
+            b = set(zip(w, w[1:]))
+            for name, t in licenses.TEMPLATES:
+                tw = decontam.tokens(t)
+                s = set(zip(tw, tw[1:]))
+                dice = 2 * len(b & s) / (len(b) + len(s))
+                if dice >= licenses.MIN_DICE:
+                    best[(i, j, name)] = max(best.get((i, j, name), 0), round(dice, 6))
+    assert got == [(1, 1, "MIT", 1.0), (3, 4, "Apache-2.0", 1.0), (6, 6, "GPL-3.0", best[(6, 6, "GPL-3.0")])]
+    assert all((i, j, n) in best and best[(i, j, n)] == x for i, j, n, x in got)
+    assert licenses.scan(none).count() == 0 and licenses.scan(odd).count() == 0
+
+
+def naive_tiles(a, b, n):
+    """Greedy string tiling as published: all maximal matches by hand."""
+    in_a, in_b, total = [False] * len(a), [False] * len(b), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not in_a[i + k] and not in_b[j + k]:
+                    k += 1
+                if k > best[0]:
+                    best = (k, i, j)
+        if best[0] < n:
+            return total
+        for x in range(best[0]):
+            in_a[best[1] + x] = in_b[best[2] + x] = True
+        total += best[0]
+
+
+def test_op10_equals_naive_tiling(spark, odd, none):
+    rnd = random.Random(9)
+    items = [(i, " ".join(rnd.choice(WORDS[:6]) for _ in range(rnd.randrange(3, 40)))) for i in range(12)]
+    items += [(90, None), (91, ""), (92, "two words"), (93, items[0][1])]
+    rows = []
+    for i in range(30):
+        w = items[i % 12][1].split()
+        cut = rnd.randrange(len(w) + 1)
+        rows.append((i, " ".join([rnd.choice(WORDS) for _ in range(20)] + w[cut:] + ["Filler."] + w[:cut])))  # reordered
+    d = spark.createDataFrame([*rows, (100, None), (101, ""), (101, "")], "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for i, t in rows:
+        for j, s in items:
+            x = naive_tiles(decontam.tokens(s), decontam.tokens(t), decontam.MIN_MATCH)
+            if x:
+                want[(i, j)] = x
+    for size in (1 << 20, 400):  # one slice, several slices
+        got = decontam.contamination(d, b, slice_bytes=size).collect()
+        assert {(r.doc_id, r.item_id): r.covered for r in got} == want
+        assert all(r.contaminated == (2 * r.covered >= r.item_tokens) for r in got)
+        assert all(sum(x.length for x in r.tiles) == r.covered for r in got)
+    assert decontam.contamination(none, b).count() == 0 and decontam.contamination(odd, b.limit(0)).count() == 0
+    assert decontam.contamination(odd, b).count() == 0
+
+
+def test_all_ten_operators_are_registered():
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
