@@ -55,8 +55,13 @@ def capped_percent(score: ColumnOrName, cap: float = 100.0) -> Column:
 
 
 def rounded_percent(x: ColumnOrName) -> Column:
-    """``round(x * 100)`` as int."""
-    return F.round(_col(x) * F.lit(100.0), 0).cast("int")
+    """``round(x * 100)`` as int, half to even."""
+    return F.bround(_col(x) * F.lit(100.0), 0).cast("int")
+
+
+def plain_number(c: ColumnOrName) -> Column:
+    """A value of at most four decimals as shortest text: 0.5, 0.1234, 1.0."""
+    return F.regexp_replace(F.format_string("%.4f", _col(c)), r"(\.\d+?)0+$", "$1")
 
 
 def round_or_null(c: ColumnOrName, digits: int) -> Column:

@@ -19,7 +19,10 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def lenient_cast(c: ColumnOrName, to: str | T.DataType = "int") -> Column:
-    """Malformed input becomes NULL instead of failing under ANSI."""
+    """Malformed input becomes NULL instead of failing under ANSI. Integers
+    go through decimal and truncate, so "37.0" is 37 and "12.5" is 12."""
+    if to in ("int", "bigint") or isinstance(to, (T.IntegerType, T.LongType)):
+        return _col(c).try_cast(T.DecimalType(38, 6)).try_cast(to)
     return _col(c).try_cast(to)
 
 
@@ -34,18 +37,18 @@ def placeholder_to_zero(c: ColumnOrName, placeholders: Sequence[str] = DEFAULT_P
 
 
 def count_value(c: ColumnOrName, placeholders: Sequence[str] = DEFAULT_PLACEHOLDERS) -> Column:
-    """Placeholder -> 0, lenient int cast, NULL -> 0 (P10 + P4 + P11)."""
-    return F.coalesce(lenient_cast(placeholder_to_zero(c, placeholders), "int"), F.lit(0))
+    """Placeholder -> 0, lenient integer cast, NULL -> 0 (P10 + P4 + P11)."""
+    return F.coalesce(lenient_cast(placeholder_to_zero(c, placeholders), "bigint"), F.lit(0))
 
 
 def scale_to_int(c: ColumnOrName, factor: int = 1000) -> Column:
-    """Exact unit scaling through decimal, then int (trap 2)."""
+    """Exact unit scaling through decimal, then bigint (trap 2)."""
     d = _col(c).try_cast(T.DecimalType(18, 4))
-    return (d * F.lit(factor)).try_cast("int")
+    return (d * F.lit(factor)).try_cast("bigint")
 
 
 def row_sum(cols: Iterable[ColumnOrName]) -> Column:
-    """Left-to-right sum of columns."""
+    """Left-to-right sum of columns (integers as bigint by their inputs)."""
     return reduce(add, [_col(c) for c in cols])
 
 
@@ -67,11 +70,6 @@ def weighted_score(weights: Mapping[str, float] | Sequence[tuple[ColumnOrName, f
     return reduce(add, [_col(c) * F.lit(w) for c, w in items])
 
 
-def mean_of(cols: Sequence[ColumnOrName]) -> Column:
-    """Plain mean of columns (NULL if any is NULL)."""
-    return row_sum(cols) / F.lit(float(len(cols)))
-
-
 def inverse(c: ColumnOrName) -> Column:
     """``1 - x``."""
     return F.lit(1.0) - _col(c)

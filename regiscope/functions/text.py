@@ -98,5 +98,7 @@ def canonical_name(c: ColumnOrName) -> Column:
 
 
 def title_case(c: ColumnOrName) -> Column:
-    """Title-case label."""
-    return F.initcap(F.lower(_col(c)))
+    """Title-case label, a capital after anything but a letter."""
+    # initcap starts a word after a space only: a marked space opens the others
+    opened = F.regexp_replace(F.lower(_col(c)), r"([^\p{L}\s])(?=\p{L})", "$1\u0001 ")
+    return F.replace(F.initcap(opened), F.lit("\u0001 "), F.lit(""))

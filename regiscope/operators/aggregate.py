@@ -4,19 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str,
-              cast: str | None = "bigint") -> DataFrame:
-    """A2: partial + final hash aggregation."""
-    s = F.sum(value)
-    if cast:
-        s = s.cast(cast)
-    return df.groupBy(*keys).agg(s.alias(out))
-
-
 def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence[str],
               value: str | None = None, fill: int | float | None = 0,
               cast: str | None = "bigint") -> DataFrame:
@@ -53,33 +44,13 @@ def summary(df: DataFrame, mean_col: str, sum_cols: Sequence[str], flag_col: str
     )
 
 
-def arg_max(df: DataFrame, score: str, tiebreak: str, cols: Sequence[str] | None = None,
+def arg_max(df: DataFrame, score: str, ties: Sequence[str], cols: Sequence[str] | None = None,
             group_by: Sequence[str] = ()) -> DataFrame:
-    """The row with the greatest ``score``, optionally per group.
-    Ties go to the smallest numeric ``tiebreak`` or, for a string tiebreak,
-    the greatest one (deterministic either way). ``max_by`` aggregates
-    partially, so this never collects a group into one task."""
+    """The row with the greatest ``score``, optionally per group; ties
+    go to the least ``ties`` columns in order. ``min_by`` aggregates partially,
+    so this never collects a group into one task."""
     cols = list(cols or df.columns)
-    # Among equal scores prefer the smallest tiebreak value: compare on the
-    # negated tiebreak when it is numeric, else on the key itself (largest).
-    if dict(df.dtypes)[tiebreak] in ("int", "bigint", "smallint", "tinyint", "double", "float"):
-        ordering = F.struct(F.col(score), (-F.col(tiebreak)).alias("__t"))
-    else:
-        ordering = F.struct(F.col(score), F.col(tiebreak))
     packed = F.struct(*[F.col(f"`{c}`") for c in cols])
     agg = df.where(F.col(score).isNotNull()).groupBy(*group_by).agg(
-        F.max_by(packed, ordering).alias("__r"))
-    return agg.select(*group_by, *[F.col("__r").getField(c).alias(c) for c in cols])
-
-
-def group_mean(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Mean per group."""
-    return df.groupBy(key).agg(F.avg(value).alias(out))
-
-
-def distinct_count(df: DataFrame, keys: Sequence[str], value: str | Column, out: str) -> DataFrame:
-    """Exact distinct count per group as two aggregations: (keys, value)
-    first, so a hot group is spread over tasks by its values."""
-    v = F.col(value) if isinstance(value, str) else value
-    pairs = df.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull()).distinct()
-    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+        F.min_by(packed, F.struct((-F.col(score)).alias("__s"), *ties)).alias("__r"))
+    return agg.where(F.col("__r").isNotNull()).select(*group_by, *[F.col("__r").getField(c).alias(c) for c in cols])

@@ -38,18 +38,13 @@ def drop_sentinels(df: DataFrame, col: str | Column, values: Sequence[str] = (),
     return df.where(cond)
 
 
-def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NULL -> 0 on the listed numeric columns."""
-    return df.na.fill(0, subset=list(cols))
-
-
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """A1, deterministic: one row per key, the greatest by ``order_by`` and
     then by all remaining columns.
 
     Written as ``max(struct(...))`` per key. The aggregate has a map-side
-    partial step, so a key repeated across a third of the input is reduced
-    inside each task before the shuffle; no per-key sort or window is needed.
+    partial step (sort-based, as the buffer is a struct), so a key repeated
+    across a third of the input is reduced inside each task before the shuffle.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
@@ -57,8 +52,3 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     packed = F.struct(*[F.col(f"`{c}`") for c in ordered])
     agg = df.groupBy(*keys).agg(F.max(packed).alias("__row"))
     return agg.select(*keys, *[F.col("__row").getField(c).alias(c) for c in ordered]).select(*df.columns)
-
-
-def dedupe_exact(df: DataFrame) -> DataFrame:
-    """A1 when duplicates are whole-row copies."""
-    return df.dropDuplicates()

@@ -15,12 +15,12 @@ class DuplicateKeyError(ValueError):
 
 def latest_period(df: DataFrame, keys: Sequence[str], period: str) -> DataFrame:
     """Keep only the rows of the greatest ``period`` per key (policy
-    ``latest``). Written as a partial aggregate on the key plus a join back
+    ``latest``; a key with no period at all keeps its rows). Written as a partial aggregate on the key plus a join back
     on the key (no per-key window sort); a key holding a large share of the
     rows is split by AQE's skew-join handling on the row side."""
     keys = list(keys)
     last = df.groupBy(*keys).agg(F.max(period).alias("__p"))
-    return (df.join(last, keys, "inner").where(F.col(period) == F.col("__p")).drop("__p"))
+    return (df.join(last, keys, "inner").where(F.col(period).eqNullSafe(F.col("__p"))).drop("__p"))
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], name: str = "right side") -> None:

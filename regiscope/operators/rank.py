@@ -75,28 +75,7 @@ def rank(df: DataFrame, score: str, out: str = "rank", descending: bool = True,
         F.lit((n_vals if dense else n_rows) + 1).cast("long").alias(out))
     lookup = ranked.unionByName(null_rank)
     hot = counts.where(F.col("cnt") * HOT_FRACTION > F.lit(n_all)).select(F.col("v").alias(score))
-    return salted_lookup(df, lookup, [score], hot).withColumn(out, F.col(out).cast("int"))
-
-
-# A single task sorts this many rows comfortably; beyond it the distributed
-# form is used.
-SINGLE_TASK_ROWS = 200_000
-
-
-def rank_checked(df: DataFrame, score: str, out: str = "rank", descending: bool = True,
-                 max_single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """Size-checked strategy, like a broadcast threshold: count the input
-    (meant for a checkpointed frame, where counting is cheap) and use the
-    plain window when it is small, the distributed ``rank`` otherwise."""
-    if df.count() <= max_single_task_rows:
-        return window_rank(df, score, out, descending).withColumn(out, F.col(out).cast("int"))
-    return rank(df, score, out=out, descending=descending)
-
-
-def window_rank(df: DataFrame, score: str, out: str = "rank", descending: bool = True) -> DataFrame:
-    """Single-task window form; only for inputs of checked small size."""
-    o = F.col(score).desc_nulls_last() if descending else F.col(score).asc_nulls_last()
-    return df.withColumn(out, F.rank().over(Window.orderBy(o)))
+    return salted_lookup(df, lookup, [score], hot).withColumn(out, F.col(out).cast("bigint"))
 
 
 def ordinal_by(df: DataFrame, key: str, value: str, out: str = "ordinal",

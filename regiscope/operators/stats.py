@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,9 +151,6 @@ def _positions(n: int, p: float, method: str) -> tuple[int, int, float]:
     raise ValueError(method)
 
 
-BAND_COLLECT_LIMIT = 200_000
-
-
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -172,7 +169,7 @@ def _assign_buckets(d: DataFrame, g: list[str], rows: list, descending: bool) ->
     if isinstance(vtype, _NUMERIC):
         parts = []
         for r in rows:
-            cuts = sorted({float(x) for x in (r["__cuts"] or []) if x is not None})
+            cuts = sorted({float(x) for x in (r["__cuts"] or []) if x is not None and math.isfinite(x)})
             part = d
             for c in g:
                 part = part.where(F.col(c) == F.lit(r[c]))
@@ -201,146 +198,87 @@ def _assign_buckets(d: DataFrame, g: list[str], rows: list, descending: bool) ->
     return db.withColumn("__b", F.size(F.filter("__cuts", cmp))).drop("__cuts")
 
 
+#: Intervals a bracket is divided into per pass of ``exact_quantiles``.
+QUANTILE_BINS = 4096
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    method: str = "cont", accuracy: int = 10000,
-                    buckets: int | None = None) -> DataFrame:
+                    method: str = "cont", bins: int = QUANTILE_BINS) -> DataFrame:
     """Exact quantiles of several columns without sorting the data.
 
     ``method="cont"``: linear interpolation between order statistics
     (``percentile`` / ``median`` / numpy default). ``method="disc"``: the
     smallest value whose cumulative share is >= p (``percentile_disc``; for
-    p = 0.5 the lower middle value).
-
-    1. One aggregate (partial sketches) gives ``n`` and approximate values
-       at ``p -/+ 2/accuracy`` that bracket each target order statistic.
-    2. One aggregate counts the rows below each bracket and the rows inside.
-    3. The exact values are the order statistics at ``target - below``
-       inside the band (a ~4/accuracy share of the rows): collected when
-       the band is small, else ranked with ``value_index``. If the counts
-       show a bracket missed its target the column falls back to the full
-       ``value_index`` (exactness never depends on the sketch).
-
-    Returns one row per (column, p): ``name, p, value`` (value NULL when
-    the column has no non-NULL value). Only bounded, per-(column, p)
-    numbers reach the driver.
+    p = 0.5 the lower middle value). NULL and NaN are no values.
+
+    The order statistics are found by narrowing. A pass divides each bracket
+    that still holds one, at first [min, max] of a column, into ``bins`` equal
+    intervals and counts its rows per interval with the interval's least and
+    greatest value; the interval with the wanted rank is the next bracket,
+    until its least and greatest value are equal. Both ends of a bracket fall
+    into different intervals, so every pass shrinks it, and with a finite
+    number of distinct values it ends; a pass is one aggregate, and at most
+    ``bins`` rows per bracket reach the driver, whatever the table's size.
+
+    Returns one row per (column, p): ``name, p, value`` (value NULL when the
+    column has no value).
     """
     spark = df.sparkSession
-    stacked = unpivot_values(df, cols).where(F.col("value").isNotNull())
-    d = 2.0 / accuracy
-    br_probs = sorted({min(1.0, max(0.0, x)) for p in probs for x in (p - d, p + d)})
-    first = stacked.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", br_probs, accuracy).alias("br")).collect()
-    stats1 = {r["name"]: (r["n"], dict(zip(br_probs, r["br"]))) for r in first}
-    results: dict[tuple[str, float], float | None] = {(c, float(p)): None for c in cols for p in probs}
-    # columns whose non-NULL rows fit the collect bound: one bounded collect
-    tiny = [c for c in cols if c in stats1 and stats1[c][0] <= BAND_COLLECT_LIMIT]
-    if tiny:
-        vals_t: dict[str, list[float]] = {}
-        for r in stacked.where(F.col("name").isin(tiny)).collect():
-            vals_t.setdefault(r["name"], []).append(r["value"])
-        for c in tiny:
-            v = sorted(vals_t.get(c, []))
-            for p in probs:
-                lo, hi, frac = _positions(len(v), float(p), method)
-                results[(c, float(p))] = v[lo] + (v[hi] - v[lo]) * frac
-    brackets = []
+    inf = float("inf")
+    stacked = unpivot_values(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    v = F.col("value")
+    finite = F.when((v != inf) & (v != -inf), v)
+    ends = {r["name"]: r for r in stacked.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(v == -inf).alias("low"), F.count(finite).alias("mid"),
+        F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()}
+    found: dict[tuple[str, int], float] = {}
+    open_: dict[tuple[str, int], tuple[float, float, int]] = {}  # (column, rank) -> bracket, rows below it
+
+    def settle(key: tuple[str, int], lo: float, hi: float, below: int) -> None:
+        if lo == hi:
+            found[key] = lo
+        else:
+            open_[key] = (lo, hi, below)
+
+    for c, r in ends.items():
+        for p in probs:
+            for k in _positions(r["n"], float(p), method)[:2]:
+                if k < r["low"]:
+                    found[(c, k)] = -inf
+                elif k >= r["low"] + r["mid"]:
+                    found[(c, k)] = inf
+                else:
+                    settle((c, k), r["lo"], r["hi"], r["low"])
+    while open_:
+        brackets = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in open_.items()})
+        # columns x probabilities x 2 rows at most: a bounded broadcast
+        bdf = spark.createDataFrame([(c, lo, hi) for c, lo, hi in brackets], "name string, lo double, hi double")
+        half = (F.col("hi") / 2 - F.col("lo") / 2)
+        share = F.when(F.col("hi") - F.col("lo") < inf, (v - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(
+            (v / 2 - F.col("lo") / 2) / half)
+        rows = (stacked.join(F.broadcast(bdf), "name").where((v >= F.col("lo")) & (v <= F.col("hi")))
+                .groupBy("name", "lo", "hi", F.least(F.floor(share * bins), F.lit(bins - 1)).alias("bin"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("a"), F.max("value").alias("b")).collect())
+        parts: dict[tuple[str, float, float], list] = {}
+        for r in rows:
+            parts.setdefault((r["name"], r["lo"], r["hi"]), []).append((r["bin"], r["n"], r["a"], r["b"]))
+        todo, open_ = open_, {}
+        for (c, k), (lo, hi, below) in todo.items():
+            for _, n, a, b in sorted(parts[(c, lo, hi)]):
+                if k < below + n:
+                    settle((c, k), a, b, below)
+                    break
+                below += n
+    out = []
     for c in cols:
-        if c not in stats1 or c in tiny:
-            continue
-        n, br = stats1[c]
         for p in probs:
-            lo_b = br[min(1.0, max(0.0, p - d))]
-            hi_b = br[min(1.0, max(0.0, p + d))]
-            brackets.append((c, float(p), float(lo_b), float(hi_b)))
-    fallback: set[str] = set()
-    if brackets:
-        bdf = spark.createDataFrame(brackets, "name string, p double, lo_b double, hi_b double")
-        # brackets has columns x probs rows: a bounded broadcast
-        j = stacked.join(F.broadcast(bdf), "name")
-        counts = {(r["name"], r["p"]): (r["below"], r["inside"]) for r in j.groupBy("name", "p").agg(
-            F.count_if(F.col("value") < F.col("lo_b")).alias("below"),
-            F.count_if((F.col("value") >= F.col("lo_b")) & (F.col("value") <= F.col("hi_b"))).alias("inside"),
-        ).collect()}
-        band = j.where((F.col("value") >= F.col("lo_b")) & (F.col("value") <= F.col("hi_b")))
-        small, large = [], []
-        for c, p, _, _ in brackets:
-            n = stats1[c][0]
-            below, inside = counts.get((c, p), (0, 0))
-            lo, hi, _ = _positions(n, p, method)
-            if not (below <= lo and hi < below + inside):
-                fallback.add(c)
-            elif inside <= BAND_COLLECT_LIMIT:
-                small.append((c, p))
-            else:
-                large.append((c, p))
-        if small:
-            sel = spark.createDataFrame(small, "name string, p double")
-            vals: dict[tuple[str, float], list[float]] = {}
-            for r in band.join(F.broadcast(sel), ["name", "p"], "left_semi").select("name", "p", "value").collect():
-                vals.setdefault((r["name"], r["p"]), []).append(r["value"])
-            for (c, p) in small:
-                n = stats1[c][0]
-                below = counts[(c, p)][0]
-                lo, hi, frac = _positions(n, p, method)
-                v = sorted(vals[(c, p)])
-                vlo, vhi = v[lo - below], v[hi - below]
-                results[(c, p)] = vlo + (vhi - vlo) * frac
-        for (c, p) in large:
-            idx = value_index(band.where((F.col("name") == c) & (F.col("p") == p)), "value",
-                              buckets=buckets)
-            n = stats1[c][0]
-            below = counts[(c, p)][0]
-            lo, hi, frac = _positions(n, p, method)
-            got = {}
-            for i in {lo, hi}:
-                k = i - below
-                got[i] = idx.where((F.col("before") <= k) & (F.lit(k) < F.col("before") + F.col("cnt"))) \
-                    .select("v").first()[0]
-            results[(c, p)] = got[lo] + (got[hi] - got[lo]) * frac
-    for c in sorted(fallback):
-        for r in _exact_quantiles_full(df, [c], probs, method, buckets).collect():
-            results[(c, float(r["p"]))] = r["value"]
-    rows = [(c, float(p), None if results[(c, float(p))] is None else float(results[(c, float(p))]))
-            for c in cols for p in probs]
-    return spark.createDataFrame(rows, "name string, p double, value double")
-
-
-def _exact_quantiles_full(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                          method: str = "cont", buckets: int | None = None) -> DataFrame:
-    """Exact quantiles from the full distributed value index (fallback)."""
-    stacked = unpivot_values(df, cols)
-    idx = value_index(stacked, "value", group_by=["name"], buckets=buckets)
-    counts = idx.select("name", "n").distinct()
-    all_names = df.sparkSession.createDataFrame([(c,) for c in cols], "name string")
-    p_arr = F.array(*[F.lit(float(p)) for p in probs])
-    t = all_names.join(counts, "name", "left").select("name", "n", F.explode(p_arr).alias("p"))
-    if method == "cont":
-        pos = F.col("p") * (F.col("n") - 1)
-        t = t.select("name", "p", F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"),
-                     (pos - F.floor(pos)).alias("frac"))
-    elif method == "disc":
-        k = F.greatest(F.ceil(F.col("p") * F.col("n")) - 1, F.lit(0))
-        t = t.select("name", "p", k.alias("lo"), k.alias("hi"), F.lit(0.0).alias("frac"))
-    else:
-        raise ValueError(method)
-    pts = t.select("name", "p", "frac", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.col("lo").alias("i")),
-        F.struct(F.lit("hi").alias("side"), F.col("hi").alias("i")))).alias("__pt"))
-    pts = pts.select("name", "p", "frac", "__pt.side", "__pt.i")
-    # targets: columns x probs x 2 rows, a bounded broadcast.
-    hit = idx.alias("x").join(
-        F.broadcast(pts.alias("t")),
-        (F.col("x.name") == F.col("t.name")) & (F.col("x.before") <= F.col("t.i"))
-        & (F.col("t.i") < F.col("x.before") + F.col("x.cnt")), "inner"
-    ).select(F.col("t.name").alias("name"), "t.p", "t.frac", "t.side", F.col("x.v").alias("v"))
-    piv = hit.groupBy("name", "p", "frac").agg(
-        F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("vlo"),
-        F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("vhi"))
-    res = piv.select("name", "p", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac"))
-                     .alias("value"))
-    base = all_names.select("name", F.explode(p_arr).alias("p"))
-    return base.join(res, ["name", "p"], "left")
+            value = None
+            if c in ends:
+                i, j, frac = _positions(ends[c]["n"], float(p), method)
+                a, b = found[(c, i)], found[(c, j)]
+                value = a if a == b or not frac else a + (b - a) * frac
+            out.append((c, float(p), value))
+    return spark.createDataFrame(out, "name string, p double, value double")
 
 
 def unpivot_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -360,11 +298,12 @@ def impute_quantile(df: DataFrame, cols: Sequence[str], method: str,
                     default: float = 0.0) -> DataFrame:
     """A8 (``method="disc"``: lower median) / A9 (``"cont"``: midpoint median).
 
-    NULLs of each column are filled with that column's median; a column with
+    NULLs and NaNs of each column are filled with that column's median; a column with
     no value at all falls back to ``default`` (lower median) or stays NULL
     (midpoint, as pandas does)."""
     # One bounded (single-row) look at the NULL counts decides which columns
     # need a median at all; columns without NULLs skip the quantile job.
+    df = df.withColumns({c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols})
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     todo = [c for i, c in enumerate(cols) if nulls[f"n{i}"] > 0]
     out = df
@@ -395,5 +334,3 @@ def flag_below_quantile(df: DataFrame, score: str, contamination: float,
     return j.drop("__cut")
 
 
-def col_expr(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import percentage, ratio_per, row_sum, weighted_score
 from ..operators.join import left_join_all, latest_period
-from ..operators.rank import rank_checked
+from ..operators.rank import rank
 from ..operators.stats import attach_stats
 from ..session import materialize
 
@@ -26,14 +26,6 @@ BURDEN_COLS = ["total_stunting", "total_gizi_buruk", "total_gizi_kurang", "total
 FACILITY_COLS = ["jumlah_rs_umum", "jumlah_rs_khusus", "jumlah_posyandu"]
 WORKER_COL = "total_nakes"
 RISK_WEIGHTS = (("norm_stunting", 0.5), ("norm_faskes_inv", 0.3), ("norm_nakes_inv", 0.2))
-GOLD_COLUMNS = [
-    KEY, "populasi", "total_balita_gizi_buruk", *BURDEN_COLS, *FACILITY_COLS, WORKER_COL,
-    "rasio_faskes_per_10k_balita", "rasio_posyandu_per_10k_populasi",
-    "rasio_nakes_per_10k_populasi", "prevalensi_stunting_pct",
-    "nutrition_coverage_index", "nutrition_risk_score", "priority_rank",
-]
-
-
 def _one_period(df: DataFrame, period: str | None) -> DataFrame:
     if period and period in df.columns:
         return latest_period(df, [KEY], period)
@@ -42,7 +34,7 @@ def _one_period(df: DataFrame, period: str | None) -> DataFrame:
 
 def master_table(population: DataFrame, burden: DataFrame, facilities: DataFrame,
                  workers: DataFrame, burden_map: dict[str, str] | None = None,
-                 period: str | None = "periode_data", check_unique: bool = False) -> DataFrame:
+                 period: str | None = "periode_data", check_unique: bool = True) -> DataFrame:
     """J1 + P15 + P11 + P16: one row per region of ``population``.
 
     ``burden_map`` maps Gold burden names to the pivoted Silver columns. The
@@ -51,7 +43,7 @@ def master_table(population: DataFrame, burden: DataFrame, facilities: DataFrame
     """
     bm = burden_map or dict(zip(BURDEN_COLS, ["STUNTING", "GIZI BURUK", "GIZI KURANG", "UNDERWEIGHT"]))
     b = _one_period(burden, period).select(
-        KEY, *[F.coalesce(F.col(f"`{src}`"), F.lit(0)).cast("int").alias(dst) for dst, src in bm.items()])
+        KEY, *[F.coalesce(F.col(f"`{src}`"), F.lit(0)).cast("bigint").alias(dst) for dst, src in bm.items()])
     f = _one_period(facilities, period).select(KEY, *FACILITY_COLS)
     w = _one_period(workers, period).select(KEY, WORKER_COL)
     m = left_join_all(population.select(KEY, "populasi"), [b, f, w], [KEY], check_unique=check_unique)
@@ -98,11 +90,10 @@ def scores(ind: DataFrame) -> DataFrame:
 def finalize(scored: DataFrame, as_of: Column | None = None) -> DataFrame:
     """W2 on the unrounded NRS, then P19 rounding and the Gold projection.
 
-    The scored table has one row per region; it is checkpointed before the
-    rank, whose strategy is then chosen from its measured size (window for a
-    small table, the distributed rank beyond ``SINGLE_TASK_ROWS``)."""
+    The scored table has one row per region; it is checkpointed because the
+    rank reads it more than once."""
     scored = materialize(scored)
-    ranked = rank_checked(scored, "nutrition_risk_score", out="priority_rank", descending=True)
+    ranked = rank(scored, "nutrition_risk_score", out="priority_rank", descending=True)
     cols = [
         KEY, "populasi", "total_balita_gizi_buruk", *BURDEN_COLS, *FACILITY_COLS, WORKER_COL,
         F.round("rasio_faskes_per_10k_balita", 4).alias("rasio_faskes_per_10k_balita"),
@@ -120,7 +111,7 @@ def finalize(scored: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 def gold(population: DataFrame, burden: DataFrame, facilities: DataFrame, workers: DataFrame,
          burden_map: dict[str, str] | None = None, period: str | None = "periode_data",
-         as_of: Column | None = None, check_unique: bool = False) -> DataFrame:
+         as_of: Column | None = None, check_unique: bool = True) -> DataFrame:
     """The whole Silver -> Gold plan (q18)."""
     m = master_table(population, burden, facilities, workers, burden_map, period, check_unique)
     # one row per region: checkpoint it so the statistics row and the rows it

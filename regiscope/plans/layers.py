@@ -60,7 +60,7 @@ def clean_nutrition(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Detail rows and the per-region pivot (region x period)."""
     df = (bronze.withColumn("wilayah_std", region("wilayah"))
           .withColumn("kategori_std", recode("kategori_masalah_gizi", STUNTING_RAW, "STUNTING"))
-          .withColumn("jumlah", lenient_cast("jumlah", "int"))
+          .withColumn("jumlah", lenient_cast("jumlah", "bigint"))
           .withColumn("periode_data", lenient_cast("periode_data", "int")))
     df = keep_non_negative(df, "jumlah")
     df = dedupe_latest(df, ["periode_data", "wilayah_std", "kecamatan", "kategori_std"], ["ingested_at"])
@@ -74,17 +74,17 @@ def clean_nutrition(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def clean_facilities(bronze: DataFrame) -> DataFrame:
     df = drop_sentinels(bronze, "kabupaten_kota", FACILITY_REJECT)
-    return df.select(
+    return dedupe_latest(df.select(
         region("kabupaten_kota").alias(KEY),
         count_value("jumlah_rumah_sakit_umum").alias("jumlah_rs_umum"),
         count_value("jumlah_rumah_sakit_khusus").alias("jumlah_rs_khusus"),
         count_value("jumlah_posyandu").alias("jumlah_posyandu"),
-        *META)
+        *META), [KEY], ["ingested_at"])
 
 
 def clean_workers(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     df = (bronze.withColumn("wilayah_std", region("wilayah"))
-          .withColumn("jumlah", lenient_cast("jumlah", "int"))
+          .withColumn("jumlah", lenient_cast("jumlah", "bigint"))
           .withColumn("periode_data", lenient_cast("periode_data", "int")))
     df = keep_non_negative(df, "jumlah")
     df = dedupe_latest(df, ["periode_data", "wilayah_std", "kecamatan", "tenaga_kesehatan"], ["ingested_at"])
@@ -99,14 +99,14 @@ def clean_population(bronze: DataFrame) -> DataFrame:
     df = drop_sentinels(bronze, "kabupaten_kota", POPULATION_REJECT, POPULATION_REJECT_PREFIXES)
     df = df.withColumn("__thousand", lenient_cast("population_thousand", "decimal(18,4)"))
     df = keep_positive(df, "__thousand")
-    return df.select(
+    return dedupe_latest(df.select(
         region("kabupaten_kota").alias(KEY),
         scale_to_int("population_thousand", 1000).alias("populasi"),
         lenient_cast("population_growth_rate", "double").alias("population_growth_rate"),
         lenient_cast("percentage_of_total_population", "double").alias("percentage_of_total"),
         lenient_cast("population_density_per_sq_km_km2", "double").alias("density_per_sqkm"),
         lenient_cast("population_sex_ratio", "double").alias("sex_ratio"),
-        *META)
+        *META), [KEY], ["ingested_at"])
 
 
 def silver(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -188,6 +188,9 @@ def bronze_tables(spark, bronze_path: str) -> dict[str, DataFrame]:
     if not path_exists(spark, bronze_path):
         return {spec.name: spark.createDataFrame([], spec.schema()) for spec in DATASETS}
     b = spark.read.parquet(bronze_path)
+    # a later delivery of a topic replaces the earlier ones; batch ids sort by time
+    last = b.groupBy("topic").agg(F.max("ingested_batch").alias("__last"))
+    b = b.join(last, "topic").where(F.col("ingested_batch") == F.col("__last")).drop("__last")
     return {spec.name: b.where(F.col("topic") == spec.topic).select(*spec.columns, *META) for spec in DATASETS}
 
 
@@ -222,7 +225,7 @@ def write_silver(s: dict[str, DataFrame], base: str) -> dict[str, int]:
 
 
 def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
-          contamination: float = 0.15) -> DataFrame:
+          contamination: float = 0.15, models_path: str | None = None) -> DataFrame:
     """Gold -> Gold final (J2): K-Means labels and Isolation Forest flags.
 
     * K-Means on FEATURE_COLS: exact lower-median fill (A8), sample-sd
@@ -230,6 +233,8 @@ def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
     * Isolation Forest on IFOREST_FEATURES: midpoint-median fill (A9),
       population-sd scaling (M3), score, flag below the contamination
       quantile (A12).
+
+    With ``models_path`` both models are saved there (S15, S16).
     """
     from ..functions.format import iso_timestamp
     from ..operators import cluster as CL
@@ -252,6 +257,8 @@ def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
     km_in = materialize(ST.impute_quantile(g, FEATURE_COLS, "disc"))
     if min(k, n) >= 2:
         model = CL.assemble_scale_fit(km_in, FEATURE_COLS, k=min(k, n), seed=seed)
+        if models_path:  # S15
+            model.write().overwrite().save(f"{models_path}/kmeans")
         pred = model.transform(km_in).withColumn("cluster_id", F.col("cluster_id").cast("int"))
     else:  # one region: a single cluster (K-Means needs k >= 2)
         pred = km_in.withColumn("cluster_id", F.lit(0))
@@ -261,7 +268,10 @@ def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
     if_in = materialize(ST.zscore(ST.impute_quantile(g.select(KEY, *IFOREST_FEATURES), IFOREST_FEATURES, "cont"),
                                   IFOREST_FEATURES, zs, ddof=0))
     nodes, psi = IF.fit(if_in, zs, [KEY], n_trees=n_trees, seed=seed)
-    scored = materialize(IF.score(if_in, materialize(nodes), zs, psi).select(KEY, "anomaly_score"))
+    nodes = materialize(nodes)
+    if models_path:  # S16
+        nodes.write.mode("overwrite").parquet(f"{models_path}/iforest_nodes")
+    scored = materialize(IF.score(if_in, nodes, zs, psi).select(KEY, "anomaly_score"))
     flags = IF.flag(scored, "anomaly_score", contamination).select(KEY, "is_anomaly", "anomaly_score")
     out = g.join(clusters, KEY, "left").join(flags, KEY, "left")
     if "last_updated" in out.columns:
@@ -273,14 +283,15 @@ def run(spark, csv_dir: str, out_base: str, batch_id: str, ingested_at: str,
         as_of: F.Column | None = None) -> dict[str, object]:
     """The whole job: publish -> ingest -> Silver -> Gold -> final, with
     every layer written under ``out_base`` (a shared folder)."""
+    from ..sources.tables import export_json
     counts = publish(spark, csv_dir, f"{out_base}/topics", ingested_at)
     bronze = ingest_all(spark, f"{out_base}/topics", f"{out_base}/bronze", f"{out_base}/_ingest_ckpt", batch_id)
     s = silver(bronze)
     silver_rows = write_silver(s, f"{out_base}/silver")
     g = gold_from_silver(s, as_of=as_of if as_of is not None else F.current_timestamp())
     g.write.mode("overwrite").parquet(f"{out_base}/gold/wilayah_risk_score")
-    fin = final(spark.read.parquet(f"{out_base}/gold/wilayah_risk_score"))
+    fin = final(spark.read.parquet(f"{out_base}/gold/wilayah_risk_score"), models_path=f"{out_base}/models")
     fin.write.mode("overwrite").parquet(f"{out_base}/gold/wilayah_final")
-    fin.write.mode("overwrite").json(f"{out_base}/export/wilayah_final_json")
+    export_json(fin, f"{out_base}/export/wilayah_final_json")
     return {"messages": counts, "silver_rows": silver_rows,
             "final": spark.read.parquet(f"{out_base}/gold/wilayah_final")}

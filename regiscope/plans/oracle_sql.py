@@ -13,26 +13,26 @@ from __future__ import annotations
 
 _SILVER = """
 pop AS (
-  SELECT n.n_name AS kabupaten_kota, CAST(count(*) AS INTEGER) AS populasi
+  SELECT n.n_name AS kabupaten_kota, CAST(count(*) AS BIGINT) AS populasi
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
   GROUP BY n.n_name),
 bur AS (
   SELECT n.n_name AS kabupaten_kota,
-         CAST(count(*) FILTER (WHERE o.o_orderpriority = '1-URGENT') AS INTEGER) AS total_stunting,
-         CAST(count(*) FILTER (WHERE o.o_orderpriority = '2-HIGH') AS INTEGER) AS total_gizi_buruk,
-         CAST(count(*) FILTER (WHERE o.o_orderpriority = '3-MEDIUM') AS INTEGER) AS total_gizi_kurang,
-         CAST(count(*) FILTER (WHERE o.o_orderpriority = '5-LOW') AS INTEGER) AS total_underweight
+         CAST(count(*) FILTER (WHERE o.o_orderpriority = '1-URGENT') AS BIGINT) AS total_stunting,
+         CAST(count(*) FILTER (WHERE o.o_orderpriority = '2-HIGH') AS BIGINT) AS total_gizi_buruk,
+         CAST(count(*) FILTER (WHERE o.o_orderpriority = '3-MEDIUM') AS BIGINT) AS total_gizi_kurang,
+         CAST(count(*) FILTER (WHERE o.o_orderpriority = '5-LOW') AS BIGINT) AS total_underweight
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   GROUP BY n.n_name),
 sup AS (
   SELECT n.n_name AS kabupaten_kota,
-         CAST(count(*) FILTER (WHERE s.s_acctbal >= 5000) AS INTEGER) AS jumlah_rs_umum,
-         CAST(count(*) FILTER (WHERE s.s_acctbal < 5000) AS INTEGER) AS jumlah_rs_khusus
+         CAST(count(*) FILTER (WHERE s.s_acctbal >= 5000) AS BIGINT) AS jumlah_rs_umum,
+         CAST(count(*) FILTER (WHERE s.s_acctbal < 5000) AS BIGINT) AS jumlah_rs_khusus
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
   GROUP BY n.n_name),
 posy AS (
-  SELECT n.n_name AS kabupaten_kota, CAST(count(DISTINCT l.l_partkey) AS INTEGER) AS jumlah_posyandu
+  SELECT n.n_name AS kabupaten_kota, CAST(count(DISTINCT l.l_partkey) AS BIGINT) AS jumlah_posyandu
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey
   GROUP BY n.n_name),
@@ -106,7 +106,7 @@ gold AS (
     round(prevalensi_stunting_pct, 2) AS prevalensi_stunting_pct,
     round(nci, 4) AS nutrition_coverage_index,
     round(nrs, 4) AS nutrition_risk_score,
-    CAST(rank() OVER (ORDER BY nrs DESC NULLS LAST) AS INTEGER) AS priority_rank,
+    CAST(rank() OVER (ORDER BY nrs DESC NULLS LAST) AS BIGINT) AS priority_rank,
     nrs AS nrs_raw, nci AS nci_raw, n0, n1, n2, n3
   FROM sc)
 """
@@ -173,8 +173,8 @@ WHERE k IS NOT NULL AND k >= 0"""
 SQL["q05_placeholder_fill"] = """
 SELECT p_partkey,
   COALESCE(TRY_CAST(CASE WHEN trim(regexp_extract(p_brand, '#(\\d+)$', 1)) IN ('1') THEN '0'
-                         ELSE regexp_extract(p_brand, '#(\\d+)$', 1) END AS INTEGER), 0) AS brand_no,
-  CAST(TRY_CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(18,4)) * 1000 AS INTEGER) AS price_milli
+                         ELSE regexp_extract(p_brand, '#(\\d+)$', 1) END AS BIGINT), 0) AS brand_no,
+  CAST(TRY_CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(18,4)) * 1000 AS BIGINT) AS price_milli
 FROM part"""
 
 SQL["q06_dedupe_key"] = """
@@ -218,7 +218,7 @@ FROM lineitem CROSS JOIN st"""
 
 SQL["q20_global_rank"] = """
 SELECT o_orderkey, o_totalprice,
-  CAST(rank() OVER (ORDER BY o_totalprice DESC NULLS LAST) AS INTEGER) AS price_rank FROM orders"""
+  CAST(rank() OVER (ORDER BY o_totalprice DESC NULLS LAST) AS BIGINT) AS price_rank FROM orders"""
 
 _CUST = """
 cper AS (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS s, max(o_totalprice) AS mx,
@@ -339,21 +339,21 @@ SQL["q35_summary"] = _GF + """SELECT count(*) AS n_rows, round(avg(nutrition_ris
   CAST(sum(jumlah_posyandu) AS BIGINT) AS sum_jumlah_posyandu, CAST(sum(total_nakes) AS BIGINT) AS sum_total_nakes,
   count(*) FILTER (WHERE is_anomaly) AS n_is_anomaly FROM final"""
 _ARGMAX = """hr AS (SELECT kabupaten_kota, nutrition_risk_score AS value FROM final WHERE nutrition_risk_score IS NOT NULL
-            ORDER BY nutrition_risk_score DESC, kabupaten_kota DESC LIMIT 1),
+            ORDER BY nutrition_risk_score DESC, priority_rank, kabupaten_kota LIMIT 1),
 bc AS (SELECT kabupaten_kota, nutrition_coverage_index AS value FROM final WHERE nutrition_coverage_index IS NOT NULL
-       ORDER BY nutrition_coverage_index DESC, kabupaten_kota DESC LIMIT 1)
+       ORDER BY nutrition_coverage_index DESC, priority_rank, kabupaten_kota LIMIT 1)
 """
 SQL["q36_argmax"] = _GF + "," + _ARGMAX + """SELECT 'highest_risk' AS metric, kabupaten_kota, value FROM hr
 UNION ALL SELECT 'best_coverage' AS metric, kabupaten_kota, value FROM bc"""
 SQL["q37_insights"] = _GF + "," + _ARGMAX + """SELECT 'Prioritas Intervensi' AS title,
-  printf('%s memiliki Nutrition Risk Score tertinggi (%.4f)', kabupaten_kota, value) AS body FROM hr
+  kabupaten_kota || ' memiliki Nutrition Risk Score tertinggi (' || CAST(value AS VARCHAR) || ')' AS body FROM hr
 UNION ALL SELECT 'Coverage Tertinggi' AS title, kabupaten_kota AS body FROM bc
 UNION ALL SELECT 'Audit Distribusi' AS title,
   'Perbedaan rasio fasilitas dan tenaga kesehatan menunjukkan ketimpangan.' AS body"""
 SQL["q38_display"] = _GF + """SELECT kabupaten_kota, priority_rank,
   CASE WHEN priority_rank = 1 THEN '1' WHEN priority_rank <= 3 THEN 'top' ELSE 'mid' END AS rank_tier,
   least(nutrition_risk_score * 100.0, 100.0) AS risk_bar_pct,
-  CAST(round(nutrition_coverage_index * 100.0, 0) AS INTEGER) AS coverage_pct,
+  CAST(round_even(nutrition_coverage_index * 100.0, 0) AS INTEGER) AS coverage_pct,
   CASE WHEN is_anomaly THEN 'Ya' WHEN NOT is_anomaly THEN 'Tidak' END AS anomaly_label,
   cluster_label FROM final"""
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.format import capped_percent, rank_tier, rounded_percent, yes_no
+from ..functions.format import capped_percent, plain_number, rank_tier, rounded_percent, yes_no
 from ..operators.aggregate import arg_max, summary
 
 KEY = "kabupaten_kota"
@@ -20,7 +20,7 @@ NCI = "nutrition_coverage_index"
 TITLE_PRIORITY = "Prioritas Intervensi"
 TITLE_COVERAGE = "Coverage Tertinggi"
 TITLE_AUDIT = "Audit Distribusi"
-BODY_PRIORITY = "%s memiliki Nutrition Risk Score tertinggi (%.4f)"
+BODY_PRIORITY = "%s memiliki Nutrition Risk Score tertinggi (%s)"
 BODY_AUDIT = "Perbedaan rasio fasilitas dan tenaga kesehatan menunjukkan ketimpangan."
 
 
@@ -31,9 +31,9 @@ def dashboard_summary(final: DataFrame) -> DataFrame:
 
 def highlights(final: DataFrame) -> DataFrame:
     """The highest-risk and the best-covered region (two rows)."""
-    hi = arg_max(final, NRS, KEY, [KEY, NRS]).select(
+    hi = arg_max(final, NRS, ["priority_rank", KEY], [KEY, NRS]).select(
         F.lit("highest_risk").alias("metric"), KEY, F.col(NRS).alias("value"))
-    cov = arg_max(final, NCI, KEY, [KEY, NCI]).select(
+    cov = arg_max(final, NCI, ["priority_rank", KEY], [KEY, NCI]).select(
         F.lit("best_coverage").alias("metric"), KEY, F.col(NCI).alias("value"))
     return hi.unionByName(cov)
 
@@ -43,7 +43,7 @@ def insights(final: DataFrame) -> DataFrame:
     h = highlights(final)
     top = h.where(F.col("metric") == "highest_risk").select(
         F.lit(TITLE_PRIORITY).alias("title"),
-        F.format_string(BODY_PRIORITY, F.col(KEY), F.col("value")).alias("body"))
+        F.format_string(BODY_PRIORITY, F.col(KEY), plain_number("value")).alias("body"))
     cov = h.where(F.col("metric") == "best_coverage").select(
         F.lit(TITLE_COVERAGE).alias("title"), F.col(KEY).alias("body"))
     audit = final.sparkSession.range(1).select(F.lit(TITLE_AUDIT).alias("title"), F.lit(BODY_AUDIT).alias("body"))
@@ -61,11 +61,6 @@ def display(final: DataFrame) -> DataFrame:
         "cluster_label")
 
 
-def ranked_regions(final: DataFrame) -> DataFrame:
-    """The region list in priority order (ordering at the reading edge)."""
-    return final.orderBy("priority_rank", KEY)
-
-
 # Cluster colours of the map and the colour for unlabelled regions.
 CLUSTER_COLORS = {"Risiko Rendah": "#2ecc71", "Risiko Sedang": "#f39c12", "Risiko Tinggi": "#e74c3c"}
 NO_LABEL_COLOR = "lightgrey"

@@ -49,7 +49,7 @@ def _named(spark, sf_dir, df: DataFrame, nation_key: str) -> DataFrame:
 
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
-    per = c.groupBy(F.col("c_nationkey").alias("nk")).agg(F.count(F.lit(1)).cast("int").alias("populasi"))
+    per = c.groupBy(F.col("c_nationkey").alias("nk")).agg(F.count(F.lit(1)).cast("bigint").alias("populasi"))
     return _named(spark, sf_dir, per, "nk")
 
 
@@ -80,7 +80,7 @@ def nation_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = li.groupBy(F.col("l_suppkey").alias("sk"), "l_partkey").agg(F.count(F.lit(1)).alias("n"))
     per_part = (pairs.join(_supplier_nation(spark, sf_dir), "sk", "inner")
                 .groupBy("nk", "l_partkey").agg(F.sum("n").alias("n")))
-    out = per_part.groupBy("nk").agg(F.count("l_partkey").cast("int").alias("jumlah_posyandu"),
+    out = per_part.groupBy("nk").agg(F.count("l_partkey").cast("bigint").alias("jumlah_posyandu"),
                                      F.sum("n").cast("bigint").alias("total_nakes"))
     return materialize(out)
 
@@ -88,8 +88,8 @@ def nation_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def facilities(spark: SparkSession, sf_dir: str, supply: DataFrame | None = None) -> DataFrame:
     s = load(spark, sf_dir, "supplier")
     sup = s.groupBy(F.col("s_nationkey").alias("nk")).agg(
-        F.count_if(F.col("s_acctbal") >= ACCTBAL_SPLIT).cast("int").alias("jumlah_rs_umum"),
-        F.count_if(F.col("s_acctbal") < ACCTBAL_SPLIT).cast("int").alias("jumlah_rs_khusus"))
+        F.count_if(F.col("s_acctbal") >= ACCTBAL_SPLIT).cast("bigint").alias("jumlah_rs_umum"),
+        F.count_if(F.col("s_acctbal") < ACCTBAL_SPLIT).cast("bigint").alias("jumlah_rs_khusus"))
     supply = supply if supply is not None else nation_supply(spark, sf_dir)
     fac = sup.join(supply.select("nk", "jumlah_posyandu"), "nk", "left").na.fill(0, subset=["jumlah_posyandu"])
     return _named(spark, sf_dir, fac, "nk")

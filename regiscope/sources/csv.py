@@ -11,6 +11,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
@@ -30,13 +31,14 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str],
              rename: bool = True) -> DataFrame:
     """Read ``path`` (file, folder or glob) with header; every column a
-    string. ``columns`` are the header names in file order."""
-    schema = string_schema(columns)
+    string. ``columns`` are found in the header by name, in any order; one the
+    file lacks is NULL. Files of a folder must agree on their header."""
     try:
-        df = (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
-              .option("mode", "PERMISSIVE").csv(path))
+        df = (spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8")
+              .option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path))
     except AnalysisException:
-        df = spark.createDataFrame([], schema)
-    if rename:
-        df = df.toDF(*[snake(c) for c in columns])
-    return df
+        df = spark.createDataFrame([], string_schema(columns))
+    df = df.toDF(*[c.replace(BOM, "").strip() for c in df.columns])
+    have = set(df.columns)
+    df = df.select(*[(F.col(f"`{c}`") if c in have else F.lit(None).cast("string")).alias(c) for c in columns])
+    return df.toDF(*[snake(c) for c in columns]) if rename else df

@@ -42,7 +42,8 @@ def write_bronze(df: DataFrame, path: str, partition_by: Sequence[str] = ("inges
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite, without ``coalesce(1)``.
+    """Overwrite the whole table (partitions of an earlier run go as
+    well), without ``coalesce(1)``.
 
     Partitioned output goes through the ``REBALANCE`` hint on the partition
     columns: rows of one partition value are clustered so each task writes
@@ -51,7 +52,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     ``repartition(col)`` would)."""
     if partition_by:
         w = df.hint("rebalance", *partition_by)
-        (w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (w.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(*partition_by).parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)
@@ -66,15 +67,10 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def export_json(df: DataFrame, path: str) -> None:
-    """Records as JSON lines (one file per task, no driver hop)."""
-    df.write.mode("overwrite").json(path)
+    """Records as JSON lines (one file per task, no driver hop), NULL fields included."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
     """JSON records with a declared schema (``multiline`` for array files)."""
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """Typed empty result for empty inputs."""
-    return spark.createDataFrame([], schema)

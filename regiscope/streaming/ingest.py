@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import sanitize
+from ..operators.audit import observed, rows_of
 from ..sources.messages import MESSAGE_SCHEMA, decode
 from ..sources.tables import with_ingest_metadata
 
@@ -57,37 +58,44 @@ def bronze_frame(messages: DataFrame, schema: T.StructType, batch_id: str,
 
 def ingest(spark: SparkSession, topic_path: str, bronze_path: str, checkpoint: str,
            schema: T.StructType, batch_id: str, ingested_at: str | None = None,
-           topics: list[str] | None = None, timeout_s: int = 600,
-           max_files_per_trigger: int | None = None, after_write=None) -> dict:
-    """Run the bounded stream to completion; returns rows read per micro-batch.
+           topics: list[str] | None = None, timeout_s: int | None = None,
+           max_files_per_trigger: int | None = None, after_write=None,
+           kafka: str | None = None) -> dict:
+    """Run the bounded stream to completion; returns rows written per micro-batch,
+    counted while each is written. ``kafka`` names bootstrap servers to read
+    ``topics`` from in place of the folder. Without ``timeout_s`` it waits as
+    long as the stream takes.
     A topic folder that does not exist yet (nothing published) is an empty
     run, not an error."""
     from ..session import path_exists
-    if not path_exists(spark, topic_path):
+    if kafka:
+        messages = kafka_stream(spark, kafka, topics or [])
+    elif path_exists(spark, topic_path):
+        messages = message_stream(spark, topic_path, topics, max_files_per_trigger)
+    else:
         return {}
-    stream = bronze_frame(message_stream(spark, topic_path, topics, max_files_per_trigger),
-                          schema, batch_id, ingested_at)
+    stream = bronze_frame(messages, schema, batch_id, ingested_at)
     written: dict[str, int] = {}
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         # dynamic partition overwrite keyed by (topic, ingested_batch, epoch):
         # replaying an epoch rewrites exactly its own partitions.
+        batch, counted = observed(batch, f"epoch_{epoch_id}")
         (batch.withColumn("epoch", F.lit(int(epoch_id)))
          .write.mode("overwrite").option("compression", "snappy")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("topic", "ingested_batch", "epoch").parquet(bronze_path))
+        written[str(epoch_id)] = rows_of(counted)
         if after_write is not None:  # hook (e.g. to inject a failure after the write)
             after_write(epoch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.isActive:  # pragma: no cover - only on timeout
         q.stop()
         raise TimeoutError("ingest stream did not finish")
     if q.exception():  # pragma: no cover
         raise q.exception()
-    for p in q.recentProgress:
-        written[str(p.get("batchId"))] = int(p.get("numInputRows", 0))
     return written

@@ -80,23 +80,39 @@ def test_rank_ascending_ties(spark):
     assert got == {1: 1, 3: 1, 2: 3, 4: 4}
 
 
-@pytest.mark.parametrize("limit,accuracy", [(10**9, 10000), (50, 10000), (0, 100)])
-def test_exact_quantiles_match_numpy(spark, monkeypatch, limit, accuracy):
-    # limit 1e9: whole column collected; 50: bracket + collected band;
-    # 0: bracket + distributed value index on the band
-    monkeypatch.setattr(ST, "BAND_COLLECT_LIMIT", limit)
+@pytest.mark.parametrize("bins", [2, 7, 4096])
+def test_exact_quantiles_match_numpy(spark, bins):
     rnd = np.random.default_rng(3)
     a = rnd.normal(size=2001).round(3)
     b = rnd.integers(0, 5, size=2001).astype(float)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
     probs = [0.0, 0.1, 0.15, 0.5, 0.9, 1.0]
-    q = {(r.name, r.p): r.value for r in
-         ST.exact_quantiles(df, ["a", "b"], probs, "cont", accuracy=accuracy, buckets=5).collect()}
+    q = {(r.name, r.p): r.value for r in ST.exact_quantiles(df, ["a", "b"], probs, "cont", bins=bins).collect()}
     for p in probs:
         assert q[("a", p)] == pytest.approx(float(np.quantile(a, p)), abs=1e-9)
         assert q[("b", p)] == pytest.approx(float(np.quantile(b, p)), abs=1e-9)
 
 
+def test_exact_quantiles_nan_infinity_and_hot_value(spark):
+    vals = [5.0, float("nan"), 1.0, 4.0, 2.0, 3.0, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    assert ST.exact_quantiles(df, ["x"], [0.5], "disc").first().value == 3.0
+    wide = [float("-inf"), -1.7e308, 5e-324, 0.0, 1.7e308, float("inf"), float("inf")]
+    df = spark.createDataFrame([(v,) for v in wide], "x double")
+    got = [r.value for r in ST.exact_quantiles(df, ["x"], [0.0, 0.2, 0.5, 0.7, 1.0], "disc", bins=3).collect()]
+    assert got == [float("-inf"), -1.7e308, 5e-324, 1.7e308, float("inf")]
+    # a quarter of a million rows, a third of them equal
+    df = spark.range(250_000).select(F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.col("id") / 250_000).alias("x"))
+    want = np.quantile(df.toPandas()["x"], [0.15, 0.5, 0.99])
+    got = [r.value for r in ST.exact_quantiles(df, ["x"], [0.15, 0.5, 0.99], "cont").collect()]
+    assert got == pytest.approx(list(want), abs=1e-12)
+
+
+def test_rank_with_infinities(spark):
+    df = spark.createDataFrame([(1, float("inf")), (2, float("-inf")), (3, 0.5), (4, float("inf"))], "id int, s double")
+    assert {r.id: r.rk for r in RK.rank(df, "s", out="rk").collect()} == {1: 1, 4: 1, 3: 3, 2: 4}
+
+
 def test_median_fill_low_and_mid(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, 3.0, None), (3, None, None)], "id int, x double, y double")
     low = {r.id: (r.x, r.y) for r in ST.impute_quantile(df, ["x", "y"], "disc").collect()}
@@ -130,8 +146,8 @@ def test_pivot_sum_fills_absent(spark):
 
 def test_arg_max_ties(spark):
     df = spark.createDataFrame([("x", 0.5, 2), ("y", 0.9, 1), ("z", 0.9, 3)], "k string, s double, t int")
-    assert AGG.arg_max(df, "s", "t", ["k", "s"]).first().k == "y"
-    assert AGG.arg_max(df, "s", "k", ["k", "s"]).first().k == "z"
+    assert AGG.arg_max(df, "s", ["t"], ["k", "s"]).first().k == "y"
+    assert AGG.arg_max(df, "s", ["k"], ["k", "s"]).first().k == "y"
 
 
 def test_left_join_missing_region_gives_zero_after_fill(spark):
@@ -178,16 +194,6 @@ def test_label_by_mean_is_monotone(spark):
     assert lab == {1: "Risiko Rendah", 2: "Risiko Sedang", 0: "Risiko Tinggi", 3: "Risiko Tinggi"}
 
 
-def test_exact_quantiles_full_index_fallback(spark):
-    vals = [float(x) for x in [5, 1, 1, 9, 3, 3, 3, 7, 2]]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = {r.p: r.value for r in ST._exact_quantiles_full(df, ["x"], [0.15, 0.5, 0.9], "cont", buckets=3).collect()}
-    for p in (0.15, 0.5, 0.9):
-        assert got[p] == pytest.approx(float(np.quantile(vals, p)))
-    disc = {r.p: r.value for r in ST._exact_quantiles_full(df, ["x"], [0.5], "disc", buckets=3).collect()}
-    assert disc[0.5] == 3.0
-
-
 def test_hot_score_rows_spread_over_tasks(spark):
     """Half the rows share one score; after the salted lookup they sit in
     many partitions (a plain hash join on the score would put them in one)."""
