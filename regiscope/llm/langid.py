@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lists, out_batch
+from .common import lists, out_batch, store
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
@@ -93,6 +93,7 @@ def fit(df: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict:
     rows = (df.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
             .select(F.col(lang_col).cast("string").alias("__lang"), F.col(text_col).alias("__text"))
             .mapInArrow(count, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    rows = store(rows, "langid-counts")  # the texts are counted once
     langs_seen = rows.where(F.col("bucket") == BUCKETS).select("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(langs_seen) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
