@@ -88,7 +88,7 @@ def test_display_helpers(spark):
                      FMT.yes_no("a")).collect()
     assert [r[0] for r in rows] == ["1", "top", "mid"]
     assert math.isclose(rows[0][1], 91.71) and rows[1][1] == 100.0
-    assert [r[2] for r in rows] == [47, 13, 0]
+    assert [r[2] for r in rows] == [47, 12, 0]
     assert [r[3] for r in rows] == ["Ya", "Tidak", None]
 
 

@@ -89,7 +89,7 @@ def test_gold_matches_golden_rows(spark, bronze):
         assert r.nutrition_coverage_index == pytest.approx(g[14], abs=1e-4)
         assert r.nutrition_risk_score == pytest.approx(g[15], abs=1e-4)
         assert r.priority_rank == g[16]
-    assert dict(gold.dtypes)["priority_rank"] == "int" and dict(gold.dtypes)["total_nakes"] == "bigint"
+    assert dict(gold.dtypes)["priority_rank"] == "bigint" and dict(gold.dtypes)["total_nakes"] == "bigint"
 
 
 def test_two_periods_do_not_fan_out(spark, bronze):
@@ -191,3 +191,32 @@ def test_map_layer_colours(spark):
     rows = {r.kabupaten_kota: r for r in SV.map_layer(df).collect()}
     assert rows["A"].fill_color == "#e74c3c" and rows["A"].tooltip_nrs == 0.9171 and rows["A"].tooltip_nci is None
     assert rows["B"].fill_color == "lightgrey" and rows["B"].tooltip_nrs is None and rows["B"].tooltip_anomaly == "Tidak"
+
+
+def test_a_second_run_replaces_the_first(spark, tmp_path):
+    base = str(tmp_path / "job")
+    first = L.run(spark, FIXTURES, base, "20240131_000000", "2024-01-31T00:00:00")
+    rows = {r.kabupaten_kota for r in first["final"].collect()}
+    again = L.run(spark, FIXTURES, base, "20240201_000000", "2024-02-01T00:00:00")
+    assert again["silver_rows"] == first["silver_rows"]
+    for name, n in first["silver_rows"].items():
+        assert spark.read.parquet(f"{base}/silver/{name}").count() == n
+    fin = again["final"].collect()
+    assert len(fin) == len(rows) == 6 and {r.kabupaten_kota for r in fin} == rows
+    text = spark.read.text(f"{base}/export/wilayah_final_json").collect()
+    assert len(text) == 6 and all('"anomaly_score":' in r.value for r in text)
+
+
+def test_a_key_without_period_keeps_its_rows(spark):
+    from regiscope.operators.join import latest_period
+    df = spark.createDataFrame([("a", None, 1), ("b", 2023, 2), ("b", 2024, 3)], "k string, p int, v int")
+    assert sorted(r.v for r in latest_period(df, ["k"], "p").collect()) == [1, 3]
+
+
+def test_csv_columns_by_name(spark, tmp_path):
+    from regiscope.sources.csv import read_csv
+    p = tmp_path / "x.csv"
+    p.write_text("﻿wilayah,periode_data\nJAKARTA,2023\n", encoding="utf-8")
+    got = read_csv(spark, str(p), ["periode_data", "wilayah", "jumlah"]).first()
+    assert (got.periode_data, got.wilayah, got.jumlah) == ("2023", "JAKARTA", None)
+    assert read_csv(spark, str(tmp_path / "none.csv"), ["a"]).count() == 0
