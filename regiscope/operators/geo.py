@@ -63,8 +63,8 @@ def total_bounds(df: DataFrame, x: str = "minx", y: str = "miny",
 def long_values(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """``(field, value)`` long form of string columns, canonicalised."""
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("field"), canonical_name(F.col(f"`{c}`").cast("string")).alias("value"))
-        for c in fields])).alias("__fv")).select("__fv.field", "__fv.value")
+        F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").cast("string").alias("value"))
+        for c in fields])).alias("__fv")).select("__fv.field", canonical_name("__fv.value").alias("value"))
 
 
 def detect_name_field(df: DataFrame, fields: Sequence[str], reference: DataFrame,

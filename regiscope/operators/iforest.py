@@ -212,12 +212,33 @@ def flag(df: DataFrame, score_col: str, contamination: float, out: str = "is_ano
         out, F.coalesce(F.col(score_col) < F.col("__cut"), F.lit(False))).drop("__cut")
 
 
-def contamination_sweep(df: DataFrame, score_col: str, levels: Sequence[float]) -> DataFrame:
-    """One quantile job for all levels -> (contamination, cut, n_flagged).
-
-    The forest is fitted once (the original job refits per level)."""
-    cuts = exact_quantiles(df, [score_col], list(levels), "cont").select(
+def _cuts(df: DataFrame, score_col: str, levels: Sequence[float]) -> DataFrame:
+    """``contamination, cut`` per level from one quantile job."""
+    return exact_quantiles(df, [score_col], list(levels), "cont").select(
         F.col("p").alias("contamination"), F.col("value").alias("cut"))
-    j = df.select(score_col).crossJoin(F.broadcast(cuts))
-    return j.groupBy("contamination", "cut").agg(
-        F.count_if(F.col(score_col) < F.col("cut")).alias("n_flagged"))
+
+
+def _flagged(df: DataFrame, score_col: str, cuts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    packed = cuts.agg(F.sort_array(F.collect_list(F.struct("contamination", "cut"))).alias("__cuts"))
+    low = F.filter("__cuts", lambda c: F.col(score_col) < c["cut"])
+    # the levels travel as one array on one row, so only flagged rows multiply
+    return (attach_stats(df.select(*keys, score_col), packed)
+            .select(*keys, F.explode(low).alias("__c")).select("__c.contamination", *keys))
+
+
+def contamination_flags(df: DataFrame, score_col: str, levels: Sequence[float],
+                        keys: Sequence[str]) -> DataFrame:
+    """The keys flagged at every level, as ``contamination, keys...`` rows.
+
+    One quantile job and one pass over the scores serve all levels; the
+    forest is fitted once (the original job refits it per level). A NULL score
+    is never flagged."""
+    return _flagged(df, score_col, _cuts(df, score_col, levels), keys)
+
+
+def contamination_sweep(df: DataFrame, score_col: str, levels: Sequence[float]) -> DataFrame:
+    """M10 summarised: ``contamination, cut, n_flagged`` per level."""
+    cuts = _cuts(df, score_col, levels)
+    counts = _flagged(df, score_col, cuts, []).groupBy("contamination").agg(F.count(F.lit(1)).alias("n"))
+    return cuts.join(counts, "contamination", "left").select(
+        "contamination", "cut", F.coalesce("n", F.lit(0)).alias("n_flagged"))

@@ -60,7 +60,10 @@ def best_overlap(long_df: DataFrame, reference: DataFrame, field: str = "field",
     ref = reference.select(F.col(ref_value).alias("__ref")).distinct()
     hits = vals.join(ref, F.col(value) == F.col("__ref"), "left_semi")
     scores = hits.groupBy(field).agg(F.count(F.lit(1)).alias("score"))
-    fields = long_df.select(field).distinct()
+    if field_order:  # the fields are known: no second pass over the values
+        fields = long_df.sparkSession.createDataFrame([(f,) for f in field_order], f"`{field}` string")
+    else:
+        fields = long_df.select(field).distinct()
     scored = fields.join(scores, field, "left").na.fill(0, subset=["score"])
     if field_order:
         order_map = F.create_map(*[F.lit(x) for i, f in enumerate(field_order) for x in (f, i)])

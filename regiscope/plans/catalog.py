@@ -28,6 +28,7 @@ from ..sources import tables as TBL
 from ..streaming import ingest as ING
 from . import features as FE
 from . import gold as G
+from . import layers as L
 from . import serve as SV
 from . import testtables as TT
 
@@ -56,9 +57,17 @@ Q03_BLACKLIST = ["OLD BOLT", ""]
 Q03_PREFIXES = ["NEW ", "HOT "]
 Q05_PLACEHOLDERS = ("1",)
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-CLUSTER_FEATURES = ["z_avg_price", "z_acctbal"]
-FIXED_CENTRES = [(-1.0, -1.0), (0.0, 0.0), (1.0, 1.0)]
-GOLD_CLUSTER_FEATURES = ["z_prevalensi", "z_rasio_nakes"]
+CLUSTER_FEATURES = ["z_avg_price", "z_max_price", "z_n_orders", "z_acctbal"]
+FIXED_CENTRES = [(-1.0,) * 4, (0.0,) * 4, (1.0,) * 4]
+GOLD_CENTRES = [(-1.0,) * 5, (0.0,) * 5, (1.0,) * 5]
+BOUNDARY_PREFIXES = ["", "KOTA ADM. ", " kabupaten ", "Kab. Adm. ", "ADM. "]
+# two fixed trees over FE.LINEITEM_FEATURES as (tree, node, feature, threshold, left, right, size, depth)
+FIXED_FOREST = [
+    (0, 0, 1, 30000.5, 1, 2, 256, 0), (0, 1, 0, 10.5, 3, 4, 140, 1), (0, 2, -1, 0.0, -1, -1, 116, 1),
+    (0, 3, -1, 0.0, -1, -1, 40, 2), (0, 4, -1, 0.0, -1, -1, 100, 2),
+    (1, 0, 4, 20000.5, 1, 2, 256, 0), (1, 1, -1, 0.0, -1, -1, 2, 1), (1, 2, 2, 0.055, 3, 4, 254, 1),
+    (1, 3, -1, 0.0, -1, -1, 1, 2), (1, 4, -1, 0.0, -1, -1, 253, 2)]
+FIXED_PSI = 256
 CONTAMINATION = 0.15
 CONTAMINATION_LEVELS = [0.10, 0.15, 0.20]
 INGEST_BATCH = "20240131_000000"
@@ -397,9 +406,9 @@ def q32(spark, sf_dir):
 
 @register("q33_contamination_sweep")
 def q33(spark, sf_dir):
-    """Flagged counts for three contamination levels from one quantile job."""
-    sw = IF.contamination_sweep(_net_price(spark, sf_dir), "score", CONTAMINATION_LEVELS)
-    return sw.select("contamination", F.round("cut", 6).alias("cut"), "n_flagged")
+    """The flagged keys of three contamination levels from one quantile job."""
+    return IF.contamination_flags(_net_price(spark, sf_dir), "score", CONTAMINATION_LEVELS,
+                                  ["l_orderkey", "l_linenumber", "l_partkey"])
 
 
 # --- Gold final and serving ----------------------------------------------------
@@ -410,14 +419,12 @@ def gold_final(spark, sf_dir):
     flagged below its 15 % quantile)."""
     g = materialize(gold_frame(spark, sf_dir))
     as_of = _t(spark, sf_dir, "orders").agg(FMT.iso_timestamp(F.max("o_orderdate")).alias("last_updated"))
-    feats = ST.impute_quantile(g.select(G.KEY, "prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi",
-                                        "nutrition_risk_score"),
-                               ["prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi"], "disc")
+    zs = [f"z_{c}" for c in L.FEATURE_COLS]
+    feats = ST.impute_quantile(g.select(G.KEY, *L.FEATURE_COLS, "nutrition_risk_score"), L.FEATURE_COLS, "disc")
     # region-grain intermediates are checkpointed so each quantile step plans
     # against stored rows
-    z = ST.zscore(materialize(feats), ["prevalensi_stunting_pct", "rasio_nakes_per_10k_populasi"],
-                  GOLD_CLUSTER_FEATURES)
-    a = CL.assign_nearest(z, GOLD_CLUSTER_FEATURES, FIXED_CENTRES, dist_out="__d")
+    z = ST.zscore(materialize(feats), L.FEATURE_COLS, zs)
+    a = CL.assign_nearest(z, zs, GOLD_CENTRES, dist_out="__d")
     lab = CL.label_by_mean(a, "cluster_id", "nutrition_risk_score")
     an = materialize(lab.withColumn("anomaly_score", F.round(-F.col("__d"), 6)))
     an = ST.flag_below_quantile(an, "anomaly_score", CONTAMINATION)
@@ -443,7 +450,7 @@ def q35(spark, sf_dir):
 
 @register("q36_argmax")
 def q36(spark, sf_dir):
-    """Highest-risk and best-covered region."""
+    """Full records of the highest-risk and the best-covered region."""
     return SV.highlights(gold_final(spark, sf_dir))
 
 
@@ -461,17 +468,18 @@ def q38(spark, sf_dir):
 
 @register("q39_name_canonical")
 def q39(spark, sf_dir):
-    """P27 + P28 + J3: canonical boundary key and title label joined to scores."""
-    n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    """P27 + P28 + J3: canonical boundary key joined to scores, title label of
+    the name as delivered. The boundary names carry administrative prefixes
+    chosen by the nation key, so every name passes the cascade."""
+    prefix = F.element_at(F.array(*[F.lit(p) for p in BOUNDARY_PREFIXES]),
+                          (F.col("n_nationkey") % len(BOUNDARY_PREFIXES) + 1).cast("int"))
+    n = _t(spark, sf_dir, "nation").select("n_nationkey", F.concat(prefix, "n_name").alias("name"))
     g = gold_frame(spark, sf_dir).select(G.KEY, "nutrition_risk_score", "priority_rank")
-    j = GEO.join_boundaries(n, "n_name", g)
-    return j.select("n_nationkey", "wilayah_key", TXT.title_case("wilayah_key").alias("label"),
+    j = GEO.join_boundaries(n, "name", g)
+    return j.select("n_nationkey", "wilayah_key", TXT.title_case("name").alias("label"),
                     "nutrition_risk_score", "priority_rank")
 
 
-FIELD_CANDIDATES = ["c_name", "c_mktsegment", "n_name", "r_name"]
-
-
 @register("q40_field_detect")
 def q40(spark, sf_dir):
     """J4 + A11 + T5: the column whose canonical values overlap the region
@@ -481,16 +489,18 @@ def q40(spark, sf_dir):
     r = _t(spark, sf_dir, "region")
     attrs = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
     ref = n.select(TXT.canonical_name("n_name").alias("value"))
-    return GEO.detect_name_field(attrs, FIELD_CANDIDATES, ref)
+    return GEO.detect_name_field(attrs, attrs.columns, ref)
 
 
 @register("q41_bounds")
 def q41(spark, sf_dir):
-    """A10: bounding box of the first two embedding dimensions."""
-    e = _t(spark, sf_dir, "embeddings")
-    pts = e.select(F.element_at("embedding", 1).cast("double").alias("x"),
-                   F.element_at("embedding", 2).cast("double").alias("y"))
-    return GEO.total_bounds(pts, "x", "y", "x", "y")
+    """A10: box around all features; every embedding is a ring whose points
+    are its consecutive pairs of dimensions."""
+    e = _t(spark, sf_dir, "embeddings").where(F.size("embedding") >= 2)
+    v = F.col("embedding").cast("array<double>")
+    ring = F.transform(F.sequence(F.lit(0), F.floor(F.size("embedding") / 2).cast("int") - 1),
+                       lambda i: F.array(v[2 * i], v[2 * i + 1]))
+    return GEO.total_bounds(GEO.feature_bounds(e.select(F.array(ring).alias("rings"))))
 
 
 @register("q42_sanitize")
@@ -592,7 +602,6 @@ def q50(spark, sf_dir):
     """J2 with the real models: Gold per region -> K-Means (k=3, lower-median
     fill, sample-sd scaling, labels by mean NRS) and the distributed
     Isolation Forest (midpoint fill, population-sd scaling, 15 % cut)."""
-    from . import layers as L
     as_of = _t(spark, sf_dir, "orders").agg(F.max("o_orderdate").alias("last_updated"))
     return L.final(gold_frame(spark, sf_dir).crossJoin(F.broadcast(as_of)))
 
@@ -602,3 +611,23 @@ def q51(spark, sf_dir):
     """P25 + P26: map fill colour per cluster label (default for none) and
     NULL-safe rounded tooltip fields over the Gold final table."""
     return SV.map_layer(gold_final(spark, sf_dir))
+
+
+@register("q52_forest_score_fixed")
+def q52(spark, sf_dir):
+    """M9 scoring + A12 against a fixed node table: the score of every lineitem
+    and its 15 % flag, so that SQL can reproduce the walk through the trees."""
+    li = FE.lineitem_features(spark, sf_dir)
+    nodes = spark.createDataFrame(FIXED_FOREST, IF.NODE_SCHEMA)
+    path = scratch_path(spark, "fixed-scores")
+    (IF.score(li.select("l_orderkey", "l_linenumber", "l_partkey", *FE.LINEITEM_FEATURES), nodes,
+              FE.LINEITEM_FEATURES, FIXED_PSI)
+     .select("l_orderkey", "l_linenumber", "l_partkey", F.round("anomaly_score", 6).alias("anomaly_score"))
+     .write.parquet(path))
+    return IF.flag(spark.read.parquet(path), "anomaly_score", CONTAMINATION)
+
+
+@register("q53_anomaly_listing")
+def q53(spark, sf_dir):
+    """Regions from most to least anomalous."""
+    return SV.anomaly_listing(gold_final(spark, sf_dir))

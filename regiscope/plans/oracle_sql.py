@@ -256,11 +256,11 @@ def _zsql(src: str, sd: str, digits: int | None = 6) -> str:
 SQL["q23_scale_sample"] = f"WITH {_CUST.strip()}, {_zsql('cf', 'stddev_samp')} SELECT c_custkey, {', '.join(_Z)} FROM z"
 SQL["q24_scale_pop"] = f"WITH {_CUST.strip()}, {_zsql('cf', 'stddev_pop')} SELECT c_custkey, {', '.join(_Z)} FROM z"
 
-_CENTRES = [(-1.0, -1.0), (0.0, 0.0), (1.0, 1.0)]
+_CENTRES = (-1.0, 0.0, 1.0)  # every coordinate of a centre
 
 
-def _dist(xs: list[str], c: tuple) -> str:
-    return " + ".join(f"({x} - ({v})) * ({x} - ({v}))" for x, v in zip(xs, c))
+def _dist(xs: list[str], v: float) -> str:
+    return " + ".join(f"({x} - ({v})) * ({x} - ({v}))" for x in xs)
 
 
 def _assign(src: str, xs: list[str]) -> str:
@@ -271,16 +271,16 @@ def _assign(src: str, xs: list[str]) -> str:
 
 
 _CL_BASE = (f"WITH {_CUST.strip()},\n{_fill('quantile_disc', '0.0')},\n{_zsql('filled', 'stddev_samp', None)},\n"
-            + _assign("z", ["z_avg_price", "z_acctbal"]))
+            + _assign("z", _Z))
+_SQ = " + ".join(f"{z} * {z}" for z in _Z)
 
 SQL["q26_assign_fixed"] = _CL_BASE + " SELECT c_custkey, CAST(cluster_id AS INTEGER) AS cluster_id FROM asg"
 SQL["q27_wsse_fixed"] = _CL_BASE + " SELECT round(sum(dmin), 6) AS wsse FROM asg"
-SQL["q28_silhouette_fixed"] = _CL_BASE + """,
-cs AS (SELECT cluster_id AS c, count(*) AS n, sum(z_avg_price * z_avg_price + z_acctbal * z_acctbal) AS p,
-              sum(z_avg_price) AS y0, sum(z_acctbal) AS y1 FROM asg GROUP BY cluster_id),
+SQL["q28_silhouette_fixed"] = _CL_BASE + f""",
+cs AS (SELECT cluster_id AS c, count(*) AS n, sum({_SQ}) AS p,
+              {", ".join(f"sum({z}) AS y_{z}" for z in _Z)} FROM asg GROUP BY cluster_id),
 pd AS (SELECT a.c_custkey, a.cluster_id, cs.c, cs.n,
-              (cs.n * (a.z_avg_price * a.z_avg_price + a.z_acctbal * a.z_acctbal) + cs.p
-               - 2.0 * (a.z_avg_price * cs.y0 + a.z_acctbal * cs.y1)) AS tot
+              (cs.n * ({_SQ}) + cs.p - 2.0 * ({" + ".join(f"a.{z} * cs.y_{z}" for z in _Z)})) AS tot
        FROM asg a CROSS JOIN cs),
 sv AS (SELECT c_custkey,
          max(CASE WHEN c = cluster_id THEN n END) AS own_n,
@@ -302,20 +302,21 @@ SELECT l_orderkey, l_linenumber, l_partkey, COALESCE(score < cut, false) AS is_a
 SQL["q33_contamination_sweep"] = f"""WITH {_NET},
 qs AS (SELECT quantile_cont(score, [0.10, 0.15, 0.20]) AS cuts FROM net),
 ct AS (SELECT CAST(unnest([0.10, 0.15, 0.20]) AS DOUBLE) AS contamination, unnest(cuts) AS cut FROM qs)
-SELECT ct.contamination, round(ct.cut, 6) AS cut, count(*) FILTER (WHERE net.score < ct.cut) AS n_flagged
-FROM ct CROSS JOIN net GROUP BY ct.contamination, ct.cut"""
-
-_GF = GOLD_CTE.rstrip() + """,
-gf AS (SELECT kabupaten_kota, prevalensi_stunting_pct AS x0, rasio_nakes_per_10k_populasi AS x1,
-              nutrition_risk_score FROM gold),
-gm AS (SELECT quantile_disc(x0, 0.5) AS m0, quantile_disc(x1, 0.5) AS m1 FROM gf),
-gfl AS (SELECT kabupaten_kota, nutrition_risk_score, COALESCE(x0, m0, 0.0) AS x0, COALESCE(x1, m1, 0.0) AS x1
-        FROM gf CROSS JOIN gm),
-gzs AS (SELECT avg(x0) AS mu0, stddev_samp(x0) AS sd0, avg(x1) AS mu1, stddev_samp(x1) AS sd1 FROM gfl),
-gz AS (SELECT gfl.*, CASE WHEN sd0 IS NULL OR sd0 = 0 THEN 0.0 ELSE (x0 - mu0) / sd0 END AS z0,
-              CASE WHEN sd1 IS NULL OR sd1 = 0 THEN 0.0 ELSE (x1 - mu1) / sd1 END AS z1
+SELECT ct.contamination, net.l_orderkey, net.l_linenumber, net.l_partkey FROM ct JOIN net ON net.score < ct.cut"""
+
+_GX = ["prevalensi_stunting_pct", "rasio_faskes_per_10k_balita", "rasio_posyandu_per_10k_populasi",
+       "rasio_nakes_per_10k_populasi", "nutrition_coverage_index"]
+_I = range(len(_GX))
+_GF = GOLD_CTE.rstrip() + f""",
+gf AS (SELECT kabupaten_kota, {", ".join(f"{x} AS x{i}" for i, x in enumerate(_GX))}, nutrition_risk_score FROM gold),
+gm AS (SELECT {", ".join(f"quantile_disc(x{i}, 0.5) AS m{i}" for i in _I)} FROM gf),
+gfl AS (SELECT kabupaten_kota, nutrition_risk_score,
+          {", ".join(f"COALESCE(x{i}, m{i}, 0.0) AS x{i}" for i in _I)} FROM gf CROSS JOIN gm),
+gzs AS (SELECT {", ".join(f"avg(x{i}) AS mu{i}, stddev_samp(x{i}) AS sd{i}" for i in _I)} FROM gfl),
+gz AS (SELECT gfl.*,
+         {", ".join(f"CASE WHEN sd{i} IS NULL OR sd{i} = 0 THEN 0.0 ELSE (x{i} - mu{i}) / sd{i} END AS z{i}" for i in _I)}
        FROM gfl CROSS JOIN gzs),
-""" + _assign("gz", ["z0", "z1"]) + """,
+""" + _assign("gz", [f"z{i}" for i in _I]) + """,
 gmean AS (SELECT cluster_id, avg(nutrition_risk_score) AS mean FROM asg GROUP BY cluster_id),
 gord AS (SELECT cluster_id, least(row_number() OVER (ORDER BY mean ASC NULLS FIRST, cluster_id) - 1, 2) AS o FROM gmean),
 glab AS (SELECT a.kabupaten_kota, CAST(a.cluster_id AS INTEGER) AS cluster_id,
@@ -338,13 +339,13 @@ SQL["q34_gold_final"] = _GF + "SELECT * FROM final"
 SQL["q35_summary"] = _GF + """SELECT count(*) AS n_rows, round(avg(nutrition_risk_score), 3) AS avg_nutrition_risk_score,
   CAST(sum(jumlah_posyandu) AS BIGINT) AS sum_jumlah_posyandu, CAST(sum(total_nakes) AS BIGINT) AS sum_total_nakes,
   count(*) FILTER (WHERE is_anomaly) AS n_is_anomaly FROM final"""
-_ARGMAX = """hr AS (SELECT kabupaten_kota, nutrition_risk_score AS value FROM final WHERE nutrition_risk_score IS NOT NULL
+_ARGMAX = """hr AS (SELECT nutrition_risk_score AS value, * FROM final WHERE nutrition_risk_score IS NOT NULL
             ORDER BY nutrition_risk_score DESC, priority_rank, kabupaten_kota LIMIT 1),
-bc AS (SELECT kabupaten_kota, nutrition_coverage_index AS value FROM final WHERE nutrition_coverage_index IS NOT NULL
+bc AS (SELECT nutrition_coverage_index AS value, * FROM final WHERE nutrition_coverage_index IS NOT NULL
        ORDER BY nutrition_coverage_index DESC, priority_rank, kabupaten_kota LIMIT 1)
 """
-SQL["q36_argmax"] = _GF + "," + _ARGMAX + """SELECT 'highest_risk' AS metric, kabupaten_kota, value FROM hr
-UNION ALL SELECT 'best_coverage' AS metric, kabupaten_kota, value FROM bc"""
+SQL["q36_argmax"] = _GF + "," + _ARGMAX + """SELECT 'highest_risk' AS metric, * FROM hr
+UNION ALL SELECT 'best_coverage' AS metric, * FROM bc"""
 SQL["q37_insights"] = _GF + "," + _ARGMAX + """SELECT 'Prioritas Intervensi' AS title,
   kabupaten_kota || ' memiliki Nutrition Risk Score tertinggi (' || CAST(value AS VARCHAR) || ')' AS body FROM hr
 UNION ALL SELECT 'Coverage Tertinggi' AS title, kabupaten_kota AS body FROM bc
@@ -355,27 +356,32 @@ SQL["q38_display"] = _GF + """SELECT kabupaten_kota, priority_rank,
   least(nutrition_risk_score * 100.0, 100.0) AS risk_bar_pct,
   CAST(round_even(nutrition_coverage_index * 100.0, 0) AS INTEGER) AS coverage_pct,
   CASE WHEN is_anomaly THEN 'Ya' WHEN NOT is_anomaly THEN 'Tidak' END AS anomaly_label,
-  cluster_label FROM final"""
+  jumlah_posyandu, cluster_label FROM final"""
 
 SQL["q39_name_canonical"] = GOLD_CTE.rstrip() + f""",
-b AS (SELECT n_nationkey, {_canon('n_name')} AS wilayah_key FROM nation),
+nm AS (SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'KOTA ADM. ' WHEN 2 THEN ' kabupaten '
+         WHEN 3 THEN 'Kab. Adm. ' WHEN 4 THEN 'ADM. ' END || n_name AS name FROM nation),
+b AS (SELECT n_nationkey, name, {_canon('name')} AS wilayah_key FROM nm),
 s AS (SELECT {_canon('kabupaten_kota')} AS wilayah_key, nutrition_risk_score, priority_rank FROM gold)
-SELECT b.n_nationkey, b.wilayah_key, {_title('b.wilayah_key')} AS label, s.nutrition_risk_score, s.priority_rank
+SELECT b.n_nationkey, b.wilayah_key, {_title('b.name')} AS label, s.nutrition_risk_score, s.priority_rank
 FROM b LEFT JOIN s ON b.wilayah_key = s.wilayah_key"""
 
-_FIELDS = ["c_name", "c_mktsegment", "n_name", "r_name"]
+_FIELDS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "n_nationkey", "n_name",
+           "n_regionkey", "r_regionkey", "r_name"]
 SQL["q40_field_detect"] = """WITH attrs AS (SELECT * FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey),
 lv AS (""" + " UNION ALL ".join(
-    f"SELECT DISTINCT '{f}' AS field, {_canon(f)} AS value FROM attrs" for f in _FIELDS) + f"""),
+    f"SELECT DISTINCT '{f}' AS field, {_canon(f"CAST({f} AS VARCHAR)")} AS value FROM attrs" for f in _FIELDS) + f"""),
 ref AS (SELECT DISTINCT {_canon('n_name')} AS value FROM nation),
 fl AS (SELECT * FROM (VALUES {", ".join(f"('{f}', {i})" for i, f in enumerate(_FIELDS))}) t(field, pos)),
 sc AS (SELECT fl.field, fl.pos, count(ref.value) AS score FROM fl
        LEFT JOIN lv ON lv.field = fl.field LEFT JOIN ref ON lv.value = ref.value GROUP BY fl.field, fl.pos)
 SELECT field, score FROM sc ORDER BY score DESC, pos ASC LIMIT 1"""
 
-SQL["q41_bounds"] = """SELECT min(CAST(embedding[1] AS DOUBLE)) AS minx, min(CAST(embedding[2] AS DOUBLE)) AS miny,
-  max(CAST(embedding[1] AS DOUBLE)) AS maxx, max(CAST(embedding[2] AS DOUBLE)) AS maxy FROM embeddings"""
+SQL["q41_bounds"] = """WITH u AS (SELECT CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(len(embedding))) AS i,
+  len(embedding) AS n FROM embeddings WHERE len(embedding) >= 2)
+SELECT min(v) FILTER (i % 2 = 0) AS minx, min(v) FILTER (i % 2 = 1) AS miny,
+  max(v) FILTER (i % 2 = 0) AS maxx, max(v) FILTER (i % 2 = 1) AS maxy FROM u WHERE i < n // 2 * 2"""
 
 SQL["q42_sanitize"] = """SELECT event_id, CASE WHEN isnan(x) OR isinf(x) THEN NULL ELSE x END AS x_clean FROM (
   SELECT event_id, CASE WHEN event_type = 'error' THEN 'NaN'::DOUBLE WHEN event_type = 'signup' THEN 'inf'::DOUBLE
@@ -401,3 +407,24 @@ SQL["q51_map_layer"] = _GF + """SELECT kabupaten_kota,
   round(prevalensi_stunting_pct, 2) AS tooltip_prevalence, priority_rank, cluster_label,
   CASE WHEN is_anomaly THEN 'Ya' WHEN NOT is_anomaly THEN 'Tidak' END AS tooltip_anomaly
 FROM final"""
+
+
+def _c(n: int) -> str:
+    """Average path length of an unsuccessful search over n points."""
+    if n <= 2:
+        return str(float(n == 2))
+    return f"(2.0 * (ln({n - 1}.0) + 0.5772156649015329) - 2.0 * {n - 1}.0 / {n}.0)"
+
+
+SQL["q52_forest_score_fixed"] = f"""
+WITH f AS (SELECT *, l_extendedprice * (1.0 - l_discount) AS net_price FROM lineitem),
+p AS (SELECT l_orderkey, l_linenumber, l_partkey,
+    CASE WHEN l_extendedprice < 30000.5 THEN CASE WHEN l_quantity < 10.5 THEN 2.0 + {_c(40)} ELSE 2.0 + {_c(100)} END
+         ELSE 1.0 + {_c(116)} END AS p0,
+    CASE WHEN net_price < 20000.5 THEN 1.0 + {_c(2)}
+         ELSE CASE WHEN l_discount < 0.055 THEN 2.0 + {_c(1)} ELSE 2.0 + {_c(253)} END END AS p1 FROM f),
+s AS (SELECT l_orderkey, l_linenumber, l_partkey,
+    round(-pow(2.0, -((p0 + p1) / 2.0) / {_c(256)}), 6) AS anomaly_score FROM p),
+ct AS (SELECT quantile_cont(anomaly_score, 0.15) AS cut FROM s)
+SELECT s.*, COALESCE(anomaly_score < cut, false) AS is_anomaly FROM s CROSS JOIN ct"""
+SQL["q53_anomaly_listing"] = _GF + "SELECT kabupaten_kota, anomaly_score, is_anomaly FROM final"

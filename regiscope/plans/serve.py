@@ -30,11 +30,12 @@ def dashboard_summary(final: DataFrame) -> DataFrame:
 
 
 def highlights(final: DataFrame) -> DataFrame:
-    """The highest-risk and the best-covered region (two rows)."""
-    hi = arg_max(final, NRS, ["priority_rank", KEY], [KEY, NRS]).select(
-        F.lit("highest_risk").alias("metric"), KEY, F.col(NRS).alias("value"))
-    cov = arg_max(final, NCI, ["priority_rank", KEY], [KEY, NCI]).select(
-        F.lit("best_coverage").alias("metric"), KEY, F.col(NCI).alias("value"))
+    """The highest-risk and the best-covered region: ``metric, value`` and
+    the full record (two rows)."""
+    hi = arg_max(final, NRS, ["priority_rank", KEY]).select(
+        F.lit("highest_risk").alias("metric"), F.col(NRS).alias("value"), *final.columns)
+    cov = arg_max(final, NCI, ["priority_rank", KEY]).select(
+        F.lit("best_coverage").alias("metric"), F.col(NCI).alias("value"), *final.columns)
     return hi.unionByName(cov)
 
 
@@ -58,7 +59,7 @@ def display(final: DataFrame) -> DataFrame:
         capped_percent(NRS).alias("risk_bar_pct"),
         rounded_percent(NCI).alias("coverage_pct"),
         yes_no("is_anomaly").alias("anomaly_label"),
-        "cluster_label")
+        "jumlah_posyandu", "cluster_label")
 
 
 # Cluster colours of the map and the colour for unlabelled regions.
