@@ -166,9 +166,9 @@ def _master(spark, sf_dir):
 
 
 def _indicators(spark, sf_dir):
-    """Region-grain indicators, checkpointed: the statistics row and the
-    rows it is joined back to then share one computation."""
-    return materialize(G.indicators(_master(spark, sf_dir)))
+    """Region-grain indicators over the stored master: the statistics row and
+    the rows it is joined back to share one computation."""
+    return G.indicators(_master(spark, sf_dir))
 
 
 def _scored(spark, sf_dir):

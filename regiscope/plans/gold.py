@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percentage, ratio_per, row_sum, weighted_score
-from ..operators.join import left_join_all, latest_period
+from ..operators.join import assert_unique, left_join_all, latest_period
 from ..operators.rank import rank
 from ..operators.stats import attach_stats
 from ..session import materialize
@@ -40,15 +40,24 @@ def master_table(population: DataFrame, burden: DataFrame, facilities: DataFrame
     ``burden_map`` maps Gold burden names to the pivoted Silver columns. The
     right sides are reduced to one period per region (policy ``latest``)
     before joining, so they cannot fan out the master rows.
+
+    A repeated key of any input repeats a region of the result. With
+    ``check_unique`` the joined rows (one per region) are stored and checked
+    once, so no input is computed a second time for the check; without it the
+    result stays lazy and callers store it before reading it twice.
     """
     bm = burden_map or dict(zip(BURDEN_COLS, ["STUNTING", "GIZI BURUK", "GIZI KURANG", "UNDERWEIGHT"]))
     b = _one_period(burden, period).select(
         KEY, *[F.coalesce(F.col(f"`{src}`"), F.lit(0)).cast("bigint").alias(dst) for dst, src in bm.items()])
     f = _one_period(facilities, period).select(KEY, *FACILITY_COLS)
     w = _one_period(workers, period).select(KEY, WORKER_COL)
-    m = left_join_all(population.select(KEY, "populasi"), [b, f, w], [KEY], check_unique=check_unique)
+    m = left_join_all(population.select(KEY, "populasi"), [b, f, w], [KEY])
     m = m.na.fill(0, subset=[*BURDEN_COLS, *FACILITY_COLS, WORKER_COL])
-    return m.withColumn("total_balita_gizi_buruk", row_sum(BURDEN_COLS))
+    m = m.withColumn("total_balita_gizi_buruk", row_sum(BURDEN_COLS))
+    if check_unique:
+        m = materialize(m)
+        assert_unique(m, [KEY], name="Gold master")
+    return m
 
 
 def indicators(master: DataFrame) -> DataFrame:
@@ -114,9 +123,9 @@ def gold(population: DataFrame, burden: DataFrame, facilities: DataFrame, worker
          as_of: Column | None = None, check_unique: bool = True) -> DataFrame:
     """The whole Silver -> Gold plan (q18)."""
     m = master_table(population, burden, facilities, workers, burden_map, period, check_unique)
-    # one row per region: checkpoint it so the statistics row and the rows it
-    # is joined back to do not each recompute the fact-table aggregates
-    return finalize(scores(materialize(indicators(m))), as_of)
+    # one row per region: stored so the statistics row and the rows it is
+    # joined back to do not each recompute the fact-table aggregates
+    return finalize(scores(indicators(m if check_unique else materialize(m))), as_of)
 
 
 def top(df: DataFrame, n: int = 10, by: Sequence[str] = ("priority_rank", KEY)) -> DataFrame:
