@@ -5,13 +5,15 @@ Algorithm: Liu, Ting and Zhou, "Isolation Forest", ICDM 2008.
 Plan
 1. ``n`` rows; subsample size ``psi = min(max_samples, n)``; height limit
    ``ceil(log2(psi))``.
-2. Pool: every row is kept with probability ``min(1, POOL * psi * T / n)``
-   by a hash of its key and the seed (one hash per row, a narrow filter).
-3. Each pooled row draws one hash per tree; pairs below ``~3 psi / pool``
-   are candidates, and tree ``t`` takes the ``psi`` candidates with the
-   smallest hash. Candidate counts are checked; a tree short of ``psi``
-   candidates is re-drawn without the pre-filter, so the sample is always
-   exactly "the psi smallest hashes". Groups hold a few hundred rows.
+2. Rows with equal features are counted first (a partial aggregate, so a value
+   held by a third of the rows is one row per task). Every copy of a row has
+   its own uniform draw per tree; the least draw of ``c`` copies is taken from
+   one hash by its distribution, and only (row, tree) pairs whose least draw
+   is below about ``CANDIDATE * psi / n`` go on.
+3. Tree ``t`` takes the ``psi`` least draws. Its group holds a few hundred
+   distinct rows whatever their counts; the further draws of a repeated row
+   are generated in ascending order inside the task, at most ``psi`` of them.
+   A tree with fewer than ``psi`` draws raises.
 4. ``groupBy(tree).applyInPandas`` grows each tree with its own seed, so the
    forest does not depend on partitioning. The node table has at most
    ``T * (2 psi - 1)`` rows; it can be saved as Parquet (S16) and is
@@ -32,12 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import spread
 from .stats import attach_stats, exact_quantiles
 
 EULER_GAMMA = 0.5772156649015329
-POOL = 4
-CANDIDATE = 3
+# Candidates per tree: CANDIDATE * psi + MARGIN expected, so that fewer than psi
+# practically never occur (it raises).
+CANDIDATE, MARGIN = 3, 64
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()),
@@ -105,11 +107,29 @@ def grow_tree(x: np.ndarray, tree_id: int, height_limit: int, seed: int) -> list
     return [tuple(n) for n in nodes]
 
 
-def fit(df: DataFrame, features: Sequence[str], key: Sequence[str], n_trees: int = 100,
+def least_draws(u: np.ndarray, copies: np.ndarray, h: np.ndarray, psi: int, seed: int,
+                limit: float = 1.0) -> np.ndarray:
+    """Row numbers of the ``psi`` least draws, where row ``i`` stands for
+    ``copies[i]`` rows whose least draw is ``u[i]``; the others of its draws
+    follow in ascending order from a generator seeded with the row's hash.
+    Draws from ``limit`` on do not count: no row's first draw was kept there."""
+    draws = [(float(x), i) for i, x in enumerate(u)]
+    bound = np.partition(u, psi - 1)[psi - 1] if len(u) >= psi else limit
+    for i in np.flatnonzero(copies > 1):
+        rng = np.random.default_rng([seed, int(h[i]) & 0xFFFFFFFFFFFFFFFF])
+        x = float(u[i])
+        for left in range(int(copies[i]) - 1, max(int(copies[i]) - psi, 0), -1):
+            x = 1.0 - (1.0 - x) * (1.0 - rng.random()) ** (1.0 / left)  # least of the draws left
+            if x >= bound:
+                break
+            draws.append((x, int(i)))
+    return np.array([i for _, i in sorted(draws)[:psi]], dtype=int)
+
+
+def fit(df: DataFrame, features: Sequence[str], n_trees: int = 100,
         max_samples: int = 256, seed: int = 42) -> tuple[DataFrame, int]:
     """Fit the forest; returns (node table, psi). ``features`` must be
-    non-NULL doubles (impute and scale first). ``key`` identifies rows for
-    the sampling hash."""
+    non-NULL doubles (impute and scale first)."""
     spark = df.sparkSession
     feats = list(features)
     n = df.count()
@@ -117,49 +137,37 @@ def fit(df: DataFrame, features: Sequence[str], key: Sequence[str], n_trees: int
         return spark.createDataFrame([], NODE_SCHEMA), 0
     psi = min(max_samples, n)
     height = int(math.ceil(math.log2(psi))) if psi > 1 else 0
-    key_cols = [F.col(k) for k in key]
-    q = min(1.0, POOL * psi * n_trees / n)
-    pool = df.select(*feats, *key_cols).where(_unit(F.xxhash64(*key_cols, F.lit(seed))) < F.lit(q))
+    limit = min(1.0, (CANDIDATE * psi + MARGIN) / n)
+    rows = df.groupBy(*[F.col(c).cast("double").alias(c) for c in feats]).agg(F.count(F.lit(1)).alias("copies"))
+    first = F.lit(1.0) - F.pow(F.lit(1.0) - F.col("u"), F.lit(1.0) / F.col("copies"))
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    pool_n = max(1.0, q * n)
-    thr = min(1.0, CANDIDATE * psi / pool_n)
-
-    def draws(limit: float | None):
-        pairs = F.transform(trees, lambda t: F.struct(
-            t.alias("tree"), _unit(F.xxhash64(*key_cols, t, F.lit(seed) + 1)).alias("u")))
-        if limit is not None and limit < 1.0:
-            # keep only the (row, tree) pairs below the threshold before exploding
-            pairs = F.filter(pairs, lambda x: x["u"] < F.lit(limit))
-        return pool.select(*feats, F.explode(pairs).alias("__tu")).select(*feats, "__tu.tree", "__tu.u")
-
-    # ~CANDIDATE * psi rows per tree: bounded, so checkpointing it is cheap
-    cand = draws(thr).checkpoint(eager=True)
-    counts = {r["tree"]: r["c"] for r in cand.groupBy("tree").agg(F.count(F.lit(1)).alias("c")).collect()}
-    # q < 1 only when n > POOL * psi * T, so the pool always holds >= psi rows.
-    short = [t for t in range(n_trees) if counts.get(t, 0) < psi]
-    if short:
-        cand = cand.where(~F.col("tree").isin(short)).unionByName(
-            draws(None).where(F.col("tree").isin(short)))
-
-    f_names = feats
+    # a copy's draw is below the limit if u is below this; filtered before exploding
+    below = F.lit(1.0) - F.pow(F.lit(1.0 - limit), F.col("copies"))
+    hashes = F.transform(trees, lambda t: F.struct(t.alias("tree"), F.xxhash64(*feats, t, F.lit(seed)).alias("h")))
+    pairs = F.filter(hashes, lambda x: _unit(x["h"]) < below)
+    cand = (rows.select(*feats, "copies", F.explode(pairs).alias("__th"))
+            .select(*feats, "copies", "__th.tree", "__th.h", _unit(F.col("__th.h")).alias("u"))
+            .withColumn("u", first))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        # total order (hash, then features): a retried task rebuilds the
+        # total order (draw, then features): a retried task rebuilds the
         # same tree whatever order the shuffle delivered the rows in
-        pdf = pdf.sort_values(["u", *f_names], kind="mergesort").head(psi)
+        pdf = pdf.sort_values(["u", *feats], kind="mergesort")
         t = int(pdf["tree"].iloc[0])
-        x = pdf[f_names].to_numpy(dtype=float)
-        rows = grow_tree(x, t, height, seed)
-        return pd.DataFrame(rows, columns=[f.name for f in NODE_SCHEMA.fields])
+        pick = least_draws(pdf["u"].to_numpy(), pdf["copies"].to_numpy(), pdf["h"].to_numpy(), psi, seed, limit)
+        if len(pick) < psi:
+            raise ValueError(f"tree {t}: {len(pick)} draws, {psi} wanted")
+        nodes = grow_tree(pdf[feats].to_numpy(dtype=float)[pick], t, height, seed)
+        return pd.DataFrame(nodes, columns=[f.name for f in NODE_SCHEMA.fields])
 
-    nodes = cand.groupBy("tree").applyInPandas(grow, schema=NODE_SCHEMA)
-    return nodes, psi
+    return cand.groupBy("tree").applyInPandas(grow, schema=NODE_SCHEMA), psi
 
 
 def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
           out: str = "anomaly_score") -> DataFrame:
     """Score every row (vectorised ``mapInPandas``); the node table is
-    collected once (bounded by trees x (2 psi - 1) rows) and broadcast."""
+    collected once (bounded by trees x (2 psi - 1) rows) and broadcast. A scan
+    of small splits (``session.store(split_bytes=)``) keeps all cores busy."""
     spark = df.sparkSession
     nd = nodes.toPandas().sort_values(["tree", "node"])
     # Flatten the forest into one node array; child ids become global offsets.
@@ -202,7 +210,7 @@ def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
             pdf[out] = -np.power(2.0, -mean_path / c_psi)
             yield pdf
 
-    return spread(df).mapInPandas(run, schema=schema)
+    return df.mapInPandas(run, schema=schema)
 
 
 def flag(df: DataFrame, score_col: str, contamination: float, out: str = "is_anomaly") -> DataFrame:

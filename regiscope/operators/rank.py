@@ -2,80 +2,56 @@
 
 ``rank(df, score)`` returns SQL ``rank()`` (gaps on ties) or ``dense_rank()``
 over the whole table ordered by ``score`` (descending by default, NULLs
-last) using ``stats.value_index``: the distinct scores are ranked in range
-buckets, then every row looks its score up. The lookup is a shuffle join
-whose hot keys (a score held by more than 1/HOT_FRACTION of all rows, so at
-most HOT_FRACTION of them) are salted across SALT_BUCKETS tasks.
+last). The *distinct* scores are counted, range-partitioned and stored once;
+a rank is the count of the ranges ahead plus the running count within the
+range. Rows of hot scores get their rank by a broadcast join, so they are not
+shuffled; the others look it up by a shuffle join on the score.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stats import HOT_FRACTION, SALT_BUCKETS, value_index
-
-
-def salted_lookup(big: DataFrame, lookup: DataFrame, keys: Sequence[str],
-                  hot: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Left join ``big`` to ``lookup`` (unique on ``keys``) with null-safe key
-    equality, spreading the rows of hot keys over ``salt_buckets`` tasks.
+from ..session import store
 
-    ``hot`` lists the hot key values; its size must be bounded by
-    construction (it is broadcast). Lookup rows of hot keys are replicated
-    once per salt, everything else travels once.
-    """
-    keys = list(keys)
-    hk = hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys]).withColumn("__hot", F.lit(True))
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"__h_{k}"))
-        cond = c if cond is None else cond & c
-    tagged = big.join(F.broadcast(hk), cond, "left").drop(*[f"__h_{k}" for k in keys])
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
-    tagged = tagged.withColumn(
-        "__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salt_buckets)) + 1)
-        .otherwise(F.lit(0)).cast("int")).drop("__hot")
-    lk = lookup.select(*[F.col(k).alias(f"__l_{k}") for k in keys],
-                       *[F.col(c) for c in lookup.columns if c not in keys])
-    # one pass over the lookup: hot keys get one copy per salt, others salt 0
-    lk = lk.join(F.broadcast(hk), [F.col(f"__l_{k}").eqNullSafe(F.col(f"__h_{k}")) for k in keys], "left")
-    lk = lk.withColumn("__lsalt", F.explode(
-        F.when(F.col("__hot"), F.sequence(F.lit(1), F.lit(salt_buckets))).otherwise(F.array(F.lit(0)))))
-    lk = lk.drop("__hot", *[f"__h_{k}" for k in keys])
-    jcond = F.col("__salt") == F.col("__lsalt")
-    for k in keys:
-        jcond = jcond & F.col(k).eqNullSafe(F.col(f"__l_{k}"))
-    out = tagged.join(lk, jcond, "left")
-    return out.drop("__salt", "__lsalt", *[f"__l_{k}" for k in keys])
+# A score that holds more than 1/HOT_FRACTION of the rows is hot; there are
+# fewer than HOT_FRACTION of them, which bounds their broadcast.
+HOT_FRACTION = 10_000
 
 
 def rank(df: DataFrame, score: str, out: str = "rank", descending: bool = True,
          dense: bool = False, buckets: int | None = None) -> DataFrame:
     """Whole-table ``rank()`` / ``dense_rank()`` by ``score``, NULLs last.
 
-    The per-value counts (one partial aggregate over the data) are
-    checkpointed once into the shared checkpoint folder; the bucketed index,
-    the hot-value list and the NULL rank all read that stored table, so the
-    data itself is scanned twice in total (count, final lookup)."""
+    ``buckets`` (default: the session's shuffle partitions) is the number of
+    ranges of distinct scores. Only one row per range reaches the driver. NULL
+    is one more value after all others. The data is read three times (counts,
+    rows of hot scores, other rows)."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = F.col("v")
+    order = v.desc_nulls_last() if descending else v.asc_nulls_last()
     counts = df.groupBy(F.col(score).alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
-    counts = counts.checkpoint(eager=True)
-    idx = value_index(counts.where(F.col("v").isNotNull()), "v", descending=descending,
-                      buckets=buckets, counted=True)
-    before = "dense_before" if dense else "before"
-    ranked = idx.select(F.col("v").alias(score), (F.col(before) + 1).alias(out))
-    # three numbers, read once from the stored counts
-    t = counts.agg(F.sum("cnt").alias("n"), F.sum(F.when(F.col("v").isNotNull(), F.col("cnt"))).alias("nn"),
-                   F.count_if(F.col("v").isNotNull()).alias("nd")).first()
-    n_all, n_rows, n_vals = int(t["n"] or 0), int(t["nn"] or 0), int(t["nd"] or 0)
-    null_rank = counts.sparkSession.range(1).select(
-        F.lit(None).cast(df.schema[score].dataType).alias(score),
-        F.lit((n_vals if dense else n_rows) + 1).cast("long").alias(out))
-    lookup = ranked.unionByName(null_rank)
-    hot = counts.where(F.col("cnt") * HOT_FRACTION > F.lit(n_all)).select(F.col("v").alias(score))
-    return salted_lookup(df, lookup, [score], hot).withColumn(out, F.col(out).cast("bigint"))
+    values = store(counts.repartitionByRange(buckets, order).withColumn("bucket", F.spark_partition_id()),
+                   "rank-values")
+    offsets, rows, ahead = [], 0, 0
+    for b, n, d in sorted(values.groupBy("bucket").agg(F.sum("cnt"), F.count(F.lit(1))).collect()):
+        offsets.append((b, ahead))
+        rows += n
+        ahead += d if dense else n
+    before = Window.partitionBy("bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = F.count(F.lit(1)) if dense else F.coalesce(F.sum("cnt").over(before), F.lit(0))
+    if dense:
+        local = local.over(before)
+    ranked = values.join(F.broadcast(spark.createDataFrame(offsets, "bucket int, ahead bigint")), "bucket").select(
+        v.alias("__v"), "cnt", (F.col("ahead") + local + 1).alias(out))
+    is_hot = F.col("cnt") * HOT_FRACTION > rows
+    hot = F.broadcast(ranked.where(is_hot).drop("cnt"))
+    same = F.col(score).eqNullSafe(F.col("__v"))
+    of_hot = df.join(hot, same)
+    others = df.join(hot.select("__v"), same, "left_anti").join(ranked.where(~is_hot).drop("cnt"), same)
+    return of_hot.unionByName(others).drop("__v")
 
 
 def ordinal_by(df: DataFrame, key: str, value: str, out: str = "ordinal",

@@ -4,11 +4,8 @@
   per-task partials meet in one place) broadcast back onto every row. The
   broadcast side is a single row by construction.
 * ``min_max_normalize`` (W1), ``zscore`` (M2/M3) are built on it.
-* ``value_index`` orders the *distinct* values of a column with exact
-  cumulative counts, split into range buckets so no task ever sorts more than
-  one bucket of distinct values. Hot values collapse in the map-side partial
-  aggregate, so a value holding a third of all rows costs one row here.
-  ``exact_quantiles`` (A8, A9, A12) and ``operators.rank`` build on it.
+* ``exact_quantiles`` (A8, A9, A12) narrows brackets by counting; no rows are
+  sorted and none reach the driver.
 """
 
 from __future__ import annotations
@@ -16,23 +13,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Rows whose value holds more than 1/HOT_FRACTION of the table are "hot";
-# there can be at most HOT_FRACTION of them per group, which bounds every
-# broadcast built from them.
-HOT_FRACTION = 1000
-SALT_BUCKETS = 32
-
-
-def default_buckets(spark) -> int:
-    try:
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    except Exception:  # pragma: no cover - conf always set in practice
-        return 200
-
 
 def attach_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
     """Cross join a one-row statistics frame onto every row.
@@ -87,59 +69,6 @@ def zscore(df: DataFrame, cols: Sequence[str], out: Sequence[str] | None = None,
     return j.drop(*[f"__mu{i}" for i in range(len(cols))], *[f"__sd{i}" for i in range(len(cols))])
 
 
-def value_index(df: DataFrame, value: str, group_by: Sequence[str] = (),
-                descending: bool = False, buckets: int | None = None,
-                counted: bool = False) -> DataFrame:
-    """Distinct non-NULL values with exact order statistics.
-
-    Returns ``group..., v, cnt, before, dense_before, n, n_distinct`` where
-    ``before`` = rows strictly ahead of ``v`` in the requested order within
-    its group, ``dense_before`` = distinct values ahead, ``n`` = non-NULL rows
-    in the group. With ``counted=True`` the input already is
-    ``group..., v, cnt`` with non-NULL ``v`` (e.g. a checkpointed count
-    table), so every pass below reads it instead of re-aggregating the data.
-    """
-    g = list(group_by)
-    buckets = buckets or default_buckets(df.sparkSession)
-    if counted:
-        d = df.select(*g, F.col(value).alias("v"), "cnt")
-    else:
-        d = (df.where(F.col(value).isNotNull())
-             .groupBy(*g, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
-    probs = [i / buckets for i in range(1, buckets)]
-    if probs:
-        # The cut points are at most groups x buckets numbers: computed once
-        # (one sketch pass) and brought back, so later passes do not re-run
-        # the sketch.
-        cut_agg = F.percentile_approx("v", probs, 10000).alias("__cuts")
-        rows = (d.groupBy(*g).agg(cut_agg) if g else d.agg(cut_agg)).collect()
-        db = _assign_buckets(d, g, rows, descending)
-    else:
-        db = d.withColumn("__b", F.lit(0))
-    # Per-bucket totals: at most groups x buckets rows.
-    totals = db.groupBy(*g, "__b").agg(F.sum("cnt").alias("__bc"), F.count(F.lit(1)).alias("__bd"))
-    wprev = (Window.partitionBy(*g).orderBy("__b") if g else Window.orderBy("__b")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*g) if g else Window.partitionBy()
-    offsets = totals.select(
-        *g, "__b",
-        F.coalesce(F.sum("__bc").over(wprev), F.lit(0)).alias("__off"),
-        F.coalesce(F.sum("__bd").over(wprev), F.lit(0)).alias("__doff"),
-        F.sum("__bc").over(wall).alias("n"),
-        F.sum("__bd").over(wall).alias("n_distinct"))
-    order = F.col("v").desc() if descending else F.col("v").asc()
-    wb = Window.partitionBy(*g, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = db.select(*g, "v", "cnt", "__b",
-                      F.coalesce(F.sum("cnt").over(wb), F.lit(0)).alias("__lb"),
-                      F.coalesce(F.count(F.lit(1)).over(wb), F.lit(0)).alias("__ldb"))
-    # offsets has at most groups x buckets rows: a bounded broadcast.
-    out = local.join(F.broadcast(offsets), [*g, "__b"], "inner")
-    return out.select(*g, "v", "cnt",
-                      (F.col("__off") + F.col("__lb")).alias("before"),
-                      (F.col("__doff") + F.col("__ldb")).alias("dense_before"),
-                      "n", "n_distinct")
-
-
 def _positions(n: int, p: float, method: str) -> tuple[int, int, float]:
     if method == "cont":
         pos = p * (n - 1)
@@ -151,53 +80,6 @@ def _positions(n: int, p: float, method: str) -> tuple[int, int, float]:
     raise ValueError(method)
 
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-
-
-def _assign_buckets(d: DataFrame, g: list[str], rows: list, descending: bool) -> DataFrame:
-    """Range bucket of every distinct value ``v`` from the collected cut points.
-
-    Numeric values use ``Bucketizer`` (a JVM binary search, O(log buckets) per
-    row); bucket numbers are monotone in ``v`` and equal values always share a
-    bucket (a monotone cast to double can only merge neighbours, never
-    reorder them). Descending order negates the bucket number. Other types
-    count the cuts below the value with a built-in array filter.
-    """
-    from pyspark.ml.feature import Bucketizer
-    vtype = d.schema["v"].dataType
-    sign = -1 if descending else 1
-    if isinstance(vtype, _NUMERIC):
-        parts = []
-        for r in rows:
-            cuts = sorted({float(x) for x in (r["__cuts"] or []) if x is not None and math.isfinite(x)})
-            part = d
-            for c in g:
-                part = part.where(F.col(c) == F.lit(r[c]))
-            if not cuts:  # no cut points (empty input): one bucket
-                parts.append(part.withColumn("__b", F.lit(0)))
-                continue
-            splits = [float("-inf")] + cuts + [float("inf")]
-            part = part.withColumn("__vd", F.col("v").cast("double"))
-            b = Bucketizer(splits=splits, inputCol="__vd", outputCol="__bd", handleInvalid="keep").transform(part)
-            parts.append(b.withColumn("__b", (F.col("__bd") * sign).cast("int")).drop("__vd", "__bd"))
-        if not parts:
-            return d.withColumn("__b", F.lit(0))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    cmp = (lambda c: c > F.col("v")) if descending else (lambda c: c < F.col("v"))
-    if not g:
-        cuts = rows[0]["__cuts"] if rows else None
-        arr = F.array(*[F.lit(x).cast(vtype) for x in cuts]) if cuts else F.array().cast(T.ArrayType(vtype))
-        return d.withColumn("__b", F.size(F.filter(arr, cmp)))
-    schema = T.StructType([d.schema[c] for c in g] + [T.StructField("__cuts", T.ArrayType(vtype))])
-    cuts_df = d.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
-    # groups x buckets values: a bounded broadcast
-    db = d.join(F.broadcast(cuts_df), g, "inner")
-    return db.withColumn("__b", F.size(F.filter("__cuts", cmp))).drop("__cuts")
-
-
 #: Intervals a bracket is divided into per pass of ``exact_quantiles``.
 QUANTILE_BINS = 4096
 

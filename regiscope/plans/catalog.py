@@ -22,7 +22,7 @@ from ..operators import geo as GEO
 from ..operators import iforest as IF
 from ..operators import rank as RK
 from ..operators import stats as ST
-from ..session import materialize, prepare, scratch_path, spread
+from ..session import SPLIT_BYTES, materialize, prepare, scratch_path, store
 from ..sources import messages as MSG
 from ..sources import tables as TBL
 from ..streaming import ingest as ING
@@ -377,16 +377,12 @@ def q31(spark, sf_dir):
     """M9 + A12 + S16: distributed isolation forest (100 trees, seed 42),
     node table saved as Parquet, contamination 0.15 flag."""
     x, zs = _forest_input(spark, sf_dir)
-    path = scratch_path(spark, "iforest-input")
-    spread(x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *zs)).write.parquet(path)
-    x = spark.read.parquet(path)
-    nodes, psi = IF.fit(x, zs, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    npath = scratch_path(spark, "iforest-nodes")
-    nodes.write.parquet(npath)
+    x = store(x.select("l_orderkey", "l_linenumber", *zs), "iforest-input", SPLIT_BYTES)
+    nodes, psi = IF.fit(x, zs)
+    nodes = store(nodes, "iforest-nodes")
     # the quantile cut reads the scores several times: store the narrow
     # scored table once instead of re-running the forest per pass
-    scored = materialize(IF.score(x, spark.read.parquet(npath), zs, psi)
-                         .select("l_orderkey", "l_linenumber", "anomaly_score"))
+    scored = store(IF.score(x, nodes, zs, psi).select("l_orderkey", "l_linenumber", "anomaly_score"), "iforest-scores")
     flagged = IF.flag(scored, "anomaly_score", CONTAMINATION)
     return flagged.select("l_orderkey", "l_linenumber", "anomaly_score", "is_anomaly")
 

@@ -267,7 +267,7 @@ def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
     zs = [f"z_{c}" for c in IFOREST_FEATURES]
     if_in = materialize(ST.zscore(ST.impute_quantile(g.select(KEY, *IFOREST_FEATURES), IFOREST_FEATURES, "cont"),
                                   IFOREST_FEATURES, zs, ddof=0))
-    nodes, psi = IF.fit(if_in, zs, [KEY], n_trees=n_trees, seed=seed)
+    nodes, psi = IF.fit(if_in, zs, n_trees=n_trees, seed=seed)
     nodes = materialize(nodes)
     if models_path:  # S16
         nodes.write.mode("overwrite").parquet(f"{models_path}/iforest_nodes")

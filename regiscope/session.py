@@ -132,15 +132,24 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def spread(df):
-    """Give CPU-heavy per-row work (Python scoring) at least one partition
-    per core. Only frames with fewer partitions than the default parallelism
-    are repartitioned (a single small file, say); large inputs already have
-    many more partitions and are left alone, so no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+#: Row groups of a table stored for CPU-heavy steps: a split holds at least one.
+SPLIT_BYTES = 4 << 20
+
+
+def store(df, name: str, split_bytes: int | None = None):
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it
+    back: lineage ends here and later readers prune columns.
+
+    ``split_bytes`` sets the row-group size. Spark cuts a scan into splits of
+    at most its share per core but never inside a row group, so small ones let
+    a CPU-heavy step (Python scoring) use every core even where the input was
+    written by one task; no shuffle and no look at the partition count."""
+    path = scratch_path(df.sparkSession, name)
+    w = df.write
+    if split_bytes:
+        w = w.option("parquet.block.size", split_bytes)
+    w.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

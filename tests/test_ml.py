@@ -44,7 +44,7 @@ def test_isolation_forest_planted_outlier(spark):
     pts = rnd.normal(0, 1, size=(3000, 3))
     pts[17] = [9.0, -9.0, 9.0]
     df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "id long, a double, b double, c double")
-    nodes, psi = IF.fit(df, ["a", "b", "c"], ["id"], n_trees=50, max_samples=128, seed=42)
+    nodes, psi = IF.fit(df, ["a", "b", "c"], n_trees=50, max_samples=128, seed=42)
     nodes = nodes.cache()
     assert psi == 128
     assert nodes.groupBy("tree").count().count() == 50
@@ -60,8 +60,8 @@ def test_isolation_forest_planted_outlier(spark):
 def test_forest_is_independent_of_partitioning(spark):
     df = spark.range(2000).select("id", (F.col("id") % 97).cast("double").alias("a"),
                                   (F.col("id") % 13).cast("double").alias("b"))
-    n1, _ = IF.fit(df.repartition(3), ["a", "b"], ["id"], n_trees=10, max_samples=64)
-    n2, _ = IF.fit(df.repartition(7), ["a", "b"], ["id"], n_trees=10, max_samples=64)
+    n1, _ = IF.fit(df.repartition(3), ["a", "b"], n_trees=10, max_samples=64)
+    n2, _ = IF.fit(df.repartition(7), ["a", "b"], n_trees=10, max_samples=64)
     key = ["tree", "node"]
     assert sorted(map(tuple, n1.orderBy(key).collect())) == sorted(map(tuple, n2.orderBy(key).collect()))
 
@@ -70,3 +70,47 @@ def test_contamination_sweep_counts(spark):
     df = spark.range(1000).select((F.col("id") * 1.0).alias("s"))
     got = {round(r.contamination, 2): r.n_flagged for r in IF.contamination_sweep(df, "s", [0.1, 0.15, 0.2]).collect()}
     assert got == {0.1: 100, 0.15: 150, 0.2: 200}
+
+
+def test_forest_samples_copies_as_rows(spark):
+    """A key or a row repeated without bound: the group of a tree stays small
+    and its sample holds the copies in their share of the table."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.rand(3) + 1).alias("a"))
+    nodes, psi = IF.fit(df, ["a"], n_trees=30, max_samples=256)
+    nodes = nodes.cache()
+    assert psi == 256
+    roots = nodes.where("node = 0").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.count("*").alias("n")).first()
+    assert (roots.lo, roots.hi, roots.n) == (256, 256, 30)
+    same = spark.range(5_000).select(F.lit(1.0).alias("a"))
+    flat, psi = IF.fit(same, ["a"], n_trees=5, max_samples=64)
+    assert psi == 64 and [(r.node, r.size) for r in flat.collect()] == [(0, 64)] * 5
+
+
+def test_least_draws_follow_the_shares():
+    rng = np.random.default_rng(1)
+    taken = []
+    for t in range(300):
+        copies = np.array([1] * 200 + [100])
+        u = 1 - (1 - rng.random(201)) ** (1 / copies)
+        pick = IF.least_draws(u, copies, rng.integers(0, 2**63, 201), 60, t)
+        assert len(pick) == 60 and np.bincount(pick, minlength=201)[:200].max() <= 1
+        taken.append((pick == 200).sum())
+    assert np.mean(taken) == pytest.approx(20, abs=0.8)  # 60 draws of 300 rows, 100 of them copies
+
+
+def test_saved_kmeans_assignment_matches_sql(spark, blobs):
+    """The centres read back from the saved pipeline give, in SQL, the clusters
+    that the pipeline assigns."""
+    import duckdb
+    from pyspark.ml import PipelineModel
+    path = scratch_path(spark, "test-kmeans-sql")
+    CL.assemble_scale_fit(blobs, ["x", "y"], k=3, seed=42).write().overwrite().save(path)
+    saved = PipelineModel.load(path)
+    centres = [tuple(map(float, c)) for c in saved.stages[-1].clusterCenters()]
+    pts, cen = blobs.toPandas(), ", ".join(f"({i}, {a!r}, {b!r})" for i, (a, b) in enumerate(centres))
+    con = duckdb.connect()
+    con.register("pts", pts)
+    want = con.execute(f"""WITH m AS (SELECT avg(x) mx, avg(y) my, stddev_samp(x) sx, stddev_samp(y) sy FROM pts)
+        SELECT id, arg_min(c, power((x - mx) / sx - a, 2) + power((y - my) / sy - b, 2))
+        FROM pts, m, (VALUES {cen}) t(c, a, b) GROUP BY id""").fetchall()
+    assert {r.id: r.cluster_id for r in saved.transform(blobs).collect()} == dict(want)
