@@ -9,7 +9,8 @@ Plan
    held by a third of the rows is one row per task). Every copy of a row has
    its own uniform draw per tree; the least draw of ``c`` copies is taken from
    one hash by its distribution, and only (row, tree) pairs whose least draw
-   is below about ``CANDIDATE * psi / n`` go on.
+   is below about ``CANDIDATE * psi / n`` go on. One more hash tells the first
+   tree a row goes to, if any, so most rows leave after it.
 3. Tree ``t`` takes the ``psi`` least draws. Its group holds a few hundred
    distinct rows whatever their counts; the further draws of a repeated row
    are generated in ascending order inside the task, at most ``psi`` of them.
@@ -139,15 +140,24 @@ def fit(df: DataFrame, features: Sequence[str], n_trees: int = 100,
     height = int(math.ceil(math.log2(psi))) if psi > 1 else 0
     limit = min(1.0, (CANDIDATE * psi + MARGIN) / n)
     rows = df.groupBy(*[F.col(c).cast("double").alias(c) for c in feats]).agg(F.count(F.lit(1)).alias("copies"))
-    first = F.lit(1.0) - F.pow(F.lit(1.0) - F.col("u"), F.lit(1.0) / F.col("copies"))
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    # a copy's draw is below the limit if u is below this; filtered before exploding
+    # a row goes to a tree if its least draw there is below the limit, with
+    # probability ``below``; the first such tree follows from one hash
+    # (geometric), so all but about n_trees * psi rows leave before the others
     below = F.lit(1.0) - F.pow(F.lit(1.0 - limit), F.col("copies"))
-    hashes = F.transform(trees, lambda t: F.struct(t.alias("tree"), F.xxhash64(*feats, t, F.lit(seed)).alias("h")))
-    pairs = F.filter(hashes, lambda x: _unit(x["h"]) < below)
-    cand = (rows.select(*feats, "copies", F.explode(pairs).alias("__th"))
-            .select(*feats, "copies", "__th.tree", "__th.h", _unit(F.col("__th.h")).alias("u"))
-            .withColumn("u", first))
+    skip = F.lit(0) if limit == 1.0 else F.floor(
+        F.log1p(-_unit(F.xxhash64(*feats, F.lit(-1), F.lit(seed)))) / (F.col("copies") * math.log1p(-limit)))
+    rows = rows.withColumn("skip", skip).where(F.col("skip") < n_trees).withColumn("below", below)
+
+    def pair(t):
+        h = F.xxhash64(*feats, t, F.lit(seed))
+        u = _unit(h) * F.when(t == F.col("skip"), F.col("below")).otherwise(1.0)
+        return F.struct(t.alias("tree"), h.alias("h"), u.alias("u"))
+
+    pairs = F.filter(F.transform(F.sequence(F.col("skip").cast("int"), F.lit(n_trees - 1)), pair),
+                     lambda x: x["u"] < F.col("below"))
+    cand = (rows.select(*feats, "copies", F.explode(pairs).alias("__p"))
+            .select(*feats, "copies", "__p.tree", "__p.h",
+                    (F.lit(1.0) - F.pow(F.lit(1.0) - F.col("__p.u"), F.lit(1.0) / F.col("copies"))).alias("u")))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         # total order (draw, then features): a retried task rebuilds the

@@ -462,14 +462,19 @@ def q38(spark, sf_dir):
     return SV.display(gold_final(spark, sf_dir))
 
 
+def _boundary_names(spark, sf_dir):
+    """The nations with administrative prefixes chosen by the nation key."""
+    prefix = F.element_at(F.array(*[F.lit(p) for p in BOUNDARY_PREFIXES]),
+                          (F.col("n_nationkey") % len(BOUNDARY_PREFIXES) + 1).cast("int"))
+    return _t(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", F.concat(prefix, "n_name").alias("name"))
+
+
 @register("q39_name_canonical")
 def q39(spark, sf_dir):
     """P27 + P28 + J3: canonical boundary key joined to scores, title label of
     the name as delivered. The boundary names carry administrative prefixes
     chosen by the nation key, so every name passes the cascade."""
-    prefix = F.element_at(F.array(*[F.lit(p) for p in BOUNDARY_PREFIXES]),
-                          (F.col("n_nationkey") % len(BOUNDARY_PREFIXES) + 1).cast("int"))
-    n = _t(spark, sf_dir, "nation").select("n_nationkey", F.concat(prefix, "n_name").alias("name"))
+    n = _boundary_names(spark, sf_dir).select("n_nationkey", "name")
     g = gold_frame(spark, sf_dir).select(G.KEY, "nutrition_risk_score", "priority_rank")
     j = GEO.join_boundaries(n, "name", g)
     return j.select("n_nationkey", "wilayah_key", TXT.title_case("name").alias("label"),
@@ -627,3 +632,16 @@ def q52(spark, sf_dir):
 def q53(spark, sf_dir):
     """Regions from most to least anomalous."""
     return SV.anomaly_listing(gold_final(spark, sf_dir))
+
+
+@register("q54_boundary_layer")
+def q54(spark, sf_dir):
+    """The boundary flow as one step (J4 -> J3 -> P25-P28 + A10): the map's
+    table of the nations, each with the box of its suppliers as its ring."""
+    s = _t(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(
+        F.min("s_suppkey").cast("double").alias("x0"), F.max("s_suppkey").cast("double").alias("x1"),
+        F.min("s_acctbal").cast("double").alias("y0"), F.max("s_acctbal").cast("double").alias("y1"))
+    b = _boundary_names(spark, sf_dir).join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    ring = F.array(*[F.array(x, y) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0"))])
+    b = b.select("n_nationkey", "n_regionkey", "name", F.when(F.col("x0").isNotNull(), F.array(ring)).alias("rings"))
+    return SV.boundary_layer(materialize(b), ["n_nationkey", "n_regionkey", "name"], gold_final(spark, sf_dir))

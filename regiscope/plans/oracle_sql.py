@@ -428,3 +428,16 @@ s AS (SELECT l_orderkey, l_linenumber, l_partkey,
 ct AS (SELECT quantile_cont(anomaly_score, 0.15) AS cut FROM s)
 SELECT s.*, COALESCE(anomaly_score < cut, false) AS is_anomaly FROM s CROSS JOIN ct"""
 SQL["q53_anomaly_listing"] = _GF + "SELECT kabupaten_kota, anomaly_score, is_anomaly FROM final"
+
+SQL["q54_boundary_layer"] = _GF.rstrip() + f""",
+nm AS (SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'KOTA ADM. ' WHEN 2 THEN ' kabupaten '
+         WHEN 3 THEN 'Kab. Adm. ' WHEN 4 THEN 'ADM. ' END || n_name AS name FROM nation),
+bx AS (SELECT s_nationkey, CAST(min(s_suppkey) AS DOUBLE) AS minx, CAST(min(s_acctbal) AS DOUBLE) AS miny,
+         CAST(max(s_suppkey) AS DOUBLE) AS maxx, CAST(max(s_acctbal) AS DOUBLE) AS maxy FROM supplier GROUP BY s_nationkey),
+b AS (SELECT name, {_canon('name')} AS wilayah_key, minx, miny, maxx, maxy FROM nm LEFT JOIN bx ON n_nationkey = s_nationkey),
+al AS (SELECT min(minx) AS map_minx, min(miny) AS map_miny, max(maxx) AS map_maxx, max(maxy) AS map_maxy FROM b),
+ml AS ({SQL["q51_map_layer"][len(_GF):]})
+SELECT b.wilayah_key, 'name' AS name_field, {_title('b.name')} AS label, COALESCE(ml.fill_color, 'lightgrey') AS fill_color,
+  ml.tooltip_nrs, ml.cluster_label, ml.tooltip_anomaly, ml.tooltip_prevalence, ml.priority_rank,
+  b.minx, b.miny, b.maxx, b.maxy, al.*
+FROM b CROSS JOIN al LEFT JOIN ml ON {_canon('ml.kabupaten_kota')} = b.wilayah_key"""

@@ -6,13 +6,20 @@ each function returns a DataFrame.
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.format import capped_percent, plain_number, rank_tier, rounded_percent, yes_no
+from ..functions.text import canonical_name, title_case
 from ..operators.aggregate import arg_max, summary
+from ..operators.geo import detect_name_field, feature_bounds, join_boundaries, total_bounds
+from ..operators.stats import attach_stats
 
 KEY = "kabupaten_kota"
+BOX = ["minx", "miny", "maxx", "maxy"]
 NRS = "nutrition_risk_score"
 NCI = "nutrition_coverage_index"
 
@@ -86,3 +93,33 @@ def anomaly_listing(final: DataFrame) -> DataFrame:
     the reading edge."""
     return final.select(KEY, "anomaly_score", "is_anomaly").orderBy(
         F.col("anomaly_score").asc_nulls_last(), KEY)
+
+
+# Fixed value: fewer matching names than this mean a wrong name field or file.
+MIN_MATCHES = 3
+
+
+def boundary_layer(boundaries: DataFrame, fields: Sequence[str], final: DataFrame,
+                   min_matches: int = MIN_MATCHES) -> DataFrame:
+    """J4 + J3 + P25-P28 + A10 in one step: the map's table from a boundary
+    table (its attribute columns ``fields`` and ``rings``).
+
+    The attribute whose canonical values match the most regions of ``final``
+    names the boundaries (one row is read back for that choice); fewer than
+    ``min_matches`` matching names give a warning. Every boundary is kept, with
+    its label from the name as delivered, fill colour and tooltip (no data:
+    default colour, NULLs), its box, and the box of all boundaries
+    (``map_minx`` ...). An empty boundary table gives no rows."""
+    ref = final.select(canonical_name(KEY).alias("value"))
+    found = detect_name_field(boundaries, fields, ref).first()
+    if found["score"] < min_matches:
+        warnings.warn(f"name field {found['field']!r} matches only {found['score']} regions", stacklevel=2)
+    name = f"`{found['field']}`"
+    b = feature_bounds(boundaries.select(F.col(name).cast("string").alias("name"), "rings"))
+    layer = join_boundaries(b, "name", map_layer(final), KEY)
+    box = total_bounds(b).select(*[F.col(c).alias(f"map_{c}") for c in BOX])
+    return attach_stats(layer, box).select(
+        "wilayah_key", F.lit(found["field"]).alias("name_field"), title_case("name").alias("label"),
+        F.coalesce("fill_color", F.lit(NO_LABEL_COLOR)).alias("fill_color"),
+        "tooltip_nrs", "cluster_label", "tooltip_anomaly", "tooltip_prevalence", "priority_rank",
+        *BOX, *[f"map_{c}" for c in BOX])
