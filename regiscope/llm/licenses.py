@@ -1,15 +1,16 @@
-"""License scans: runs of lines against license templates by the Dice
+"""License scans: runs of sentences and lines against license templates by the Dice
 coefficient over word bigrams.
 
 Text and templates are normalised alike: lower case, ASCII punctuation is white
 space. Dice >= t needs bigram counts within the factor (2 - t) / t of each
-other, so a run of lines is compared only with templates inside that size
-bound and no run grows beyond the largest; runs that begin with a line without
-any bigram of a template are not formed at all.
+other, so a run is compared only with templates inside that size bound and no
+run grows beyond the largest; runs that begin with a sentence without any
+bigram of a template are not formed, unless the next one has some.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -21,6 +22,7 @@ from .common import lists, out_batch
 from .decontam import tokens
 
 MIN_DICE = 0.8
+_SENTENCE_END = re.compile(r"(?<=[.!?;:])[ \t]+").split
 
 # Customary license notices (name, text).
 TEMPLATES = [
@@ -76,23 +78,31 @@ class Templates:
         return found
 
 
+def segments(text: str | None) -> list[tuple[int, list[bytes]]]:
+    """(line, tokens) of each sentence of each line, so that a notice inside a
+    line of prose is a run of its own."""
+    return [(n, tokens(x)) for n, line in enumerate((text or "").split("\n")) for x in _SENTENCE_END(line)]
+
+
 def scan_text(templates: Templates, text: str | None) -> list[tuple[int, int, str, float]]:
-    """(first line, last line, license, dice) of the matching runs of lines;
-    of overlapping runs the best stays (then the first, then the shortest)."""
-    lines = [tokens(x) for x in (text or "").split("\n")]
+    """(first line, last line, license, dice) of the matching runs of
+    sentences; of overlapping runs the best stays (then the first, then the
+    shortest)."""
+    parts = segments(text)
     known = templates.bigrams
-    told = [not known.isdisjoint(zip(w, w[1:])) for w in lines]
+    told = [not known.isdisjoint(zip(w, w[1:])) for _, w in parts]
     runs = []
-    for i, w in enumerate(lines):
-        if not told[i] and not (w and i + 1 < len(lines) and any(told[i + 1:i + 2])):
+    for i, (_, w) in enumerate(parts):
+        if not told[i] and not (w and any(told[i + 1:i + 2])):
             continue
         words: list[bytes] = []
         bigrams: set = set()
-        for j in range(i, len(lines)):
-            if j > i and not lines[j]:
+        for j in range(i, len(parts)):
+            more = parts[j][1]
+            if j > i and not more:
                 continue
             at = len(words)
-            words += lines[j]
+            words += more
             bigrams.update(zip(words[max(at - 1, 0):], words[max(at, 1):]))
             if len(bigrams) > templates.largest:
                 break
@@ -104,7 +114,7 @@ def scan_text(templates: Templates, text: str | None) -> list[tuple[int, int, st
         if used.isdisjoint(range(i, j + 1)):
             used.update(range(i, j + 1))
             out.append((i, j, name, -d))
-    return sorted(out)
+    return [(parts[i][0], parts[j][0], name, d) for i, j, name, d in sorted(out)]
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

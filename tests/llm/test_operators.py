@@ -299,6 +299,9 @@ def test_op9_equals_brute_force(spark, odd, none):
     assert got == [(1, 1, "MIT", 1.0), (3, 4, "Apache-2.0", 1.0), (6, 6, "GPL-3.0", best[(6, 6, "GPL-3.0")])]
     assert all((i, j, n) in best and best[(i, j, n)] == x for i, j, n, x in got)
     assert licenses.scan(none).count() == 0 and licenses.scan(odd).count() == 0
+    known = licenses.Templates(licenses.TEMPLATES, licenses.MIN_DICE)
+    prose = "One line of prose. " * 50 + "Licensed under the Apache License, Version 2.0. " + "And more of it! " * 50
+    assert licenses.scan_text(known, prose) == [(0, 0, "Apache-2.0", 1.0)]
 
 
 def naive_tiles(a, b, n):
