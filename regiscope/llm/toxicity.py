@@ -144,7 +144,10 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, cate
                 yield out_batch(fields, [part["__o"], *(part[n] for n in names), [len(x) for x, _ in got],
                                          [x for x, _ in got], [s for _, s in got]])
 
-    got = store(rows.select("__o", *names, "__text").mapInArrow(run, schema), "toxicity-features")
+    got = rows.select("__o", *names, "__text").mapInArrow(run, schema)
+    # one row per id, however often it is repeated, so what is collected has max_rows rows at most
+    got = store(got.groupBy("__o", *names).agg(F.min(F.struct("n", "f", "s")).alias("x")).select("__o", *names, "x.*"),
+                "toxicity-features")
     sizes = sorted((r["__o"], r["n"]) for r in got.select("__o", "n").collect())
     total, last = 0, None
     for o, n in sizes:
@@ -161,7 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: s
     """Train the chain ``categories`` (0/1 columns of ``labels``, in order).
 
     A NULL label leaves its row out of that category's model; of repeated
-    labels of an id the greatest counts; ids without a document are ignored. A
+    labels of an id the greatest counts, of its documents the one with the
+    fewest words; ids without a document are ignored. A
     category without both values gets a constant model. The sample is bounded
     by ``max_rows`` and ``max_features``."""
     import numpy as np

@@ -108,6 +108,10 @@ def test_op2_learns_toxic_words(spark, none):
     odd = spark.createDataFrame([(1, None), (None, ""), (2, "idiot")], "doc_id long, text string")
     assert toxicity.predict(odd, flat).count() == 3 and toxicity.predict(odd, chain).count() == 3
     assert toxicity.fit(odd, spark.createDataFrame([(1, None)], "doc_id long, toxic int"), ["toxic"])["models"]
+    # an id that holds most rows is one sampled row
+    often = d.union(spark.range(2000).selectExpr("3L", "concat('idiot scum alpha beta ', id)"))
+    sample = toxicity._sample(often, y, "doc_id", "text", ["toxic"], 5000, 10**6)
+    assert sample.num_rows == 400
 
 
 RULES = "host string, path string, verdict string"
