@@ -1,8 +1,9 @@
 """Secret scans: candidates by pattern, false positives removed by a random
 forest. DataFrame operations and MLlib (JVM) only.
 
-A candidate is a word with a run of at least ``MIN_LENGTH`` credential
-characters that holds a digit. Its features: length, changes of character
+A candidate is a run of at least ``MIN_LENGTH`` credential characters that
+holds a digit or is assigned to a credential's name; a word gives each of its
+runs. Its features: length, changes of character
 class, variety, digit and dictionary shares, the path of its document and the
 words around it. The forest is trained from labelled findings.
 """
@@ -20,6 +21,11 @@ from pyspark.sql import functions as F
 from .common import store
 
 MIN_LENGTH = 8
+#: A run of credential characters, and what may stand between ``=`` and a value.
+RUN = r"[A-Za-z0-9+/_\-]{%d,}" % MIN_LENGTH
+OPENS = r"[\s\"'`(\[{<]*$"
+#: Characters in front of and behind a run that are looked at inside long words.
+CONTEXT, TRAIL = 256, 8
 #: Bound of the labelled findings a forest is fitted on.
 MAX_FINDINGS = 20_000
 TREES, DEPTH = 30, 6
@@ -39,27 +45,54 @@ FEATURES = ["length", "transitions", "variety", "digit_share", "letter_share", "
             "dictionary_share", "credential_before", "credential_after", "assigned", "quoted", "example_path"]
 
 
-def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """``id_col, position, value, key, before, after, word, path`` of every
-    candidate; ``position`` counts words from 0, ``before`` holds the two words
-    in front. Words are separated by white space."""
+def _assigns(credential_words: Sequence[str]) -> str:
+    """Pattern of a credential's name, quoted or not, with what assigns it."""
+    names = "|".join(w.replace("_", "[_-]?") for w in sorted(credential_words, key=len, reverse=True))
+    return r"(?i)(?:%s)s?(?:[_-]?key)?[\"'`\])]*\s*(?:=>|:=|[=:])" % names
+
+
+def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source",
+               credential_words: Sequence[str] = tuple(CREDENTIAL_WORDS)) -> DataFrame:
+    """``id_col, position, ordinal, value, key, before, after, word, path`` of
+    every candidate; ``position`` counts words from 0, ``ordinal`` the runs of
+    a word. ``before`` holds the two words in front, ``after`` the next one (from
+    a word's second run on their nearest ``CONTEXT`` characters, so a word of
+    many runs does not repeat long neighbours). ``key`` is the name that is
+    assigned the run inside the word, ``word`` the run with the text from the
+    run in front of it and ``TRAIL`` characters behind. Words are separated by
+    white space. A run without a digit counts where a credential's name is
+    assigned it."""
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     words = F.split(F.col(text_col), r"\s+")
+    assigns = _assigns(credential_words)
+    named = F.col(text_col).rlike(assigns)
     # a generator keeps the split words from being computed again per word
-    d = df.where(F.col(text_col).rlike("[0-9]")).select(
-        F.col(id_col).alias("__id"), path.alias("__path"), F.explode(F.array(words)).alias("w"))
-    found = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].rlike(
-        "(?=[^0-9]*[0-9])") & s["x"].rlike(r"[A-Za-z0-9+/_\-]{%d}" % MIN_LENGTH))
+    d = df.where(F.col(text_col).rlike("[0-9]") | named).select(
+        F.col(id_col).alias("__id"), path.alias("__path"), named.alias("named"), F.explode(F.array(words)).alias("w"))
     at = lambda i: F.when((i >= 0) & (i < F.size("w")), F.get("w", i)).otherwise(F.lit(""))
+    front = lambda i: F.concat_ws(" ", at(i - 2), at(i - 1))
+    found = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].rlike(
+        RUN) & (s["x"].rlike("[0-9]") | (F.col("named") & F.concat_ws(" ", front(s["i"]), s["x"]).rlike(assigns))))
     row = F.transform(found, lambda s: F.struct(
-        s["i"].alias("i"), s["x"].alias("x"), F.concat_ws(" ", at(s["i"] - 2), at(s["i"] - 1)).alias("b"), at(s["i"] + 1).alias("a")))
+        s["i"].alias("i"), s["x"].alias("x"), front(s["i"]).alias("b"), at(s["i"] + 1).alias("a")))
     d = d.select("__id", "__path", F.explode(row).alias("c"))
-    x = F.col("c.x")
-    value = F.regexp_extract(x, r"([A-Za-z0-9+/_\-]{%d,}={0,2})[^A-Za-z0-9+/_\-]*$" % MIN_LENGTH, 1)
-    d = d.select("__id", F.col("c.i").cast("long").alias("position"), value.alias("value"),
-                 F.lower(F.regexp_extract(x, r"^[^A-Za-z0-9_]*([A-Za-z_][A-Za-z0-9_.\-]*)[=:]", 1)).alias("key"),
-                 F.col("c.b").alias("before"), F.col("c.a").alias("after"), x.alias("word"), F.col("__path").alias("path"))
-    return d.where(F.col("value").rlike("[0-9]")).withColumnRenamed("__id", id_col)
+    # every run with the text between it and the run in front; \G leaves a rest without a run after one look
+    part = lambda n: F.regexp_extract_all("c.x", F.lit(r"(?s)\G(.*?)(%s={0,2})(?=(.{0,%d}))" % (RUN, TRAIL)), F.lit(n))
+    d = d.select("__id", "__path", "c.i", "c.b", "c.a", F.explode(F.array(F.struct(
+        part(1).alias("lead"), part(2).alias("value"), part(3).alias("trail")))).alias("p"))
+    near = lambda k, whole, cut: F.when(k == 0, whole).otherwise(cut(whole, F.lit(CONTEXT)))
+    runs = F.transform("p.value", lambda v, k: F.struct(
+        k.alias("k"), v.alias("v"), F.get("p.trail", k).alias("trail"), F.concat(F.when(
+            k > 0, F.right(F.get("p.value", k - 1), F.lit(CONTEXT))).otherwise(F.lit("")), F.get("p.lead", k)).alias("lead"),
+        near(k, F.col("b"), F.right).alias("b"), near(k, F.col("a"), F.left).alias("a")))
+    d = d.select("__id", "__path", "i", F.explode(runs).alias("r"))
+    lead, value = F.right("r.lead", F.lit(CONTEXT)), F.col("r.v")
+    key = r"([A-Za-z_][A-Za-z0-9_.\-]*)[\"'`\])]*(?:=>|:=|[=:])[\"'`(\[{<]*$"
+    d = d.where(value.rlike("[0-9]") | F.right(F.concat_ws(" ", "r.b", lead), F.lit(CONTEXT)).rlike(assigns + OPENS))
+    return d.select(
+        F.col("__id").alias(id_col), F.col("i").cast("long").alias("position"), F.col("r.k").cast("long").alias("ordinal"),
+        value.alias("value"), F.lower(F.regexp_extract(lead, key, 1)).alias("key"), F.col("r.b").alias("before"),
+        F.col("r.a").alias("after"), F.concat("r.lead", value, "r.trail").alias("word"), F.col("__path").alias("path"))
 
 
 def _share(pattern: str, text: Column = None) -> Column:
@@ -130,7 +163,7 @@ def judge(cand: DataFrame, model, threshold: float = 0.5) -> DataFrame:
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source",
          findings: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """``id_col, position, length, masked, value_sha256, probability,
+    """``id_col, position, ordinal, length, masked, value_sha256, probability,
     is_secret`` of every candidate; ``is_secret`` false are the false positives
     the forest removes. The value itself is not returned.
 
@@ -141,6 +174,6 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col
     cand = store(with_features(candidates(df, id_col, text_col, path_col)), "secret-candidates")
     labelled = with_features(findings) if findings is not None else cand.withColumn("label", known_format())
     got = judge(cand, fit(labelled), threshold)
-    return got.select(id_col, "position", F.col("length").cast("long").alias("length"),
+    return got.select(id_col, "position", "ordinal", F.col("length").cast("long").alias("length"),
                       F.concat(F.substring("value", 1, 4), F.lit("...")).alias("masked"),
                       F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "probability", "is_secret")
