@@ -23,7 +23,7 @@ from .common import store
 MIN_LENGTH = 8
 #: A run of credential characters, and what may stand between ``=`` and a value.
 RUN = r"[A-Za-z0-9+/_\-]{%d,}" % MIN_LENGTH
-OPENS = r"[\s\"'`(\[{<]*$"
+OPENS = r"[\s\\\"'`(\[{<]*$"
 #: Characters in front of and behind a run that are looked at inside long words.
 CONTEXT, TRAIL = 256, 8
 #: Bound of the labelled findings a forest is fitted on.
@@ -41,6 +41,13 @@ DICTIONARY = ["about", "account", "address", "admin", "after", "album", "article
               "phone", "photo", "post", "product", "public", "query", "release", "report", "search", "server", "service",
               "session", "source", "start", "status", "string", "style", "system", "table", "test", "text", "time",
               "title", "topic", "type", "update", "user", "value", "version", "video", "view", "week", "world", "year"]
+# Published formats, from the start of the value.
+PUBLISHED = [
+    r"(?:AKIA|ASIA|ABIA|ACCA)[0-9A-Z]{16}$", r"gh[pousr]_[A-Za-z0-9]{16,}", r"github_pat_[A-Za-z0-9_]{16,}", r"glpat-[A-Za-z0-9_\-]{16,}",
+    r"(?:sk|rk)_(?:live|test)_[A-Za-z0-9]{10,}", r"whsec_[A-Za-z0-9+/]{16,}", r"sk-(?:proj-|ant-)?[A-Za-z0-9_\-]{20,}",
+    r"xox[abeoprs]-[A-Za-z0-9\-]{10,}", r"xapp-[A-Za-z0-9\-]{10,}", r"AIza[A-Za-z0-9_\-]{35}", r"npm_[A-Za-z0-9]{20,}",
+    r"pypi-[A-Za-z0-9_\-]{16,}", r"hf_[A-Za-z0-9]{20,}", r"do[oprt]_v1_[0-9a-f]{32,}", r"shp(?:at|ca|pa|ss)_[0-9a-fA-F]{32}",
+    r"SK[0-9a-f]{32}$", r"key-[0-9a-f]{32}$", r"dapi[0-9a-f]{32}", r"lin_api_[A-Za-z0-9]{20,}", r"eyJ[A-Za-z0-9_\-]{10,}"]
 FEATURES = ["length", "transitions", "variety", "digit_share", "letter_share", "upper_share", "hex_share",
             "dictionary_share", "credential_before", "credential_after", "assigned", "quoted", "example_path"]
 
@@ -48,18 +55,18 @@ FEATURES = ["length", "transitions", "variety", "digit_share", "letter_share", "
 def _assigns(credential_words: Sequence[str]) -> str:
     """Pattern of a credential's name, quoted or not, with what assigns it."""
     names = "|".join(w.replace("_", "[_-]?") for w in sorted(credential_words, key=len, reverse=True))
-    return r"(?i)(?:%s)s?(?:[_-]?key)?[\"'`\])]*\s*(?:=>|:=|[=:])" % names
+    return r"(?i)(?:%s)s?(?:[_-]?key)?[\\\"'`\])]*\s*(?:=>|:=|[=:])" % names
 
 
 def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source",
                credential_words: Sequence[str] = tuple(CREDENTIAL_WORDS)) -> DataFrame:
-    """``id_col, position, ordinal, value, key, before, after, word, path`` of
-    every candidate; ``position`` counts words from 0, ``ordinal`` the runs of
+    """``id_col, position, ordinal, value, key, before, after, lead, trail, word,
+    path`` of every candidate; ``position`` counts words from 0, ``ordinal`` the runs of
     a word. ``before`` holds the two words in front, ``after`` the next one (from
     a word's second run on their nearest ``CONTEXT`` characters, so a word of
     many runs does not repeat long neighbours). ``key`` is the name that is
-    assigned the run inside the word, ``word`` the run with the text from the
-    run in front of it and ``TRAIL`` characters behind. Words are separated by
+    assigned the run inside the word, ``lead`` the text from the run in front of
+    it, ``trail`` the ``TRAIL`` characters behind, ``word`` all three. Words are separated by
     white space. A run without a digit counts where a credential's name is
     assigned it."""
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
@@ -87,12 +94,13 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
         near(k, F.col("b"), F.right).alias("b"), near(k, F.col("a"), F.left).alias("a")))
     d = d.select("__id", "__path", "i", F.explode(runs).alias("r"))
     lead, value = F.right("r.lead", F.lit(CONTEXT)), F.col("r.v")
-    key = r"([A-Za-z_][A-Za-z0-9_.\-]*)[\"'`\])]*(?:=>|:=|[=:])[\"'`(\[{<]*$"
+    key = r"([A-Za-z_][A-Za-z0-9_.\-]*)[\\\"'`\])]*(?:=>|:=|[=:])[\\\"'`(\[{<]*$"
     d = d.where(value.rlike("[0-9]") | F.right(F.concat_ws(" ", "r.b", lead), F.lit(CONTEXT)).rlike(assigns + OPENS))
     return d.select(
         F.col("__id").alias(id_col), F.col("i").cast("long").alias("position"), F.col("r.k").cast("long").alias("ordinal"),
         value.alias("value"), F.lower(F.regexp_extract(lead, key, 1)).alias("key"), F.col("r.b").alias("before"),
-        F.col("r.a").alias("after"), F.concat("r.lead", value, "r.trail").alias("word"), F.col("__path").alias("path"))
+        F.col("r.a").alias("after"), F.col("r.lead").alias("lead"), F.col("r.trail").alias("trail"),
+        F.concat("r.lead", value, "r.trail").alias("word"), F.col("__path").alias("path"))
 
 
 def _share(pattern: str, text: Column = None) -> Column:
@@ -122,14 +130,28 @@ def with_features(cand: DataFrame, credential_words: Sequence[str] = tuple(CREDE
     return cand.withColumns({k: f[k].cast("double") for k in FEATURES})
 
 
-def known_format(value: str = "value") -> Column:
-    """Label of a finding in a corpus without audited ones, from published
-    formats and explicit assignments: an access key id, or a value of mixed
-    letters and digits assigned to a credential's name. 1 or 0."""
+def known_format(value: str = "value", credential_words: Sequence[str] = tuple(CREDENTIAL_WORDS),
+                 dictionary: Sequence[str] = tuple(DICTIONARY)) -> Column:
+    """Label of a finding in a corpus without audited ones. 1: a published
+    format, a password inside a URL, or a value of mixed letters and digits
+    that is assigned to a credential's name or follows a scheme of
+    authorization. 0: what a rule proves to be none, not assigned to such a
+    name: dates, card, phone and other numbers, dictionary words with numbers,
+    the local part of an e-mail address, hashes in paths. NULL: neither."""
     v = F.col(value)
-    named = r"(?i)(password|passwd|pwd|secret|token|api_?key|access_key|private_key)\s*[=:]?\s*$"
-    assigned = F.concat_ws(" ", "before", "key").rlike(named) & F.concat_ws(" ", "before", "word").rlike("[=:]")
-    return (v.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$") | (assigned & v.rlike("[A-Za-z]") & v.rlike("[0-9]"))).cast("double")
+    lead, trail = F.right("lead", F.lit(CONTEXT)), F.col("trail")
+    front = F.right(F.concat_ws(" ", "before", lead), F.lit(CONTEXT))
+    named = front.rlike(_assigns(credential_words) + OPENS)
+    mixed = v.rlike("[A-Za-z]") & v.rlike("[0-9]")
+    scheme = front.rlike(r"(?i)(?:^|[^a-z])(?:bearer|basic)[\s\"'`]+$") & (F.length(v) >= 16)
+    secret = (v.rlike("^(?:%s)" % "|".join(PUBLISHED)) | lead.rlike(r"(?:^|[^A-Za-z0-9])(?:SG\.|ya29\.)$")
+              | (lead.rlike("//[^/@:]*:$") & trail.startswith("@")) | F.col("before").rlike("PRIVATE KEY-----$")
+              | ((named | scheme) & mixed))
+    words = "|".join(sorted(dictionary, key=len, reverse=True))
+    none = (~v.rlike("[A-Za-z]") | v.rlike(r"^(?:19|20)\d\d[-/]?(?:0[1-9]|1[0-2])[-/]?(?:0[1-9]|[12]\d|3[01])(?:T\d{2,6}Z?)?$")
+            | (F.regexp_replace(F.lower(v), r"(?:%s)s?|[0-9/_\-]" % words, "") == "") | (trail.rlike(r"^@[A-Za-z0-9]") & ~lead.endswith(":"))
+            | v.rlike(r"/(?:[^/]+[._\-])?(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})(?:$|[/._\-])"))
+    return F.when(secret, 1.0).when(none & ~named & ~scheme, 0.0)
 
 
 def _vectors(df: DataFrame) -> DataFrame:
