@@ -11,6 +11,7 @@ words around it. The forest is trained from labelled findings.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -160,15 +161,26 @@ def _vectors(df: DataFrame) -> DataFrame:
 
 def fit(findings: DataFrame, label_col: str = "label", max_findings: int = MAX_FINDINGS,
         seed: int = 7) -> RandomForestClassificationModel | float:
-    """Fit on labelled findings (``with_features`` and a 0/1 label), at most
-    ``max_findings`` of them in the order of a hash of value and words. Without
-    both labels the result is the one probability there is (0.0 when empty)."""
-    order = F.xxhash64("value", "before", "after", "position")
-    rows = findings.where(F.col(label_col).isNotNull()).select(*FEATURES, F.col(label_col).cast("double").alias("__label"), order.alias("__o"))
-    rows = store(rows.orderBy("__o", *FEATURES).limit(max_findings), "secret-findings")
-    seen = [r[0] for r in rows.select("__label").distinct().collect()]
-    if len(seen) < 2:
-        return float(seen[0]) if seen else 0.0
+    """Fit on labelled findings (``with_features`` and a 0/1 label), each
+    distinct value with its words and label once. Of more than ``max_findings``
+    half are taken of each label, or all where a label has fewer and the
+    remainder from the other, in the order of a hash of value and words.
+    Without both labels the result is the one probability there is (0.0 when
+    empty)."""
+    label = F.col(label_col).cast("double").alias("__label")
+    once = ["value", "before", "after", "__label"]
+    rows = findings.where(F.col(label_col).isNotNull()).select("value", "before", "after", label, *FEATURES).groupBy(*once).agg(
+        F.min(F.struct(*FEATURES)).alias("f"))
+    rows = store(rows.select("__label", F.xxhash64("value", "before", "after").alias("__o"), "f.*"), "secret-findings-distinct")
+    count = dict(rows.groupBy("__label").count().collect())
+    half = max_findings // 2
+    parts = [rows.where(F.col("__label") == x).orderBy("__o", *FEATURES).limit(
+        min(n, max(half, max_findings - (sum(count.values()) - n)))) for x, n in sorted(count.items())]
+    if not parts:
+        return 0.0
+    rows = store(reduce(DataFrame.unionByName, parts), "secret-findings")
+    if len(count) < 2:
+        return float(next(iter(count)))
     return RandomForestClassifier(featuresCol="__features", labelCol="__label", probabilityCol="__p", rawPredictionCol="__raw",
                                   predictionCol="__hit", numTrees=TREES, maxDepth=DEPTH, seed=seed).fit(_vectors(rows))
 

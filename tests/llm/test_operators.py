@@ -267,6 +267,19 @@ def test_op7_labels_only_what_a_rule_tells(spark):
         assert got[i] - ({None} if t in yes else set()) == want, t
 
 
+def test_op7_sample_keeps_both_labels(spark):
+    copies = spark.range(3000).select(F.lit("call 555-1234567 now").alias("text"))
+    others = spark.range(300).select(F.concat(F.lit("card 40528178258"), F.col("id") + 10000).alias("text"))
+    few = spark.range(4).select(F.concat(F.lit("token = \"3f2a9c1b8e7d6f5a"), F.col("id"), F.lit("\"")).alias("text"))
+    d = copies.union(others).union(few).select(F.monotonically_increasing_id().alias("doc_id"), "text", F.lit(None).cast("string").alias("source"))
+    found = secret_scan.with_features(secret_scan.candidates(d)).withColumn("label", secret_scan.known_format())
+    for most in (40, 9):  # the rare label is whole in the sample, copies count once
+        model = secret_scan.fit(found, max_findings=most)
+        assert not isinstance(model, float)
+        got = secret_scan.judge(found, model).groupBy("label").agg(F.min("is_secret"), F.max("is_secret")).collect()
+        assert sorted(map(tuple, got)) == [(0.0, False, False), (1.0, True, True)]
+
+
 def brute_components(rows, k, num, den):
     sets = {}
     for i, t in rows:
