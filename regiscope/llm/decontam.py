@@ -16,6 +16,8 @@ pass over the documents: memory stays bounded, nothing is left out.
 from __future__ import annotations
 
 import heapq
+import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,13 +33,42 @@ COVERAGE = 0.5
 _BASE = 0x9E3779B97F4A7C15
 #: ASCII characters that are neither letters nor digits separate tokens.
 _TO_SPACE = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
+#: Letters of scripts written without spaces (Thai, Lao, Tibetan, Myanmar,
+#: Khmer, ideographs, kana, Bopomofo, Yi), with their marks.
+_ALONE = re.compile(
+    "[\u0e00-\u0e4e\u0e80-\u0ecf\u0edc-\u0edf\u0f00-\u0f1f\u0f34-\u0fff\u1000-\u103f\u1050-\u108f\u109a-\u109f\u1780-\u17df\u2e80-\u2fdf"
+    "\u3005-\u3007\u3021-\u309f\u30a0-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\uf900-\ufaff\uff66-\uff9f"
+    "\U00016fe0-\U0001b2ff\U00020000-\U0003fffd]").match
+_JOINERS = "\u200c\u200d"
 
 
-def tokens(text: str | None) -> list[bytes]:
+class _Spaced(dict):
+    """Code point -> what str.translate puts for it: itself inside a word, a
+    token of its own between spaces, or a space."""
+
+    def __missing__(self, point: int):
+        c = chr(point)
+        inside = c.isalnum() or unicodedata.category(c)[0] == "M" or c in _JOINERS
+        got = self[point] = (f" {c} " if _ALONE(c) else point) if inside else " "
+        return got
+
+
+_SPACED = _Spaced()
+
+
+def words(text: str | None) -> list[bytes]:
     """Lower-cased tokens between ASCII characters that are not alphanumeric."""
     return text.lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split() if text else []
 
 
+def tokens(text: str | None) -> list[bytes]:
+    """Lower-cased runs of letters, digits and their marks; each character of a
+    script written without spaces is a token of its own, all others separate."""
+    if not text or text.isascii():
+        return words(text)
+    return text.lower().translate(_SPACED).encode().split()
+
+
 def rolling(ids, n: int):
     """Karp-Rabin hash of every run of ``n`` ids."""
     import numpy as np
@@ -159,8 +190,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     (length, item_start, doc_start) in tokens, ``contaminated`` means that the
     tiles cover at least the share ``coverage`` of the item.
 
-    NULL and empty texts, and items of fewer than ``min_match`` tokens, have no
-    tile and so no row. Repeated documents and repeated items give a row each.
+    Both sides are cut by ``tokens``. NULL and empty texts, and items of fewer
+    than ``min_match`` tokens, have no tile and so no row. Repeated documents and repeated items give a row each.
     Other columns are not read; an empty table on either side gives no rows."""
     spark = docs.sparkSession
     bench = benchmark.where(F.col(item_text).isNotNull()).select(
@@ -207,4 +238,4 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-__all__ = ["contamination", "tokens", "tile", "runs", "Seeds", "compare"]
+__all__ = ["contamination", "tokens", "words", "tile", "runs", "Seeds", "compare"]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import lists, out_batch
-from .decontam import tokens
+from .decontam import words as tokens
 
 MIN_DICE = 0.8
 _SENTENCE_END = re.compile(r"(?<=[.!?;:])[ \t]+").split

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import lists, out_batch, store
-from .decontam import tokens
+from .decontam import words as tokens
 
 MAX_ROWS, MAX_FEATURES, FOLDS = 5000, 5_000_000, 3
 #: A word or prefix counts as a feature from so many sampled documents on.

@@ -405,5 +405,16 @@ def test_op10_equals_naive_tiling(spark, odd, none):
     assert decontam.contamination(odd, b).count() == 0
 
 
+def test_op10_scripts_without_spaces_and_typography(spark):
+    chinese = "自然语言处理是人工智能领域的一个重要方向，它研究人与计算机之间用语言通信的方法。"
+    thai, english = "ภาษาไทยเป็นภาษาที่เขียนโดยไม่เว้นวรรค", "it's the \"first\" rule - of all things we know"
+    docs = [(1, f"前言：{chinese}（完）"), (2, f"คำนำ{thai}จบ"), (3, "so: it’s the “first” rule—of\u00a0all things we know…"), (4, "今天天气很好"), (5, "カタカナのテストです")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(10, chinese), (20, thai), (30, english), (50, "テストです")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.item_tokens, r.covered) for r in decontam.contamination(d, b).where("contaminated").collect()}
+    assert set(got) == {(1, 10), (2, 20), (3, 30), (5, 50)} and all(x == y for x, y in got.values())
+    assert decontam.tokens("İs café—हिन्दी 12 日本_x") == [x.encode() for x in ("i̇s", "café", "हिन्दी", "12", "日", "本", "x")]
+
+
 def test_all_ten_operators_are_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
