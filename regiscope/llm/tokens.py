@@ -75,6 +75,8 @@ class WordIds(dict):
         self.parts: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
+        #: Found in the raw text, case-sensitively, before it is lower-cased.
+        self.added = [t["content"].lower() for t in conf.get("added_tokens") or ()]
         self.by_word = (json.dumps(conf.get("normalizer")), json.dumps(conf.get("pre_tokenizer"))) == _BY_WORD
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -112,7 +114,9 @@ class WordIds(dict):
 
     def _by_words(self, text: str) -> bytes:
         if text.isascii() or not _NOT_LATIN(text):
-            text = text.lower()  # one character each here, as in the tokenizer
+            low = text.lower()  # one character each here, as in the tokenizer
+            if not any(t in low for t in self.added):
+                text = low
         return b"".join(map(self.__getitem__, text.split()))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:

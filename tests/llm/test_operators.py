@@ -168,6 +168,15 @@ def test_op4_equals_library(spark, docs, odd, none, monkeypatch):
     assert other.where("n_tokens > 0").count() > 60
 
 
+def test_op4_added_tokens_are_case_sensitive(spark):
+    texts = ["<|ENDOFTEXT|>", "Some <|EndOfText|> HERE", "A<|endoftext|>B <|ENDOFTEXT|>", "É <|StartOfText|>", "<|endoftext|>"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_tokens for r in tokens.count_tokens(d).orderBy("doc_id").collect()] == [len(library(t)) for t in texts]
+    rows = packing.pack(d, with_ids=True).orderBy("doc_id", "start").collect()
+    for i, t in enumerate(texts):
+        assert [x for r in rows if r.doc_id == i for x in r.ids] == [*library(t), packing.END_ID]
+
+
 def test_op5_sql_index_and_edges(spark, docs, odd, none):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
