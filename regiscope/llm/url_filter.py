@@ -9,6 +9,9 @@ allow rule of a URL always stands.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +46,40 @@ def canonical(url: Column) -> Column:
         F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
 
 
+def unescaped(text: Column) -> Column:
+    """``text`` with HTML's character references decoded, once."""
+    names = F.from_json(F.lit(json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
+
+    def decoded(x: Column) -> Column:
+        number = F.coalesce(F.conv(F.nullif(F.regexp_extract(x, "^&#[xX]([0-9a-fA-F]+)", 1), F.lit("")), 16, 10),
+                            F.nullif(F.regexp_extract(x, "^&#([0-9]+)", 1), F.lit(""))).cast("long")
+        point = F.when((number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF), number).otherwise(0xFFFD)
+        char = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        return F.when(x.startswith("&#") & number.isNotNull(), char).when(
+            x.startswith("&"), F.coalesce(F.element_at(names, F.regexp_extract(x, "^&([A-Za-z0-9]+);$", 1)), x)).otherwise(x)
+
+    parts = F.regexp_extract_all(text, F.lit("(&#[xX][0-9a-fA-F]{1,8};?|&#[0-9]{1,9};?|&[A-Za-z0-9]+;|&|[^&]+)"), F.lit(1))
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, decoded), "")).otherwise(text)
+
+
+def without_dots(url: Column) -> Column:
+    """``url`` with the segments ``.`` and ``..`` of its path resolved."""
+    site, p = F.regexp_extract(url, "^(.*?://[^/?#]*)", 1), path(url)
+    one, two = (".", "%2e"), ("..", ".%2e", "%2e.", "%2e%2e")
+    parts = F.split(F.substring(p, 2, F.length(p)), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda a, x: F.when(F.lower(x).isin(*one), a).when(
+        F.lower(x).isin(*two), F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.array_append(a, x)))
+    last = F.when(F.lower(F.element_at(parts, -1)).isin(*one, *two) & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(p.rlike(r"(?i)/(?:\.|%2e){1,2}(/|$)"), F.concat(
+        site, F.lit("/"), F.array_join(kept, "/"), last,
+        F.substring(url, F.length(site) + F.length(p) + 1, F.length(url)))).otherwise(url)
+
+
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``url, target`` of every canonical link and refresh redirect in the
-    pages; targets may be absolute, ``//host``, ``/path`` or relative."""
+    pages; targets may be absolute, ``//host``, ``/path``, ``?query``,
+    ``#fragment`` or relative. Character references are decoded and dot
+    segments resolved."""
     page = F.col("u")
     tag = pages.select(F.col(url_col).alias("u"), F.explode(
         F.regexp_extract_all(F.col(html_col), F.lit(r"(?i)(<(?:link|meta)\b[^>]*>)"), F.lit(1))).alias("t"))
@@ -54,12 +88,15 @@ def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     jump = t.rlike(r"(?i)^<meta") & t.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b""")
     to = F.when(link, F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)).when(
         jump, F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
-    got = tag.select(page, to.alias("to")).where("to <> ''").where(F.locate("://", page) > 0)
+    got = tag.select(page, unescaped(to).alias("to")).where("to <> ''").where(F.locate("://", page) > 0)
     to, scheme, site = F.col("to"), F.regexp_extract(page, "^(.*?)://", 1), F.regexp_extract(page, "^(.*?://[^/?#]*)", 1)
     folder = F.concat(site, F.coalesce(F.nullif(F.regexp_extract(path(page), "^(.*/)", 1), F.lit("")), F.lit("/")))
-    return got.select(F.col("u").alias("url"), F.when(F.locate("://", to) > 0, to).when(
+    target = F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), to).when(
         to.startswith("//"), F.concat(scheme, F.lit(":"), to)).when(
-        to.startswith("/"), F.concat(site, to)).otherwise(F.concat(folder, to)).alias("target"))
+        to.startswith("/"), F.concat(site, to)).when(
+        to.startswith("?"), F.concat(site, path(page), to)).when(
+        to.startswith("#"), F.concat(F.regexp_extract(page, "^([^#]*)", 1), to)).otherwise(F.concat(folder, to))
+    return got.select(F.col("u").alias("url"), without_dots(target).alias("target"))
 
 
 def match_rules(urls: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:

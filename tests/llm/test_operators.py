@@ -140,6 +140,24 @@ def test_op3_matches_sql_with_links(spark):
     assert url_filter.judge(pages, rules.limit(0)).where("verdict <> 'allow'").count() == 0
 
 
+def test_op3_targets_are_decoded_and_resolved(spark):
+    page = "https://h.org/a/b/c.html?x=1#f"
+    cases = [("https://h.org/p?a=1&amp;b=2", "https://h.org/p?a=1&b=2"), ("/p?a=1&#38;b=2&#x26;c=&eacute;", "https://h.org/p?a=1&b=2&c=é"),
+             ("/p?a&amp;amp;b&nosuch;&#0;", "https://h.org/p?a&amp;b&nosuch;\ufffd"), ("../x", "https://h.org/a/x"), ("./x?q=../y", "https://h.org/a/b/x?q=../y"),
+             ("?page=2", "https://h.org/a/b/c.html?page=2"), ("#top", "https://h.org/a/b/c.html?x=1#top"), ("../../../z/.", "https://h.org/z/"),
+             ("..", "https://h.org/a/"), ("//x.org/a/../b", "https://x.org/b"), ("/login?u=http://x.org/", "https://h.org/login?u=http://x.org/"),
+             ("d/%2E%2e/e", "https://h.org/a/b/e"), ("http://x.org/.../a..b", "http://x.org/.../a..b")]
+    rows = [(i, page, f'<link rel="canonical" href="{h}">') for i, (h, _) in enumerate(cases)]
+    for (_, want), r in zip(cases, rows):
+        d = spark.createDataFrame([r], "page_id long, url string, html string").coalesce(1)
+        assert [x.target for x in url_filter.link_edges(d).collect()] == [want], r
+    # a block decision reaches the alias whose link holds &amp;
+    pages = spark.createDataFrame([(1, "http://h.net/es/1", '<link rel=canonical href="https://ok.org/p?a=1&amp;b=2">'),
+                                   (2, "https://ok.org/p?a=1&b=2", "")], "page_id long, url string, html string")
+    got = url_filter.judge(pages, spark.createDataFrame(queries.URL_RULES, RULES))
+    assert {(r.page_id, r.verdict, r.reason) for r in got.collect()} == {(1, "block", "rule"), (2, "block", "alias")}
+
+
 TEXTS = ["<|endoftext|>", "a<|endoftext|>b x", "Hello, World's it's I'LL", "ΑΣ ΣΑΣ é é", "foo\x1cbar a b", "", "  \n",
          "12 3½ ²", "ﬁ Å İstanbul ẞ", 'x\'y "quoted" (a) --b-- c/d #e %f&g*$', "日本語 テスト", "​﻿ a",
          "Ünïted ª º µ ÿ × ÷", "a.b,c;d...e!!", "***x%%%"]
