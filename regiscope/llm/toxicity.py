@@ -13,6 +13,7 @@ is spread over the corpus); every row of the table is scored in full.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -148,14 +149,13 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, cate
     # one row per id, however often it is repeated, so what is collected has max_rows rows at most
     got = store(got.groupBy("__o", *names).agg(F.min(F.struct("n", "f", "s")).alias("x")).select("__o", *names, "x.*"),
                 "toxicity-features")
-    sizes = sorted((r["__o"], r["n"]) for r in got.select("__o", "n").collect())
-    total, last = 0, None
+    sizes = sorted(map(tuple, got.groupBy("__o").agg(F.sum("n")).collect()))
+    total, chosen = 0, []
     for o, n in sizes:
-        total += n
-        if total > max_features:
-            break
-        last = o
-    return got.where(F.col("__o") <= (last if last is not None else F.lit(None))).orderBy("__o", "n", *names).toArrow()
+        if total + n <= max_features:  # a row that does not fit is left out, later ones are not
+            total += n
+            chosen.append(o)
+    return got.where(F.col("__o").isin(chosen)).orderBy("__o", "n", *names).toArrow()
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: str = "doc_id",
@@ -166,8 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: s
     A NULL label leaves its row out of that category's model; of repeated
     labels of an id the greatest counts, of its documents the one with the
     fewest words; ids without a document are ignored. A
-    category without both values gets a constant model. The sample is bounded
-    by ``max_rows`` and ``max_features``."""
+    category without both values gets a constant model, with a warning. The
+    sample is bounded by ``max_rows`` and ``max_features``; a row that would
+    exceed the latter is left out and the next ones are tried."""
     import numpy as np
     rows = _sample(docs, labels, id_col, text_col, categories, max_rows, max_features)
     sizes = np.array(rows["n"], np.int64)
@@ -186,6 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_col: s
         label = rows[f"__c{c}"]
         y = np.array(label.fill_null(0), np.float64)
         known = ~np.array(label.is_null(), bool)
+        if n and len(np.unique(y[known])) < 2:
+            warnings.warn(f"the sample of {n} rows lacks a label of {categories[c]}: its model is constant", stacklevel=2)
         out = np.zeros(n)
         for f in range(folds):
             part = Linear(index, start, earlier, y, known & (fold != f), len(words))

@@ -114,6 +114,18 @@ def test_op2_learns_toxic_words(spark, none):
     assert sample.num_rows == 400
 
 
+def test_op2_long_row_does_not_end_the_sample(spark):
+    rows = [(i, " ".join(f"x{j}" for j in range(3000)) if i == 0 else "idiot a b" if i % 2 else "c d e") for i in range(40)]
+    y = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    for shift in range(3):  # wherever the long text comes in the order of the hash
+        some = y.where(f"doc_id = 0 or doc_id > {shift * 10}")
+        assert toxicity._sample(d, some, "doc_id", "text", ["toxic"], 5000, 1000).num_rows == some.count() - 1
+    assert toxicity._sample(d, y, "doc_id", "text", ["toxic"], 5000, 10).num_rows > 0
+    with pytest.warns(UserWarning, match="lacks a label of toxic"):
+        toxicity.fit(d, y.where("toxic = 0"), ["toxic"])
+
+
 RULES = "host string, path string, verdict string"
 
 
