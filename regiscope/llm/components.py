@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from .common import out_batch, store
 
 #: Edges that one task finishes alone.
-FINISH = 500_000
+FINISH = 250_000
 #: Edges a task contracts at once.
-BATCH = 100_000
+BATCH = 50_000
 
 
 def _forest(parent: dict, x):
@@ -59,8 +59,8 @@ def _contracted(edges: DataFrame, whole: bool) -> DataFrame:
             rows = [(x, _forest(parent, x)) for x in list(parent)]
             heads = {v for u, v in rows if u != v}
             rows = [(u, v) for u, v in rows if whole or u != v or u not in heads]
-            if rows:
-                yield out_batch([("u", kind), ("v", kind)], list(zip(*rows)))
+            for at in range(0, len(rows), BATCH):
+                yield out_batch([("u", kind), ("v", kind)], list(zip(*rows[at:at + BATCH])))
 
         held = 0
         for b in batches:

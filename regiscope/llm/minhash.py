@@ -39,7 +39,7 @@ CENTRES = 8
 #: Shingles whose permutations are evaluated at once.
 _BLOCK = 1 << 16
 #: Words whose hash a worker remembers.
-_REMEMBERED = 1_000_000
+_REMEMBERED = 250_000
 
 
 class _WordHash(dict):
