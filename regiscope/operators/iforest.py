@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .stats import attach_stats, exact_quantiles
+from .stats import attach_stats, exact_quantiles, flag_below_quantile
 
 EULER_GAMMA = 0.5772156649015329
 # Candidates per tree: CANDIDATE * psi + MARGIN expected, so that fewer than psi
@@ -225,9 +225,7 @@ def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
 
 def flag(df: DataFrame, score_col: str, contamination: float, out: str = "is_anomaly") -> DataFrame:
     """anomaly = score below the exact ``contamination`` quantile."""
-    cut = exact_quantiles(df, [score_col], [contamination], "cont").select(F.col("value").alias("__cut"))
-    return attach_stats(df, cut).withColumn(
-        out, F.coalesce(F.col(score_col) < F.col("__cut"), F.lit(False))).drop("__cut")
+    return flag_below_quantile(df, score_col, contamination, out)
 
 
 def _cuts(df: DataFrame, score_col: str, levels: Sequence[float]) -> DataFrame:

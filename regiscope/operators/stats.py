@@ -4,8 +4,8 @@
   per-task partials meet in one place) broadcast back onto every row. The
   broadcast side is a single row by construction.
 * ``min_max_normalize`` (W1), ``zscore`` (M2/M3) are built on it.
-* ``exact_quantiles`` (A8, A9, A12) narrows brackets by counting; no rows are
-  sorted and none reach the driver.
+* ``exact_quantiles`` (A8, A9, A12) selects by radix on an order-preserving key;
+  no rows are sorted and none reach the driver.
 """
 
 from __future__ import annotations
@@ -16,6 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import from_order_key, order_key
+from ..session import store
+
+
 def attach_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
     """Cross join a one-row statistics frame onto every row.
 
@@ -80,12 +84,16 @@ def _positions(n: int, p: float, method: str) -> tuple[int, int, float]:
     raise ValueError(method)
 
 
-#: Intervals a bracket is divided into per pass of ``exact_quantiles``.
-QUANTILE_BINS = 4096
+def _counts() -> list:
+    return [F.count(F.lit(1)).alias("n"), F.min("key").alias("a"), F.max("key").alias("b")]
+
+
+#: Bits of an order-preserving key that one pass of ``exact_quantiles`` tells apart.
+DIGIT_BITS = 12
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    method: str = "cont", bins: int = QUANTILE_BINS) -> DataFrame:
+                    method: str = "cont", bits: int = DIGIT_BITS) -> DataFrame:
     """Exact quantiles of several columns without sorting the data.
 
     ``method="cont"``: linear interpolation between order statistics
@@ -93,87 +101,82 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     smallest value whose cumulative share is >= p (``percentile_disc``; for
     p = 0.5 the lower middle value). NULL and NaN are no values.
 
-    The order statistics are found by narrowing. A pass divides each bracket
-    that still holds one, at first [min, max] of a column, into ``bins`` equal
-    intervals and counts its rows per interval with the interval's least and
-    greatest value; the interval with the wanted rank is the next bracket,
-    until its least and greatest value are equal. Both ends of a bracket fall
-    into different intervals, so every pass shrinks it, and with a finite
-    number of distinct values it ends; a pass is one aggregate, and at most
-    ``bins`` rows per bracket reach the driver, whatever the table's size.
+    Radix selection on the values' 64-bit ``order_key``: a pass counts the rows
+    of every prefix that still holds a wanted rank by the next ``bits`` bits of
+    their keys, so whatever the values' spread, 64 / bits passes (six) find
+    the order statistics; a prefix whose rows all have one key, or that holds
+    at most 2**bits rows, ends earlier. From the second pass on only the rows
+    of open prefixes are counted, and the third and later passes read them from
+    a stored table. A pass is one aggregate of which at most 2**bits rows per
+    prefix reach the driver.
 
     Returns one row per (column, p): ``name, p, value`` (value NULL when the
     column has no value).
     """
+    got = quantile_values(df, cols, probs, method, bits)
+    return df.sparkSession.createDataFrame([(c, float(p), got[(c, p)]) for c in cols for p in probs],
+                                           "name string, p double, value double")
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "cont",
+                    bits: int = DIGIT_BITS, nulls: dict | None = None) -> dict[tuple[str, float], float | None]:
+    """``exact_quantiles`` as {(column, p): value}. With ``nulls``, a dict that
+    receives the number of rows without a value per column, columns that have
+    none of them are left out."""
     spark = df.sparkSession
-    inf = float("inf")
-    stacked = unpivot_values(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    v = F.col("value")
-    finite = F.when((v != inf) & (v != -inf), v)
-    ends = {r["name"]: r for r in stacked.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(v == -inf).alias("low"), F.count(finite).alias("mid"),
-        F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()}
-    found: dict[tuple[str, int], float] = {}
-    open_: dict[tuple[str, int], tuple[float, float, int]] = {}  # (column, rank) -> bracket, rows below it
-
-    def settle(key: tuple[str, int], lo: float, hi: float, below: int) -> None:
-        if lo == hi:
-            found[key] = lo
-        else:
-            open_[key] = (lo, hi, below)
-
-    for c, r in ends.items():
-        for p in probs:
-            for k in _positions(r["n"], float(p), method)[:2]:
-                if k < r["low"]:
-                    found[(c, k)] = -inf
-                elif k >= r["low"] + r["mid"]:
-                    found[(c, k)] = inf
-                else:
-                    settle((c, k), r["lo"], r["hi"], r["low"])
+    keys = df.select(F.posexplode(F.array(*[order_key(F.col(f"`{c}`")) for c in cols])).alias("c", "key"))
+    was, at = 64, 64 - bits
+    rows = keys.groupBy("c", F.shiftright("key", at).alias("d")).agg(*_counts()).collect()
+    none = {cols[r["c"]]: r["n"] for r in rows if r["a"] is None}
+    counted: dict[tuple, list] = {}  # (column number, prefix) -> [(next prefix, rows, least key, greatest key)]
+    for r in rows:
+        if r["a"] is not None:
+            counted.setdefault((r["c"], 0), []).append((r["d"], r["n"], r["a"], r["b"]))
+    total = {c: sum(n for _, n, _, _ in held) for (c, _), held in counted.items()}
+    if nulls is not None:
+        nulls.update(none)
+    wanted = [i for i, c in enumerate(cols) if i in total and (nulls is None or c in none)]
+    found: dict[tuple, float] = {}
+    #: (column number, prefix) -> [(rank among its rows, rank in the column)]
+    open_ = {(c, 0): [(k, k) for k in {k for p in probs for k in _positions(total[c], float(p), method)[:2]}]
+             for c in wanted}
+    passes = 1
     while open_:
-        brackets = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in open_.items()})
+        todo, open_, most = open_, {}, 0
+        for (c, prefix), ranks in todo.items():
+            below, held = 0, iter(sorted(counted[(c, prefix)]))
+            d, n, a, b = next(held)
+            for inside, k in sorted(ranks):
+                while inside >= below + n:
+                    below += n
+                    d, n, a, b = next(held)
+                if a == b:
+                    found[(c, k)] = from_order_key(a)
+                else:
+                    open_.setdefault((c, d), []).append((inside - below, k))
+                    most = max(most, n)
+        if not open_:
+            break
+        # few rows are told apart by whole keys, of which there are no more than rows
+        was, at = at, 0 if most <= 1 << bits else max(at - bits, 0)
         # columns x probabilities x 2 rows at most: a bounded broadcast
-        bdf = spark.createDataFrame([(c, lo, hi) for c, lo, hi in brackets], "name string, lo double, hi double")
-        half = (F.col("hi") / 2 - F.col("lo") / 2)
-        share = F.when(F.col("hi") - F.col("lo") < inf, (v - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(
-            (v / 2 - F.col("lo") / 2) / half)
-        rows = (stacked.join(F.broadcast(bdf), "name").where((v >= F.col("lo")) & (v <= F.col("hi")))
-                .groupBy("name", "lo", "hi", F.least(F.floor(share * bins), F.lit(bins - 1)).alias("bin"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("a"), F.max("value").alias("b")).collect())
-        parts: dict[tuple[str, float, float], list] = {}
-        for r in rows:
-            parts.setdefault((r["name"], r["lo"], r["hi"]), []).append((r["bin"], r["n"], r["a"], r["b"]))
-        todo, open_ = open_, {}
-        for (c, k), (lo, hi, below) in todo.items():
-            for _, n, a, b in sorted(parts[(c, lo, hi)]):
-                if k < below + n:
-                    settle((c, k), a, b, below)
-                    break
-                below += n
-    out = []
-    for c in cols:
+        prefixes = F.broadcast(spark.createDataFrame(list(open_), "pc int, p bigint"))
+        inside = keys.join(prefixes, (F.col("c") == F.col("pc")) & (F.shiftright("key", was) == F.col("p"))).select("c", "key")
+        passes += 1
+        if passes == 3:
+            keys = inside = store(inside, "quantile-keys")
+        counted = {}
+        for r in inside.groupBy("c", F.shiftright("key", was).alias("p"), F.shiftright("key", at).alias("d")).agg(*_counts()).collect():
+            counted.setdefault((r["c"], r["p"]), []).append((r["d"], r["n"], r["a"], r["b"]))
+    out = {}
+    for i, c in enumerate(cols):
         for p in probs:
-            value = None
-            if c in ends:
-                i, j, frac = _positions(ends[c]["n"], float(p), method)
-                a, b = found[(c, i)], found[(c, j)]
-                value = a if a == b or not frac else a + (b - a) * frac
-            out.append((c, float(p), value))
-    return spark.createDataFrame(out, "name string, p double, value double")
-
-
-def unpivot_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long form ``name, value`` (double) of several numeric columns."""
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("__kv")).select("__kv.name", "__kv.value")
-
-
-def quantile_row(df: DataFrame, cols: Sequence[str], p: float, method: str) -> DataFrame:
-    """One-row frame with the p-quantile of each column, named like the column."""
-    q = exact_quantiles(df, cols, [p], method=method)
-    return q.groupBy().pivot("name", list(cols)).agg(F.first("value"))
+            out[(c, p)] = None
+            if i in wanted:
+                lo, hi, frac = _positions(total[i], float(p), method)
+                a, b = found[(i, lo)], found[(i, hi)]
+                out[(c, p)] = a if a == b or not frac else a + (b - a) * frac
+    return out
 
 
 def impute_quantile(df: DataFrame, cols: Sequence[str], method: str,
@@ -183,36 +186,16 @@ def impute_quantile(df: DataFrame, cols: Sequence[str], method: str,
     NULLs and NaNs of each column are filled with that column's median; a column with
     no value at all falls back to ``default`` (lower median) or stays NULL
     (midpoint, as pandas does)."""
-    # One bounded (single-row) look at the NULL counts decides which columns
-    # need a median at all; columns without NULLs skip the quantile job.
     df = df.withColumns({c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols})
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    todo = [c for i, c in enumerate(cols) if nulls[f"n{i}"] > 0]
-    out = df
-    for c in cols:
-        if c not in todo:
-            out = out.withColumn(c, F.col(c).cast("double"))
-    if not todo:
-        return out
-    med = quantile_row(df, todo, 0.5, method).select(
-        *[F.col(f"`{c}`").alias(f"__med{i}") for i, c in enumerate(todo)])
-    j = attach_stats(out, med)
-    for i, c in enumerate(todo):
-        fill = F.col(f"__med{i}")
-        if method == "disc":
-            fill = F.coalesce(fill, F.lit(default))
-        j = j.withColumn(c, F.coalesce(F.col(c).cast("double"), fill))
-    return j.drop(*[f"__med{i}" for i in range(len(todo))])
+    nulls: dict[str, int] = {}  # counted by the first pass; columns without any take no further ones
+    med = quantile_values(df, cols, [0.5], method, nulls=nulls)
+    fills = {c: default if med[(c, 0.5)] is None and method == "disc" else med[(c, 0.5)] for c in nulls}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast("double")) for c, v in fills.items()})
 
 
 def flag_below_quantile(df: DataFrame, score: str, contamination: float,
                         out: str = "is_anomaly", cut_col: str | None = None) -> DataFrame:
     """``score < percentile(score, contamination)`` (linear interpolation)."""
-    cut = exact_quantiles(df, [score], [contamination], "cont").select(F.col("value").alias("__cut"))
-    j = attach_stats(df, cut)
-    j = j.withColumn(out, F.coalesce(F.col(score) < F.col("__cut"), F.lit(False)))
-    if cut_col:
-        return j.withColumnRenamed("__cut", cut_col)
-    return j.drop("__cut")
-
-
+    cut = quantile_values(df, [score], [contamination])[(score, contamination)]
+    j = df.withColumn(out, F.coalesce(F.col(score) < F.lit(cut).cast("double"), F.lit(False)))
+    return j.withColumn(cut_col, F.lit(cut).cast("double")) if cut_col else j

@@ -10,6 +10,7 @@ from regiscope.operators import clean as CLN
 from regiscope.operators import cluster as CL
 from regiscope.operators import join as J
 from regiscope.operators import rank as RK
+from regiscope.functions import numeric as NUM
 from regiscope.operators import stats as ST
 
 
@@ -80,14 +81,14 @@ def test_rank_ascending_ties(spark):
     assert got == {1: 1, 3: 1, 2: 3, 4: 4}
 
 
-@pytest.mark.parametrize("bins", [2, 7, 4096])
-def test_exact_quantiles_match_numpy(spark, bins):
+@pytest.mark.parametrize("bits", [2, 7, 12])
+def test_exact_quantiles_match_numpy(spark, bits):
     rnd = np.random.default_rng(3)
     a = rnd.normal(size=2001).round(3)
     b = rnd.integers(0, 5, size=2001).astype(float)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
     probs = [0.0, 0.1, 0.15, 0.5, 0.9, 1.0]
-    q = {(r.name, r.p): r.value for r in ST.exact_quantiles(df, ["a", "b"], probs, "cont", bins=bins).collect()}
+    q = {(r.name, r.p): r.value for r in ST.exact_quantiles(df, ["a", "b"], probs, "cont", bits=bits).collect()}
     for p in probs:
         assert q[("a", p)] == pytest.approx(float(np.quantile(a, p)), abs=1e-9)
         assert q[("b", p)] == pytest.approx(float(np.quantile(b, p)), abs=1e-9)
@@ -99,7 +100,7 @@ def test_exact_quantiles_nan_infinity_and_hot_value(spark):
     assert ST.exact_quantiles(df, ["x"], [0.5], "disc").first().value == 3.0
     wide = [float("-inf"), -1.7e308, 5e-324, 0.0, 1.7e308, float("inf"), float("inf")]
     df = spark.createDataFrame([(v,) for v in wide], "x double")
-    got = [r.value for r in ST.exact_quantiles(df, ["x"], [0.0, 0.2, 0.5, 0.7, 1.0], "disc", bins=3).collect()]
+    got = [r.value for r in ST.exact_quantiles(df, ["x"], [0.0, 0.2, 0.5, 0.7, 1.0], "disc", bits=3).collect()]
     assert got == [float("-inf"), -1.7e308, 5e-324, 1.7e308, float("inf")]
     # a quarter of a million rows, a third of them equal
     df = spark.range(250_000).select(F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.col("id") / 250_000).alias("x"))
@@ -108,6 +109,36 @@ def test_exact_quantiles_nan_infinity_and_hot_value(spark):
     assert got == pytest.approx(list(want), abs=1e-12)
 
 
+def test_order_key_orders_as_doubles(spark):
+    rnd = np.random.default_rng(9)
+    v = np.concatenate([rnd.normal(size=200), np.exp(rnd.uniform(-740, 709, 400)), -np.exp(rnd.uniform(-740, 709, 400)),
+                        2.0 ** np.arange(-1074, 1024), np.nextafter(2.0 ** np.arange(-1000, 1023), 0),
+                        [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, np.inf, -np.inf]])
+    rows = spark.createDataFrame([(float(x),) for x in v], "x double").select("x", NUM.order_key("x").alias("k")).collect()
+    for r in rows:
+        assert NUM.from_order_key(r.k) == r.x
+    by = sorted(rows, key=lambda r: r.k)
+    assert [r.x for r in by] == sorted(v)
+    odd = spark.createDataFrame([(None,), (float("nan"),)], "x double").select(NUM.order_key("x").alias("k")).collect()
+    assert [r.k for r in odd] == [None, None]
+
+
+def test_quantile_passes_do_not_depend_on_the_spread(spark, monkeypatch):
+    """Normal and log-uniform values take the same passes, never more than six."""
+    seen = []
+    count = ST._counts
+    monkeypatch.setattr(ST, "_counts", lambda: seen.append(1) or count())
+    rnd = np.random.default_rng(2)
+    passes = []
+    for v in (rnd.normal(size=20_000), np.exp(rnd.uniform(-650, 650, 20_000)), 1 + np.arange(20_000) * 2.0 ** -50):
+        df = spark.createDataFrame([(float(x),) for x in v], "x double")
+        seen.clear()
+        got = ST.quantile_values(df, ["x"], [0.3])
+        assert got[("x", 0.3)] == pytest.approx(float(np.quantile(v, 0.3)), rel=1e-12)
+        passes.append(len(seen))
+    assert passes[0] == passes[1] and max(passes) <= 6
+
+
 def test_rank_with_infinities(spark):
     df = spark.createDataFrame([(1, float("inf")), (2, float("-inf")), (3, 0.5), (4, float("inf"))], "id int, s double")
     assert {r.id: r.rk for r in RK.rank(df, "s", out="rk").collect()} == {1: 1, 4: 1, 3: 3, 2: 4}
