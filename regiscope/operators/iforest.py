@@ -5,21 +5,21 @@ Algorithm: Liu, Ting and Zhou, "Isolation Forest", ICDM 2008.
 Plan
 1. ``n`` rows; subsample size ``psi = min(max_samples, n)``; height limit
    ``ceil(log2(psi))``.
-2. Rows with equal features are counted first (a partial aggregate, so a value
-   held by a third of the rows is one row per task). Every copy of a row has
-   its own uniform draw per tree; the least draw of ``c`` copies is taken from
-   one hash by its distribution, and only (row, tree) pairs whose least draw
-   is below about ``CANDIDATE * psi / n`` go on. One more hash tells the first
-   tree a row goes to, if any, so most rows leave after it.
-3. Tree ``t`` takes the ``psi`` least draws. Its group holds a few hundred
-   distinct rows whatever their counts; the further draws of a repeated row
-   are generated in ascending order inside the task, at most ``psi`` of them.
-   A tree with fewer than ``psi`` draws raises.
-4. ``groupBy(tree).applyInPandas`` grows each tree with its own seed, so the
-   forest does not depend on partitioning. The node table has at most
-   ``T * (2 psi - 1)`` rows; it can be saved as Parquet (S16) and is
-   broadcast for scoring.
-5. ``mapInPandas`` scores every row vectorised over Arrow batches:
+2. Every row is named by its keys and goes to ``r`` of the trees, one where the
+   table has rows enough: the MD5 of its name gives the first tree and, per
+   tree, a draw. A row whose draw is not among about ``CANDIDATE * psi +
+   MARGIN`` least ones expected of a tree leaves inside its task, so what is
+   shuffled is in proportion to trees x psi, whatever the table's size.
+3. Tree ``t`` takes the ``psi`` least draws. Rows of equal name are counted, so
+   one repeated without bound is one candidate with copies.
+4. The trees grow level by level as window aggregates over (tree, node): the
+   least and greatest value of every feature, a feature among those that vary
+   and a threshold between its ends, both from the MD5 of (seed, tree, node).
+   The rows are shuffled by tree once, at most ``psi`` of each; no step depends
+   on partitioning and SQL can repeat all of it.
+5. The node table has at most ``T * (2 psi - 1)`` rows; ``save`` keeps it with
+   all a reloaded model needs (S16). ``mapInPandas`` scores every row
+   vectorised over Arrow batches:
    ``score = -2 ** (-mean_path / c(psi))`` (lower = more anomalous), with
    path = depth + c(leaf size).
 """
@@ -28,19 +28,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .stats import attach_stats, exact_quantiles, flag_below_quantile
+from .stats import attach_stats, exact_quantiles, flag_below_quantile, quantile_values
 
 EULER_GAMMA = 0.5772156649015329
-# Candidates per tree: CANDIDATE * psi + MARGIN expected, so that fewer than psi
-# practically never occur (it raises).
-CANDIDATE, MARGIN = 3, 64
+# Candidates per tree: CANDIDATE * psi + MARGIN expected, of SPREAD * psi rows that
+# the tree could choose from, so that fewer than psi practically never occur (it raises).
+CANDIDATE, MARGIN, SPREAD = 3, 64, 4
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()),
@@ -74,103 +74,99 @@ def _c_vec(n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _unit(h: F.Column) -> F.Column:
-    """Map a 64-bit hash to [0, 1)."""
-    return F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
-
-
-def grow_tree(x: np.ndarray, tree_id: int, height_limit: int, seed: int) -> list[tuple]:
-    """Grow one isolation tree on the rows of ``x`` (numpy, inside a task)."""
-    rng = np.random.default_rng([seed, tree_id])
-    nodes: list[list] = []
-    stack = [(np.arange(len(x)), 0, -1, 0)]  # (rows, depth, parent, side)
-    while stack:
-        rows, depth, parent, side = stack.pop()
-        nid = len(nodes)
-        nodes.append([tree_id, nid, -1, 0.0, -1, -1, int(len(rows)), depth])
-        if parent >= 0:
-            nodes[parent][4 if side == 0 else 5] = nid
-        if depth >= height_limit or len(rows) <= 1:
-            continue
-        sub = x[rows]
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        usable = np.flatnonzero(hi > lo)
-        if usable.size == 0:
-            continue
-        f = int(rng.choice(usable))
-        thr = float(rng.uniform(lo[f], hi[f]))
-        go_left = sub[:, f] < thr
-        nodes[nid][2] = f
-        nodes[nid][3] = thr
-        # push right first so the left child gets the smaller id
-        stack.append((rows[~go_left], depth + 1, nid, 1))
-        stack.append((rows[go_left], depth + 1, nid, 0))
-    return [tuple(n) for n in nodes]
-
-
-def least_draws(u: np.ndarray, copies: np.ndarray, h: np.ndarray, psi: int, seed: int,
-                limit: float = 1.0) -> np.ndarray:
-    """Row numbers of the ``psi`` least draws, where row ``i`` stands for
-    ``copies[i]`` rows whose least draw is ``u[i]``; the others of its draws
-    follow in ascending order from a generator seeded with the row's hash.
-    Draws from ``limit`` on do not count: no row's first draw was kept there."""
-    draws = [(float(x), i) for i, x in enumerate(u)]
-    bound = np.partition(u, psi - 1)[psi - 1] if len(u) >= psi else limit
-    for i in np.flatnonzero(copies > 1):
-        rng = np.random.default_rng([seed, int(h[i]) & 0xFFFFFFFFFFFFFFFF])
-        x = float(u[i])
-        for left in range(int(copies[i]) - 1, max(int(copies[i]) - psi, 0), -1):
-            x = 1.0 - (1.0 - x) * (1.0 - rng.random()) ** (1.0 / left)  # least of the draws left
-            if x >= bound:
-                break
-            draws.append((x, int(i)))
-    return np.array([i for _, i in sorted(draws)[:psi]], dtype=int)
-
-
-def fit(df: DataFrame, features: Sequence[str], n_trees: int = 100,
-        max_samples: int = 256, seed: int = 42) -> tuple[DataFrame, int]:
+def _hex(h: Column, start: int, digits: int) -> Column:
+    """A number of some hexadecimal digits of an MD5."""
+    return F.conv(F.substring(h, start, digits), 16, 10).cast("bigint")
+
+
+def trees_per_row(n: int, n_trees: int, psi: int) -> int:
+    """Trees that a row may go to: so many that a tree has SPREAD * psi rows to
+    choose from."""
+    return min(n_trees, -(-SPREAD * n_trees * psi // n))
+
+
+def sample(df: DataFrame, features: Sequence[str], keys: Sequence[str] | None, n: int, n_trees: int,
+           psi: int, seed: int) -> DataFrame:
+    """``tree, x0.., w``: the psi least draws of every tree; w copies each."""
+    xs = [f"x{i}" for i in range(len(features))]
+    r = trees_per_row(n, n_trees, psi)
+    limit = min(1.0, (CANDIDATE * psi + MARGIN) * n_trees / (n * r)) if r < n_trees else 1.0
+    name = [F.col(f"`{k}`").cast("string") for k in keys] if keys else [F.monotonically_increasing_id().cast("string")]
+
+    def md5(j):
+        return F.md5(F.concat_ws("|", F.lit(str(seed)), j.cast("string"), F.col("__name")))
+
+    rows = df.select(F.concat_ws("|", *name).alias("__name"),
+                     *[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(features, xs)])
+    rows = rows.withColumn("__h", md5(F.lit(0)))
+    if r == 1:
+        rows = rows.withColumn("j", F.lit(0))
+    else:
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(r - 1))).alias("j"))
+    draw = _hex(F.when(F.col("j") == 0, F.col("__h")).otherwise(md5(F.col("j"))), 9, 13)
+    rows = rows.withColumn("u", draw).where(F.col("u") < F.lit(math.ceil(limit * 2 ** 52))).select(
+        ((_hex(F.col("__h"), 1, 8) + F.col("j")) % n_trees).cast("int").alias("tree"), "u", *xs)
+    rows = rows.groupBy("tree", "u", *xs).agg(F.count(F.lit(1)).alias("copies"))
+    before = F.sum("copies").over(Window.partitionBy("tree").orderBy("u", *xs)) - F.col("copies")
+    return rows.withColumn("before", before).where(F.col("before") < psi).select(
+        "tree", *xs, F.least("copies", F.lit(psi) - F.col("before")).alias("w"))
+
+
+def grow(rows: DataFrame, n_features: int, psi: int, seed: int) -> DataFrame:
+    """The node table of the trees over ``sample``'s rows. The children of node
+    i are 2 i and 2 i + 1, the root is 1."""
+    xs = [f"x{i}" for i in range(n_features)]
+    height = int(math.ceil(math.log2(psi))) if psi > 1 else 0
+    rows = rows.withColumn("node", F.lit(1)).withColumn("done", F.lit(False)).withColumn(
+        "path", F.array().cast("array<struct<node:int,feature:int,threshold:double,size:bigint,depth:int>>"))
+    each = Window.partitionBy("tree", "node")
+    for depth in range(height + 1):
+        rows = rows.select("*", F.sum("w").over(each).alias("size"), *[
+            f(x).over(each).alias(f"{k}_{x}") for x in xs for k, f in (("lo", F.min), ("hi", F.max))])
+        varying = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"lo_{x}").alias("lo"), F.col(f"hi_{x}").alias("hi"))
+                                     for i, x in enumerate(xs)]), lambda s: s["hi"] > s["lo"])
+        rows = rows.withColumn("varying", varying).withColumn(
+            "h", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("tree").cast("string"), F.col("node").cast("string"))))
+        inner = (F.size("varying") > 0) & F.lit(depth < height)
+        rows = rows.withColumn("s", F.when(inner, F.get("varying", (_hex(F.col("h"), 1, 8) % F.greatest(
+            F.size("varying"), F.lit(1))).cast("int"))))
+        cut = F.col("s.lo") + _hex(F.col("h"), 9, 13) / F.lit(float(2 ** 52)) * (F.col("s.hi") - F.col("s.lo"))
+        # never the least value itself, so that both children have rows
+        rows = rows.withColumn("cut", F.when(cut <= F.col("s.lo"), F.col("s.hi")).otherwise(cut))
+        here = F.struct(F.col("node"), F.coalesce("s.i", F.lit(-1)).alias("feature"), F.coalesce("cut", F.lit(0.0)).alias("threshold"),
+                        F.col("size").cast("bigint").alias("size"), F.lit(depth).alias("depth"))
+        value = F.get(F.array(*xs), F.col("s.i"))
+        rows = rows.select(
+            "tree", *xs, "w",
+            F.when(F.col("done") | F.col("s").isNull(), F.col("node")).otherwise(
+                2 * F.col("node") + F.when(value < F.col("cut"), 0).otherwise(1)).cast("int").alias("node"),
+            (F.col("done") | F.col("s").isNull()).alias("done"),
+            F.when(F.col("done"), F.col("path")).otherwise(F.concat("path", F.array(here))).alias("path"))
+    nodes = rows.select("tree", F.explode("path").alias("p")).select("tree", "p.*").distinct()
+    inner = F.col("feature") >= 0
+    return nodes.select("tree", "node", "feature", "threshold", F.when(inner, 2 * F.col("node")).otherwise(-1).alias("left"),
+                        F.when(inner, 2 * F.col("node") + 1).otherwise(-1).alias("right"),
+                        F.col("size").cast("int").alias("size"), "depth")
+
+
+def fit(df: DataFrame, features: Sequence[str], n_trees: int = 100, max_samples: int = 256,
+        seed: int = 42, keys: Sequence[str] | None = None, n: int | None = None) -> tuple[DataFrame, int]:
     """Fit the forest; returns (node table, psi). ``features`` must be
-    non-NULL doubles (impute and scale first)."""
+    non-NULL doubles (impute and scale first).
+
+    ``keys`` name a row: equal names share their draws. Without keys a row is
+    named by its place in ``df``, which then should be a stored table. ``n``:
+    the number of rows, if known. A tree with fewer than psi draws raises when
+    the node table is stored or read."""
     spark = df.sparkSession
-    feats = list(features)
-    n = df.count()
+    n = df.count() if n is None else n
     if n == 0:
         return spark.createDataFrame([], NODE_SCHEMA), 0
     psi = min(max_samples, n)
-    height = int(math.ceil(math.log2(psi))) if psi > 1 else 0
-    limit = min(1.0, (CANDIDATE * psi + MARGIN) / n)
-    rows = df.groupBy(*[F.col(c).cast("double").alias(c) for c in feats]).agg(F.count(F.lit(1)).alias("copies"))
-    # a row goes to a tree if its least draw there is below the limit, with
-    # probability ``below``; the first such tree follows from one hash
-    # (geometric), so all but about n_trees * psi rows leave before the others
-    below = F.lit(1.0) - F.pow(F.lit(1.0 - limit), F.col("copies"))
-    skip = F.lit(0) if limit == 1.0 else F.floor(
-        F.log1p(-_unit(F.xxhash64(*feats, F.lit(-1), F.lit(seed)))) / (F.col("copies") * math.log1p(-limit)))
-    rows = rows.withColumn("skip", skip).where(F.col("skip") < n_trees).withColumn("below", below)
-
-    def pair(t):
-        h = F.xxhash64(*feats, t, F.lit(seed))
-        u = _unit(h) * F.when(t == F.col("skip"), F.col("below")).otherwise(1.0)
-        return F.struct(t.alias("tree"), h.alias("h"), u.alias("u"))
-
-    pairs = F.filter(F.transform(F.sequence(F.col("skip").cast("int"), F.lit(n_trees - 1)), pair),
-                     lambda x: x["u"] < F.col("below"))
-    cand = (rows.select(*feats, "copies", F.explode(pairs).alias("__p"))
-            .select(*feats, "copies", "__p.tree", "__p.h",
-                    (F.lit(1.0) - F.pow(F.lit(1.0) - F.col("__p.u"), F.lit(1.0) / F.col("copies"))).alias("u")))
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        # total order (draw, then features): a retried task rebuilds the
-        # same tree whatever order the shuffle delivered the rows in
-        pdf = pdf.sort_values(["u", *feats], kind="mergesort")
-        t = int(pdf["tree"].iloc[0])
-        pick = least_draws(pdf["u"].to_numpy(), pdf["copies"].to_numpy(), pdf["h"].to_numpy(), psi, seed, limit)
-        if len(pick) < psi:
-            raise ValueError(f"tree {t}: {len(pick)} draws, {psi} wanted")
-        nodes = grow_tree(pdf[feats].to_numpy(dtype=float)[pick], t, height, seed)
-        return pd.DataFrame(nodes, columns=[f.name for f in NODE_SCHEMA.fields])
-
-    return cand.groupBy("tree").applyInPandas(grow, schema=NODE_SCHEMA), psi
+    nodes = grow(sample(df, features, keys, n, n_trees, psi, seed), len(features), psi, seed)
+    enough = F.when((F.col("node") == 1) & (F.col("size") < psi), F.raise_error(F.format_string(
+        "tree %d: %d draws, %d wanted", F.col("tree"), F.col("size"), F.lit(psi))).cast("int")).otherwise(F.col("size"))
+    return nodes.withColumn("size", enough), psi
 
 
 def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
@@ -179,18 +175,17 @@ def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
     collected once (bounded by trees x (2 psi - 1) rows) and broadcast. A scan
     of small splits (``session.store(split_bytes=)``) keeps all cores busy."""
     spark = df.sparkSession
-    nd = nodes.toPandas().sort_values(["tree", "node"])
-    # Flatten the forest into one node array; child ids become global offsets.
-    offs = nd.groupby("tree")["node"].transform("size").groupby(nd["tree"]).first().cumsum().shift(fill_value=0)
-    base = nd["tree"].map(offs).to_numpy()
-    feat = nd["feature"].to_numpy()
+    nd = nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
+    # one node array; child ids become places in it
+    place = {k: i for i, k in enumerate(zip(nd["tree"], nd["node"]))}
+    first = nd.groupby("tree")["node"].min()
     glob = {
-        "feature": feat,
+        "feature": nd["feature"].to_numpy(),
         "threshold": nd["threshold"].to_numpy(),
-        "left": np.where(feat >= 0, nd["left"].to_numpy() + base, -1),
-        "right": np.where(feat >= 0, nd["right"].to_numpy() + base, -1),
+        "left": np.array([place.get(k, -1) for k in zip(nd["tree"], nd["left"])], dtype=np.int64),
+        "right": np.array([place.get(k, -1) for k in zip(nd["tree"], nd["right"])], dtype=np.int64),
         "path": nd["depth"].to_numpy() + _c_vec(nd["size"].to_numpy()),
-        "roots": offs.to_numpy(),
+        "roots": np.array([place[k] for k in first.items()], dtype=np.int64),
         "max_depth": int(nd["depth"].max()) if len(nd) else 0,
     }
     bc = spark.sparkContext.broadcast(glob)
@@ -258,3 +253,74 @@ def contamination_sweep(df: DataFrame, score_col: str, levels: Sequence[float])
     counts = _flagged(df, score_col, cuts, []).groupBy("contamination").agg(F.count(F.lit(1)).alias("n"))
     return cuts.join(counts, "contamination", "left").select(
         "contamination", "cut", F.coalesce("n", F.lit(0)).alias("n_flagged"))
+
+
+@dataclass
+class Model:
+    """All that scoring unseen rows needs."""
+
+    nodes: DataFrame
+    psi: int
+    features: list[str]
+    fills: list[float | None]
+    means: list[float]
+    deviations: list[float]
+    contamination: float | None = None
+    cut: float | None = None
+
+    def score(self, df: DataFrame, out: str = "anomaly_score", flag_out: str = "is_anomaly") -> DataFrame:
+        """``df`` with its scores: NULLs filled, features scaled and trees
+        walked as when fitted, flagged by the stored cut if there is one."""
+        xs = [f"__x{i}" for i in range(len(self.features))]
+        scaled = {}
+        for x, c, fill, mu, sd in zip(xs, self.features, self.fills, self.means, self.deviations):
+            v = F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
+            scaled[x] = (F.coalesce(v, F.lit(fill).cast("double"), F.lit(0.0)) - mu) / sd if sd else F.lit(0.0)
+        got = score(df.withColumns(scaled), self.nodes, xs, self.psi, out).drop(*xs)
+        if self.cut is None:
+            return got
+        return got.withColumn(flag_out, F.coalesce(F.col(out) < F.lit(self.cut), F.lit(False)))
+
+    def save(self, path: str) -> None:
+        """Two tables below ``path``: nodes, and one row with everything else."""
+        self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+        row = (self.psi, self.features, self.fills, self.means, self.deviations, self.contamination, self.cut)
+        self.nodes.sparkSession.createDataFrame([row], _MODEL).write.mode("overwrite").parquet(f"{path}/model")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Model:
+        row = spark.read.schema(_MODEL).parquet(f"{path}/model").first()
+        return cls(spark.read.schema(NODE_SCHEMA).parquet(f"{path}/nodes"), *row)
+
+
+_MODEL = ("psi int, features array<string>, fills array<double>, means array<double>, deviations array<double>, "
+          "contamination double, cut double")
+
+
+def fit_model(df: DataFrame, features: Sequence[str], n_trees: int = 100, max_samples: int = 256, seed: int = 42,
+              keys: Sequence[str] | None = None, all_fills: bool = True) -> Model:
+    """Midpoint-median fill, population-sd scaling and forest as one model.
+
+    Without ``all_fills`` the median is found only for columns that have a NULL
+    in ``df``; unseen rows then get 0 for a NULL in another one, as they do for
+    a column without any value."""
+    feats = list(features)
+    values = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in feats}
+
+    def moments(fills: dict):
+        return df.agg(F.count(F.lit(1)).alias("n"), *[f(F.coalesce(v, F.lit(fills.get(c)).cast("double"))).alias(f"{k}{i}")
+                                                      for i, (c, v) in enumerate(values.items())
+                                                      for k, f in (("c", F.count), ("mu", F.avg), ("sd", F.stddev_pop))]).first()
+
+    got = moments({})
+    gaps = [c for i, c in enumerate(feats) if got[f"c{i}"] < got["n"]]
+    fills = {c: v for (c, _), v in quantile_values(df, feats if all_fills else gaps, [0.5]).items()} if gaps or all_fills else {}
+    if gaps:
+        got = moments({c: 0.0 if fills[c] is None else fills[c] for c in gaps})
+    means = [got[f"mu{i}"] or 0.0 for i in range(len(feats))]
+    sds = [got[f"sd{i}"] or 0.0 for i in range(len(feats))]
+    xs = [f"__x{i}" for i in range(len(feats))]
+    scaled = {x: (F.coalesce(v, F.lit(fills.get(c)).cast("double"), F.lit(0.0)) - mu) / sd if sd else F.lit(0.0)
+              for x, (c, v), mu, sd in zip(xs, values.items(), means, sds)}
+    nodes, psi = fit(df.withColumns(scaled), xs, n_trees, max_samples, seed, keys, got["n"])
+    return Model(nodes, psi, feats, [fills.get(c) for c in feats], means, sds)

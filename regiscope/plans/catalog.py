@@ -317,15 +317,13 @@ def _cluster_input(spark, sf_dir):
 
 @register("q25_kmeans_fit")
 def q25(spark, sf_dir):
-    """M1 + M2 + M4 + S15 + M8: fit K-Means (k=3, seed 42), save the pipeline,
-    reload it, assign and label clusters by mean order value."""
-    from pyspark.ml import PipelineModel
-    # the fit makes many passes over its input: cut the lineage first
-    filled = materialize(ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc"))
-    model = CL.assemble_scale_fit(filled, FE.CUSTOMER_FEATURES, k=3, seed=42)
+    """A8 + M1 + M2 + M4 + S15 + M8: fit K-Means (k=3, deterministic start),
+    save scaler and centres, reload them, assign and label clusters by mean
+    order value."""
+    c = _cust(spark, sf_dir)
     path = scratch_path(spark, "kmeans-model")
-    model.write().overwrite().save(path)
-    pred = PipelineModel.load(path).transform(filled)
+    CL.fit_deterministic(c, FE.CUSTOMER_FEATURES, "c_custkey", k=3).save(spark, path)
+    pred = CL.CentreModel.load(spark, path).assign(c)
     lab = CL.label_by_mean(pred.select("c_custkey", "cluster_id", "f_avg_price"), "cluster_id", "f_avg_price")
     return lab.select("c_custkey", "cluster_id", "cluster_label")
 
@@ -360,31 +358,38 @@ def q29(spark, sf_dir):
 
 @register("q30_k_sweep")
 def q30(spark, sf_dir):
-    """M5: (k, WSSE, silhouette) for k = 2..5."""
-    filled = materialize(ST.impute_quantile(_cust(spark, sf_dir), FE.CUSTOMER_FEATURES, "disc"))
-    return CL.k_sweep(filled, FE.CUSTOMER_FEATURES, [2, 3, 4, 5])
+    """M5: (k, WSSE, silhouette) for k = 2..5, all k in one fit."""
+    z = store(_cluster_input(spark, sf_dir).select("c_custkey", *Z_NAMES), "kmeans-input")
+    sweep = CL.k_sweep(z, Z_NAMES, [2, 3, 4, 5], "c_custkey")
+    return sweep.select("k", F.round("wsse", 6).alias("wsse"), F.round("silhouette", 6).alias("silhouette"))
 
 
-def _forest_input(spark, sf_dir):
-    li = FE.lineitem_features(spark, sf_dir)
-    filled = ST.impute_quantile(li, FE.LINEITEM_FEATURES, "cont")
-    zs = [f"z_{c}" for c in FE.LINEITEM_FEATURES]
-    return ST.zscore(filled, FE.LINEITEM_FEATURES, zs, ddof=0), zs
+def _flagged_scores(model, rows):
+    """Scores of every row to six digits, stored once, with the 15 % flag."""
+    scored = store(model.score(rows).select(*FE.LINEITEM_KEYS[:4], F.round("anomaly_score", 6).alias("anomaly_score")),
+                   "iforest-scores")
+    return IF.flag(scored, "anomaly_score", CONTAMINATION)
 
 
 @register("q31_isolation_forest")
 def q31(spark, sf_dir):
-    """M9 + A12 + S16: distributed isolation forest (100 trees, seed 42),
-    node table saved as Parquet, contamination 0.15 flag."""
-    x, zs = _forest_input(spark, sf_dir)
-    x = store(x.select("l_orderkey", "l_linenumber", *zs), "iforest-input", SPLIT_BYTES)
-    nodes, psi = IF.fit(x, zs)
-    nodes = store(nodes, "iforest-nodes")
-    # the quantile cut reads the scores several times: store the narrow
-    # scored table once instead of re-running the forest per pass
-    scored = store(IF.score(x, nodes, zs, psi).select("l_orderkey", "l_linenumber", "anomaly_score"), "iforest-scores")
-    flagged = IF.flag(scored, "anomaly_score", CONTAMINATION)
-    return flagged.select("l_orderkey", "l_linenumber", "anomaly_score", "is_anomaly")
+    """M9 + A12: distributed isolation forest (100 trees, seed 42) over all
+    lineitems, flagged below the 15 % quantile of the scores."""
+    x = store(FE.named_lineitems(spark, sf_dir), "iforest-input", SPLIT_BYTES)
+    model = IF.fit_model(x, FE.LINEITEM_FEATURES, seed=42, keys=FE.LINEITEM_KEYS, all_fills=False)
+    model.nodes = store(model.nodes, "iforest-nodes")
+    return _flagged_scores(model, x)
+
+
+@register("q55_forest_reload")
+def q55(spark, sf_dir):
+    """The model of the lineitems of even orders, saved, reloaded and
+    applied to those of odd ones with their own fill and scaling."""
+    x = store(FE.named_lineitems(spark, sf_dir), "iforest-input", SPLIT_BYTES)
+    even = F.col("l_orderkey") % 2 == 0
+    path = scratch_path(spark, "iforest-model")
+    IF.fit_model(x.where(even), FE.LINEITEM_FEATURES, seed=42, keys=FE.LINEITEM_KEYS).save(path)
+    return _flagged_scores(IF.Model.load(spark, path), x.where(~even))
 
 
 def _net_price(spark, sf_dir):

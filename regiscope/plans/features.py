@@ -43,3 +43,13 @@ def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("net_price"))
+
+
+#: What names a lineitem (no two rows of the table agree in all of them).
+LINEITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price_cents"]
+
+
+def named_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem_features`` with the price in cents, so that the keys are integers."""
+    return lineitem_features(spark, sf_dir).withColumn(
+        "price_cents", F.round(F.col("l_extendedprice") * 100).cast("bigint"))

@@ -8,6 +8,8 @@ result type (BIGINT / INTEGER).
 
 from __future__ import annotations
 
+import math
+
 
 # --- Gold over the test tables -------------------------------------------
 
@@ -441,3 +443,126 @@ SELECT b.wilayah_key, 'name' AS name_field, {_title('b.name')} AS label, COALESC
   ml.tooltip_nrs, ml.cluster_label, ml.tooltip_anomaly, ml.tooltip_prevalence, ml.priority_rank,
   b.minx, b.miny, b.maxx, b.maxy, al.*
 FROM b CROSS JOIN al LEFT JOIN ml ON {_canon('ml.kabupaten_kota')} = b.wilayah_key"""
+
+
+# --- isolation forest -----------------------------------------------------
+
+_FX = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price"]
+
+
+def _hex(h: str, start: int, digits: int) -> str:
+    return f"CAST('0x' || substr({h}, {start}, {digits}) AS BIGINT)"
+
+
+def _forest(fitted: str, scored: str, trees: int = 100, psi: int = 256, seed: int = 42, height: int = 8) -> str:
+    """Sampling, growing and walking of the forest: rows of ``fitted`` give
+    the trees, rows of ``scored`` their scores; each is a condition."""
+    zs = [f"z{i}" for i in range(len(_FX))]
+    z = ", ".join(zs)
+    parts = [f"""
+WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+    l_extendedprice * (1.0 - l_discount) AS net_price, CAST(round(l_extendedprice * 100) AS BIGINT) AS price_cents FROM lineitem),
+mo AS (SELECT count(*) AS n, {", ".join(f"avg({x}) AS mu{i}, stddev_pop({x}) AS sd{i}" for i, x in enumerate(_FX))}
+    FROM li WHERE {fitted}),
+x AS MATERIALIZED (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, n, row_number() OVER () AS rid,
+    concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, price_cents) AS name,
+    {", ".join(f"CASE WHEN sd{i} = 0 THEN 0.0 ELSE ({c} - mu{i}) / sd{i} END AS z{i}" for i, c in enumerate(_FX))}
+    FROM li CROSS JOIN mo),
+pairs AS (SELECT {z}, name, unnest(range(least({trees}, CAST(ceil(4.0 * {trees} * {psi} / n) AS BIGINT)))) AS j FROM x WHERE {fitted}),
+drawn AS (SELECT {z}, ({_hex(f"md5('{seed}|0|' || name)", 1, 8)} + j) % {trees} AS tree,
+    {_hex(f"md5('{seed}|' || j || '|' || name)", 9, 13)} AS u FROM pairs),
+v0 AS (SELECT tree, {z}, CAST(1 AS BIGINT) AS node FROM drawn
+    QUALIFY row_number() OVER (PARTITION BY tree ORDER BY u, {z}) <= {psi})"""]
+    value = "CASE s.i " + " ".join(f"WHEN {i} THEN z{i}" for i in range(len(zs))) + " END"
+    for d in range(height + 1):
+        ends = ", ".join(f"min({c}) OVER w AS lo{i}, max({c}) OVER w AS hi{i}" for i, c in enumerate(zs))
+        each = ", ".join(f"{{'i': {i}, 'lo': lo{i}, 'hi': hi{i}}}" for i in range(len(zs)))
+        pick = f"us[{_hex('h', 1, 8)} % greatest(len(us), 1) + 1]" if d < height else "NULL"
+        parts.append(f"""
+a{d} AS (SELECT *, count(*) OVER w AS size, {ends}, md5('{seed}|' || tree || '|' || node) AS h FROM v{d}
+    WINDOW w AS (PARTITION BY tree, node)),
+b{d} AS (SELECT *, list_filter([{each}], lambda e: e.hi > e.lo) AS us FROM a{d}),
+c{d} AS (SELECT *, {pick if d < height else "CAST(NULL AS STRUCT(i INTEGER, lo DOUBLE, hi DOUBLE))"} AS s FROM b{d}),
+e{d} AS MATERIALIZED (SELECT *, CASE WHEN cut0 <= s.lo THEN s.hi ELSE cut0 END AS cut
+    FROM (SELECT *, s.lo + {_hex('h', 9, 13)} / 4503599627370496.0 * (s.hi - s.lo) AS cut0 FROM c{d})),
+n{d} AS MATERIALIZED (SELECT DISTINCT tree, node, s.i AS f, cut, size FROM e{d}),
+v{d + 1} AS (SELECT tree, {z}, 2 * node + CASE WHEN {value} < cut THEN 0 ELSE 1 END AS node FROM e{d} WHERE s IS NOT NULL)""")
+    walk = "CASE f " + " ".join(f"WHEN {i} THEN z{i}" for i in range(len(zs))) + " END"
+    leaf = f"CASE WHEN size <= 1 THEN 0.0 WHEN size = 2 THEN 1.0 ELSE 2.0 * (ln(size - 1.0) + 0.5772156649015329) - 2.0 * (size - 1.0) / size END"
+    parts.append(f"""
+w0 AS (SELECT rid, {z}, t AS tree, CAST(1 AS BIGINT) AS node FROM x, range({trees}) AS r(t) WHERE {scored})""")
+    for d in range(height + 1):
+        parts.append(f"""
+j{d} AS MATERIALIZED (SELECT rid, {z}, tree, node, f, cut, {d} + {leaf} AS path FROM w{d} JOIN n{d} USING (tree, node)),
+p{d} AS (SELECT rid, sum(path) AS path FROM j{d} WHERE f IS NULL GROUP BY rid),
+w{d + 1} AS (SELECT rid, {z}, tree, 2 * node + CASE WHEN {walk} < cut THEN 0 ELSE 1 END AS node FROM j{d} WHERE f IS NOT NULL)""")
+    paths = " UNION ALL ".join(f"SELECT * FROM p{d}" for d in range(height + 1))
+    cn = 2.0 * (math.log(psi - 1.0) + 0.5772156649015329) - 2.0 * (psi - 1.0) / psi
+    parts.append(f"""
+sc AS (SELECT rid, round(-pow(2.0, -(sum(path) / {trees}) / {cn!r}), 6) AS anomaly_score FROM ({paths}) GROUP BY rid),
+ct AS (SELECT quantile_cont(anomaly_score, 0.15) AS cut FROM sc)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, anomaly_score, COALESCE(anomaly_score < ct.cut, false) AS is_anomaly
+FROM x JOIN sc USING (rid) CROSS JOIN ct""")
+    return ",".join(parts)
+
+
+SQL["q31_isolation_forest"] = _forest("true", "true")
+SQL["q55_forest_reload"] = _forest("l_orderkey % 2 = 0", "l_orderkey % 2 = 1")
+
+
+# --- K-Means ----------------------------------------------------------------
+
+def _kmeans(base: str, key: str, zs: list[str], ks: list[int], steps: int = 10) -> str:
+    """Farthest-first starts and Lloyd steps over the rows of ``base``: the
+    centres of k after the last step are the rows of ``c{k}`` (i, z..)."""
+    z = ", ".join(zs)
+
+    def dist(a: str, b: str) -> str:
+        return " + ".join(f"({a}.{x} - {b}.{x}) * ({a}.{x} - {b}.{x})" for x in zs)
+
+    parts = [f"mean AS (SELECT {', '.join(f'avg({x}) AS {x}' for x in zs)} FROM {base})",
+             f"f1 AS MATERIALIZED (SELECT 0 AS i, {z} FROM (SELECT b.*, {dist('b', 'm')} AS d FROM {base} b CROSS JOIN mean m) "
+             f"ORDER BY d DESC, {key} LIMIT 1)"]
+    for j in range(2, max(ks) + 1):
+        parts.append(f"f{j} AS MATERIALIZED (SELECT * FROM f{j - 1} UNION ALL (SELECT {j - 1} AS i, {z} FROM ("
+                     f"SELECT b.{key}, {', '.join(f'b.{x}' for x in zs)}, min({dist('b', 'f')}) AS d FROM {base} b CROSS JOIN f{j - 1} f "
+                     f"GROUP BY ALL) ORDER BY d DESC, {key} LIMIT 1))")
+    for k in ks:
+        at = f"f{k}"
+        for t in range(steps):
+            to = f"c{k}_{t}" if t < steps - 1 else f"c{k}"
+            parts.append(f"""
+{to} AS MATERIALIZED (SELECT o.i, {", ".join(f"coalesce(n.{x}, o.{x}) AS {x}" for x in zs)} FROM {at} o LEFT JOIN (
+  SELECT i, {", ".join(f"sum({x}) / count(*) AS {x}" for x in zs)} FROM (
+    SELECT {", ".join(f"b.{x}" for x in zs)}, c.i FROM {base} b CROSS JOIN {at} c
+    QUALIFY row_number() OVER (PARTITION BY b.{key} ORDER BY {dist("b", "c")}, c.i) = 1) GROUP BY i) n USING (i))""")
+            at = to
+        parts.append(f"""
+a{k} AS MATERIALIZED (SELECT b.*, c.i AS cluster_id, {dist("b", "c")} AS dmin FROM {base} b CROSS JOIN c{k} c
+  QUALIFY row_number() OVER (PARTITION BY b.{key} ORDER BY {dist("b", "c")}, c.i) = 1)""")
+    return ",".join(parts)
+
+
+def _silhouette(asg: str, key: str, zs: list[str], name: str) -> str:
+    sq = " + ".join(f"{x} * {x}" for x in zs)
+    asq = " + ".join(f"a.{x} * a.{x}" for x in zs)
+    return f"""
+{name}_c AS (SELECT cluster_id AS c, count(*) AS n, sum({sq}) AS p, {", ".join(f"sum({x}) AS y_{x}" for x in zs)} FROM {asg} GROUP BY 1),
+{name}_t AS (SELECT a.{key}, a.cluster_id, s.c, s.n, s.n * ({asq}) + s.p - 2.0 * ({" + ".join(f"a.{x} * s.y_{x}" for x in zs)}) AS tot
+  FROM {asg} a CROSS JOIN {name}_c s),
+{name}_v AS (SELECT {key}, max(CASE WHEN c = cluster_id AND n > 1 THEN tot / (n - 1) END) AS a,
+  min(CASE WHEN c <> cluster_id THEN tot / n END) AS b FROM {name}_t GROUP BY 1),
+{name} AS (SELECT avg(CASE WHEN a IS NULL OR b IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM {name}_v)"""
+
+
+_CZ = (f"WITH {_CUST.strip()},\n{_fill('quantile_disc', '0.0')},\n{_zsql('filled', 'stddev_samp', None)},\n")
+SQL["q25_kmeans_fit"] = _CZ + _kmeans("z", "c_custkey", _Z, [3]) + """,
+mm AS (SELECT cluster_id, avg(cf.f_avg_price) AS mean FROM a3 JOIN cf USING (c_custkey) GROUP BY cluster_id),
+oo AS (SELECT cluster_id, least(row_number() OVER (ORDER BY mean ASC NULLS FIRST, cluster_id) - 1, 2) AS o FROM mm)
+SELECT a.c_custkey, CAST(a.cluster_id AS INTEGER) AS cluster_id,
+  CASE o WHEN 0 THEN 'Risiko Rendah' WHEN 1 THEN 'Risiko Sedang' ELSE 'Risiko Tinggi' END AS cluster_label
+FROM a3 a JOIN oo ON a.cluster_id = oo.cluster_id"""
+SQL["q30_k_sweep"] = (_CZ + _kmeans("z", "c_custkey", _Z, [2, 3, 4, 5]) + ","
+                      + ",".join(_silhouette(f"a{k}", "c_custkey", _Z, f"s{k}") for k in (2, 3, 4, 5)) + "\n"
+                      + " UNION ALL ".join(f"SELECT {k} AS k, (SELECT round(sum(dmin), 6) FROM a{k}) AS wsse, "
+                                           f"(SELECT round(silhouette, 6) FROM s{k}) AS silhouette" for k in (2, 3, 4, 5)))
