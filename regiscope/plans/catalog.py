@@ -25,6 +25,7 @@ from ..operators import stats as ST
 from ..session import SPLIT_BYTES, materialize, prepare, scratch_path, store
 from ..sources import messages as MSG
 from ..sources import tables as TBL
+from ..sources import versions as VER
 from ..streaming import ingest as ING
 from . import features as FE
 from . import gold as G
@@ -650,3 +651,73 @@ def q54(spark, sf_dir):
     ring = F.array(*[F.array(x, y) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0"))])
     b = b.select("n_nationkey", "n_regionkey", "name", F.when(F.col("x0").isNotNull(), F.array(ring)).alias("rings"))
     return SV.boundary_layer(materialize(b), ["n_nationkey", "n_regionkey", "name"], gold_final(spark, sf_dir))
+
+
+# --- replacement, ledger, dead letters --------------------------------------
+
+@register("q56_replace_parts")
+def q56(spark, sf_dir):
+    """S9 + S12 + S13: orders delivered as one part per priority, then two
+    parts replaced by later deliveries and the table read back: every read
+    resolves the newest manifest."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    table = VER.VersionedTable(spark, scratch_path(spark, "orders-parts"), o.schema)
+    for p in TT.PRIORITIES:
+        table.replace(o.where(F.col("o_orderpriority") == p), part=p)
+    for p, low in (("1-URGENT", 100_000.0), ("5-LOW", 200_000.0)):
+        table.replace(table.read(p).where(F.col("o_totalprice") >= low), part=p)
+    table.vacuum()
+    return table.read()
+
+
+class _Lost(Exception):
+    pass
+
+
+@register("q57_ingest_ledger")
+def q57(spark, sf_dir):
+    """Events routed to one topic per type; the run fails behind the write
+    of the third topic and is started again. Rows per topic in the ledger and in
+    Bronze."""
+    e = _t(spark, sf_dir, "events")
+    topics, bronze, ledger, ckpt = (scratch_path(spark, n) for n in ("topics", "bronze", "ledger", "ingest-ckpt"))
+    MSG.write_messages(MSG.to_messages(e, F.concat(F.col("event_type"), F.lit("-raw")), key="event_id"), topics)
+    names = [f"{t}-raw" for t in EVENT_TYPES]
+
+    def lose(epoch, topic):
+        if topic == names[2]:
+            raise _Lost(topic)
+
+    for hook in (lose, None):
+        try:
+            ING.ingest(spark, topics, bronze, ckpt, e.schema, INGEST_BATCH, INGEST_STAMP, topics=names,
+                       ledger_path=ledger, after_write=hook)
+        except Exception as x:  # noqa: BLE001 - the stream wraps what the hook raised
+            if hook is None or "_Lost" not in str(x):
+                raise
+    b = spark.read.parquet(bronze).groupBy("topic").agg(F.count(F.lit(1)).alias("n_bronze"),
+                                                       F.count_distinct("event_id").alias("n_events"))
+    led = VER.Ledger(spark, ledger).rows().groupBy("topic").agg(F.sum("n_rows").alias("n_ledger"))
+    return led.join(b, "topic")
+
+
+@register("q58_dead_letters")
+def q58(spark, sf_dir):
+    """Every tenth message loses its closing brace, every tenth is no
+    object; the first kind is repaired and replayed, the second stays dead."""
+    e = _t(spark, sf_dir, "events")
+    msgs = MSG.to_messages(e, EVENTS_TOPIC, key="event_id")
+    k = F.col("key").cast("bigint") % 10
+    msgs = msgs.withColumn("value", F.when(k == 0, F.expr("substr(value, 1, length(value) - 1)")).when(
+        k == 5, F.concat(F.lit("event "), F.col("key"))).otherwise(F.col("value")))
+    topics, bronze, dead = (scratch_path(spark, n) for n in ("topics", "bronze", "dead"))
+    MSG.write_messages(msgs, topics)
+    ING.ingest(spark, topics, bronze, scratch_path(spark, "ingest-ckpt"), e.schema, INGEST_BATCH, INGEST_STAMP,
+               dead_path=dead)
+    left = ING.replay(spark, dead, bronze, e.schema, INGEST_BATCH, F.concat("value", F.lit("}")), INGEST_STAMP)
+    good = spark.read.parquet(bronze).select(
+        "event_id", "event_type", "value", F.when(F.col("epoch") == ING.REPLAY_EPOCH, "replayed").otherwise("good").alias("state"),
+        F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(left.select(
+        F.col("key").cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("event_type"),
+        F.lit(None).cast("double").alias("value"), F.lit("dead").alias("state"), "reason"))

@@ -566,3 +566,13 @@ SQL["q30_k_sweep"] = (_CZ + _kmeans("z", "c_custkey", _Z, [2, 3, 4, 5]) + ","
                       + ",".join(_silhouette(f"a{k}", "c_custkey", _Z, f"s{k}") for k in (2, 3, 4, 5)) + "\n"
                       + " UNION ALL ".join(f"SELECT {k} AS k, (SELECT round(sum(dmin), 6) FROM a{k}) AS wsse, "
                                            f"(SELECT round(silhouette, 6) FROM s{k}) AS silhouette" for k in (2, 3, 4, 5)))
+
+SQL["q56_replace_parts"] = """SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
+WHERE CASE o_orderpriority WHEN '1-URGENT' THEN o_totalprice >= 100000 WHEN '5-LOW' THEN o_totalprice >= 200000
+  WHEN '2-HIGH' THEN true WHEN '3-MEDIUM' THEN true WHEN '4-NOT SPECIFIED' THEN true ELSE false END"""
+SQL["q57_ingest_ledger"] = """SELECT event_type || '-raw' AS topic, count(*) AS n_ledger, count(*) AS n_bronze,
+  count(DISTINCT event_id) AS n_events FROM events GROUP BY 1"""
+SQL["q58_dead_letters"] = """SELECT event_id, CASE WHEN event_id % 10 <> 5 THEN event_type END AS event_type,
+  CASE WHEN event_id % 10 <> 5 THEN value END AS value,
+  CASE event_id % 10 WHEN 0 THEN 'replayed' WHEN 5 THEN 'dead' ELSE 'good' END AS state,
+  CASE WHEN event_id % 10 = 5 THEN 'no object' END AS reason FROM events"""
