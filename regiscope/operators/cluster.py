@@ -190,6 +190,27 @@ def k_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int], key: str,
     return spark.createDataFrame([(k, got[f"w{k}"], got[f"s{k}"]) for k in ks], schema)
 
 
+def k_sweep_mllib(df: DataFrame, features: Sequence[str], ks: Sequence[int], seed: int = 42) -> DataFrame:
+    """M5 with MLlib: (k, wsse, silhouette) per k, fitted on one cached scaled
+    frame. Each fit is a distributed job; only the k scalars come back."""
+    spark = df.sparkSession
+    prep = Pipeline(stages=[
+        VectorAssembler(inputCols=list(features), outputCol="features_raw"),
+        StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
+    ]).fit(df)
+    scaled = prep.transform(df).select("features").cache()
+    rows = []
+    try:
+        for k in ks:
+            model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id",
+                           maxIter=20, tol=1e-4).fit(scaled)
+            pred = model.transform(scaled)
+            rows.append((int(k), float(model.summary.trainingCost), float(silhouette(pred))))
+    finally:
+        scaled.unpersist()
+    return spark.createDataFrame(rows, "k int, wsse double, silhouette double")
+
+
 def _sqdist(cols: Sequence[Column], centre: Sequence[float]) -> Column:
     return reduce(add, [(c - F.lit(float(v))) * (c - F.lit(float(v))) for c, v in zip(cols, centre)])
 

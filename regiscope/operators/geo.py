@@ -7,6 +7,7 @@ are built; rendering is out of scope.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import canonical_name
+from ..session import path_exists
 from .join import best_overlap
 
 POLYGON = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
@@ -44,6 +46,19 @@ def read_geojson(spark: SparkSession, path: str, properties: T.StructType | None
     return feats.select(*props, g["type"].alias("geometry_type"), rings.alias("rings"))
 
 
+def read_geojson_properties(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]] | None:
+    """The features of ``path`` with every property as a string column,
+    and the names of these; None with a warning where there is no file. The
+    names come from one distinct over the features' keys (a schema, so a
+    bounded list)."""
+    if not path_exists(spark, path):
+        warnings.warn(f"no boundary file {path}", stacklevel=2)
+        return None
+    feats = read_geojson(spark, path)
+    names = sorted(r[0] for r in feats.select(F.explode(F.map_keys("properties"))).distinct().collect())
+    return feats.select(*[F.col("properties")[n].alias(n) for n in names], "rings"), names
+
+
 def feature_bounds(df: DataFrame, rings: str = "rings") -> DataFrame:
     """Per-feature bounding box from its rings (no shuffle)."""
     pts = F.flatten(F.col(rings))

@@ -8,6 +8,8 @@ malformed value becomes NULL under ANSI mode instead of failing the job.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -187,111 +189,178 @@ def bronze_tables(spark, bronze_path: str) -> dict[str, DataFrame]:
     from ..session import path_exists
     if not path_exists(spark, bronze_path):
         return {spec.name: spark.createDataFrame([], spec.schema()) for spec in DATASETS}
-    b = spark.read.parquet(bronze_path)
+    b = spark.read.schema(bronze_schema()).parquet(bronze_path)
     # a later delivery of a topic replaces the earlier ones; batch ids sort by time
     last = b.groupBy("topic").agg(F.max("ingested_batch").alias("__last"))
     b = b.join(last, "topic").where(F.col("ingested_batch") == F.col("__last")).drop("__last")
     return {spec.name: b.where(F.col("topic") == spec.topic).select(*spec.columns, *META) for spec in DATASETS}
 
 
-def ingest_all(spark, topic_path: str, bronze_path: str, checkpoint: str, batch_id: str) -> dict[str, DataFrame]:
-    """All topics in one bounded stream (S5-S10): the union schema of the
-    declared datasets, each topic keeping its own columns."""
+def message_schema():
+    """The union of the declared datasets' columns, all strings."""
     from pyspark.sql import types as T
+    names = list(dict.fromkeys(c for spec in DATASETS for c in spec.columns))
+    return T.StructType([T.StructField(c, T.StringType()) for c in names + ["source", "ingested_at"]])
 
+
+def bronze_schema():
+    from pyspark.sql import types as T
+    return T.StructType([*message_schema().fields, T.StructField("topic", T.StringType()),
+                         T.StructField("ingested_batch", T.StringType()), T.StructField("epoch", T.IntegerType())])
+
+
+def ingest_all(spark, topic_path: str, bronze_path: str, checkpoint: str, batch_id: str,
+               ledger_path: str | None = None, dead_path: str | None = None) -> dict[str, DataFrame]:
+    """All topics in one bounded stream (S5-S10): the union schema of the
+    declared datasets, each topic keeping its own columns. With ``ledger_path``
+    every topic is committed for itself, with ``dead_path`` messages that
+    cannot be decoded go there."""
     from ..streaming.ingest import ingest
-    names: list[str] = []
-    for spec in DATASETS:
-        for c in spec.columns:
-            if c not in names:
-                names.append(c)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names + ["source", "ingested_at"]])
-    ingest(spark, topic_path, bronze_path, checkpoint, schema, batch_id)
+    ingest(spark, topic_path, bronze_path, checkpoint, message_schema(), batch_id,
+           topics=[spec.topic for spec in DATASETS], ledger_path=ledger_path, dead_path=dead_path)
     return bronze_tables(spark, bronze_path)
 
 
 def write_silver(s: dict[str, DataFrame], base: str) -> dict[str, int]:
-    """S12 + A4: Silver tables partitioned by ingestion batch (low
-    cardinality), not by region; returns the rows written per table,
-    observed during the write (no second scan)."""
+    """S12 + A4: Silver tables partitioned by region, each replaced atomically;
+    returns the rows written per table, observed during the write (no second
+    scan)."""
     from ..operators.audit import observed, rows_of
-    from ..sources.tables import write_table
+    from ..sources.versions import VersionedTable
     counts = {}
     for name, df in s.items():
         obs_df, obs = observed(df, f"silver_{name}")
-        write_table(obs_df, f"{base}/{name}", ["ingested_batch"] if "ingested_batch" in df.columns else [])
+        VersionedTable(df.sparkSession, f"{base}/{name}", df.schema).replace(obs_df, partition_by=[KEY])
         counts[name] = rows_of(obs)
     return counts
 
 
-def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
-          contamination: float = 0.15, models_path: str | None = None) -> DataFrame:
-    """Gold -> Gold final (J2): K-Means labels and Isolation Forest flags.
+def read_silver(spark, base: str) -> dict[str, DataFrame]:
+    """The Silver tables as committed last."""
+    from ..sources.versions import VersionedTable
+    return {name: VersionedTable(spark, f"{base}/{name}").read() for name in SILVER}
+
+
+# The Silver tables.
+SILVER = ["gizi_kecamatan_clean", "gizi_agregat", "faskes_clean", "nakes_kecamatan_clean", "nakes_agregat", "populasi_clean"]
+#: Numbers of clusters that the sweep tries, and contamination levels.
+SWEEP_MAX = 5
+CONTAMINATION_LEVELS = [0.10, 0.15, 0.20]
+
+
+@dataclass
+class Analysis:
+    """What the model step yields: the final table, (k, WSSE, silhouette) per
+    k, the silhouette of the chosen k, and the flagged regions per level."""
 
-    * K-Means on FEATURE_COLS: exact lower-median fill (A8), sample-sd
-      scaling (M2), k = min(k, n), labels by ascending mean NRS (M8).
+    final: DataFrame
+    sweep: DataFrame
+    silhouette: float | None
+    flagged: DataFrame
+
+
+def analyse(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
+            contamination: float = 0.15, models_path: str | None = None) -> Analysis:
+    """Gold -> models -> Gold final (J2), with the checks of both models.
+
+    * K-Means on FEATURE_COLS: exact lower-median fill (A8), sample-sd scaling
+      (M2), k = min(k, n) from a deterministic start (M4), labels by ascending
+      mean NRS (M8); the sweep over k = 2 .. min(5, n - 1) (M5-M7).
     * Isolation Forest on IFOREST_FEATURES: midpoint-median fill (A9),
       population-sd scaling (M3), score, flag below the contamination
-      quantile (A12).
+      quantile (A12) and the regions flagged at three levels (M10).
+
+    With ``models_path`` both models are saved there, each with all that
+    scoring new rows needs (S15, S16). An empty Gold gives typed empty tables."""
+    from pyspark.sql import types as T
 
-    With ``models_path`` both models are saved there (S15, S16).
-    """
     from ..functions.format import iso_timestamp
     from ..operators import cluster as CL
     from ..operators import iforest as IF
     from ..operators import stats as ST
-    from ..session import materialize
-
-    from pyspark.sql import types as T
+    from ..session import materialize, store
 
+    spark = gold.sparkSession
     g = materialize(gold)
     n = g.count()
-    if n == 0:  # S19: empty Gold -> typed empty result, nothing to fit
-        schema = T.StructType(g.schema.fields + [
+    iso = [iso_timestamp("last_updated").alias(c) if c == "last_updated" else F.col(f"`{c}`") for c in g.columns]
+    if n == 0:  # S19: nothing to fit
+        schema = T.StructType(g.select(*iso).schema.fields + [
             T.StructField("cluster_id", T.IntegerType()), T.StructField("cluster_label", T.StringType()),
             T.StructField("is_anomaly", T.BooleanType()), T.StructField("anomaly_score", T.DoubleType())])
-        out = g.sparkSession.createDataFrame([], schema)
-        if "last_updated" in out.columns:
-            out = out.withColumn("last_updated", iso_timestamp("last_updated"))
-        return out
-    km_in = materialize(ST.impute_quantile(g, FEATURE_COLS, "disc"))
-    if min(k, n) >= 2:
-        model = CL.assemble_scale_fit(km_in, FEATURE_COLS, k=min(k, n), seed=seed)
-        if models_path:  # S15
-            model.write().overwrite().save(f"{models_path}/kmeans")
-        pred = model.transform(km_in).withColumn("cluster_id", F.col("cluster_id").cast("int"))
-    else:  # one region: a single cluster (K-Means needs k >= 2)
-        pred = km_in.withColumn("cluster_id", F.lit(0))
+        return Analysis(spark.createDataFrame([], schema), spark.createDataFrame([], "k int, wsse double, silhouette double"),
+                        None, spark.createDataFrame([], f"contamination double, {KEY} string"))
+    model = CL.fit_deterministic(g, FEATURE_COLS, KEY, k=min(k, n))
+    pred = model.assign(g)
     clusters = CL.label_by_mean(pred.select(KEY, "cluster_id", "nutrition_risk_score"),
                                 "cluster_id", "nutrition_risk_score").select(KEY, "cluster_id", "cluster_label")
-    zs = [f"z_{c}" for c in IFOREST_FEATURES]
-    if_in = materialize(ST.zscore(ST.impute_quantile(g.select(KEY, *IFOREST_FEATURES), IFOREST_FEATURES, "cont"),
-                                  IFOREST_FEATURES, zs, ddof=0))
-    nodes, psi = IF.fit(if_in, zs, n_trees=n_trees, seed=seed)
-    nodes = materialize(nodes)
-    if models_path:  # S16
-        nodes.write.mode("overwrite").parquet(f"{models_path}/iforest_nodes")
-    scored = materialize(IF.score(if_in, nodes, zs, psi).select(KEY, "anomaly_score"))
-    flags = IF.flag(scored, "anomaly_score", contamination).select(KEY, "is_anomaly", "anomaly_score")
-    out = g.join(clusters, KEY, "left").join(flags, KEY, "left")
-    if "last_updated" in out.columns:
-        out = out.withColumn("last_updated", iso_timestamp("last_updated"))
-    return out
+    z = ST.zscore(ST.impute_quantile(g.select(KEY, *FEATURE_COLS), FEATURE_COLS, "disc"), FEATURE_COLS,
+                  [f"z{i}" for i in range(len(FEATURE_COLS))])
+    z = materialize(z.select(KEY, *[f"z{i}" for i in range(len(FEATURE_COLS))]))
+    ks = list(range(2, min(SWEEP_MAX, n - 1) + 1))
+    sweep = CL.k_sweep(z, z.columns[1:], ks, KEY) if ks else spark.createDataFrame([], "k int, wsse double, silhouette double")
+    held = [r["silhouette"] for r in sweep.where(F.col("k") == min(k, n)).collect()]
+    forest = IF.fit_model(g, IFOREST_FEATURES, n_trees=n_trees, seed=seed, keys=[KEY])
+    forest.nodes = store(forest.nodes, "iforest-nodes")
+    scored = materialize(forest.score(g.select(KEY, *IFOREST_FEATURES)).select(KEY, F.round("anomaly_score", 9).alias("anomaly_score")))
+    forest.contamination = contamination
+    forest.cut = ST.quantile_values(scored, ["anomaly_score"], [contamination])[("anomaly_score", contamination)]
+    flags = scored.withColumn("is_anomaly", F.coalesce(F.col("anomaly_score") < F.lit(forest.cut), F.lit(False)))
+    if models_path:
+        model.save(spark, f"{models_path}/kmeans")
+        forest.save(f"{models_path}/iforest")
+    out = g.select(*iso).join(clusters, KEY, "left").join(flags.select(KEY, "is_anomaly", "anomaly_score"), KEY, "left")
+    flagged = IF.contamination_flags(scored, "anomaly_score", CONTAMINATION_LEVELS, [KEY])
+    return Analysis(out, sweep, held[0] if held else None, flagged)
+
+
+def final(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
+          contamination: float = 0.15, models_path: str | None = None) -> DataFrame:
+    """``analyse``'s final table."""
+    return analyse(gold, k, seed, n_trees, contamination, models_path).final
+
+
+def serving_tables(fin: DataFrame) -> dict[str, DataFrame]:
+    """The dashboard's and the map's tables."""
+    from . import serve as SV
+    return {"summary": SV.dashboard_summary(fin), "highlights": SV.highlights(fin), "insights": SV.insights(fin),
+            "display": SV.display(fin), "map_layer": SV.map_layer(fin), "anomalies": SV.anomaly_listing(fin)}
 
 
 def run(spark, csv_dir: str, out_base: str, batch_id: str, ingested_at: str,
-        as_of: F.Column | None = None) -> dict[str, object]:
-    """The whole job: publish -> ingest -> Silver -> Gold -> final, with
-    every layer written under ``out_base`` (a shared folder)."""
+        as_of: F.Column | None = None, boundaries: str | None = None) -> dict[str, object]:
+    """The whole job: publish -> ingest -> Silver -> Gold -> models -> serving
+    tables, below ``out_base`` (a shared folder). Silver, Gold, the analysis
+    and the serving tables are ``VersionedTable``s: a run that is lost half-way
+    leaves the rows of the one before. Gold is made from Silver as stored.
+
+    ``boundaries``: GeoJSON of the regions for the map's boundary layer; a file
+    that is not there leaves the layer out."""
+    from ..operators.geo import read_geojson_properties
     from ..sources.tables import export_json
+    from ..sources.versions import VersionedTable
+    from . import serve as SV
     counts = publish(spark, csv_dir, f"{out_base}/topics", ingested_at)
-    bronze = ingest_all(spark, f"{out_base}/topics", f"{out_base}/bronze", f"{out_base}/_ingest_ckpt", batch_id)
-    s = silver(bronze)
-    silver_rows = write_silver(s, f"{out_base}/silver")
-    g = gold_from_silver(s, as_of=as_of if as_of is not None else F.current_timestamp())
-    g.write.mode("overwrite").parquet(f"{out_base}/gold/wilayah_risk_score")
-    fin = final(spark.read.parquet(f"{out_base}/gold/wilayah_risk_score"), models_path=f"{out_base}/models")
-    fin.write.mode("overwrite").parquet(f"{out_base}/gold/wilayah_final")
+    bronze = ingest_all(spark, f"{out_base}/topics", f"{out_base}/bronze", f"{out_base}/_ingest_ckpt", batch_id,
+                        f"{out_base}/_ledger/{batch_id}", f"{out_base}/dead_letters")
+    silver_rows = write_silver(silver(bronze), f"{out_base}/silver")
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        table = VersionedTable(spark, f"{out_base}/{name}", df.schema)
+        table.replace(df)
+        return table.read()
+
+    g = keep("gold/wilayah_risk_score", gold_from_silver(
+        read_silver(spark, f"{out_base}/silver"), as_of=as_of if as_of is not None else F.current_timestamp()))
+    got = analyse(g, models_path=f"{out_base}/models")
+    fin = keep("gold/wilayah_final", got.final)
+    sweep, flagged = keep("analysis/k_sweep", got.sweep), keep("analysis/contamination", got.flagged)
     export_json(fin, f"{out_base}/export/wilayah_final_json")
-    return {"messages": counts, "silver_rows": silver_rows,
-            "final": spark.read.parquet(f"{out_base}/gold/wilayah_final")}
+    for name, df in serving_tables(fin).items():
+        keep(f"serving/{name}", df)
+    if boundaries:
+        found = read_geojson_properties(spark, boundaries)
+        if found is not None:
+            keep("serving/boundary_layer", SV.boundary_layer(*found, fin))
+    return {"messages": counts, "silver_rows": silver_rows, "final": fin, "k_sweep": sweep,
+            "silhouette": got.silhouette, "flagged": flagged}

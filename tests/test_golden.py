@@ -141,6 +141,21 @@ def test_whole_job_from_csv_files(spark):
     assert sum(r.is_anomaly for r in fin.values()) == 1
     assert fin["KEPULAUAN SERIBU"].cluster_label == "Risiko Tinggi"
     assert {fin[k].cluster_label for k in ("JAKARTA PUSAT", "JAKARTA SELATAN")} == {"Risiko Rendah"}
+    sweep = {r.k: r.wsse for r in res["k_sweep"].collect()}
+    assert sorted(sweep) == [2, 3, 4, 5] and sweep[3] == pytest.approx(3.353, abs=5e-3)
+    assert res["silhouette"] == pytest.approx(0.633, abs=5e-4)
+    flagged = {(round(r.contamination, 2), r.kabupaten_kota) for r in res["flagged"].collect()}
+    assert {c for c, k in flagged if k == "KEPULAUAN SERIBU"} == {0.1, 0.15, 0.2}
+    # tables and models as a later process reads them
+    from regiscope.operators.iforest import Model
+    from regiscope.sources.versions import VersionedTable
+    assert VersionedTable(spark, f"{base}/gold/wilayah_final").read().count() == 6
+    assert VersionedTable(spark, f"{base}/serving/display").read().count() == 6
+    saved = Model.load(spark, f"{base}/models/iforest")
+    gold = VersionedTable(spark, f"{base}/gold/wilayah_risk_score").read()
+    scores = {r.kabupaten_kota: r for r in saved.score(gold).collect()}
+    assert all(scores[k].anomaly_score == pytest.approx(r.anomaly_score, abs=1e-9) and scores[k].is_anomaly == r.is_anomaly
+               for k, r in fin.items())
     # serving tables over the golden final: the dashboard figures of the source
     from regiscope.plans import serve as SV
     summ = SV.dashboard_summary(res["final"]).first()
@@ -165,7 +180,7 @@ def test_k_sweep_reproduces_measured_figures(spark, bronze):
     from regiscope.operators import stats as ST
     g = L.gold_from_silver(L.silver(bronze))
     feats = ST.impute_quantile(g, L.FEATURE_COLS, "disc").orderBy("priority_rank").coalesce(1).cache()
-    got = {r.k: (r.wsse, r.silhouette) for r in CL.k_sweep(feats, L.FEATURE_COLS, [2, 3, 4]).collect()}
+    got = {r.k: (r.wsse, r.silhouette) for r in CL.k_sweep_mllib(feats, L.FEATURE_COLS, [2, 3, 4]).collect()}
     assert got[2] == (pytest.approx(14.42, abs=5e-3), pytest.approx(0.454, abs=5e-4))
     assert got[3] == (pytest.approx(3.353, abs=5e-3), pytest.approx(0.633, abs=5e-4))
     assert got[4] == (pytest.approx(1.046, abs=5e-3), pytest.approx(0.437, abs=5e-4))
@@ -200,7 +215,7 @@ def test_a_second_run_replaces_the_first(spark, tmp_path):
     again = L.run(spark, FIXTURES, base, "20240201_000000", "2024-02-01T00:00:00")
     assert again["silver_rows"] == first["silver_rows"]
     for name, n in first["silver_rows"].items():
-        assert spark.read.parquet(f"{base}/silver/{name}").count() == n
+        assert L.read_silver(spark, f"{base}/silver")[name].count() == n
     fin = again["final"].collect()
     assert len(fin) == len(rows) == 6 and {r.kabupaten_kota for r in fin} == rows
     text = spark.read.text(f"{base}/export/wilayah_final_json").collect()
