@@ -302,7 +302,7 @@ def analyse(gold: DataFrame, k: int = 3, seed: int = 42, n_trees: int = 100,
     held = [r["silhouette"] for r in sweep.where(F.col("k") == min(k, n)).collect()]
     forest = IF.fit_model(g, IFOREST_FEATURES, n_trees=n_trees, seed=seed, keys=[KEY])
     forest.nodes = store(forest.nodes, "iforest-nodes")
-    scored = materialize(forest.score(g.select(KEY, *IFOREST_FEATURES)).select(KEY, F.round("anomaly_score", 9).alias("anomaly_score")))
+    scored = materialize(forest.score(g.select(KEY, *IFOREST_FEATURES)).select(KEY, F.round("anomaly_score", 6).alias("anomaly_score")))
     forest.contamination = contamination
     forest.cut = ST.quantile_values(scored, ["anomaly_score"], [contamination])[("anomaly_score", contamination)]
     flags = scored.withColumn("is_anomaly", F.coalesce(F.col("anomaly_score") < F.lit(forest.cut), F.lit(False)))

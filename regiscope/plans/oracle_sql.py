@@ -447,67 +447,80 @@ FROM b CROSS JOIN al LEFT JOIN ml ON {_canon('ml.kabupaten_kota')} = b.wilayah_k
 
 # --- isolation forest -----------------------------------------------------
 
-_FX = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price"]
-
-
 def _hex(h: str, start: int, digits: int) -> str:
     return f"CAST('0x' || substr({h}, {start}, {digits}) AS BIGINT)"
 
 
-def _forest(fitted: str, scored: str, trees: int = 100, psi: int = 256, seed: int = 42, height: int = 8) -> str:
-    """Sampling, growing and walking of the forest: rows of ``fitted`` give
-    the trees, rows of ``scored`` their scores; each is a condition."""
-    zs = [f"z{i}" for i in range(len(_FX))]
+def _path(size: str) -> str:
+    return (f"CASE WHEN {size} <= 1 THEN 0.0 WHEN {size} = 2 THEN 1.0 "
+            f"ELSE 2.0 * (ln({size} - 1.0) + 0.5772156649015329) - 2.0 * ({size} - 1.0) / {size} END")
+
+
+def _forest(rows: str, feats: list[str], ids: list[str], name: list[str], psi: int, height: int,
+            fitted: str = "true", scored: str = "true", trees: int = 100, seed: int = 42) -> str:
+    """Sampling, growing and walking of the forest as CTEs: rows of ``rows``
+    (ids, names, features without NULL) that are ``fitted`` give the trees,
+    those ``scored`` their scores (``f_sc``: ids, anomaly_score) and the cut
+    at 15 % (``f_ct``)."""
+    zs = [f"z{i}" for i in range(len(feats))]
     z = ", ".join(zs)
     parts = [f"""
-WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-    l_extendedprice * (1.0 - l_discount) AS net_price, CAST(round(l_extendedprice * 100) AS BIGINT) AS price_cents FROM lineitem),
-mo AS (SELECT count(*) AS n, {", ".join(f"avg({x}) AS mu{i}, stddev_pop({x}) AS sd{i}" for i, x in enumerate(_FX))}
-    FROM li WHERE {fitted}),
-x AS MATERIALIZED (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, n, row_number() OVER () AS rid,
-    concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, price_cents) AS name,
-    {", ".join(f"CASE WHEN sd{i} = 0 THEN 0.0 ELSE ({c} - mu{i}) / sd{i} END AS z{i}" for i, c in enumerate(_FX))}
-    FROM li CROSS JOIN mo),
-pairs AS (SELECT {z}, name, unnest(range(least({trees}, CAST(ceil(4.0 * {trees} * {psi} / n) AS BIGINT)))) AS j FROM x WHERE {fitted}),
-drawn AS (SELECT {z}, ({_hex(f"md5('{seed}|0|' || name)", 1, 8)} + j) % {trees} AS tree,
-    {_hex(f"md5('{seed}|' || j || '|' || name)", 9, 13)} AS u FROM pairs),
-v0 AS (SELECT tree, {z}, CAST(1 AS BIGINT) AS node FROM drawn
-    QUALIFY row_number() OVER (PARTITION BY tree ORDER BY u, {z}) <= {psi})"""]
+f_mo AS (SELECT count(*) AS n, {", ".join(f"avg({x}) AS mu{i}, stddev_pop({x}) AS sd{i}" for i, x in enumerate(feats))}
+    FROM {rows} WHERE {fitted}),
+f_x AS MATERIALIZED (SELECT {", ".join(ids)}, least(n, {psi}) AS psi, n, row_number() OVER () AS rid,
+    concat_ws('|', {", ".join(name)}) AS name,
+    {", ".join(f"CASE WHEN sd{i} = 0 THEN 0.0 ELSE ({c} - mu{i}) / sd{i} END AS z{i}" for i, c in enumerate(feats))}
+    FROM {rows} CROSS JOIN f_mo),
+f_pairs AS (SELECT {z}, name, psi, unnest(range(least({trees}, CAST(ceil(4.0 * {trees} * psi / n) AS BIGINT)))) AS j
+    FROM f_x WHERE {fitted}),
+f_drawn AS (SELECT {z}, psi, ({_hex(f"md5('{seed}|0|' || name)", 1, 8)} + j) % {trees} AS tree,
+    {_hex(f"md5('{seed}|' || j || '|' || name)", 9, 13)} AS u FROM f_pairs),
+f_v0 AS (SELECT tree, {z}, CAST(1 AS BIGINT) AS node FROM f_drawn
+    QUALIFY row_number() OVER (PARTITION BY tree ORDER BY u, {z}) <= psi)"""]
     value = "CASE s.i " + " ".join(f"WHEN {i} THEN z{i}" for i in range(len(zs))) + " END"
     for d in range(height + 1):
         ends = ", ".join(f"min({c}) OVER w AS lo{i}, max({c}) OVER w AS hi{i}" for i, c in enumerate(zs))
         each = ", ".join(f"{{'i': {i}, 'lo': lo{i}, 'hi': hi{i}}}" for i in range(len(zs)))
-        pick = f"us[{_hex('h', 1, 8)} % greatest(len(us), 1) + 1]" if d < height else "NULL"
+        pick = (f"us[{_hex('h', 1, 8)} % greatest(len(us), 1) + 1]" if d < height
+                else "CAST(NULL AS STRUCT(i INTEGER, lo DOUBLE, hi DOUBLE))")
         parts.append(f"""
-a{d} AS (SELECT *, count(*) OVER w AS size, {ends}, md5('{seed}|' || tree || '|' || node) AS h FROM v{d}
+f_a{d} AS (SELECT *, count(*) OVER w AS size, {ends}, md5('{seed}|' || tree || '|' || node) AS h FROM f_v{d}
     WINDOW w AS (PARTITION BY tree, node)),
-b{d} AS (SELECT *, list_filter([{each}], lambda e: e.hi > e.lo) AS us FROM a{d}),
-c{d} AS (SELECT *, {pick if d < height else "CAST(NULL AS STRUCT(i INTEGER, lo DOUBLE, hi DOUBLE))"} AS s FROM b{d}),
-e{d} AS MATERIALIZED (SELECT *, CASE WHEN cut0 <= s.lo THEN s.hi ELSE cut0 END AS cut
-    FROM (SELECT *, s.lo + {_hex('h', 9, 13)} / 4503599627370496.0 * (s.hi - s.lo) AS cut0 FROM c{d})),
-n{d} AS MATERIALIZED (SELECT DISTINCT tree, node, s.i AS f, cut, size FROM e{d}),
-v{d + 1} AS (SELECT tree, {z}, 2 * node + CASE WHEN {value} < cut THEN 0 ELSE 1 END AS node FROM e{d} WHERE s IS NOT NULL)""")
+f_b{d} AS (SELECT *, list_filter([{each}], lambda e: e.hi > e.lo) AS us FROM f_a{d}),
+f_c{d} AS (SELECT *, {pick} AS s FROM f_b{d}),
+f_e{d} AS MATERIALIZED (SELECT *, CASE WHEN cut0 <= s.lo THEN s.hi ELSE cut0 END AS cut
+    FROM (SELECT *, s.lo + {_hex('h', 9, 13)} / 4503599627370496.0 * (s.hi - s.lo) AS cut0 FROM f_c{d})),
+f_n{d} AS MATERIALIZED (SELECT DISTINCT tree, node, s.i AS f, cut, size FROM f_e{d}),
+f_v{d + 1} AS (SELECT tree, {z}, 2 * node + CASE WHEN {value} < cut THEN 0 ELSE 1 END AS node FROM f_e{d} WHERE s IS NOT NULL)""")
     walk = "CASE f " + " ".join(f"WHEN {i} THEN z{i}" for i in range(len(zs))) + " END"
-    leaf = f"CASE WHEN size <= 1 THEN 0.0 WHEN size = 2 THEN 1.0 ELSE 2.0 * (ln(size - 1.0) + 0.5772156649015329) - 2.0 * (size - 1.0) / size END"
     parts.append(f"""
-w0 AS (SELECT rid, {z}, t AS tree, CAST(1 AS BIGINT) AS node FROM x, range({trees}) AS r(t) WHERE {scored})""")
+f_w0 AS (SELECT rid, {z}, t AS tree, CAST(1 AS BIGINT) AS node FROM f_x, range({trees}) AS r(t) WHERE {scored})""")
     for d in range(height + 1):
         parts.append(f"""
-j{d} AS MATERIALIZED (SELECT rid, {z}, tree, node, f, cut, {d} + {leaf} AS path FROM w{d} JOIN n{d} USING (tree, node)),
-p{d} AS (SELECT rid, sum(path) AS path FROM j{d} WHERE f IS NULL GROUP BY rid),
-w{d + 1} AS (SELECT rid, {z}, tree, 2 * node + CASE WHEN {walk} < cut THEN 0 ELSE 1 END AS node FROM j{d} WHERE f IS NOT NULL)""")
-    paths = " UNION ALL ".join(f"SELECT * FROM p{d}" for d in range(height + 1))
-    cn = 2.0 * (math.log(psi - 1.0) + 0.5772156649015329) - 2.0 * (psi - 1.0) / psi
+f_j{d} AS MATERIALIZED (SELECT rid, {z}, tree, node, f, cut, {d} + {_path("size")} AS path FROM f_w{d} JOIN f_n{d} USING (tree, node)),
+f_p{d} AS (SELECT rid, sum(path) AS path FROM f_j{d} WHERE f IS NULL GROUP BY rid),
+f_w{d + 1} AS (SELECT rid, {z}, tree, 2 * node + CASE WHEN {walk} < cut THEN 0 ELSE 1 END AS node FROM f_j{d} WHERE f IS NOT NULL)""")
+    paths = " UNION ALL ".join(f"SELECT * FROM f_p{d}" for d in range(height + 1))
     parts.append(f"""
-sc AS (SELECT rid, round(-pow(2.0, -(sum(path) / {trees}) / {cn!r}), 6) AS anomaly_score FROM ({paths}) GROUP BY rid),
-ct AS (SELECT quantile_cont(anomaly_score, 0.15) AS cut FROM sc)
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, anomaly_score, COALESCE(anomaly_score < ct.cut, false) AS is_anomaly
-FROM x JOIN sc USING (rid) CROSS JOIN ct""")
+f_sum AS (SELECT rid, sum(path) AS path FROM ({paths}) GROUP BY rid),
+f_sc AS (SELECT {", ".join(ids)}, round(-pow(2.0, -(path / {trees}) / ({_path("psi")})), 6) AS anomaly_score FROM f_x JOIN f_sum USING (rid)),
+f_ct AS (SELECT quantile_cont(anomaly_score, 0.15) AS cut FROM f_sc)""")
     return ",".join(parts)
 
 
-SQL["q31_isolation_forest"] = _forest("true", "true")
-SQL["q55_forest_reload"] = _forest("l_orderkey % 2 = 0", "l_orderkey % 2 = 1")
+_LI = """WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+    l_extendedprice * (1.0 - l_discount) AS net_price, CAST(round(l_extendedprice * 100) AS BIGINT) AS price_cents FROM lineitem),"""
+_LI_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _lineitem_forest(fitted: str, scored: str) -> str:
+    return (_LI + _forest("li", ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price"], _LI_IDS,
+                          [*_LI_IDS, "price_cents"], 256, 8, fitted, scored)
+            + " SELECT f_sc.*, COALESCE(anomaly_score < cut, false) AS is_anomaly FROM f_sc CROSS JOIN f_ct")
+
+
+SQL["q31_isolation_forest"] = _lineitem_forest("true", "true")
+SQL["q55_forest_reload"] = _lineitem_forest("l_orderkey % 2 = 0", "l_orderkey % 2 = 1")
 
 
 # --- K-Means ----------------------------------------------------------------
@@ -576,3 +589,16 @@ SQL["q58_dead_letters"] = """SELECT event_id, CASE WHEN event_id % 10 <> 5 THEN
   CASE WHEN event_id % 10 <> 5 THEN value END AS value,
   CASE event_id % 10 WHEN 0 THEN 'replayed' WHEN 5 THEN 'dead' ELSE 'good' END AS state,
   CASE WHEN event_id % 10 = 5 THEN 'no object' END AS reason FROM events"""
+
+_IFX = [*_GX[:4], "nutrition_risk_score"]
+SQL["q50_gold_final_models"] = (
+    _GF[:_GF.index("dd AS (")] + _kmeans("gz", "kabupaten_kota", [f"z{i}" for i in _I], [3]) + f""",
+gmean AS (SELECT cluster_id, avg(nutrition_risk_score) AS mean FROM a3 GROUP BY cluster_id),
+gord AS (SELECT cluster_id, least(row_number() OVER (ORDER BY mean ASC NULLS FIRST, cluster_id) - 1, 2) AS o FROM gmean),
+gif AS (SELECT kabupaten_kota, {", ".join(f"COALESCE({x}, (SELECT quantile_cont({x}, 0.5) FROM gold), 0.0) AS {x}" for x in _IFX)}
+  FROM gold),""" + _forest("gif", _IFX, ["kabupaten_kota"], ["kabupaten_kota"], 25, 5) + """,
+gmod AS (SELECT a.kabupaten_kota, CAST(a.cluster_id AS INTEGER) AS cluster_id,
+    CASE o WHEN 0 THEN 'Risiko Rendah' WHEN 1 THEN 'Risiko Sedang' ELSE 'Risiko Tinggi' END AS cluster_label,
+    COALESCE(f.anomaly_score < f_ct.cut, false) AS is_anomaly, f.anomaly_score
+  FROM a3 a JOIN gord USING (cluster_id) JOIN f_sc f ON f.kabupaten_kota = a.kabupaten_kota CROSS JOIN f_ct),
+""" + _GF[_GF.index("final AS ("):] + "SELECT * FROM final")

@@ -11,7 +11,7 @@ from regiscope.plans.testtables import TABLES
 
 from .conftest import SF_SMALL
 
-ROWS_ONLY = {"q50_gold_final_models"}
+ROWS_ONLY = set()
 
 
 def test_entry_runs(spark):
