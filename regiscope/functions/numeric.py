@@ -3,7 +3,6 @@ ratios, composite scores and non-finite sanitising. All are ANSI-safe."""
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import add
@@ -98,27 +97,3 @@ def sanitize(df: DataFrame) -> DataFrame:
         else:
             out.append(c)
     return df.select(*out)
-
-
-def order_key(c: ColumnOrName) -> Column:
-    """A bigint that orders as the double does: sign, 11 bits of exponent, 52
-    bits of mantissa. 0.0 and -0.0 are one key, infinities are the ends of
-    their side; NULL stays NULL and NaN has no key (NULL). Every step is exact:
-    the exponent from the logarithm is corrected by comparison, the rest are
-    divisions by powers of two."""
-    x = _col(c).cast("double")
-    a = F.abs(x)
-    least_normal = 2.0 ** -1022
-    e = F.greatest(F.least(F.floor(F.log2(F.greatest(a, F.lit(least_normal)))), F.lit(1023)), F.lit(-1022)).cast("double")
-    e = F.when(a < F.pow(F.lit(2.0), e), e - 1).when(a / 2 >= F.pow(F.lit(2.0), e), e + 1).otherwise(e)
-    mantissa = ((a / F.pow(F.lit(2.0), e) - 1) * 2.0 ** 52).cast("bigint")
-    key = (F.when(a < least_normal, (a * 2.0 ** 537 * 2.0 ** 537).cast("bigint"))
-           .when(a == float("inf"), F.lit(2047 << 52))
-           .otherwise((e.cast("bigint") + 1023) * F.lit(1 << 52) + mantissa))
-    return F.when(F.isnan(x), F.lit(None).cast("bigint")).when(x < 0, -key).otherwise(key)
-
-
-def from_order_key(key: int) -> float:
-    """The double of an ``order_key``."""
-    x = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
-    return -x if key < 0 else x

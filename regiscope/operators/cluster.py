@@ -56,21 +56,20 @@ LLOYD_STEPS = 10
 
 
 def farthest_first(df: DataFrame, features: Sequence[str], key: str, k: int) -> list[tuple[float, ...]]:
-    """k start centres that depend on the rows alone: the row farthest from
-    the mean, then again and again the row farthest from its nearest centre;
+    """k start centres that depend on the rows alone, for scaled features (of
+    mean 0): the row farthest from the origin, then again and again the row farthest from its nearest centre;
     ties go to the least key. Every centre is one aggregate of one row. The
     first j of them are the start for j clusters. Fewer distinct rows than k
     give repeated centres, whose clusters stay empty."""
     cols = [F.col(f"`{c}`").cast("double") for c in features]
-    mean = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    if mean["m0"] is None:
-        return []
-    from_ = [tuple(mean)]
+    from_ = [(0.0,) * len(cols)]
     centres: list[tuple[float, ...]] = []
     while len(centres) < k:
         near = F.least(*[_sqdist(cols, c) for c in from_]) if len(from_) > 1 else _sqdist(cols, from_[0])
         far = df.agg(F.min(F.struct((-near).alias("d"), F.col(f"`{key}`").alias("key"),
                                     *[c.alias(f"x{i}") for i, c in enumerate(cols)])).alias("far")).first()["far"]
+        if far is None:
+            return []
         centres.append(tuple(far[2:]))
         from_ = centres
     return centres

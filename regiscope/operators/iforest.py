@@ -12,11 +12,11 @@ Plan
    shuffled is in proportion to trees x psi, whatever the table's size.
 3. Tree ``t`` takes the ``psi`` least draws. Rows of equal name are counted, so
    one repeated without bound is one candidate with copies.
-4. The trees grow level by level as window aggregates over (tree, node): the
-   least and greatest value of every feature, a feature among those that vary
-   and a threshold between its ends, both from the MD5 of (seed, tree, node).
-   The rows are shuffled by tree once, at most ``psi`` of each; no step depends
-   on partitioning and SQL can repeat all of it.
+4. A tree grows in one task from its ``psi`` rows: the least and greatest value
+   of every feature in a node, a feature among those that vary and a threshold
+   between its ends, both from the MD5 of (seed, tree, node). No step depends on
+   partitioning, and SQL can repeat all of it, level by level (nine levels of
+   windows in one Spark plan took longer to analyse than all trees to grow).
 5. The node table has at most ``T * (2 psi - 1)`` rows; ``save`` keeps it with
    all a reloaded model needs (S16). ``mapInPandas`` scores every row
    vectorised over Arrow batches:
@@ -26,11 +26,13 @@ Plan
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +43,8 @@ EULER_GAMMA = 0.5772156649015329
 # Candidates per tree: CANDIDATE * psi + MARGIN expected, of SPREAD * psi rows that
 # the tree could choose from, so that fewer than psi practically never occur (it raises).
 CANDIDATE, MARGIN, SPREAD = 3, 64, 4
+#: Rows that descend the trees together.
+SCORE_ROWS = 256
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()),
@@ -112,41 +116,47 @@ def sample(df: DataFrame, features: Sequence[str], keys: Sequence[str] | None, n
         "tree", *xs, F.least("copies", F.lit(psi) - F.col("before")).alias("w"))
 
 
+def grow_tree(x: np.ndarray, w: np.ndarray, tree: int, height: int, seed: int) -> list[tuple]:
+    """Nodes of one tree over the rows of ``x``, each standing for ``w`` rows.
+
+    A node splits a feature among those that vary in it at a threshold between
+    its least and greatest value, both from the MD5 of (seed, tree, node): no
+    generator is carried, so any order of nodes or rows, and SQL, give the same."""
+    nodes = []
+    todo = [(1, np.arange(len(x)), 0)]
+    while todo:
+        node, rows, depth = todo.pop()
+        sub = x[rows]
+        lo, hi = sub.min(axis=0), sub.max(axis=0)
+        varying = np.flatnonzero(hi > lo)
+        size = int(w[rows].sum())
+        if depth >= height or not len(varying):
+            nodes.append((tree, node, -1, 0.0, -1, -1, size, depth))
+            continue
+        h = hashlib.md5(f"{seed}|{tree}|{node}".encode()).hexdigest()
+        f = int(varying[int(h[:8], 16) % len(varying)])
+        low, high = float(lo[f]), float(hi[f])
+        cut = low + int(h[8:21], 16) / 2.0 ** 52 * (high - low)
+        cut = high if cut <= low else cut  # never the least value itself, so that both children have rows
+        nodes.append((tree, node, f, cut, 2 * node, 2 * node + 1, size, depth))
+        left = sub[:, f] < cut
+        todo += [(2 * node, rows[left], depth + 1), (2 * node + 1, rows[~left], depth + 1)]
+    return nodes
+
+
 def grow(rows: DataFrame, n_features: int, psi: int, seed: int) -> DataFrame:
-    """The node table of the trees over ``sample``'s rows. The children of node
-    i are 2 i and 2 i + 1, the root is 1."""
+    """The node table of the trees over ``sample``'s rows, of which a tree has
+    at most ``psi``. The children of node i are 2 i and 2 i + 1, the root is 1."""
     xs = [f"x{i}" for i in range(n_features)]
     height = int(math.ceil(math.log2(psi))) if psi > 1 else 0
-    rows = rows.withColumn("node", F.lit(1)).withColumn("done", F.lit(False)).withColumn(
-        "path", F.array().cast("array<struct<node:int,feature:int,threshold:double,size:bigint,depth:int>>"))
-    each = Window.partitionBy("tree", "node")
-    for depth in range(height + 1):
-        rows = rows.select("*", F.sum("w").over(each).alias("size"), *[
-            f(x).over(each).alias(f"{k}_{x}") for x in xs for k, f in (("lo", F.min), ("hi", F.max))])
-        varying = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"lo_{x}").alias("lo"), F.col(f"hi_{x}").alias("hi"))
-                                     for i, x in enumerate(xs)]), lambda s: s["hi"] > s["lo"])
-        rows = rows.withColumn("varying", varying).withColumn(
-            "h", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("tree").cast("string"), F.col("node").cast("string"))))
-        inner = (F.size("varying") > 0) & F.lit(depth < height)
-        rows = rows.withColumn("s", F.when(inner, F.get("varying", (_hex(F.col("h"), 1, 8) % F.greatest(
-            F.size("varying"), F.lit(1))).cast("int"))))
-        cut = F.col("s.lo") + _hex(F.col("h"), 9, 13) / F.lit(float(2 ** 52)) * (F.col("s.hi") - F.col("s.lo"))
-        # never the least value itself, so that both children have rows
-        rows = rows.withColumn("cut", F.when(cut <= F.col("s.lo"), F.col("s.hi")).otherwise(cut))
-        here = F.struct(F.col("node"), F.coalesce("s.i", F.lit(-1)).alias("feature"), F.coalesce("cut", F.lit(0.0)).alias("threshold"),
-                        F.col("size").cast("bigint").alias("size"), F.lit(depth).alias("depth"))
-        value = F.get(F.array(*xs), F.col("s.i"))
-        rows = rows.select(
-            "tree", *xs, "w",
-            F.when(F.col("done") | F.col("s").isNull(), F.col("node")).otherwise(
-                2 * F.col("node") + F.when(value < F.col("cut"), 0).otherwise(1)).cast("int").alias("node"),
-            (F.col("done") | F.col("s").isNull()).alias("done"),
-            F.when(F.col("done"), F.col("path")).otherwise(F.concat("path", F.array(here))).alias("path"))
-    nodes = rows.select("tree", F.explode("path").alias("p")).select("tree", "p.*").distinct()
-    inner = F.col("feature") >= 0
-    return nodes.select("tree", "node", "feature", "threshold", F.when(inner, 2 * F.col("node")).otherwise(-1).alias("left"),
-                        F.when(inner, 2 * F.col("node") + 1).otherwise(-1).alias("right"),
-                        F.col("size").cast("int").alias("size"), "depth")
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree, w = int(pdf["tree"].iloc[0]), pdf["w"].to_numpy()
+        if w.sum() < psi:
+            raise ValueError(f"tree {tree}: {w.sum()} draws, {psi} wanted")
+        return pd.DataFrame(grow_tree(pdf[xs].to_numpy(dtype=float), w, tree, height, seed), columns=NODE_SCHEMA.names)
+
+    return rows.groupBy("tree").applyInPandas(one, NODE_SCHEMA)
 
 
 def fit(df: DataFrame, features: Sequence[str], n_trees: int = 100, max_samples: int = 256,
@@ -156,17 +166,13 @@ def fit(df: DataFrame, features: Sequence[str], n_trees: int = 100, max_samples:
 
     ``keys`` name a row: equal names share their draws. Without keys a row is
     named by its place in ``df``, which then should be a stored table. ``n``:
-    the number of rows, if known. A tree with fewer than psi draws raises when
-    the node table is stored or read."""
+    the number of rows, if known. A tree with fewer than psi draws raises."""
     spark = df.sparkSession
     n = df.count() if n is None else n
     if n == 0:
         return spark.createDataFrame([], NODE_SCHEMA), 0
     psi = min(max_samples, n)
-    nodes = grow(sample(df, features, keys, n, n_trees, psi, seed), len(features), psi, seed)
-    enough = F.when((F.col("node") == 1) & (F.col("size") < psi), F.raise_error(F.format_string(
-        "tree %d: %d draws, %d wanted", F.col("tree"), F.col("size"), F.lit(psi))).cast("int")).otherwise(F.col("size"))
-    return nodes.withColumn("size", enough), psi
+    return grow(sample(df, features, keys, n, n_trees, psi, seed), len(features), psi, seed), psi
 
 
 def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
@@ -176,14 +182,19 @@ def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
     of small splits (``session.store(split_bytes=)``) keeps all cores busy."""
     spark = df.sparkSession
     nd = nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
-    # one node array; child ids become places in it
+    # one node array: the children of i are child[2 i] and child[2 i + 1], a leaf is its own
     place = {k: i for i, k in enumerate(zip(nd["tree"], nd["node"]))}
+    leaf = nd["feature"].to_numpy() < 0
+    own = np.arange(len(nd))
+    child = np.empty(2 * len(nd), np.int64)
+    for side, name in enumerate(("left", "right")):
+        at = np.array([place.get(k, 0) for k in zip(nd["tree"], nd[name])], dtype=np.int64)
+        child[side::2] = np.where(leaf, own, at)
     first = nd.groupby("tree")["node"].min()
     glob = {
-        "feature": nd["feature"].to_numpy(),
+        "feature": np.where(leaf, 0, nd["feature"].to_numpy()),
         "threshold": nd["threshold"].to_numpy(),
-        "left": np.array([place.get(k, -1) for k in zip(nd["tree"], nd["left"])], dtype=np.int64),
-        "right": np.array([place.get(k, -1) for k in zip(nd["tree"], nd["right"])], dtype=np.int64),
+        "child": child,
         "path": nd["depth"].to_numpy() + _c_vec(nd["size"].to_numpy()),
         "roots": np.array([place[k] for k in first.items()], dtype=np.int64),
         "max_depth": int(nd["depth"].max()) if len(nd) else 0,
@@ -195,23 +206,21 @@ def score(df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
 
     def run(batches):
         g = bc.value
-        feat, thr, left, right = g["feature"], g["threshold"], g["left"], g["right"]
-        n_trees = len(g["roots"])
+        feat, thr, child, path, roots = g["feature"], g["threshold"], g["child"], g["path"], g["roots"]
+        n_trees, n_feats = len(roots), len(feats)
         for pdf in batches:
-            x = pdf[feats].to_numpy(dtype=float)
-            m = len(pdf)
-            rows = np.repeat(np.arange(m), n_trees)
-            node = np.tile(g["roots"], m)
-            # all trees of all rows descend together, one level per step
-            for _ in range(g["max_depth"] + 1):
-                f = feat[node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                xi = x[rows, np.where(inner, f, 0)]
-                nxt = np.where(xi < thr[node], left[node], right[node])
-                node = np.where(inner, nxt, node)
-            mean_path = g["path"][node].reshape(m, n_trees).mean(axis=1) if n_trees else np.zeros(m)
+            x = np.ascontiguousarray(pdf[feats].to_numpy(dtype=float))
+            mean_path = np.zeros(len(pdf))
+            # all trees of a few hundred rows descend together, one level per step: that many nodes fit the cache
+            for at in range(0, len(pdf) if n_trees else 0, SCORE_ROWS):
+                some = x[at:at + SCORE_ROWS]
+                m = len(some)
+                flat = some.ravel()
+                base = np.repeat(np.arange(m) * n_feats, n_trees)
+                node = np.tile(roots, m)
+                for _ in range(g["max_depth"]):
+                    node = child[2 * node + (flat[base + feat[node]] >= thr[node])]
+                mean_path[at:at + m] = path[node].reshape(m, n_trees).mean(axis=1)
             pdf[out] = -np.power(2.0, -mean_path / c_psi)
             yield pdf
 

@@ -4,8 +4,8 @@
   per-task partials meet in one place) broadcast back onto every row. The
   broadcast side is a single row by construction.
 * ``min_max_normalize`` (W1), ``zscore`` (M2/M3) are built on it.
-* ``exact_quantiles`` (A8, A9, A12) selects by radix on an order-preserving key;
-  no rows are sorted and none reach the driver.
+* ``exact_quantiles`` (A8, A9, A12) selects by radix, exponent first and then
+  digits of the mantissa; no rows are sorted and none reach the driver.
 """
 
 from __future__ import annotations
@@ -13,10 +13,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import from_order_key, order_key
 from ..session import store
 
 
@@ -84,11 +83,7 @@ def _positions(n: int, p: float, method: str) -> tuple[int, int, float]:
     raise ValueError(method)
 
 
-def _counts() -> list:
-    return [F.count(F.lit(1)).alias("n"), F.min("key").alias("a"), F.max("key").alias("b")]
-
-
-#: Bits of an order-preserving key that one pass of ``exact_quantiles`` tells apart.
+#: Bits of the mantissa that one pass of ``exact_quantiles`` tells apart.
 DIGIT_BITS = 12
 
 
@@ -101,14 +96,15 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     smallest value whose cumulative share is >= p (``percentile_disc``; for
     p = 0.5 the lower middle value). NULL and NaN are no values.
 
-    Radix selection on the values' 64-bit ``order_key``: a pass counts the rows
-    of every prefix that still holds a wanted rank by the next ``bits`` bits of
-    their keys, so whatever the values' spread, 64 / bits passes (six) find
-    the order statistics; a prefix whose rows all have one key, or that holds
-    at most 2**bits rows, ends earlier. From the second pass on only the rows
-    of open prefixes are counted, and the third and later passes read them from
+    Radix selection: the first pass counts the values by sign and exponent, so
+    that a wanted rank lies in one power of two whatever the values' spread.
+    Every further pass divides the span of the values left, least to greatest,
+    into 2**bits parts and counts their rows: with 52 bits of mantissa that
+    ends after five passes more. Rows of a part that are all equal, or of which
+    there are at most 2**bits, end it earlier; the latter are told apart by
+    whole values. Passes after the second read the rows of the open parts from
     a stored table. A pass is one aggregate of which at most 2**bits rows per
-    prefix reach the driver.
+    open part (the first: 4,200 per column) reach the driver.
 
     Returns one row per (column, p): ``name, p, value`` (value NULL when the
     column has no value).
@@ -118,56 +114,72 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                                            "name string, p double, value double")
 
 
+def _counted(rows: DataFrame, part: Column) -> list:
+    """Rows, least and greatest value of every part of an open part."""
+    return rows.groupBy("c", "lo", part.alias("d")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("a"), F.max("x").alias("b")).collect()
+
+
 def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "cont",
                     bits: int = DIGIT_BITS, nulls: dict | None = None) -> dict[tuple[str, float], float | None]:
     """``exact_quantiles`` as {(column, p): value}. With ``nulls``, a dict that
     receives the number of rows without a value per column, columns that have
     none of them are left out."""
     spark = df.sparkSession
-    keys = df.select(F.posexplode(F.array(*[order_key(F.col(f"`{c}`")) for c in cols])).alias("c", "key"))
-    was, at = 64, 64 - bits
-    rows = keys.groupBy("c", F.shiftright("key", at).alias("d")).agg(*_counts()).collect()
-    none = {cols[r["c"]]: r["n"] for r in rows if r["a"] is None}
-    counted: dict[tuple, list] = {}  # (column number, prefix) -> [(next prefix, rows, least key, greatest key)]
-    for r in rows:
-        if r["a"] is not None:
-            counted.setdefault((r["c"], 0), []).append((r["d"], r["n"], r["a"], r["b"]))
-    total = {c: sum(n for _, n, _, _ in held) for (c, _), held in counted.items()}
+    values = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in cols]
+    if len(cols) == 1:
+        rows = df.select(F.lit(0).alias("c"), values[0].alias("x"))
+    else:
+        rows = df.select(F.posexplode(F.array(*values)).alias("c", "x"))
+    x, a = F.col("x"), F.abs("x")
+    exponent = F.when(a > 0, F.signum("x") * (F.least(F.floor(F.log2(a)), F.lit(1024)) + 1100)).otherwise(x * 0)
+    first = _counted(rows.withColumn("lo", F.lit(0.0)), exponent)
+    none = {cols[r["c"]]: r["n"] for r in first if r["a"] is None}
     if nulls is not None:
         nulls.update(none)
+    counted: dict[tuple, list] = {}  # (column number, least value) -> [(least, greatest value, rows)] of its parts
+    for r in first:
+        if r["a"] is not None:
+            counted.setdefault((r["c"], 0.0), []).append((r["a"], r["b"], r["n"]))
+    total = {c: sum(n for _, _, n in held) for (c, _), held in counted.items()}
     wanted = [i for i, c in enumerate(cols) if i in total and (nulls is None or c in none)]
     found: dict[tuple, float] = {}
-    #: (column number, prefix) -> [(rank among its rows, rank in the column)]
-    open_ = {(c, 0): [(k, k) for k in {k for p in probs for k in _positions(total[c], float(p), method)[:2]}]
+    #: (column number, least value) -> [(rank among its rows, rank in the column)]
+    open_ = {(c, 0.0): [(k, k) for k in {k for p in probs for k in _positions(total[c], float(p), method)[:2]}]
              for c in wanted}
     passes = 1
     while open_:
         todo, open_, most = open_, {}, 0
-        for (c, prefix), ranks in todo.items():
-            below, held = 0, iter(sorted(counted[(c, prefix)]))
-            d, n, a, b = next(held)
+        ends: dict[tuple, float] = {}
+        for key, ranks in todo.items():
+            below, held = 0, iter(sorted(counted[key]))
+            lo, hi, n = next(held)
             for inside, k in sorted(ranks):
                 while inside >= below + n:
                     below += n
-                    d, n, a, b = next(held)
-                if a == b:
-                    found[(c, k)] = from_order_key(a)
+                    lo, hi, n = next(held)
+                if lo == hi:
+                    found[(key[0], k)] = lo
                 else:
-                    open_.setdefault((c, d), []).append((inside - below, k))
+                    open_.setdefault((key[0], lo), []).append((inside - below, k))
+                    ends[(key[0], lo)] = hi
                     most = max(most, n)
         if not open_:
             break
-        # few rows are told apart by whole keys, of which there are no more than rows
-        was, at = at, 0 if most <= 1 << bits else max(at - bits, 0)
         # columns x probabilities x 2 rows at most: a bounded broadcast
-        prefixes = F.broadcast(spark.createDataFrame(list(open_), "pc int, p bigint"))
-        inside = keys.join(prefixes, (F.col("c") == F.col("pc")) & (F.shiftright("key", was) == F.col("p"))).select("c", "key")
+        parts = F.broadcast(spark.createDataFrame([(c, lo, hi) for (c, lo), hi in ends.items()], "pc int, lo double, hi double"))
+        inside = rows.join(parts, (F.col("c") == F.col("pc")) & (x >= F.col("lo")) & (x <= F.col("hi"))).select("c", "x", "lo", "hi")
         passes += 1
-        if passes == 3:
-            keys = inside = store(inside, "quantile-keys")
+        # few rows are told apart by whole values, of which there are no more than rows
+        few = most <= 1 << bits
+        if passes == 3 and not few:
+            inside = store(inside, "quantile-rows")
+            rows = inside.select("c", "x")
+        span = F.col("hi") / 2 - F.col("lo") / 2  # halves, as the whole may be infinite
+        share = F.least(F.floor((x / 2 - F.col("lo") / 2) / span * (1 << bits)), F.lit((1 << bits) - 1))
         counted = {}
-        for r in inside.groupBy("c", F.shiftright("key", was).alias("p"), F.shiftright("key", at).alias("d")).agg(*_counts()).collect():
-            counted.setdefault((r["c"], r["p"]), []).append((r["d"], r["n"], r["a"], r["b"]))
+        for r in _counted(inside, x if few else share):
+            counted.setdefault((r["c"], r["lo"]), []).append((r["a"], r["b"], r["n"]))
     out = {}
     for i, c in enumerate(cols):
         for p in probs:

@@ -367,7 +367,7 @@ def q30(spark, sf_dir):
 
 def _flagged_scores(model, rows):
     """Scores of every row to six digits, stored once, with the 15 % flag."""
-    scored = store(model.score(rows).select(*FE.LINEITEM_KEYS[:4], F.round("anomaly_score", 6).alias("anomaly_score")),
+    scored = store(model.score(rows.select(*FE.LINEITEM_KEYS[:4], *FE.LINEITEM_FEATURES)).select(*FE.LINEITEM_KEYS[:4], F.round("anomaly_score", 6).alias("anomaly_score")),
                    "iforest-scores")
     return IF.flag(scored, "anomaly_score", CONTAMINATION)
 

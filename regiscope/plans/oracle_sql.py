@@ -533,8 +533,7 @@ def _kmeans(base: str, key: str, zs: list[str], ks: list[int], steps: int = 10)
     def dist(a: str, b: str) -> str:
         return " + ".join(f"({a}.{x} - {b}.{x}) * ({a}.{x} - {b}.{x})" for x in zs)
 
-    parts = [f"mean AS (SELECT {', '.join(f'avg({x}) AS {x}' for x in zs)} FROM {base})",
-             f"f1 AS MATERIALIZED (SELECT 0 AS i, {z} FROM (SELECT b.*, {dist('b', 'm')} AS d FROM {base} b CROSS JOIN mean m) "
+    parts = [f"f1 AS MATERIALIZED (SELECT 0 AS i, {z} FROM (SELECT b.*, {' + '.join(f'{x} * {x}' for x in zs)} AS d FROM {base} b) "
              f"ORDER BY d DESC, {key} LIMIT 1)"]
     for j in range(2, max(ks) + 1):
         parts.append(f"f{j} AS MATERIALIZED (SELECT * FROM f{j - 1} UNION ALL (SELECT {j - 1} AS i, {z} FROM ("
