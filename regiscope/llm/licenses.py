@@ -22,6 +22,8 @@ from .common import lists, out_batch
 from .decontam import words as tokens
 
 MIN_DICE = 0.8
+#: Sentences without a new bigram after which a run looks ahead.
+IDLE = 3
 _SENTENCE_END = re.compile(r"(?<=[.!?;:])[ \t]+").split
 
 # Customary license notices (name, text).
@@ -84,31 +86,90 @@ def segments(text: str | None) -> list[tuple[int, list[bytes]]]:
     return [(n, tokens(x)) for n, line in enumerate((text or "").split("\n")) for x in _SENTENCE_END(line)]
 
 
+class _News:
+    """For runs that began long before: the next sentence with a new bigram.
+
+    A sentence's bigrams are its own ones and the one that joins it to the
+    sentence in front. ``old[j]`` is the latest start from which a run already
+    holds all of them when it reaches sentence j; a tree of minima over it
+    finds the next sentence that adds something in logarithmic time, however
+    often a text repeats itself."""
+
+    def __init__(self, parts: list, front: list):
+        seen: dict = {}
+        old = []
+        for j, (_, w) in enumerate(parts):
+            mine = [(b, j) for b in set(zip(w, w[1:]))]
+            if w and front[j] is not None:
+                mine.append(((front[j], w[0]), j - 1))  # not in a run that starts with j
+            old.append(min((seen.get(b, -1) for b, _ in mine), default=len(parts)))
+            for b, at in mine:
+                seen[b] = max(seen.get(b, -1), at)
+        self.n = 1 << max(len(old) - 1, 0).bit_length()
+        self.low = [0] * self.n + old + [len(parts)] * (self.n - len(old))
+        for i in range(self.n - 1, 0, -1):
+            self.low[i] = min(self.low[2 * i], self.low[2 * i + 1])
+
+    def next(self, j: int, start: int) -> int | None:
+        """The first sentence from j on that is new to a run from ``start``."""
+        i = j + self.n
+        if j >= self.n:
+            return None
+        while self.low[i] >= start:
+            while i & 1:  # up to where a right neighbour is left
+                i >>= 1
+            if not i:
+                return None
+            i += 1
+        while i < self.n:
+            i *= 2
+            if self.low[i] >= start:
+                i += 1
+        return i - self.n
+
+
 def scan_text(templates: Templates, text: str | None) -> list[tuple[int, int, str, float]]:
     """(first line, last line, license, dice) of the matching runs of
     sentences; of overlapping runs the best stays (then the first, then the
-    shortest)."""
+    shortest). A sentence that adds no bigram to a run leaves its similarity as
+    it is, so the longer run never is the one that stays and is not compared;
+    after ``IDLE`` such sentences the next ones are passed over at once
+    (``_News``)."""
     parts = segments(text)
     known = templates.bigrams
     told = [not known.isdisjoint(zip(w, w[1:])) for _, w in parts]
+    if not any(told):
+        return []
+    front, last = [], None  # the last word in front of each sentence
+    for _, w in parts:
+        front.append(last)
+        last = w[-1] if w else last
+    news = None
     runs = []
     for i, (_, w) in enumerate(parts):
         if not told[i] and not (w and any(told[i + 1:i + 2])):
             continue
-        words: list[bytes] = []
-        bigrams: set = set()
-        for j in range(i, len(parts)):
-            more = parts[j][1]
-            if j > i and not more:
-                continue
-            at = len(words)
-            words += more
-            bigrams.update(zip(words[max(at - 1, 0):], words[max(at, 1):]))
+        bigrams = set(zip(w, w[1:]))
+        j, grown, idle = i, True, 0
+        while True:
             if len(bigrams) > templates.largest:
                 break
-            got = templates.best(bigrams) if bigrams else None
+            got = templates.best(bigrams) if bigrams and grown else None
             if got:
                 runs.append((-got[0], i, j, got[1]))
+            j += 1
+            if idle >= IDLE:
+                news = news or _News(parts, front)
+                j = news.next(j, i)
+            if j is None or j >= len(parts):
+                break
+            more = parts[j][1]
+            before = len(bigrams)
+            if more:
+                bigrams.add((front[j], more[0]))
+                bigrams.update(zip(more, more[1:]))
+            grown = len(bigrams) > before
+            idle = 0 if grown else idle + 1
     out, used = [], set()
     for d, i, j, name in sorted(runs):
         if used.isdisjoint(range(i, j + 1)):
@@ -120,11 +181,13 @@ def scan_text(templates: Templates, text: str | None) -> list[tuple[int, int, st
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: Sequence[tuple[str, str]] = tuple(TEMPLATES), min_dice: float = MIN_DICE) -> DataFrame:
     """``id_col, first_line, last_line, license, dice``: a row per match
-    (lines are numbered from 0), over whole texts.
+    (lines are numbered from 0), over whole texts. The work on a text grows
+    with its length, also where it repeats itself (a line 100,000 times).
 
     NULL, empty and license-free texts give no row; repeated rows give a match
     each; templates of equal similarity: the first listed. Templates of fewer
-    than two words cannot match. Other columns are not read."""
+    than two words cannot match. Other columns are not read; an empty table gives
+    no rows."""
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("first_line", T.LongType()),
                            T.StructField("last_line", T.LongType()), T.StructField("license", T.StringType()),
                            T.StructField("dice", T.DoubleType())])
