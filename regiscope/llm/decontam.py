@@ -1,11 +1,13 @@
 """Benchmark decontamination by greedy string tiling.
 
 A benchmark item and a document are compared when they share a seed, a run of
-``min_match`` tokens. Seeds are joined by hash inside the task: a slice of the
+``min_match`` tokens (a shorter item: all of it). Seeds are joined by hash inside the task: a slice of the
 benchmark's seeds, of bounded size, is broadcast, and a rolling (Karp-Rabin)
 hash of the document's tokens is looked up in it for all positions at once. The
 shared runs of a pair are then tiled: the longest run of tokens not marked yet
-is marked, again and again, until none of ``min_match`` tokens is left. The
+is marked, again and again, until none of ``min_match`` tokens is left; a pair
+with very many shared seeds is tiled from long to short windows by running
+Karp-Rabin instead, which holds no pairs. The
 share of the item's tokens under tiles is its coverage, so a passage with its
 sentences in another order is caught as well.
 
@@ -29,6 +31,9 @@ from .common import lists
 #: Bytes of benchmark text that are broadcast at once.
 SLICE_BYTES = 8 << 20
 MIN_MATCH = 5
+#: Shared seeds of one document and one item that are held at once; beyond them
+#: the pair is tiled by ``tile_rolling``.
+PAIRS = 200_000
 COVERAGE = 0.5
 _BASE = 0x9E3779B97F4A7C15
 #: ASCII characters that are neither letters nor digits separate tokens.
@@ -80,11 +85,11 @@ def rolling(ids, n: int):
 
 
 class Seeds:
-    """The seeds of one slice of the benchmark."""
+    """The seeds of one slice of the benchmark. An item of fewer than
+    ``min_match`` tokens is one seed of its own length."""
 
     def __init__(self, items: list[tuple], min_match: int):
         import numpy as np
-        self.min_match = min_match
         self.keys = [k for k, _ in items]
         words = [tokens(t) for _, t in items]
         self.number: dict[bytes, int] = {}
@@ -92,31 +97,154 @@ class Seeds:
             for x in w:
                 self.number.setdefault(x, len(self.number) + 1)
         self.ids = [np.array([self.number[x] for x in w], np.uint64) for w in words]
-        runs = [rolling(x, min_match) for x in self.ids]
-        hashes = np.concatenate([np.zeros(0, np.uint64), *runs])
-        item = np.repeat(np.arange(len(items)), [len(r) for r in runs])
-        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(r)) for r in runs)])
-        by = np.argsort(hashes, kind="stable")
-        self.hashes, self.item, self.place = hashes[by], item[by], place[by]
+        self.least = [min(min_match, len(x)) for x in self.ids]
+        self.tables = []
+        for n in sorted(set(self.least) - {0}):
+            mine = [i for i, k in enumerate(self.least) if k == n]
+            runs = [rolling(self.ids[i], n) for i in mine]
+            hashes = np.concatenate(runs)
+            item = np.repeat(np.array(mine), [len(r) for r in runs])
+            place = np.concatenate([np.arange(len(r)) for r in runs])
+            by = np.argsort(hashes, kind="stable")
+            self.tables.append((n, hashes[by], item[by], place[by]))
 
     def shared(self, text: str | None):
-        """(item, place in item, place in document) of every shared seed."""
+        """Ids of the document's tokens (0: not in the benchmark), and per item
+        that shares a seed (item, places in item, places in document), or
+        (item, None, None) where the two have more than ``PAIRS`` shared seeds."""
         import numpy as np
         get = self.number.get
         ids = np.array([get(x, 0) for x in tokens(text)], np.uint64)
         known = np.cumsum(np.concatenate([[0], ids == 0]))
-        n = self.min_match
-        if len(ids) < n or not len(self.hashes):
-            return ids, ()
-        at = np.flatnonzero(known[n:] == known[:-n])  # runs of benchmark words only
-        h = rolling(ids, n)[at]
-        lo, hi = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
-        count = hi - lo
-        at, lo, count = at[count > 0], lo[count > 0], count[count > 0]
-        if not len(at):
-            return ids, ()
-        pick = np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        return ids, (self.item[pick], self.place[pick], np.repeat(at, count))
+        out = []
+        for n, hashes, items, places in self.tables:
+            if len(ids) < n:
+                continue
+            at = np.flatnonzero(known[n:] == known[:-n])  # runs of benchmark words only
+            if not len(at):
+                continue
+            h, which, times = np.unique(rolling(ids, n)[at], return_inverse=True, return_counts=True)
+            lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+            hit = hi > lo
+            if not hit.any():
+                continue
+            # each seed of the slice at most once: how many pairs an item has with the document
+            post = _ranges(lo[hit], (hi - lo)[hit])
+            pairs = np.bincount(items[post], np.repeat(times[hit], (hi - lo)[hit]), minlength=len(self.ids))
+            few = (pairs > 0) & (pairs <= PAIRS)
+            out += [(int(k), None, None) for k in np.flatnonzero(pairs > PAIRS)]
+            keep = few[items[post]]
+            if not keep.any():
+                continue
+            seed = np.repeat(np.flatnonzero(hit), (hi - lo)[hit])[keep]
+            post = post[keep]
+            by = np.argsort(items[post], kind="stable")  # by item: the pairs of one item at a time
+            seed, post = seed[by], post[by]
+            order = np.argsort(which, kind="stable")
+            start = np.concatenate([[0], np.cumsum(times)])
+            ends = np.concatenate([np.flatnonzero(np.diff(items[post])) + 1, [len(post)]])
+            a = 0
+            for e in ends.tolist():
+                d = at[order[_ranges(start[seed[a:e]], times[seed[a:e]])]]
+                out.append((int(items[post[a]]), np.repeat(places[post[a:e]], times[seed[a:e]]), d))
+                a = e
+        return ids, out
+
+
+def _ranges(lo, n):
+    """The numbers lo[i] .. lo[i] + n[i] - 1 of all i, one after the other."""
+    import numpy as np
+    return np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+
+
+class _Windows:
+    """Karp-Rabin hashes of the windows of any length of an id sequence, from
+    one pass over it."""
+
+    def __init__(self, ids):
+        import numpy as np
+        n = len(ids)
+        one = np.ones(1, np.uint64)
+        with np.errstate(over="ignore"):  # modulo 2**64
+            self.up = np.cumprod(np.concatenate([one, np.full(n, _BASE, np.uint64)]))
+            down = np.cumprod(np.concatenate([one, np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)]))
+            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ids * down[:-1])])
+
+    def hashes(self, at, n: int):
+        import numpy as np
+        with np.errstate(over="ignore"):
+            return (self.sums[at + n] - self.sums[at]) * self.up[at]
+
+
+def _free_windows(marked, n: int):
+    """Starts of the windows of n tokens without a marked one."""
+    import numpy as np
+    if len(marked) < n:
+        return np.zeros(0, np.int64)
+    known = np.concatenate([[0], np.cumsum(marked)])
+    return np.flatnonzero(known[n:] == known[:-n])
+
+
+def tile_rolling(own, ids, n: int) -> list[tuple[int, int, int]]:
+    """Greedy string tiling by running Karp-Rabin, in memory in proportion to
+    item and document however often they repeat themselves: the greatest length
+    at which unmarked windows of both agree is found by bisection, the tiles of
+    that length are marked from the front (first in the item, then in the
+    document), and so on down to ``n``."""
+    import numpy as np
+    a, b = _Windows(own), _Windows(ids)
+    in_item, in_doc = np.zeros(len(own), bool), np.zeros(len(ids), bool)
+    in_doc[ids == 0] = True  # no benchmark word
+    tiles: list[tuple[int, int, int]] = []
+
+    def common(k: int):
+        p, t = _free_windows(in_item, k), _free_windows(in_doc, k)
+        if not len(p) or not len(t):
+            return p[:0], t[:0], p[:0], t[:0]
+        hp, ht = a.hashes(p, k), b.hashes(t, k)
+        keep_p, keep_t = np.isin(hp, ht), np.isin(ht, hp)
+        return p[keep_p], t[keep_t], hp[keep_p], ht[keep_t]
+
+    top = min(len(own), len(ids))
+    while top >= n:
+        low, high = n - 1, top
+        while low < high:
+            mid = (low + high + 1) // 2
+            if len(common(mid)[0]):
+                low = mid
+            else:
+                high = mid - 1
+        if low < n:
+            break
+        p, t, hp, ht = common(low)
+        by = np.lexsort((t, ht))
+        t, ht = t[by], ht[by]
+        first = {h: [lo, hi] for h, lo, hi in zip(*(x.tolist() for x in (
+            np.unique(ht), np.searchsorted(ht, np.unique(ht), "left"), np.searchsorted(ht, np.unique(ht), "right"))))}
+        free_from = 0
+        found = False
+        for x, h in zip(p.tolist(), hp.tolist()):
+            if x < free_from:  # tiles of one length are laid from the front
+                continue
+            at = first[h]
+            while at[0] < at[1]:
+                y = int(t[at[0]])
+                if in_doc[y] or in_doc[y + low - 1]:  # marked since: tiles of this length cover an end
+                    at[0] += 1
+                    continue
+                if not np.array_equal(own[x:x + low], ids[y:y + low]):  # equal hash, other tokens
+                    at[0] += 1
+                    continue
+                in_item[x:x + low] = True
+                in_doc[y:y + low] = True
+                tiles.append((low, x, y))
+                free_from, found = x + low, True
+                at[0] += 1
+                break
+        top = low if found else low - 1
+        if found and not len(common(low)[0]):
+            top = low - 1
+    return tiles
 
 
 def runs(p, t, n: int) -> list[tuple[int, int, int]]:
@@ -164,20 +292,15 @@ def tile(found: list[tuple[int, int, int]], n: int, item_len: int) -> list[tuple
 def compare(seeds: Seeds, text: str | None):
     """(item number, covered tokens, tiles) for each item that shares a seed."""
     import numpy as np
-    ids, got = seeds.shared(text)
-    if not len(got):
-        return
-    item, p, t = got
-    by = np.argsort(item, kind="stable")
-    item, p, t = item[by], p[by], t[by]
-    ends = np.flatnonzero(np.diff(item)) + 1
-    for lo, hi in zip([0, *ends.tolist()], [*ends.tolist(), len(item)]):
-        k = int(item[lo])
-        own = seeds.ids[k]
-        # equal hash, equal tokens: checked on the runs
-        found = [r for r in runs(p[lo:hi], t[lo:hi], seeds.min_match)
-                 if np.array_equal(own[r[1]:r[1] + r[0]], ids[r[2]:r[2] + r[0]])]
-        tiles = tile(found, seeds.min_match, len(own))
+    ids, shared = seeds.shared(text)
+    for k, p, t in shared:
+        own, n = seeds.ids[k], seeds.least[k]
+        if p is None:
+            tiles = tile_rolling(own, ids, n)
+        else:
+            # equal hash, equal tokens: checked on the runs
+            found = [r for r in runs(p, t, n) if np.array_equal(own[r[1]:r[1] + r[0]], ids[r[2]:r[2] + r[0]])]
+            tiles = tile(found, n, len(own))
         if tiles:
             yield k, sum(x[0] for x in tiles), tiles
 
@@ -190,8 +313,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     (length, item_start, doc_start) in tokens, ``contaminated`` means that the
     tiles cover at least the share ``coverage`` of the item.
 
-    Both sides are cut by ``tokens``. NULL and empty texts, and items of fewer
-    than ``min_match`` tokens, have no tile and so no row. Repeated documents and repeated items give a row each.
+    Both sides are cut by ``tokens``. NULL and empty texts have no tile and so
+    no row; an item of fewer than ``min_match`` tokens is found where all of it
+    stands in one piece. Texts that repeat themselves without end are tiled in
+    memory in proportion to their length. Repeated documents and repeated items give a row each.
     Other columns are not read; an empty table on either side gives no rows."""
     spark = docs.sparkSession
     bench = benchmark.where(F.col(item_text).isNotNull()).select(

@@ -401,6 +401,49 @@ def test_op9_equals_brute_force(spark, odd, none):
     assert licenses.scan_text(known, prose) == [(0, 0, "Apache-2.0", 1.0)]
 
 
+def plain_runs(known, text):
+    """Every run of sentences compared, as the definition has it."""
+    parts = licenses.segments(text)
+    told = [not known.bigrams.isdisjoint(zip(w, w[1:])) for _, w in parts]
+    runs = []
+    for i in range(len(parts)):
+        if not told[i] and not (parts[i][1] and any(told[i + 1:i + 2])):
+            continue
+        for j in range(i, len(parts)):
+            w = [x for _, p in parts[i:j + 1] for x in p]
+            b = set(zip(w, w[1:]))
+            if parts[j][1] and b and len(b) <= known.largest and (got := known.best(b)):
+                runs.append((-got[0], i, j, got[1]))
+    out, used = [], set()
+    for d, i, j, name in sorted(runs):
+        if used.isdisjoint(range(i, j + 1)):
+            used.update(range(i, j + 1))
+            out.append((i, j, name, -d))
+    return [(parts[i][0], parts[j][0], name, d) for i, j, name, d in sorted(out)]
+
+
+def test_op9_random_texts_equal_all_runs():
+    rnd = random.Random(6)
+    small = [("A", "use of the work is free"), ("B", "no use of this work for sale or rent"), ("A", "free work")]
+    vocabulary = "use of the work is free no this for sale or rent and x".split()
+    for trial in range(150):
+        known = licenses.Templates(small, rnd.choice([0.5, 0.8]))
+        sentence = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(0, 6))) for _ in range(rnd.randrange(1, 5))]
+        text = "".join(rnd.choice([*sentence, small[0][1]]) + rnd.choice([". ", "\n", ".\n"]) for _ in range(rnd.randrange(1, 60)))
+        assert licenses.scan_text(known, text) == plain_runs(known, text), text
+
+
+def test_op9_repeated_lines_take_linear_time():
+    import time
+    known = licenses.Templates(licenses.TEMPLATES, licenses.MIN_DICE)
+    took = []
+    for n in (25_000, 100_000):
+        at = time.process_time()
+        assert licenses.scan_text(known, "of the\n" * n + "Released under the MIT License.\n" + "and the of\nto the of\n" * (n // 10)) == [(n, n, "MIT", 1.0)]
+        took.append(time.process_time() - at)
+    assert took[1] < 8 * max(took[0], 0.5)
+
+
 def naive_tiles(a, b, n):
     """Greedy string tiling as published: all maximal matches by hand."""
     in_a, in_b, total = [False] * len(a), [False] * len(b), 0
@@ -434,7 +477,8 @@ def test_op10_equals_naive_tiling(spark, odd, none):
     want = {}
     for i, t in rows:
         for j, s in items:
-            x = naive_tiles(decontam.tokens(s), decontam.tokens(t), decontam.MIN_MATCH)
+            n = min(decontam.MIN_MATCH, len(decontam.tokens(s)))
+            x = n and naive_tiles(decontam.tokens(s), decontam.tokens(t), n)
             if x:
                 want[(i, j)] = x
     for size in (1 << 20, 400):  # one slice, several slices
@@ -446,6 +490,38 @@ def test_op10_equals_naive_tiling(spark, odd, none):
     assert decontam.contamination(odd, b).count() == 0
 
 
+def test_op10_rolling_tiles_equal_naive_ones(monkeypatch):
+    rnd = random.Random(12)
+    for trial in range(60):
+        words = WORDS[:rnd.choice([1, 2, 3, 6])]
+        item = " ".join(rnd.choice(words) for _ in range(rnd.randrange(1, 40)))
+        text = " ".join(rnd.choice([*words, "other"]) for _ in range(rnd.randrange(0, 90)))
+        n = min(3, len(item.split()))
+        want = naive_tiles(decontam.tokens(item), decontam.tokens(text), n)
+        for pairs in (0, 10 ** 9):
+            monkeypatch.setattr(decontam, "PAIRS", pairs)
+            got = list(decontam.compare(decontam.Seeds([(1, item)], 3), text))
+            assert sum(c for _, c, _ in got) == want, (item, text, pairs)
+
+
+def test_op10_repeated_words_stay_in_memory():
+    """100,000 equal words against an item of 20,000: no table of pairs."""
+    import tracemalloc
+    seeds = decontam.Seeds([(1, "x " * 20_000), (2, "x y " * 9_000)], 5)
+    tracemalloc.start()
+    got = {k: c for k, c, _ in decontam.compare(seeds, "x " * 100_000)}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == {0: 20_000} and peak < 200 << 20
+
+
+def test_op10_short_items_are_found_whole(spark):
+    d = spark.createDataFrame([(1, "we say open sesame now"), (2, "open the sesame"), (3, "say: OPEN, sesame!")], "doc_id long, text string")
+    b = spark.createDataFrame([(7, "open sesame"), (8, "")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.covered) for r in decontam.contamination(d, b).where("contaminated").collect())
+    assert got == [(1, 7, 2), (3, 7, 2)]
+
+
 def test_op10_scripts_without_spaces_and_typography(spark):
     chinese = "自然语言处理是人工智能领域的一个重要方向，它研究人与计算机之间用语言通信的方法。"
     thai, english = "ภาษาไทยเป็นภาษาที่เขียนโดยไม่เว้นวรรค", "it's the \"first\" rule - of all things we know"
