@@ -3,9 +3,10 @@ forest. DataFrame operations and MLlib (JVM) only.
 
 A candidate is a run of at least ``MIN_LENGTH`` credential characters that
 holds a digit or is assigned to a credential's name; a word gives each of its
-runs. Its features: length, changes of character
-class, variety, digit and dictionary shares, the path of its document and the
-words around it. The forest is trained from labelled findings.
+runs. Its features: length, the shares of the transitions between character
+classes, variety, digit and dictionary shares, published formats, the path of
+its document, its place in a URL and the words around it. The forest is trained
+from labelled findings.
 """
 
 from __future__ import annotations
@@ -49,8 +50,26 @@ PUBLISHED = [
     r"xox[abeoprs]-[A-Za-z0-9\-]{10,}", r"xapp-[A-Za-z0-9\-]{10,}", r"AIza[A-Za-z0-9_\-]{35}", r"npm_[A-Za-z0-9]{20,}",
     r"pypi-[A-Za-z0-9_\-]{16,}", r"hf_[A-Za-z0-9]{20,}", r"do[oprt]_v1_[0-9a-f]{32,}", r"shp(?:at|ca|pa|ss)_[0-9a-fA-F]{32}",
     r"SK[0-9a-f]{32}$", r"key-[0-9a-f]{32}$", r"dapi[0-9a-f]{32}", r"lin_api_[A-Za-z0-9]{20,}", r"eyJ[A-Za-z0-9_\-]{10,}"]
+#: Classes of a value's characters (lower, upper, digit, other) and their ordered pairs.
+CLASSES = "aA0_"
+PAIRS = [x + y for x in CLASSES for y in CLASSES]
 FEATURES = ["length", "transitions", "variety", "digit_share", "letter_share", "upper_share", "hex_share",
-            "dictionary_share", "credential_before", "credential_after", "assigned", "quoted", "example_path"]
+            "dictionary_share", "credential_before", "credential_after", "assigned", "quoted", "example_path",
+            "published", "scheme", "url_password", *[f"pair_{i}" for i in range(len(PAIRS))]]
+
+# Contexts of labelled examples; {v} is a value made by ``_made``.
+SECRET_CONTEXTS = ["{v}", "use {v} for the call", "deploy with {v} today", "'{v}'", "<code>{v}</code>"]
+#: (start, alphabet, length of the rest) of published formats.
+SECRET_SHAPES = [
+    ("AKIA", "U", 16), ("ASIA", "U", 16), ("ghp_", "b", 36), ("gho_", "b", 36), ("github_pat_", "b", 40), ("glpat-", "b", 20),
+    ("sk_live_", "b", 24), ("rk_live_", "b", 24), ("whsec_", "b", 32), ("sk-proj-", "b", 40), ("xoxb-", "b", 40), ("xapp-", "b", 40),
+    ("AIza", "b", 35), ("npm_", "b", 36), ("pypi-", "b", 40), ("hf_", "b", 34), ("dop_v1_", "h", 64), ("shpat_", "h", 32),
+    ("SK", "h", 32), ("key-", "h", 32), ("dapi", "h", 32), ("lin_api_", "b", 40), ("eyJ", "b", 60)]
+SECRET_LINES = ["password = {b}", "\"api_key\": \"{h}\"", "token: {b}", "Authorization: Bearer {b}",
+                "postgres://app:{b}@db.local:5432/x", "secret => '{b}'", "aws_secret_access_key={b}"]
+PLAIN_LINES = ["commit {h} merged", "see /assets/{h}.js", "checksum {h}", "id {u}", "session-{d} closed", "order {d} shipped",
+               "on 20240131T101500Z", "call {d} now", "release-2024-build{d}", "user{d}@example.org", "https://example.org/{h}/index.html",
+               "img_{d}_large", "ISBN {d}", "uuid {u} found", "class Model{d}Config", "page{d}version2"]
 
 
 def _assigns(credential_words: Sequence[str]) -> str:
@@ -104,6 +123,37 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
         F.concat("r.lead", value, "r.trail").alias("word"), F.col("__path").alias("path"))
 
 
+def _made(start: str, alphabet: str, n: int, salt: int) -> str:
+    """A value of a published shape, from a hash: the same in every run."""
+    import hashlib
+    letters = {"U": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "h": "0123456789abcdef", "d": "0123456789",
+               "b": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"}[alphabet]
+    body = hashlib.shake_256(f"{start}{salt}".encode()).digest(n)
+    return start + "".join(letters[x % len(letters)] for x in body)
+
+
+def example_lines(each: int = 6) -> list[tuple[int, str]]:
+    """(label, line): ``each`` lines of every published shape, assignment and
+    hard negative, so that a forest knows formats that a corpus lacks."""
+    out = []
+    for i in range(each):
+        for k, (start, alphabet, n) in enumerate(SECRET_SHAPES):
+            out.append((1, SECRET_CONTEXTS[(i + k) % len(SECRET_CONTEXTS)].replace("{v}", _made(start, alphabet, n, i))))
+        for label, lines in ((1, SECRET_LINES), (0, PLAIN_LINES)):
+            for line in lines:
+                h = _made("", "h", 40 if i % 2 else 64, 31 * i + len(line))
+                u = "-".join((h[:8], h[8:12], h[12:16], h[16:20], h[20:32]))
+                out.append((label, line.replace("{h}", h).replace("{u}", u).replace("{d}", _made("", "d", 8 + i, len(line))).replace(
+                    "{b}", _made("", "b", 16 + 4 * i, len(line)))))
+    return out
+
+
+def examples(spark, each: int = 6) -> DataFrame:
+    """``example_lines`` as labelled findings."""
+    lines = spark.createDataFrame(example_lines(each), "label int, text string")
+    return candidates(lines, "label", "text", None)
+
+
 def _share(pattern: str, text: Column = None) -> Column:
     v = F.col("value") if text is None else text
     return 1 - F.length(F.regexp_replace(v, pattern, "")) / F.length("value")
@@ -128,9 +178,30 @@ def with_features(cand: DataFrame, credential_words: Sequence[str] = tuple(CREDE
         "quoted": F.col("word").rlike("[\"'`]"),
         "example_path": F.coalesce(F.col("path").rlike(r"(?i)(^|[/_.\-])(tests?|examples?|samples?|mocks?|docs?)([/_.\-]|$)"), F.lit(False)),
     }
+    front = _front()
+    f |= {"published": v.rlike("^(?:%s)" % "|".join(PUBLISHED)) | _prefixed(), "scheme": front.rlike(SCHEME),
+          "url_password": _in_url()}
+    f |= {f"pair_{i}": F.regexp_count(classes, F.lit(f"{p[0]}(?={p[1]})")) / F.greatest(F.length(v) - 1, F.lit(1))
+          for i, p in enumerate(PAIRS)}
     return cand.withColumns({k: f[k].cast("double") for k in FEATURES})
 
 
+SCHEME = r"(?i)(?:^|[^a-z])(?:bearer|basic)[\s\"'`]+$"
+
+
+def _front() -> Column:
+    """What stands in front of a run, the words before it included."""
+    return F.right(F.concat_ws(" ", "before", F.right("lead", F.lit(CONTEXT))), F.lit(CONTEXT))
+
+
+def _prefixed() -> Column:
+    return F.right("lead", F.lit(CONTEXT)).rlike(r"(?:^|[^A-Za-z0-9])(?:SG\.|ya29\.)$")
+
+
+def _in_url() -> Column:
+    return F.right("lead", F.lit(CONTEXT)).rlike("//[^/@:]*:$") & F.col("trail").startswith("@")
+
+
 def known_format(value: str = "value", credential_words: Sequence[str] = tuple(CREDENTIAL_WORDS),
                  dictionary: Sequence[str] = tuple(DICTIONARY)) -> Column:
     """Label of a finding in a corpus without audited ones. 1: a published
@@ -141,12 +212,12 @@ def known_format(value: str = "value", credential_words: Sequence[str] = tuple(C
     the local part of an e-mail address, hashes in paths. NULL: neither."""
     v = F.col(value)
     lead, trail = F.right("lead", F.lit(CONTEXT)), F.col("trail")
-    front = F.right(F.concat_ws(" ", "before", lead), F.lit(CONTEXT))
+    front = _front()
     named = front.rlike(_assigns(credential_words) + OPENS)
     mixed = v.rlike("[A-Za-z]") & v.rlike("[0-9]")
-    scheme = front.rlike(r"(?i)(?:^|[^a-z])(?:bearer|basic)[\s\"'`]+$") & (F.length(v) >= 16)
-    secret = (v.rlike("^(?:%s)" % "|".join(PUBLISHED)) | lead.rlike(r"(?:^|[^A-Za-z0-9])(?:SG\.|ya29\.)$")
-              | (lead.rlike("//[^/@:]*:$") & trail.startswith("@")) | F.col("before").rlike("PRIVATE KEY-----$")
+    scheme = front.rlike(SCHEME) & (F.length(v) >= 16)
+    secret = (v.rlike("^(?:%s)" % "|".join(PUBLISHED)) | _prefixed()
+              | _in_url() | F.col("before").rlike("PRIVATE KEY-----$")
               | ((named | scheme) & mixed))
     words = "|".join(sorted(dictionary, key=len, reverse=True))
     none = (~v.rlike("[A-Za-z]") | v.rlike(r"^(?:19|20)\d\d[-/]?(?:0[1-9]|1[0-2])[-/]?(?:0[1-9]|[12]\d|3[01])(?:T\d{2,6}Z?)?$")
@@ -202,12 +273,25 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col
     the forest removes. The value itself is not returned.
 
     ``findings`` are audited ones (``candidates`` with a column ``label``);
-    without them the table's own candidates are labelled by ``known_format``.
+    without them the table's own candidates are labelled by ``known_format``
+    and ``examples`` of published formats and hard negatives are added; a
+    finding that the rule proves to be a secret stays one whatever the forest
+    says, all others are judged by the forest.
     NULL and empty texts have no candidate, a NULL path is no example path,
-    repeated rows give their candidates each, an empty table gives no rows."""
-    cand = store(with_features(candidates(df, id_col, text_col, path_col)), "secret-candidates")
-    labelled = with_features(findings) if findings is not None else cand.withColumn("label", known_format())
+    repeated rows give their candidates each, an empty table gives no rows. In
+    long words a name counts up to ``CONTEXT`` characters in front of a run;
+    runs under ``MIN_LENGTH`` characters are no candidates. Equal candidates
+    have equal results. Other columns are not read, so their names may clash."""
+    cand = with_features(candidates(df, id_col, text_col, path_col))
+    if findings is None:
+        cand = store(cand.withColumn("label", known_format()), "secret-candidates")
+        known = with_features(examples(df.sparkSession)).select("value", "before", "after", "label", *FEATURES)
+        labelled = cand.select("value", "before", "after", "label", *FEATURES).unionByName(known)
+    else:
+        cand = store(cand.withColumn("label", F.lit(None).cast("double")), "secret-candidates")
+        labelled = with_features(findings)
     got = judge(cand, fit(labelled), threshold)
     return got.select(id_col, "position", "ordinal", F.col("length").cast("long").alias("length"),
                       F.concat(F.substring("value", 1, 4), F.lit("...")).alias("masked"),
-                      F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "probability", "is_secret")
+                      F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "probability",
+                      (F.col("is_secret") | (F.coalesce("label", F.lit(0.0)) == 1.0)).alias("is_secret"))

@@ -308,6 +308,46 @@ def test_op7_labels_only_what_a_rule_tells(spark):
         assert got[i] - ({None} if t in yes else set()) == want, t
 
 
+def test_op7_formats_survive_the_forest(spark, docs):
+    """Fitted on documents and examples without some of the formats, the forest
+    still calls every format a secret, and hard negatives none."""
+    ex = secret_scan.examples(spark, 4)
+    out = ("ghp_", "sk_live_", "AKIA", "hf_", "eyJ", "key-")
+    held = F.lit(False)
+    for p in out:
+        held = held | F.col("value").startswith(p)
+    cand = secret_scan.candidates(docs).withColumn("label", secret_scan.known_format())
+    known = secret_scan.with_features(ex.where(~held)).select("value", "before", "after", "label", *secret_scan.FEATURES)
+    model = secret_scan.fit(secret_scan.with_features(cand).select("value", "before", "after", "label", *secret_scan.FEATURES).unionByName(known))
+    fresh = [(l, t) for l, t in secret_scan.example_lines(9) if (l, t) not in set(secret_scan.example_lines(4))]
+    got = secret_scan.judge(secret_scan.with_features(secret_scan.candidates(
+        spark.createDataFrame(fresh, "label int, text string"), "label", "text", None)), model).collect()
+    of = lambda r: any(r.value.startswith(p) for p in out)
+    assert {p for p in out if any(r.value.startswith(p) for r in got)} == set(out)
+    assert all(r.is_secret for r in got if of(r) and r.label == 1)
+    right = sum(r.is_secret == bool(r.label) for r in got)
+    assert right >= 0.95 * len(got)
+
+
+def test_op7_features_by_hand(spark):
+    lines = [t for _, t in secret_scan.example_lines(2)] + ["docs/x token=abcDEF123456 next", "http://u:p4ssw0rdX9@h/"]
+    got = secret_scan.with_features(secret_scan.candidates(
+        spark.createDataFrame(list(enumerate(lines)), "doc_id int, text string"), path_col=None)).collect()
+    assert len(got) > len(lines) * 0.8
+    for r in got:
+        v = r.value
+        c = ["a" if "a" <= x <= "z" else "A" if "A" <= x <= "Z" else "0" if "0" <= x <= "9" else "_" for x in v]
+        pairs = [x + y for x, y in zip(c, c[1:])]
+        n = max(len(v) - 1, 1)
+        assert r.length == len(v) and r.transitions == pytest.approx(sum(x != y for x, y in zip(c, c[1:])) / n)
+        for i, p in enumerate(secret_scan.PAIRS):
+            assert r[f"pair_{i}"] == pytest.approx(pairs.count(p) / n)
+        assert r.variety == pytest.approx(len(set(v)) / len(v))
+        assert r.digit_share == pytest.approx(c.count("0") / len(v)) and r.upper_share == pytest.approx(c.count("A") / len(v))
+        assert r.hex_share == pytest.approx(sum(x in "0123456789abcdef" for x in v) / len(v))
+    assert [r.url_password for r in got if r.value == "p4ssw0rdX9"] == [1.0]
+
+
 def test_op7_sample_keeps_both_labels(spark):
     copies = spark.range(3000).select(F.lit("call 555-1234567 now").alias("text"))
     others = spark.range(300).select(F.concat(F.lit("card 40528178258"), F.col("id") + 10000).alias("text"))
