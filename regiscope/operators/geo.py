@@ -34,8 +34,12 @@ def read_geojson(spark: SparkSession, path: str, properties: T.StructType | None
             T.StructField("coordinates", T.StringType()),
         ])),
     ])))])
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
-    feats = raw.select(F.explode("features").alias("f"))
+    feature = schema["features"].dataType.elementType
+    raw = _split_features(spark, path)
+    if raw is not None:
+        feats = raw.select(F.from_json("value", feature).alias("f"))
+    else:
+        feats = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
     if isinstance(prop_t, T.StructType):
         props = [F.col(f"f.properties.`{f.name}`").alias(f.name) for f in prop_t.fields]
     else:
@@ -46,6 +50,54 @@ def read_geojson(spark: SparkSession, path: str, properties: T.StructType | None
     return feats.select(*props, g["type"].alias("geometry_type"), rings.alias("rings"))
 
 
+#: What separates the features of a collection whose features begin with their type.
+_MARK = '"Feature"'
+_NEXT = r',\s*\{\s*"type"\s*:\s*$'
+_HEAD = r'"features"\s*:\s*\[\s*\{\s*"type"\s*:\s*$'
+_END = r'\}\s*\][^\]}]*\}?\s*$'
+
+
+def _split_features(spark: SparkSession, path: str) -> DataFrame | None:
+    """The features of ``path`` as JSON text, one row each, read in as many
+    splits as Spark makes of the files: the type of a feature is the record
+    separator. None where a file is not written so that every separator stands
+    between two features (another key in front of the type, or a value
+    "Feature"), which one pass over the pieces' ends tells; such a file is read
+    whole by one task."""
+    pieces = spark.read.option("lineSep", _MARK).text(path)
+    v = F.col("value")
+    head, more, last = v.rlike(_HEAD), v.rlike(r"\}\s*" + _NEXT), v.rlike(_END)
+    ends = pieces.agg(F.count(F.lit(1)).alias("n"), F.count_if(~head & ~more & ~last).alias("odd"),
+                      F.count_if(head & ~more).alias("heads"), F.count_if(last & ~head & ~more).alias("ends")).first()
+    if not ends["n"] or ends["odd"] or ends["heads"] != ends["ends"]:
+        return None
+    body = F.regexp_replace(v, _NEXT, "")
+    body = F.when(last & ~more, F.regexp_replace(v, r"\s*\][^\]}]*\}?\s*$", "")).otherwise(body)
+    return pieces.where(~head | more).select(F.concat(F.lit('{"type":"Feature"'), body).alias("value"))
+
+
+def write_geojson(df: DataFrame, path: str, properties: Sequence[str], rings: str = "rings") -> None:
+    """Polygons as FeatureCollections, one file per task; a NULL ring list has
+    a NULL geometry."""
+    geometry = F.when(F.col(rings).isNotNull(), F.struct(F.lit("Polygon").alias("type"), F.col(rings).alias("coordinates")))
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*[F.col(f"`{c}`") for c in properties]).alias("properties"),
+                                 geometry.alias("geometry")), {"ignoreNullFields": "false"})
+
+    def collect(batches):
+        first = True
+        for pdf in batches:
+            if len(pdf):
+                lines = pdf["value"].tolist()
+                lines = [("" if first and not i else ",") + x for i, x in enumerate(lines)]
+                yield pdf.assign(value=['{"type":"FeatureCollection","features":[\n' + lines[0], *lines[1:]] if first else lines)
+                first = False
+        if not first:
+            import pandas as pd
+            yield pd.DataFrame({"value": ["]}"]})
+
+    df.select(feature.alias("value")).mapInPandas(collect, "value string").write.mode("overwrite").text(path)
+
+
 def read_geojson_properties(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]] | None:
     """The features of ``path`` with every property as a string column,
     and the names of these; None with a warning where there is no file. The

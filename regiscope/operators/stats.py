@@ -28,22 +28,50 @@ def attach_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(stats))
 
 
+#: A group with more than 1 / HOT_SHARE of the rows is hot.
+HOT_SHARE = 1000
+
+
+def join_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], count: str = "__n") -> DataFrame:
+    """``df`` with the statistics of its group, for groups of any size.
+
+    ``stats`` has one row per group with its number of rows ``count``. Groups
+    that hold more than 1/1,000 of the rows, so fewer than 1,000 of them, go to
+    the rows by a broadcast and their rows are not shuffled: a group with a
+    third of the rows is not one task. The rows of the others meet their group
+    by a shuffle join. NULL keys match NULL keys."""
+    stats = store(stats, "group-stats")
+    total = F.broadcast(stats.agg(F.sum(count).alias("__total")))
+    marked = stats.crossJoin(total)
+    hot = marked.where(F.col(count) * HOT_SHARE > F.col("__total")).drop("__total")
+    cold = marked.where(F.col(count) * HOT_SHARE <= F.col("__total")).drop("__total")
+    names = [c for c in stats.columns if c not in keys]
+
+    def joined(rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
+        side = side.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *names)
+        on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+        got = rows.join(side, on, how)
+        return got if how == "left_anti" else got.drop(*[f"__k{i}" for i in range(len(keys))])
+
+    of_hot = joined(df, F.broadcast(hot), "inner")
+    rest = joined(df, F.broadcast(hot), "left_anti")
+    return of_hot.unionByName(joined(rest, cold, "inner"))
+
+
 def min_max_normalize(df: DataFrame, cols: Sequence[str], out: Sequence[str] | None = None,
                       partition_by: Sequence[str] | None = None,
                       constant_value: float = 0.0, keep_stats: bool = False) -> DataFrame:
     """``(x - min) / (max - min)``, ``constant_value`` when max == min.
 
     NULLs are ignored by min/max and stay NULL. With ``partition_by`` the
-    statistics are per group (an aggregate joined back on the group key;
-    Spark sizes that join at runtime).
+    statistics are per group (``join_group_stats``); a NULL key is a group.
     """
     out = list(out or [f"{c}_norm" for c in cols])
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.min(c).alias(f"__mn{i}"), F.max(c).alias(f"__mx{i}")]
     if partition_by:
-        stats = df.groupBy(*partition_by).agg(*aggs)
-        j = df.join(stats, list(partition_by), "left")
+        j = join_group_stats(df, df.groupBy(*partition_by).agg(*aggs, F.count(F.lit(1)).alias("__n")), list(partition_by)).drop("__n")
     else:
         j = attach_stats(df, df.agg(*aggs))
     for i, (c, o) in enumerate(zip(cols, out)):

@@ -23,7 +23,9 @@ from ..operators import iforest as IF
 from ..operators import rank as RK
 from ..operators import stats as ST
 from ..session import SPLIT_BYTES, materialize, prepare, scratch_path, store
+from ..sources import csv as CSV
 from ..sources import messages as MSG
+from ..sources import ordered as ORD
 from ..sources import tables as TBL
 from ..sources import versions as VER
 from ..streaming import ingest as ING
@@ -115,9 +117,15 @@ def q03(spark, sf_dir):
 
 @register("q04_try_cast_filter")
 def q04(spark, sf_dir):
-    """P4 + P5: lenient int cast of a JSON field, keep not-NULL and >= 0."""
+    """P4 + P5: lenient int cast of a JSON field, delivered as 12, 12.0, 12.5,
+    -12 or no number; keep not-NULL and >= 0."""
     e = _t(spark, sf_dir, "events")
-    k = NUM.lenient_cast(F.get_json_object("props", "$.k"), "int")
+    raw = F.get_json_object("props", "$.k")
+    # numbers as files deliver them: 12, 12.0, 12.5, -12, n/a
+    raw = F.when(F.col("event_id") % 5 == 1, F.concat(raw, F.lit(".0"))).when(
+        F.col("event_id") % 5 == 2, F.concat(raw, F.lit(".5"))).when(
+        F.col("event_id") % 5 == 3, F.concat(F.lit("-"), raw)).when(F.col("event_id") % 5 == 4, F.concat(raw, F.lit(" n/a"))).otherwise(raw)
+    k = NUM.lenient_cast(raw, "int")
     return CLN.keep_non_negative(e.select("event_id", k.alias("k")), "k")
 
 
@@ -721,3 +729,53 @@ def q58(spark, sf_dir):
     return good.unionByName(left.select(
         F.col("key").cast("bigint").alias("event_id"), F.lit(None).cast("string").alias("event_type"),
         F.lit(None).cast("double").alias("value"), F.lit("dead").alias("state"), "reason"))
+
+
+# --- boundary files, group statistics, ordered tables, raw files -------------
+
+@register("q59_geojson")
+def q59(spark, sf_dir):
+    """Suppliers written as polygons of FeatureCollection files and read
+    back split at feature boundaries, with their boxes."""
+    s = _t(spark, sf_dir, "supplier")
+    x, y = F.col("s_suppkey").cast("double"), F.col("s_acctbal")
+    ring = F.array(F.array(x, y), F.array(x + 1, y), F.array(x + 1, y + 2), F.array(x, y))
+    path = scratch_path(spark, "suppliers-geojson")
+    GEO.write_geojson(s.select("s_suppkey", "s_name", F.array(ring).alias("rings")), path, ["s_suppkey", "s_name"])
+    back = GEO.read_geojson(spark, path, s.select("s_suppkey", "s_name").schema)
+    return GEO.feature_bounds(back).drop("rings")
+
+
+@register("q60_ordered_table")
+def q60(spark, sf_dir):
+    """T1 + T4: orders written in order of price; the first 100 and the places
+    1001 to 1200, read from the parts that hold them."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    table = ORD.OrderedTable(spark, scratch_path(spark, "orders-ordered"), o.schema, [F.desc("o_totalprice"), "o_orderkey"])
+    table.write(o)
+    return table.top(100).unionByName(table.places(1001, 1200))
+
+
+@register("q61_minmax_groups")
+def q61(spark, sf_dir):
+    """W1 within groups: lineitem prices scaled inside their return flag, three
+    groups of a large share of the rows each."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_extendedprice")
+    n = ST.min_max_normalize(li, ["l_extendedprice"], ["price_norm"], partition_by=["l_returnflag"])
+    return n.withColumn("price_norm", F.round("price_norm", 6))
+
+
+@register("q62_csv_messages")
+def q62(spark, sf_dir):
+    """S1 + S4 + P14: customers as a CSV file with spoken headers, read as
+    strings by header name, stamped and keyed as JSON messages and decoded."""
+    c = _t(spark, sf_dir, "customer")
+    header = ["Customer Key", "Account/Balance", "Market Segment"]
+    path = scratch_path(spark, "customers-csv")
+    c.select(F.col("c_custkey").alias(header[0]), F.col("c_acctbal").alias(header[1]),
+             F.col("c_mktsegment").alias(header[2])).write.option("header", True).csv(path)
+    raw = CSV.read_csv(spark, path, header)
+    msgs = MSG.to_messages(raw, "customers-raw", key="customer_key", ingested_at=INGEST_STAMP)
+    schema = raw.withColumn("ingested_at", F.lit("")).schema
+    return MSG.decode(msgs, schema, corrupt_col=None).select(
+        "topic", "key", NUM.lenient_cast("account_balance", "double").alias("account_balance"), "market_segment", "ingested_at")
