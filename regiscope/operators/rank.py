@@ -36,7 +36,8 @@ def rank(df: DataFrame, score: str, out: str = "rank", descending: bool = True,
     values = store(counts.repartitionByRange(buckets, order).withColumn("bucket", F.spark_partition_id()),
                    "rank-values")
     offsets, rows, ahead = [], 0, 0
-    for b, n, d in sorted(values.groupBy("bucket").agg(F.sum("cnt"), F.count(F.lit(1))).collect()):
+    sizes = sorted(map(tuple, values.groupBy("bucket").agg(F.sum("cnt"), F.count(F.lit(1))).collect()))
+    for b, n, d in sizes:
         offsets.append((b, ahead))
         rows += n
         ahead += d if dense else n
@@ -46,6 +47,8 @@ def rank(df: DataFrame, score: str, out: str = "rank", descending: bool = True,
         local = local.over(before)
     ranked = values.join(F.broadcast(spark.createDataFrame(offsets, "bucket int, ahead bigint")), "bucket").select(
         v.alias("__v"), "cnt", (F.col("ahead") + local + 1).alias(out))
+    if sum(d for _, _, d in sizes) <= HOT_FRACTION:  # no more distinct scores than hot ones there may be
+        return df.join(F.broadcast(ranked.drop("cnt")), F.col(score).eqNullSafe(F.col("__v"))).drop("__v")
     is_hot = F.col("cnt") * HOT_FRACTION > rows
     hot = F.broadcast(ranked.where(is_hot).drop("cnt"))
     same = F.col(score).eqNullSafe(F.col("__v"))

@@ -170,8 +170,10 @@ def q08(spark, sf_dir):
 # --- Gold steps ---------------------------------------------------------------
 
 def _master(spark, sf_dir):
-    pop, bur, fac, wrk = TT.silver_inputs(spark, sf_dir)
-    return G.master_table(pop, bur, fac, wrk, burden_map=TT.BURDEN_MAP, period=None)
+    """The named master, stored once; ``_scored`` checks its key."""
+    pop, bur, sup = TT.silver_inputs(spark, sf_dir)
+    m = G.master_table(pop, bur, sup, None, burden_map=TT.BURDEN_MAP, period=None, check_unique=False)
+    return materialize(TT.named(spark, sf_dir, m))
 
 
 def _indicators(spark, sf_dir):
@@ -181,7 +183,7 @@ def _indicators(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    return G.scores(_indicators(spark, sf_dir))
+    return G.scores(_indicators(spark, sf_dir), check_unique=True)
 
 
 def gold_frame(spark, sf_dir):
@@ -253,7 +255,7 @@ def q16(spark, sf_dir):
 def q17(spark, sf_dir):
     """W2 + T1 + T4: rank on the unrounded NRS (gaps on ties, NULL last);
     the top-10 preview is the feature here."""
-    ranked = RK.rank(materialize(_scored(spark, sf_dir)), "nutrition_risk_score", out="priority_rank")
+    ranked = RK.rank(_scored(spark, sf_dir), "nutrition_risk_score", out="priority_rank")
     return (ranked.select(G.KEY, F.round("nutrition_risk_score", 4).alias("nutrition_risk_score"),
                           "priority_rank")
             .orderBy("priority_rank", G.KEY).limit(10))

@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percentage, ratio_per, row_sum, weighted_score
-from ..operators.join import assert_unique, left_join_all, latest_period
+from ..operators.join import DuplicateKeyError, assert_unique, latest_period, left_join_all
 from ..operators.rank import rank
-from ..operators.stats import attach_stats
 from ..session import materialize
 
 KEY = "kabupaten_kota"
@@ -33,13 +32,14 @@ def _one_period(df: DataFrame, period: str | None) -> DataFrame:
 
 
 def master_table(population: DataFrame, burden: DataFrame, facilities: DataFrame,
-                 workers: DataFrame, burden_map: dict[str, str] | None = None,
+                 workers: DataFrame | None, burden_map: dict[str, str] | None = None,
                  period: str | None = "periode_data", check_unique: bool = True) -> DataFrame:
     """J1 + P15 + P11 + P16: one row per region of ``population``.
 
     ``burden_map`` maps Gold burden names to the pivoted Silver columns. The
     right sides are reduced to one period per region (policy ``latest``)
-    before joining, so they cannot fan out the master rows.
+    before joining, so they cannot fan out the master rows. Without ``workers``
+    the facilities hold their column too.
 
     A repeated key of any input repeats a region of the result. With
     ``check_unique`` the joined rows (one per region) are stored and checked
@@ -49,9 +49,9 @@ def master_table(population: DataFrame, burden: DataFrame, facilities: DataFrame
     bm = burden_map or dict(zip(BURDEN_COLS, ["STUNTING", "GIZI BURUK", "GIZI KURANG", "UNDERWEIGHT"]))
     b = _one_period(burden, period).select(
         KEY, *[F.coalesce(F.col(f"`{src}`"), F.lit(0)).cast("bigint").alias(dst) for dst, src in bm.items()])
-    f = _one_period(facilities, period).select(KEY, *FACILITY_COLS)
-    w = _one_period(workers, period).select(KEY, WORKER_COL)
-    m = left_join_all(population.select(KEY, "populasi"), [b, f, w], [KEY])
+    f = _one_period(facilities, period).select(KEY, *FACILITY_COLS, *([] if workers is not None else [WORKER_COL]))
+    w = [] if workers is None else [_one_period(workers, period).select(KEY, WORKER_COL)]
+    m = left_join_all(population.select(KEY, "populasi"), [b, f, *w], [KEY])
     m = m.na.fill(0, subset=[*BURDEN_COLS, *FACILITY_COLS, WORKER_COL])
     m = m.withColumn("total_balita_gizi_buruk", row_sum(BURDEN_COLS))
     if check_unique:
@@ -75,33 +75,37 @@ NORM_INPUTS = ["prevalensi_stunting_pct", "rasio_faskes_per_10k_balita",
                "rasio_posyandu_per_10k_populasi", "rasio_nakes_per_10k_populasi"]
 
 
-def _norm(c: str, i: int) -> Column:
-    mn, mx = F.col(f"__mn{i}"), F.col(f"__mx{i}")
-    return F.when(mx == mn, F.lit(0.0)).otherwise((F.col(c) - mn) / (mx - mn))
+def scores(ind: DataFrame, check_unique: bool = False) -> DataFrame:
+    """W1 via J5 + P20-P22: every min/max from one aggregate row, then NRS
+    (weighted) and NCI (mean of three norms). The row's eight numbers enter the
+    plan as constants. ``check_unique``: the same row tells a repeated region,
+    which raises."""
+    aggs = [f(c).alias(f"{k}{i}") for i, c in enumerate(NORM_INPUTS) for k, f in (("mn", F.min), ("mx", F.max))]
+    if check_unique:
+        aggs += [F.count(F.lit(1)).alias("n"), F.count_distinct(KEY).alias("keys"), F.count_if(F.col(KEY).isNull()).alias("none")]
+    row = ind.agg(*aggs).first()
+    if check_unique and row["n"] > row["keys"] + min(row["none"], 1):
+        raise DuplicateKeyError(f"Gold master: key [{KEY!r}] not unique")
 
+    def norm(i: int) -> Column:
+        lo, hi = row[f"mn{i}"], row[f"mx{i}"]
+        if lo is None or lo == hi:
+            return F.lit(None if lo is None else 0.0).cast("double")
+        return (F.col(NORM_INPUTS[i]) - lo) / F.lit(hi - lo)
 
-def scores(ind: DataFrame) -> DataFrame:
-    """W1 via J5 + P20-P22: every min/max in one aggregate row broadcast back,
-    then NRS (weighted) and NCI (mean of three norms)."""
-    aggs = []
-    for i, c in enumerate(NORM_INPUTS):
-        aggs += [F.min(c).alias(f"__mn{i}"), F.max(c).alias(f"__mx{i}")]
-    j = attach_stats(ind, ind.agg(*aggs))
-    n_stunt, n_fask, n_posy, n_nakes = (_norm(c, i) for i, c in enumerate(NORM_INPUTS))
-    j = (j.withColumn("norm_stunting", n_stunt)
-          .withColumn("norm_faskes_inv", F.lit(1.0) - n_fask)
-          .withColumn("norm_nakes_inv", F.lit(1.0) - n_nakes)
-          .withColumn("nutrition_risk_score", weighted_score(list(RISK_WEIGHTS)))
-          .withColumn("nutrition_coverage_index", (n_fask + n_posy + n_nakes) / F.lit(3.0)))
-    return j.drop(*[f"__mn{i}" for i in range(4)], *[f"__mx{i}" for i in range(4)])
+    n_stunt, n_fask, n_posy, n_nakes = (norm(i) for i in range(len(NORM_INPUTS)))
+    return (ind.withColumn("norm_stunting", n_stunt)
+            .withColumn("norm_faskes_inv", F.lit(1.0) - n_fask)
+            .withColumn("norm_nakes_inv", F.lit(1.0) - n_nakes)
+            .withColumn("nutrition_risk_score", weighted_score(list(RISK_WEIGHTS)))
+            .withColumn("nutrition_coverage_index", (n_fask + n_posy + n_nakes) / F.lit(3.0)))
 
 
 def finalize(scored: DataFrame, as_of: Column | None = None) -> DataFrame:
     """W2 on the unrounded NRS, then P19 rounding and the Gold projection.
 
-    The scored table has one row per region; it is checkpointed because the
-    rank reads it more than once."""
-    scored = materialize(scored)
+    The scores are a projection of the stored master, which the rank reads more
+    than once."""
     ranked = rank(scored, "nutrition_risk_score", out="priority_rank", descending=True)
     cols = [
         KEY, "populasi", "total_balita_gizi_buruk", *BURDEN_COLS, *FACILITY_COLS, WORKER_COL,

@@ -41,66 +41,45 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _named(spark, sf_dir, df: DataFrame, nation_key: str) -> DataFrame:
-    nation = load(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias(nation_key), F.col("n_name").alias(KEY))
-    return df.join(nation, nation_key, "inner").drop(nation_key)
+def named(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """``df`` keyed by the nation's name in place of its key. The fact side of
+    every input is keyed by the nation key; the name is looked up once, at the
+    end."""
+    nation = load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias(KEY), F.col("n_name").alias("__name"))
+    return df.join(nation, KEY, "inner").select(F.col("__name").alias(KEY), *[c for c in df.columns if c != KEY])
 
 
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")
-    per = c.groupBy(F.col("c_nationkey").alias("nk")).agg(F.count(F.lit(1)).cast("bigint").alias("populasi"))
-    return _named(spark, sf_dir, per, "nk")
+    return c.groupBy(F.col("c_nationkey").alias(KEY)).agg(F.count(F.lit(1)).cast("bigint").alias("populasi"))
 
 
 def burden(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
-    c = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ck"), F.col("c_nationkey").alias("nk"))
+    c = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ck"), F.col("c_nationkey").alias(KEY))
     # Partial aggregate on the fact table first: one row per (customer, priority).
     per_cust = o.groupBy(F.col("o_custkey").alias("ck"), "o_orderpriority").agg(
         F.count(F.lit(1)).alias("n"))
     joined = per_cust.join(c, "ck", "inner")
-    piv = pivot_sum(joined, ["nk"], "o_orderpriority", PRIORITIES, value="n", cast="bigint")
-    return _named(spark, sf_dir, piv, "nk")
+    return pivot_sum(joined, [KEY], "o_orderpriority", PRIORITIES, value="n", cast="bigint")
 
 
-def _supplier_nation(spark, sf_dir) -> DataFrame:
-    return load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sk"), F.col("s_nationkey").alias("nk"))
-
-
-def nation_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct parts and lineitem count per supplier nation from ONE pass
-    over lineitem: (supplier, part) partial aggregate -> supplier nation ->
-    (nation, part) -> nation. The result has one row per nation, so it is
-    checkpointed and both Silver inputs read the stored rows (otherwise
-    column pruning gives the two uses different plans and the fact table
-    would be aggregated twice)."""
-    from ..session import materialize
+def supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities and workers per supplier nation: suppliers by balance, and
+    distinct parts and lineitems from one pass over lineitem, (supplier, part)
+    partial aggregate -> supplier nation -> (nation, part) -> nation."""
+    s = load(spark, sf_dir, "supplier")
     li = load(spark, sf_dir, "lineitem")
     pairs = li.groupBy(F.col("l_suppkey").alias("sk"), "l_partkey").agg(F.count(F.lit(1)).alias("n"))
-    per_part = (pairs.join(_supplier_nation(spark, sf_dir), "sk", "inner")
-                .groupBy("nk", "l_partkey").agg(F.sum("n").alias("n")))
-    out = per_part.groupBy("nk").agg(F.count("l_partkey").cast("bigint").alias("jumlah_posyandu"),
-                                     F.sum("n").cast("bigint").alias("total_nakes"))
-    return materialize(out)
-
-
-def facilities(spark: SparkSession, sf_dir: str, supply: DataFrame | None = None) -> DataFrame:
-    s = load(spark, sf_dir, "supplier")
-    sup = s.groupBy(F.col("s_nationkey").alias("nk")).agg(
+    nation = s.select(F.col("s_suppkey").alias("sk"), F.col("s_nationkey").alias(KEY))
+    shipped = pairs.join(nation, "sk", "inner").groupBy(KEY, "l_partkey").agg(F.sum("n").alias("n")).groupBy(KEY).agg(
+        F.count("l_partkey").cast("bigint").alias("jumlah_posyandu"), F.sum("n").cast("bigint").alias("total_nakes"))
+    sup = s.groupBy(F.col("s_nationkey").alias(KEY)).agg(
         F.count_if(F.col("s_acctbal") >= ACCTBAL_SPLIT).cast("bigint").alias("jumlah_rs_umum"),
         F.count_if(F.col("s_acctbal") < ACCTBAL_SPLIT).cast("bigint").alias("jumlah_rs_khusus"))
-    supply = supply if supply is not None else nation_supply(spark, sf_dir)
-    fac = sup.join(supply.select("nk", "jumlah_posyandu"), "nk", "left").na.fill(0, subset=["jumlah_posyandu"])
-    return _named(spark, sf_dir, fac, "nk")
-
-
-def workers(spark: SparkSession, sf_dir: str, supply: DataFrame | None = None) -> DataFrame:
-    supply = supply if supply is not None else nation_supply(spark, sf_dir)
-    return _named(spark, sf_dir, supply.select("nk", "total_nakes"), "nk")
+    return sup.join(shipped, KEY, "left").na.fill(0, subset=["jumlah_posyandu", "total_nakes"])
 
 
 def silver_inputs(spark: SparkSession, sf_dir: str):
-    supply = nation_supply(spark, sf_dir)
-    return (population(spark, sf_dir), burden(spark, sf_dir),
-            facilities(spark, sf_dir, supply), workers(spark, sf_dir, supply))
+    """Population, burden and supply, keyed by the nation key."""
+    return population(spark, sf_dir), burden(spark, sf_dir), supply(spark, sf_dir)

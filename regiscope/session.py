@@ -123,13 +123,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage at a layer boundary with a reliable checkpoint into the
-    shared checkpoint folder (never a machine-local one). Used for small,
-    region-grain frames that several later operators reference, so that
-    each reference reads the stored rows instead of re-planning the whole
-    upstream plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage at a layer boundary: the frame is written once below the
+    shared checkpoint folder and read back, so that each later reference reads
+    the stored rows instead of re-planning the whole upstream plan. (An eager
+    ``checkpoint`` runs the last stage twice, to count and to write.)"""
+    return store(df, "stage")
 
 
 #: Row groups of a table stored for CPU-heavy steps: a split holds at least one.
