@@ -270,8 +270,9 @@ def silhouette_closed_form(df: DataFrame, features: Sequence[str], cluster: str
 def label_by_mean(df: DataFrame, cluster: str, score: str, labels: Sequence[str] = CLUSTER_LABELS,
                   out: str = "cluster_label") -> DataFrame:
     """M8: order clusters by mean ``score`` (A7 + W3), label them (P25) and
-    join the label back. The cluster table has k rows; no driver collect."""
+    join the label back. The cluster table has one row per cluster; Spark sizes
+    the join. No driver collect."""
     means = df.groupBy(cluster).agg(F.avg(score).alias("__mean"))
     ordered = ordinal_by(means, cluster, "__mean", out="__ord", cap=len(labels) - 1)
     lab = ordered.select(cluster, lookup("__ord", dict(enumerate(labels))).alias(out))
-    return df.join(F.broadcast(lab), cluster, "left")
+    return df.join(lab, cluster, "left")

@@ -646,8 +646,9 @@ def q52(spark, sf_dir):
 
 @register("q53_anomaly_listing")
 def q53(spark, sf_dir):
-    """Regions from most to least anomalous."""
-    return SV.anomaly_listing(gold_final(spark, sf_dir))
+    """Regions from most to least anomalous, with their place."""
+    listing = SV.anomaly_listing(gold_final(spark, sf_dir))
+    return RK.rank(listing, "anomaly_score", out="position", descending=False).orderBy("position", G.KEY)
 
 
 @register("q54_boundary_layer")

@@ -431,7 +431,8 @@ s AS (SELECT l_orderkey, l_linenumber, l_partkey,
     round(-pow(2.0, -((p0 + p1) / 2.0) / {_c(256)}), 6) AS anomaly_score FROM p),
 ct AS (SELECT quantile_cont(anomaly_score, 0.15) AS cut FROM s)
 SELECT s.*, COALESCE(anomaly_score < cut, false) AS is_anomaly FROM s CROSS JOIN ct"""
-SQL["q53_anomaly_listing"] = _GF + "SELECT kabupaten_kota, anomaly_score, is_anomaly FROM final"
+SQL["q53_anomaly_listing"] = _GF + """SELECT kabupaten_kota, anomaly_score, is_anomaly,
+  rank() OVER (ORDER BY anomaly_score NULLS LAST) AS position FROM final"""
 
 SQL["q54_boundary_layer"] = _GF.rstrip() + f""",
 nm AS (SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'KOTA ADM. ' WHEN 2 THEN ' kabupaten '

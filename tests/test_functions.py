@@ -77,8 +77,9 @@ def test_canonical_name(spark):
 
 
 def test_title_case(spark):
-    df = one_col(spark, ["JAKARTA BARAT"])
-    assert df.select(TXT.title_case("x")).first()[0] == "Jakarta Barat"
+    df = one_col(spark, ["JAKARTA BARAT", "kep.seribu-utara", "o'neill (1a b)", None])
+    assert [r[0] for r in df.select(TXT.title_case("x")).collect()] == [
+        "Jakarta Barat", "Kep.Seribu-Utara", "O'Neill (1A B)", None]
 
 
 def test_display_helpers(spark):

@@ -120,3 +120,27 @@ def test_crash_after_write_is_replayed_without_duplicates(spark):
     assert sum(replay.values()) == 30  # the uncommitted epoch really ran again
     b = spark.read.parquet(bronze)
     assert b.count() == 30 and b.select("key").distinct().count() == 30
+
+
+def test_json_export_writes_null_fields(spark):
+    path = scratch_path(spark, "json-nulls")
+    df = spark.createDataFrame([("A", None), ("B", 1.5)], "k string, v double")
+    TBL.export_json(df, path)
+    lines = sorted(r.value for r in spark.read.text(path).collect())
+    assert [json.loads(x) for x in lines] == [{"k": "A", "v": None}, {"k": "B", "v": 1.5}]
+    assert '"v":null' in lines[0]
+
+
+def test_sums_beyond_32_bits(spark):
+    from regiscope.operators.aggregate import pivot_sum
+    from regiscope.plans.gold import master_table
+    big = 3_000_000_000
+    pop = spark.createDataFrame([("A", big)], "kabupaten_kota string, populasi long")
+    bur = spark.createDataFrame([("A", big, big, 1, None)], "kabupaten_kota string, a long, b long, c long, d long")
+    fac = spark.createDataFrame([("A", big, big, big)], "kabupaten_kota string, jumlah_rs_umum long, jumlah_rs_khusus long, jumlah_posyandu long")
+    wrk = spark.createDataFrame([("A", big)], "kabupaten_kota string, total_nakes long")
+    row = master_table(pop, bur, fac, wrk, {"total_stunting": "a", "total_gizi_buruk": "b", "total_gizi_kurang": "c",
+                                           "total_underweight": "d"}, period=None).first()
+    assert (row.total_balita_gizi_buruk, row.jumlah_posyandu, row.total_nakes) == (2 * big + 1, big, big)
+    cells = spark.createDataFrame([("A", "x", big), ("A", "x", big)], "k string, c string, v long")
+    assert pivot_sum(cells, ["k"], "c", ["x"], value="v", cast="bigint").first().x == 2 * big
