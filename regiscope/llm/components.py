@@ -95,14 +95,22 @@ def _with_least(e: DataFrame, least: DataFrame, n: int) -> DataFrame:
     return cold.unionByName(e.where("hot IS NOT NULL").withColumnRenamed("hot", "m"))
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", finish: int = FINISH) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", finish: int = FINISH,
+                         spanning: bool = False) -> DataFrame:
     """``node, component`` for every node of ``edges`` (undirected).
 
+    ``spanning``: the tasks that make the edges emit spanning links already, so
+    they are not contracted in a second Python step of the same stage.
+
     ``component`` is the least node of the component. Edges with a NULL end
     are ignored, a self-edge names a node, repeated edges count once; an empty
     table gives an empty one."""
     a, b = F.col(src), F.col(dst)
-    e = _contracted(edges.where(a.isNotNull() & b.isNotNull()).select(a.alias("u"), b.alias("v")), False)
+    e = edges.where(a.isNotNull() & b.isNotNull())
+    if spanning:
+        e = e.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    else:
+        e = _contracted(e.select(a.alias("u"), b.alias("v")), False)
     e, now = _stored(e.distinct(), "cc-edges")
     out = [F.col("u").alias("node"), F.col("v").alias("component")]
     if now[0] <= finish:

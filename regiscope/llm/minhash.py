@@ -314,7 +314,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = _links_by_group(members.where(~F.col("large")), num, den)
     if large.limit(1).count():
         links = links.unionByName(_chunked_links(members.where("large").drop("large"), num, den))
-    comp = connected_components(links)
+    comp = connected_components(links, spanning=True)
     of_set = store(sets.select("set_id", "least").join(comp, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "least", F.coalesce("component", "set_id").alias("comp")), "near-of-set")
     least = of_set.groupBy("comp").agg(F.min("least").alias("first"))

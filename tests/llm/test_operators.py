@@ -42,8 +42,8 @@ def docs(spark):
     return spark.read.parquet(f"{SF_SMALL}/documents.parquet")
 
 
-@pytest.mark.parametrize("finish", [components.FINISH, 0])
-def test_components_match_union_find(spark, monkeypatch, finish):
+@pytest.mark.parametrize("finish,spanning", [(components.FINISH, False), (components.FINISH, True), (0, False), (0, True)])
+def test_components_match_union_find(spark, monkeypatch, finish, spanning):
     monkeypatch.setattr(components, "BATCH", 7)
     rnd = random.Random(1)
     edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(20)] + [
@@ -59,7 +59,8 @@ def test_components_match_union_find(spark, monkeypatch, finish):
     for a, b in edges:
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
-    got = components.connected_components(spark.createDataFrame([*edges, (None, 1)], "src long, dst long"), finish=finish).collect()
+    got = components.connected_components(spark.createDataFrame([*edges, (None, 1)], "src long, dst long"), finish=finish,
+                                          spanning=spanning).collect()
     assert {r.node: r.component for r in got} == {x: find(x) for x in root} and len(got) == len(root)
     assert components.connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
