@@ -96,24 +96,25 @@ def _with_least(e: DataFrame, least: DataFrame, n: int) -> DataFrame:
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", finish: int = FINISH,
-                         spanning: bool = False) -> DataFrame:
+                         spanning: bool = False, native: bool = False) -> DataFrame:
     """``node, component`` for every node of ``edges`` (undirected).
 
     ``spanning``: the tasks that make the edges emit spanning links already, so
     they are not contracted in a second Python step of the same stage.
+    ``native``: star rounds only, without any Python step.
 
     ``component`` is the least node of the component. Edges with a NULL end
     are ignored, a self-edge names a node, repeated edges count once; an empty
     table gives an empty one."""
     a, b = F.col(src), F.col(dst)
     e = edges.where(a.isNotNull() & b.isNotNull())
-    if spanning:
+    if spanning or native:
         e = e.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     else:
         e = _contracted(e.select(a.alias("u"), b.alias("v")), False)
     e, now = _stored(e.distinct(), "cc-edges")
     out = [F.col("u").alias("node"), F.col("v").alias("component")]
-    if now[0] <= finish:
+    if now[0] <= finish and not native:
         return store(_contracted(e.coalesce(1), True).select(*out), "cc-components")
     loops = e.where("u = v")
     e = e.where("u <> v")
@@ -124,7 +125,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", f
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c")).select(
             "u", F.least("u", "m").alias("m"), "c")
         large = _with_least(both, least, 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = store(_contracted(large, False).where("u <> v").distinct(), "cc-large")
+        large = store((large if native else _contracted(large, False).where("u <> v")).distinct(), "cc-large")
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c"))
         small = _with_least(large, least, n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e, now = _stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "cc-small")
