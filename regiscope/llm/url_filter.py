@@ -143,7 +143,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     fits = store(urls.where("url is not null").join(match_rules(urls, rules), "url", "left").select(
         "url", "rule", "verdict", canonical(F.col("url")).alias("node")), "url-rules")
     comp = connected_components(links.select(
-        canonical(F.col("url")).alias("src"), canonical(F.col("target")).alias("dst")))
+        canonical(F.col("url")).alias("src"), canonical(F.col("target")).alias("dst")), native=True)
     nodes = fits.join(comp, "node", "left").select(
         "url", "rule", "verdict", F.coalesce("component", "node").alias("alias_of"))
     nodes = store(nodes, "url-nodes")
