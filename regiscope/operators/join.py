@@ -3,12 +3,19 @@ period policy and optional key-uniqueness check, and overlap matching."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: log2 of the entries of a theta sketch: 16,384 hashes, 128 kB a column.
+LG_ENTRIES = 14
+#: Standard errors on either side of a sketch's estimate.
+MARGIN = 8.0
+
+
 class DuplicateKeyError(ValueError):
     pass
 
@@ -74,3 +81,59 @@ def best_overlap(long_df: DataFrame, reference: DataFrame, field: str = "field",
                                F.struct(F.col("score"), -pos)).alias("__b"))
     return best.select(F.col("__b").getField(field).alias(field),
                        F.col("__b").getField("score").alias("score"))
+
+
+def overlap_bounds(df: DataFrame, fields: Sequence[str], reference: DataFrame, ref_value: str = "value",
+                   lg_entries: int = LG_ENTRIES) -> dict[str, tuple[float, float]]:
+    """Bounds of the number of distinct values each of ``fields`` (as strings)
+    shares with ``reference``, from one theta sketch per column: one pass over
+    ``df``, one row of estimates to the driver.
+
+    Below 2^lg_entries distinct values on both sides a sketch holds every hash
+    and both bounds are the number itself. Beyond, hashes are a sample of share
+    2^lg_entries / distinct; the bounds are ``MARGIN`` standard errors of the
+    sampled count away, with room for small counts."""
+    def sketch(name: str) -> Column:
+        # a sketch ignores empty strings
+        return F.theta_sketch_agg(F.concat(F.lit("="), F.col(f"`{name}`").cast("string")), lg_entries)
+
+    ref = reference.select(sketch(ref_value).alias("__ref"))
+    made = df.select(*[sketch(f).alias(f"s{i}")
+                       for i, f in enumerate(fields)])
+    got = made.crossJoin(F.broadcast(ref)).select(  # one row each
+        F.theta_sketch_estimate("__ref").alias("n"),
+        *[F.theta_sketch_estimate(f"s{i}").alias(f"n{i}") for i in range(len(fields))],
+        *[F.theta_sketch_estimate(F.theta_intersection(f"s{i}", "__ref")).alias(f"b{i}") for i in range(len(fields))]).first()
+    out = {}
+    for i, f in enumerate(fields):
+        most, both = max(got["n"], got[f"n{i}"]), got[f"b{i}"]
+        share = min(1.0, 0.9 * (1 << lg_entries) / max(most, 1))
+        if most < 0.9 * (1 << lg_entries):
+            out[f] = (both, both)
+            continue
+        hits = both * share
+        error = MARGIN * math.sqrt(hits)
+        out[f] = (max(0.0, (hits - error) / share), (hits + error + MARGIN ** 2) / share)
+    return out
+
+
+def best_overlap_wide(df: DataFrame, fields: Sequence[str], reference: DataFrame, ref_value: str = "value",
+                      lg_entries: int = LG_ENTRIES) -> DataFrame:
+    """J4 / T5 for tables of many columns: ``field, score`` of the column that
+    shares most distinct values (compared as strings, without NULL) with
+    ``reference``; ties go to the earliest of ``fields``.
+
+    Theta sketches rank the columns in one pass; only those whose upper bound
+    reaches the best lower bound are counted exactly, and none are where a
+    sketch held every value of the only one left. ``df`` is read a second time
+    for the columns left over alone. An empty table scores 0."""
+    bounds = overlap_bounds(df, fields, reference, ref_value, lg_entries)
+    least = max((lo for lo, _ in bounds.values()), default=0.0)
+    left = [f for f in fields if bounds[f][1] >= least]
+    spark = df.sparkSession
+    if all(lo == hi for lo, hi in (bounds[f] for f in left)):  # equal bounds: all tie, the first one wins
+        return spark.createDataFrame([(left[0], round(least))], "field string, score bigint")
+    ref = reference.select(F.col(ref_value).cast("string").alias("value"))
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").cast("string").alias("value"))
+                                         for f in left])).alias("fv")).select("fv.field", "fv.value")
+    return best_overlap(long, ref, field_order=left)

@@ -20,6 +20,7 @@ from ..operators import clean as CLN
 from ..operators import cluster as CL
 from ..operators import geo as GEO
 from ..operators import iforest as IF
+from ..operators import join as J
 from ..operators import rank as RK
 from ..operators import stats as ST
 from ..session import SPLIT_BYTES, materialize, prepare, scratch_path, store
@@ -782,3 +783,23 @@ def q62(spark, sf_dir):
     schema = raw.withColumn("ingested_at", F.lit("")).schema
     return MSG.decode(msgs, schema, corrupt_col=None).select(
         "topic", "key", NUM.lenient_cast("account_balance", "double").alias("account_balance"), "market_segment", "ingested_at")
+
+
+@register("q63_rank_groups")
+def q63(spark, sf_dir):
+    """W2 within groups: lineitems ranked by price inside their return flag, and
+    densely by quantity inside flag and status; three flags hold the table."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus",
+                                             "l_quantity", "l_extendedprice")
+    r = RK.rank_within(li, ["l_returnflag"], "l_extendedprice", out="price_rank")
+    return RK.rank_within(r, ["l_returnflag", "l_linestatus"], "l_quantity", out="quantity_rank", descending=False, dense=True)
+
+
+@register("q64_field_detect_wide")
+def q64(spark, sf_dir):
+    """J4 + A11 + T5 on a wide table: which of the columns of lineitem, orders,
+    customer, part and nation shares most values with the keys of parts."""
+    li, o, c, p, n = (_t(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "part", "nation"))
+    wide = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+            .join(p, li.l_partkey == p.p_partkey).join(n, c.c_nationkey == n.n_nationkey))
+    return J.best_overlap_wide(wide, wide.columns, p.select(F.col("p_partkey").alias("value")))

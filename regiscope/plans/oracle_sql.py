@@ -616,3 +616,15 @@ FROM (SELECT *, min(l_extendedprice) OVER w AS mn, max(l_extendedprice) OVER w A
   WINDOW w AS (PARTITION BY l_returnflag))"""
 SQL["q62_csv_messages"] = """SELECT 'customers-raw' AS topic, CAST(c_custkey AS VARCHAR) AS key, c_acctbal AS account_balance,
   c_mktsegment AS market_segment, '2024-01-31T00:00:00' AS ingested_at FROM customer"""
+SQL["q63_rank_groups"] = """SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus, l_quantity, l_extendedprice,
+  rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC NULLS LAST) AS price_rank,
+  dense_rank() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_quantity ASC NULLS LAST) AS quantity_rank
+FROM lineitem"""
+SQL["q64_field_detect_wide"] = """WITH wide AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey JOIN nation ON c_nationkey = n_nationkey),
+lv AS (SELECT DISTINCT field, value FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM wide)
+  ON COLUMNS(*) INTO NAME field VALUE value)),
+sc AS (SELECT field, count(*) AS score FROM lv WHERE value IN (SELECT CAST(p_partkey AS VARCHAR) FROM part) GROUP BY field)
+SELECT field, score FROM sc ORDER BY score DESC,
+  list_position(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'o_orderkey', 'o_custkey', 'c_custkey', 'p_partkey'], field)
+LIMIT 1"""

@@ -235,3 +235,39 @@ def test_rank_all_null_and_empty(spark):
     assert {r.rk for r in RK.rank(df, "s", out="rk").collect()} == {1}
     empty = spark.createDataFrame([], "id int, s double")
     assert RK.rank(empty, "s", out="rk").count() == 0
+
+
+@pytest.mark.parametrize("dense", [False, True])
+@pytest.mark.parametrize("hot", [10, 10_000])
+def test_rank_within_equals_window_rank(spark, monkeypatch, dense, hot):
+    monkeypatch.setattr(RK, "HOT_FRACTION", hot)
+    rnd = random.Random(8)
+    rows = [(i, rnd.choice(["a", "a", "a", "b", None]), rnd.randrange(3), None if rnd.random() < 0.05 else float(rnd.randint(0, 90)))
+            for i in range(3000)]
+    rows += [(10_000 + i, "a", 1, 30.0) for i in range(1500)]  # one hot score of one hot group
+    rows += [(20_000 + i, f"s{i}", 0, float("inf")) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, g string, `h.x` int, s double")
+    for group in (["g"], ["g", "h.x"]):
+        for desc in (True, False):
+            got = {r.id: r.rk for r in RK.rank_within(df, group, "s", out="rk", dense=dense, descending=desc, buckets=7).collect()}
+            order = F.col("s").desc_nulls_last() if desc else F.col("s").asc_nulls_last()
+            fn = F.dense_rank() if dense else F.rank()
+            w = Window.partitionBy(*[F.col(f"`{c}`") for c in group]).orderBy(order)
+            assert got == {r.id: r.rk for r in df.withColumn("rk", fn.over(w)).collect()}
+    assert RK.rank_within(df.limit(0), ["g"], "s").count() == 0
+
+
+@pytest.mark.parametrize("lg", [5, 14])
+def test_best_overlap_wide_is_exact(spark, lg):
+    """Sampled sketches leave columns over that are counted; whole ones tell."""
+    df = spark.range(6000).select(
+        F.col("id").alias("a"), (F.col("id") % 900).alias("b.c"), (F.col("id") + 3001).alias("d"), F.lit("").alias("e"),
+        (F.col("id") + 3000).alias("f"), F.lit(None).cast("string").alias("g"))
+    ref = spark.range(3000, 9000).select(F.col("id").cast("string").alias("value")).unionByName(
+        spark.createDataFrame([("",)], "value string"))
+    bounds = J.overlap_bounds(df, df.columns, ref, lg_entries=lg)
+    want = {"a": 3000, "b.c": 0, "d": 5999, "e": 1, "f": 6000, "g": 0}
+    assert all(bounds[f][0] <= n <= bounds[f][1] for f, n in want.items())
+    assert tuple(J.best_overlap_wide(df, df.columns, ref, lg_entries=lg).first()) == ("f", 6000)
+    assert tuple(J.best_overlap_wide(df, ["b.c", "e", "g"], ref, lg_entries=lg).first()) == ("e", 1)
+    assert tuple(J.best_overlap_wide(df.limit(0), ["a", "d"], ref, lg_entries=lg).first()) == ("a", 0)
