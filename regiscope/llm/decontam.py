@@ -1,9 +1,13 @@
 """Benchmark decontamination by greedy string tiling.
 
 A benchmark item and a document are compared when they share a seed, a run of
-``min_match`` tokens (a shorter item: all of it). Seeds are joined by hash inside the task: a slice of the
-benchmark's seeds, of bounded size, is broadcast, and a rolling (Karp-Rabin)
-hash of the document's tokens is looked up in it for all positions at once. The
+``min_match`` tokens (a shorter item: all of it). A benchmark of at most
+``BROADCAST_BYTES`` of text is broadcast, and a rolling (Karp-Rabin) hash of the
+document's tokens is looked up among its seeds for all positions at once, inside
+the task. The seeds of a larger one are joined by shuffle: each text gives the
+hashes of its distinct seeds, documents only those that a bitmap of fixed size
+says the benchmark may have; the pairs of texts that meet, each once however
+many rows have them, fetch their texts and are tiled. The
 shared runs of a pair are then tiled: the longest run of tokens not marked yet
 is marked, again and again, until none of ``min_match`` tokens is left; a pair
 with very many shared seeds is tiled from long to short windows by running
@@ -11,8 +15,8 @@ Karp-Rabin instead, which holds no pairs. The
 share of the item's tokens under tiles is its coverage, so a passage with its
 sentences in another order is caught as well.
 
-A benchmark larger than one slice is worked slice by slice, each with its own
-pass over the documents: memory stays bounded, nothing is left out.
+Documents are read twice at most, whatever the benchmark's size, and nothing of
+a benchmark beyond the bound reaches the driver but the bitmap.
 """
 
 from __future__ import annotations
@@ -26,10 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lists
+from .common import CHUNK_BYTES, lists, out_batch, store
 
-#: Bytes of benchmark text that are broadcast at once.
-SLICE_BYTES = 8 << 20
+#: Bytes of benchmark text up to which it is broadcast.
+BROADCAST_BYTES = 8 << 20
+#: Bits of the bitmap of a larger benchmark's seeds (16 MB). With more seeds
+#: than that it lets more of the documents' seeds through to the join.
+FILTER_BITS = 1 << 27
 MIN_MATCH = 5
 #: Shared seeds of one document and one item that are held at once; beyond them
 #: the pair is tiled by ``tile_rolling``.
@@ -85,7 +92,7 @@ def rolling(ids, n: int):
 
 
 class Seeds:
-    """The seeds of one slice of the benchmark. An item of fewer than
+    """The seeds of some items. An item of fewer than
     ``min_match`` tokens is one seed of its own length."""
 
     def __init__(self, items: list[tuple], min_match: int):
@@ -128,7 +135,7 @@ class Seeds:
             hit = hi > lo
             if not hit.any():
                 continue
-            # each seed of the slice at most once: how many pairs an item has with the document
+            # each seed at most once: how many pairs an item has with the document
             post = _ranges(lo[hit], (hi - lo)[hit])
             pairs = np.bincount(items[post], np.repeat(times[hit], (hi - lo)[hit]), minlength=len(self.ids))
             few = (pairs > 0) & (pairs <= PAIRS)
@@ -305,9 +312,132 @@ def compare(seeds: Seeds, text: str | None):
             yield k, sum(x[0] for x in tiles), tiles
 
 
+def seed_hashes(words: list[bytes], n: int):
+    """Signed 64-bit hashes of the distinct runs of ``n`` tokens, equal in every
+    task, the length told apart."""
+    import numpy as np
+    import xxhash
+    ids = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    with np.errstate(over="ignore"):
+        h = (rolling(ids, n) + np.uint64(n)) * np.uint64(_BASE)
+    return np.unique(h ^ (h >> np.uint64(32))).view(np.int64)
+
+
+def _bit(h):
+    """The place of a hash in the bitmap, by its top bits."""
+    return F.shiftrightunsigned(h, 64 - FILTER_BITS.bit_length() + 1)
+
+
+def _candidates(docs: DataFrame, items: DataFrame, min_match: int) -> DataFrame:
+    """``d, i``: the digests of the document and item texts that share the hash
+    of a seed, from (d, t) and (i, t)."""
+    spark = docs.sparkSession
+
+    def of_items(batches):
+        fields = [("i", pa.binary()), ("n", pa.int32()), ("h", pa.int64())]
+        for b in batches:
+            for part in lists(b, "t"):
+                for key, text in zip(part["i"], part["t"]):
+                    w = tokens(text)
+                    n = min(min_match, len(w))
+                    if n:
+                        h = seed_hashes(w, n)
+                        yield out_batch(fields, ([key] * len(h), [n] * len(h), h))
+
+    seeds = store(items.mapInArrow(of_items, "i binary, n int, h long"), "decontam-seeds")
+    lengths = sorted(r[0] for r in seeds.select("n").distinct().collect())  # at most min_match numbers
+    at = _bit(F.col("h")) + 1
+    pages = seeds.groupBy(F.bitmap_bucket_number(at).alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    bits = bytearray(FILTER_BITS // 8)
+    for page, got in pages.toLocalIterator():  # FILTER_BITS in all
+        bits[(page - 1) * len(got):page * len(got)] = got
+    shared = spark.sparkContext.broadcast(bytes(bits))
+
+    def of_docs(batches):
+        import numpy as np
+        known = np.frombuffer(shared.value, np.uint8)
+        shift = np.uint64(64 - FILTER_BITS.bit_length() + 1)
+        for b in batches:
+            for part in lists(b, "t"):
+                for key, text in zip(part["d"], part["t"]):
+                    w = tokens(text)
+                    for n in lengths:
+                        if len(w) < n:
+                            continue
+                        h = seed_hashes(w, n)
+                        place = (h.view(np.uint64) >> shift).astype(np.int64)
+                        h = h[(known[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+                        if len(h):
+                            yield out_batch([("d", pa.binary()), ("h", pa.int64())], ([key] * len(h), h))
+
+    return (docs.mapInArrow(of_docs, "d binary, h long").join(seeds.select("i", "h"), "h")
+            .select("d", "i").distinct())
+
+
+def _by_shuffle(docs: DataFrame, bench: DataFrame, min_match: int, coverage: float, found: T.StructType) -> DataFrame:
+    """``id, k`` and the columns of ``found`` for every pair of ``docs`` (id, t)
+    and ``bench`` (k, t) with a tile, by a shuffle join of their seeds."""
+    key = F.unhex(F.sha2(F.col("t").cast("binary"), 256))
+    docs, bench = (x.where(F.col("t").isNotNull()).withColumn(c, key) for x, c in ((docs, "d"), (bench, "i")))
+    items = store(bench.groupBy("i").agg(F.first("t").alias("t")), "decontam-items")
+    pairs = store(_candidates(docs.select("d", "t"), items, min_match), "decontam-pairs")
+    texts = docs.join(pairs.select("d").distinct(), "d", "left_semi").groupBy("d").agg(F.first("t").alias("t"))
+    both = (pairs.join(items.withColumnRenamed("t", "it"), "i").join(texts, "d")).select("d", "i", "t", "it")
+    fields = [("d", pa.binary()), ("i", pa.binary()), *zip(found.names, _FOUND)]
+
+    def tiled(doc, text, own):
+        seeds = Seeds(own, min_match)
+        rows = [(doc, *x) for x in _rows(seeds, text, coverage)]
+        if rows:
+            yield out_batch(fields, list(zip(*rows)))
+
+    def run(batches):
+        now, text, own, held = None, None, [], 0
+        for b in batches:
+            for part in lists(b, "t"):
+                for d, i, t, it in zip(part["d"], part["i"], part["t"], part["it"]):
+                    if d != now or held > CHUNK_BYTES:  # items of one document that come together are one look-up
+                        if own:
+                            yield from tiled(now, text, own)
+                        now, text, own, held = d, t, [], 0
+                    own.append((i, it))
+                    held += len(it)
+        if own:
+            yield from tiled(now, text, own)
+
+    got = both.mapInArrow(run, T.StructType([T.StructField("d", T.BinaryType()), T.StructField("i", T.BinaryType()), *found]))
+    return got.join(docs.select("id", "d"), "d").join(bench.select("k", "i"), "i").drop("d", "i")
+
+
+def _rows(seeds: Seeds, text: str | None, coverage: float):
+    """(item key, then the columns of a result row) per item with a tile."""
+    for k, n, tiles in compare(seeds, text):
+        total = len(seeds.ids[k])
+        yield (seeds.keys[k], total, n, n / total, [dict(zip(("length", "item_start", "doc_start"), x)) for x in tiles],
+               n >= coverage * total)
+
+
+def _by_broadcast(docs: DataFrame, bench: DataFrame, min_match: int, coverage: float, found: T.StructType) -> DataFrame:
+    """The same where the whole benchmark goes to every task."""
+    shared = docs.sparkSession.sparkContext.broadcast([(r["k"], r["t"]) for r in bench.orderBy("k", "t").collect()])
+    schema = T.StructType([docs.schema["id"], bench.schema["k"], *found])
+
+    def run(batches):
+        seeds = Seeds(shared.value, min_match)
+        for b in batches:
+            for part in lists(b, "t"):
+                rows = [(key, *x) for key, text in zip(part["id"], part["t"]) for x in _rows(seeds, text, coverage)]
+                if rows:
+                    kinds = [_arrow(schema["id"].dataType), _arrow(schema["k"].dataType), *_FOUND]
+                    yield out_batch(list(zip(schema.names, kinds)), list(zip(*rows)))
+
+    return docs.mapInArrow(run, schema)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", min_match: int = MIN_MATCH,
-                  coverage: float = COVERAGE, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+                  coverage: float = COVERAGE, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Every pair of a document and an item with a tile: ``id_col, item_col,
     item_tokens, covered, coverage, tiles, contaminated``; ``tiles`` are
     (length, item_start, doc_start) in tokens, ``contaminated`` means that the
@@ -317,45 +447,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     no row; an item of fewer than ``min_match`` tokens is found where all of it
     stands in one piece. Texts that repeat themselves without end are tiled in
     memory in proportion to their length. Repeated documents and repeated items give a row each.
+    A benchmark of more than ``broadcast_bytes`` is joined by shuffle, with the same rows.
     Other columns are not read; an empty table on either side gives no rows."""
-    spark = docs.sparkSession
     bench = benchmark.where(F.col(item_text).isNotNull()).select(
         F.col(item_col).alias("k"), F.col(item_text).alias("t"))
     size = bench.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    slices = -(-size // slice_bytes) or 1
-    schema = T.StructType([
-        T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_col, benchmark.schema[item_col].dataType),
+    found = T.StructType([
         T.StructField("item_tokens", T.LongType()), T.StructField("covered", T.LongType()),
         T.StructField("coverage", T.DoubleType()),
         T.StructField("tiles", T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("length", "item_start", "doc_start")]))),
         T.StructField("contaminated", T.BooleanType())])
-    tile_type = pa.list_(pa.struct([("length", pa.int64()), ("item_start", pa.int64()), ("doc_start", pa.int64())]))
-    kinds = [None, None, pa.int64(), pa.int64(), pa.float64(), tile_type, pa.bool_()]
-    out = None
-    for s in range(slices):
-        # about slice_bytes of text, whatever the benchmark's size
-        mine = bench.where(F.pmod(F.xxhash64("k", "t"), F.lit(slices)) == s)
-        shared = spark.sparkContext.broadcast([(r["k"], r["t"]) for r in mine.orderBy("k", "t").collect()])
-
-        def run(batches, shared=shared):
-            seeds = Seeds(shared.value, min_match)
-            for b in batches:
-                for part in lists(b, "__text"):
-                    rows = []
-                    for key, text in zip(part["__id"], part["__text"]):
-                        for k, n, tiles in compare(seeds, text):
-                            total = len(seeds.ids[k])
-                            rows.append((key, seeds.keys[k], total, n, n / total,
-                                         [dict(zip(("length", "item_start", "doc_start"), x)) for x in tiles],
-                                         n >= coverage * total))
-                    if rows:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(v, kind) if kind else pa.array(v, _arrow(f.dataType))
-                             for v, kind, f in zip(zip(*rows), kinds, schema)], names=schema.names)
-
-        got = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, schema)
-        out = got if out is None else out.unionByName(got)
-    return out
+    way = _by_broadcast if size <= broadcast_bytes else _by_shuffle
+    rows = way(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), bench, min_match, coverage, found)
+    return rows.select(F.col("id").alias(id_col), F.col("k").alias(item_col), *found.names)
+
+
+_FOUND = [pa.int64(), pa.int64(), pa.float64(),
+          pa.list_(pa.struct([("length", pa.int64()), ("item_start", pa.int64()), ("doc_start", pa.int64())])), pa.bool_()]
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
@@ -363,4 +471,4 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-__all__ = ["contamination", "tokens", "words", "tile", "runs", "Seeds", "compare"]
+__all__ = ["contamination", "seed_hashes", "tokens", "words", "tile", "runs", "Seeds", "compare"]

@@ -522,13 +522,25 @@ def test_op10_equals_naive_tiling(spark, odd, none):
             x = n and naive_tiles(decontam.tokens(s), decontam.tokens(t), n)
             if x:
                 want[(i, j)] = x
-    for size in (1 << 20, 400):  # one slice, several slices
-        got = decontam.contamination(d, b, slice_bytes=size).collect()
-        assert {(r.doc_id, r.item_id): r.covered for r in got} == want
+    repeated = d.unionByName(d.where("doc_id = 3")), b.unionByName(b.where("item_id = 93"))
+    for size in (1 << 20, 0):  # broadcast, shuffle
+        got = decontam.contamination(d, b, broadcast_bytes=size).collect()
+        assert len(got) == len(want) and {(r.doc_id, r.item_id): r.covered for r in got} == want
         assert all(r.contaminated == (2 * r.covered >= r.item_tokens) for r in got)
         assert all(sum(x.length for x in r.tiles) == r.covered for r in got)
-    assert decontam.contamination(none, b).count() == 0 and decontam.contamination(odd, b.limit(0)).count() == 0
-    assert decontam.contamination(odd, b).count() == 0
+        # rows of equal texts each
+        pairs = [(r.doc_id, r.item_id) for r in decontam.contamination(*repeated, broadcast_bytes=size).collect()]
+        assert sorted(pairs) == sorted(p for p in want for _ in range((1 + (p[0] == 3)) * (1 + (p[1] == 93))))
+        assert decontam.contamination(none, b, broadcast_bytes=size).count() == 0
+        assert decontam.contamination(odd, b, broadcast_bytes=size).count() == 0
+    assert decontam.contamination(odd, b.limit(0)).count() == 0
+
+
+def test_op10_shuffle_equals_broadcast_on_the_test_table(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    one, two = (decontam.contamination(docs, items, broadcast_bytes=n).collect() for n in (8 << 20, 0))
+    assert len(one) > 0 and sorted(one) == sorted(two)
 
 
 def test_op10_rolling_tiles_equal_naive_ones(monkeypatch):
