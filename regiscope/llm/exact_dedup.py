@@ -56,6 +56,11 @@ class DigestIndex:
         (fresh.repartition(self.buckets, "text_sha256").sortWithinPartitions("text_sha256")
          .select("text_sha256", "keep_id").write.insertInto(self.table))
 
+    def close(self) -> None:
+        """Take the table out of the catalogue; its files stay, for
+        ``DigestIndex(path=...)``."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def entries(self) -> DataFrame:
         """The index as plain files: joins on it shuffle both sides, so AQE may
         split a digest that many rows share."""
@@ -78,7 +83,17 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches
     d = df.select(F.col(id_col).alias("__id"), digest(text_col).alias("text_sha256"))
     d = store(d.groupBy("text_sha256", "__id").agg(F.count(F.lit(1)).alias("__n")), "digests")
     kind = dict(d.dtypes)["__id"]
-    index = index or DigestIndex(spark, kind)
+    if index is None:
+        index = DigestIndex(spark, kind)
+        try:
+            return _dedup_counted(d, index, id_col, batches)
+        finally:
+            index.close()
+    return _dedup_counted(d, index, id_col, batches)
+
+
+def _dedup_counted(d: DataFrame, index: DigestIndex, id_col: str, batches: int) -> DataFrame:
+    """``dedup`` of the counted rows ``d`` (text_sha256, __id, __n)."""
     ends = d.agg(F.min("__id"), F.max("__id")).first()
     if batches > 1 and isinstance(ends[0], int) and ends[0] < ends[1]:
         width = ends[1] - ends[0] + 1
