@@ -50,18 +50,26 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     similarity 0.8 or more, the least doc_id."""
     prepare(spark)
     gone = store(minhash.near_duplicates(docs, k=5, similarity=(80, 100)).where(~F.col("kept")).select(
-        F.col("row_hash").alias("__gone")), "pipeline-near")
-    return docs.join(gone, F.xxhash64("doc_id", "text") == F.col("__gone"), "left_anti")
+        F.col("doc_id").alias("__id"), F.col("row_hash").alias("__gone")), "pipeline-near")
+    return _without(docs, gone)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold at least half of a benchmark item."""
     prepare(spark)
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("__row"), "text")
-    found = decontam.contamination(rows, items, id_col="__row").where("contaminated")
-    gone = store(found.select(F.col("__row").alias("__gone")).distinct(), "pipeline-benchmark")
-    return docs.join(gone, F.xxhash64("doc_id", "text") == F.col("__gone"), "left_anti")
+    row = F.struct(F.col("doc_id").alias("id"), F.xxhash64("doc_id", "text").alias("h"))
+    found = decontam.contamination(docs.select(row.alias("__row"), "text"), items, id_col="__row").where("contaminated")
+    gone = store(found.select(F.col("__row.id").alias("__id"), F.col("__row.h").alias("__gone")).distinct(),
+                 "pipeline-benchmark")
+    return _without(docs, gone)
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows of ``gone``: told by the id, and among rows that
+    share one by the hash of id and text."""
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("doc_id", "text") == F.col("__gone"))
+    return docs.join(gone, same, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
