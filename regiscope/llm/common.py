@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,9 +25,23 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@cache
+def _trim():
+    """The C library's call that gives free memory back; nothing where there is none."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda keep: 0)
+
+
+def release() -> None:
+    """Give memory that is free back to the system: a Python worker lives on for
+    the next stages, beside the executor's heap, and keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def lists(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[dict[str, list]]:
     """Columns of ``batch`` as Python lists, in row ranges of about ``limit``
-    bytes of the column ``text``; a longer text is a range of its own."""
+    bytes of the column ``text``; a longer text is a range of its own. Free
+    memory is given back after the last."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
@@ -36,6 +52,7 @@ def lists(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterato
             start, held = i, 0
         held += n
     yield batch.slice(start).to_pydict()
+    release()
 
 
 def out_batch(columns: Sequence[tuple[str, pa.DataType]], values: Sequence) -> pa.RecordBatch:
