@@ -798,8 +798,11 @@ def q63(spark, sf_dir):
 @register("q64_field_detect_wide")
 def q64(spark, sf_dir):
     """J4 + A11 + T5 on a wide table: which of the columns of lineitem, orders,
-    customer, part and nation shares most values with the keys of parts."""
-    li, o, c, p, n = (_t(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "part", "nation"))
-    wide = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-            .join(p, li.l_partkey == p.p_partkey).join(n, c.c_nationkey == n.n_nationkey))
-    return J.best_overlap_wide(wide, wide.columns, p.select(F.col("p_partkey").alias("value")))
+    customer, part and nation shares most values with the keys of parts. Orders
+    meet their customers before the lineitems meet them, so lineitems are
+    shuffled by two keys instead of three."""
+    li, o, c, p, n = sources = [_t(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "part", "nation")]
+    bought = o.join(c.join(n, c.c_nationkey == n.n_nationkey), o.o_custkey == c.c_custkey)
+    wide = li.join(p, li.l_partkey == p.p_partkey).join(bought, li.l_orderkey == o.o_orderkey)
+    fields = [f for t in sources for f in t.columns]
+    return J.best_overlap_wide(wide, fields, p.select(F.col("p_partkey").alias("value")), sources=sources)

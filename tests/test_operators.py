@@ -271,3 +271,51 @@ def test_best_overlap_wide_is_exact(spark, lg):
     assert tuple(J.best_overlap_wide(df, df.columns, ref, lg_entries=lg).first()) == ("f", 6000)
     assert tuple(J.best_overlap_wide(df, ["b.c", "e", "g"], ref, lg_entries=lg).first()) == ("e", 1)
     assert tuple(J.best_overlap_wide(df.limit(0), ["a", "d"], ref, lg_entries=lg).first()) == ("a", 0)
+
+
+@pytest.mark.parametrize("lg", [5, 14])
+def test_best_overlap_wide_with_sources_is_exact(spark, lg):
+    """The join loses what the sources promise: the columns left behind are
+    looked at when they may win, and ties go to the earliest."""
+    a = spark.range(4000).select(F.col("id").alias("a"), (F.col("id") % 7).alias("a.k"), F.lit("none").alias("z"))
+    b = spark.range(3000).select(F.when(F.col("id") > 5, 20000).otherwise(F.col("id") % 7).alias("k"), (F.col("id") % 900).alias("b"))
+    ref = spark.range(3900).select(F.col("id").cast("int").alias("value")).unionByName(spark.createDataFrame([(None,)], "value int"))
+    for left, keep in ((a, F.col("a") > 3800), (a, F.col("a") < 0), (a, F.col("a") > 3898), (
+            a.union(a).union(spark.createDataFrame([(None, 1, None)], "a long, k long, z string")), F.lit(True))):
+        df = left.join(b, F.col("`a.k`") == F.col("k")).where(keep)
+        rows = df.collect()
+        for fields in (["z", "a", "b", "k", "a.k"], ["k", "a.k", "z"]):
+            n = {f: len({str(r[f]) for r in rows if r[f] is not None} & {str(i) for i in range(3900)}) for f in fields}
+            want = max(fields, key=lambda f: n[f])  # the first of the greatest
+            got = J.best_overlap_wide(df, fields, ref, lg_entries=lg, sources=[left, b]).collect()
+            assert [tuple(r) for r in got] == [(want, n[want])], (fields, n)
+
+
+def test_q64_joins_only_columns_that_may_match(spark, tmp_path, monkeypatch):
+    """What is shuffled is the keys, not whole rows of five tables; repeated and NULL keys stay exact."""
+    import duckdb
+    from regiscope.plans.catalog import QUERIES
+    from regiscope.plans.oracle_sql import SQL
+    sql = {
+        "nation": "SELECT range::INT AS n_nationkey, 'N' || range AS n_name FROM range(5)",
+        "customer": "SELECT nullif(range, 3) AS c_custkey, (range % 6)::INT AS c_nationkey, 'Customer ' || range AS c_name FROM range(60)",
+        "part": "SELECT nullif(range % 390, 7) AS p_partkey, 'part ' || range AS p_name, 9.5 AS p_retailprice FROM range(400)",
+        "orders": "SELECT range AS o_orderkey, nullif(range % 70, 5) AS o_custkey, 1.5 * range AS o_totalprice, 'O' AS o_orderstatus FROM range(900)",
+        "lineitem": """SELECT nullif(range % 880, 9) AS l_orderkey, range * 7 % 500 AS l_partkey, range % 10 AS l_suppkey, (range % 4)::INT AS l_linenumber,
+                       'R' AS l_returnflag, 0.25 * range AS l_extendedprice FROM range(3000)"""}
+    con = duckdb.connect()
+    for t, q in sql.items():
+        con.sql(f"COPY ({q}) TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    own = [set(con.sql(f"SELECT * FROM {t}").columns) for t in sql]
+    seen, plain = [], J.overlap_bounds
+
+    def bounds(df, fields, *args, **kwargs):
+        if not any(set(df.columns) <= o for o in own):
+            seen.append(list(fields))
+        return plain(df, fields, *args, **kwargs)
+
+    monkeypatch.setattr(J, "overlap_bounds", bounds)
+    got = QUERIES["q64_field_detect_wide"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == con.sql(SQL["q64_field_detect_wide"]).fetchall()
+    assert seen and all(f.endswith("key") for fields in seen for f in fields)
