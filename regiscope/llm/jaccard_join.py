@@ -4,13 +4,19 @@
    counts its shingles in a fixed table of ``SKETCH`` counters. The summed
    table orders all shingles, rare ones first; any order gives right results,
    this one keeps index lists short.
-2. A set's prefix, its first n - ceil(t n) + 1 shingles in that order, shares a
-   shingle with the prefix of every set it is linked with. The prefixes form
-   the distributed index; a list is read in the order of set size, and sets
-   whose sizes allow a link are chained. A list longer than 1/1,000 of the
-   documents by its counter is dealt over ``SALTS`` lists, whose heads are
-   chained too. Components of the chains are the candidate groups.
-3. Each set travels to its group. Inside, sets are joined exactly
+2. Sets x and y that are linked share min(a, b) shingles of their prefixes, the
+   first n - ceil(t n) + a shingles of x and m - ceil(t m) + b of y in that
+   order; a is ``least_shared(n)``, about n / ``EXTRA``. The prefixes form the
+   distributed index. A set leaves it when fewer of its shingles than a link
+   takes stand in a list with another set whose size allows a link, and so on
+   until few leave: in a large corpus every set shares a few shingles with
+   unlinked ones, and their chains would join most sets in one group. Of what
+   is left a list is read in the order of set size, and sets whose sizes allow
+   a link are chained. A list longer than 1/1,000 of the documents by its
+   counter is dealt over ``SALTS`` lists, whose heads are chained too.
+   Components of the chains are the candidate groups.
+3. Each set travels to its group; a bitmap of fixed size keeps texts that no
+   group holds inside their task. Inside, sets are joined exactly
    (``join_sets``): index lists hold blocks of equal set size, sorted by the
    shingle's position, so a block, or the rest of one, is skipped when the
    position leaves too little for a link; and the answers of a set that is
@@ -31,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lists, out_batch, store
+from .common import lists, out_batch, release, store
 from .components import connected_components
 from .minhash import shingle_set
 
@@ -40,10 +46,16 @@ SKETCH, SKETCH_ROWS = 1 << 22, 16
 #: Lists that a list longer than 1/1,000 of the documents, and than
 #: ``DEALT_FROM``, is dealt over.
 SALTS, DEALT_FROM = 64, 1000
+#: A prefix holds 1/``EXTRA`` of a set more than one shared shingle takes.
+EXTRA = 20
+#: The index is narrowed again while a round leaves less than this part of it.
+FEW_LEAVE = (3, 4)
 #: Sets and shingles that meet in one task.
 GROUP_SETS, GROUP_SHINGLES = 400, 1_000_000
 #: A set of this similarity to an answered one gets its answers from there.
 CLOSE = (9, 10)
+#: Bits of the bitmap of the texts that travel to a group (8 MB).
+WANTED_BITS = 1 << 26
 #: Sets a task remembers to have indexed already.
 _SEEN = 200_000
 
@@ -129,6 +141,12 @@ def prefix_length(n, num: int, den: int):
     return n - -(-num * n // den) + 1
 
 
+def least_shared(n):
+    """Shingles that the prefixes of a set of n and of a linked one of no fewer
+    share, with a prefix longer by ``least_shared(n) - 1``."""
+    return 1 + n // EXTRA
+
+
 def _index(texts: DataFrame, k: int, num: int, den: int, counts, hot: float) -> DataFrame:
     """``token, salt, s, n``: the prefix of every set; salt -1 for a list that
     is not dealt."""
@@ -150,7 +168,7 @@ def _index(texts: DataFrame, k: int, num: int, den: int, counts, hot: float) ->
                         seen.clear()
                     seen.add(d)
                     c = order[_bucket(s)]
-                    first = np.argsort(c, kind="stable")[:prefix_length(len(s), num, den)]
+                    first = np.argsort(c, kind="stable")[:prefix_length(len(s), num, den) + least_shared(len(s)) - 1]
                     me = _short(d)
                     cols[0].append(s[first].view(np.int64))
                     cols[1].append(np.where(c[first] > hot, me % SALTS, -1))
@@ -162,6 +180,34 @@ def _index(texts: DataFrame, k: int, num: int, den: int, counts, hot: float) ->
     return texts.select("__text").mapInArrow(run, "token long, salt int, s long, n int")
 
 
+def _in_company(index: DataFrame, num: int, den: int) -> DataFrame:
+    """The distinct rows of ``index`` in whose list stands another set of a
+    size that allows a link; of a dealt list all."""
+    w = Window.partitionBy("token", "salt").orderBy("n", "s")
+    n, s = F.col("n").cast("long"), F.col("s")
+    around = index.withColumns({"p": F.lag("s").over(w), "m": F.lag("n").over(w),
+                                "q": F.lead("s").over(w), "o": F.lead("n").over(w)})
+    before = (F.col("p") != s) & (F.col("m").cast("long") * den >= n * num)
+    after = (F.col("q") != s) & (n * den >= F.col("o").cast("long") * num)
+    return around.where((F.col("salt") >= 0) | before | after).select(*index.columns).dropDuplicates()
+
+
+def _narrowed(index: DataFrame, num: int, den: int) -> DataFrame:
+    """The index without sets that share too little to be linked (see the
+    module's text, 2)."""
+    index = store(_in_company(index, num, den), "jaccard-index")
+    left = index.count()
+    # a linked set has ceil(t n) shingles or more
+    least = F.expr(f"1 + ((n * {num}L + {den - 1}) div {den}) div {EXTRA}")
+    while True:
+        able = index.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("n").cast("long").alias("n")).where(
+            F.col("c") >= least).select("s")
+        index = store(_in_company(index.join(able, "s", "left_semi"), num, den), "jaccard-index")
+        before, left = left, index.count()
+        if FEW_LEAVE[1] * left >= FEW_LEAVE[0] * before:
+            return index
+
+
 def _chains(index: DataFrame, num: int, den: int) -> DataFrame:
     """``src, dst``: neighbours in the index lists, in the order of size."""
     w = Window.partitionBy("token", "salt").orderBy("n", "s")
@@ -345,6 +391,32 @@ def _joined(rows: DataFrame, num: int, den: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "set_id binary, other binary, n long")
 
 
+def _held_by(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose hash may be in ``wanted``, by a bitmap (of
+    fixed size, so collected)."""
+    at = F.shiftrightunsigned("__h", 64 - WANTED_BITS.bit_length() + 1) + 1
+    pages = wanted.groupBy(F.bitmap_bucket_number(at).alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    bits = bytearray(WANTED_BITS // 8)
+    for page, got in pages.collect():
+        bits[(page - 1) * len(got):page * len(got)] = got
+    shared = texts.sparkSession.sparkContext.broadcast(bytes(bits))
+    shift = 64 - WANTED_BITS.bit_length() + 1
+
+    def run(batches):
+        import numpy as np
+        known = np.frombuffer(shared.value, np.uint8)
+        for b in batches:
+            place = (b.column(0).to_numpy().view(np.uint64) >> np.uint64(shift)).astype(np.int64)
+            some = b.filter(pa.array((known[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
+            if some.num_rows:
+                yield some
+            release()
+
+    texts = texts.select("__h", "__text")
+    return texts.mapInArrow(run, texts.schema)
+
+
 def _members(texts: DataFrame, k: int) -> DataFrame:
     fields = [("grp", pa.int64()), ("large", pa.bool_()), ("set_id", pa.binary()), ("copies", pa.int64()),
               ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))]
@@ -411,7 +483,8 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     full = docs.where("set_id IS NOT NULL")
     counts = _order(sig)
     n_docs = full.count()
-    edges = _chains(_index(texts, k, num, den, counts, max(n_docs / 1000, DEALT_FROM)), num, den)
+    index = _narrowed(_index(texts, k, num, den, counts, max(n_docs / 1000, DEALT_FROM)), num, den)
+    edges = _chains(index, num, den)
     groups = connected_components(edges)
     sets = store(full.groupBy("set_id").agg(
         F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"), F.min("s").alias("s"),
@@ -422,7 +495,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.col("m") > GROUP_SETS) | (F.col("s") > GROUP_SHINGLES)).select("grp", F.lit(True).alias("large"))
     wanted = members.join(large, "grp", "left").select("__h", "grp", "set_id", "copies",
                                                        F.coalesce("large", F.lit(False)).alias("large"))
-    texts = texts.select("__h", "__text").join(wanted, "__h").groupBy("__h", "grp", "set_id", "copies", "large").agg(
+    texts = _held_by(texts, members.select("__h")).join(wanted, "__h").groupBy("__h", "grp", "set_id", "copies", "large").agg(
         F.first("__text").alias("__text"))
     held = store(_members(texts, k), "jaccard-members")
     found = _joined(held.where(~F.col("large")).withColumn("key", F.col("grp").cast("string")).withColumn(

@@ -125,6 +125,48 @@ def test_op11_equals_brute_force_on_documents(spark):
     assert sorted(map(tuple, got), key=repr) == brute_join([tuple(r) for r in docs.select("doc_id", "text").collect()], 5, 80, 100)
 
 
+@pytest.mark.parametrize("num,den", [(80, 100), (60, 100), (95, 100)])
+def test_prefixes_of_linked_sets_share_enough(num, den):
+    rnd = np.random.default_rng(num)
+    linked = 0
+    for _ in range(3000):
+        both = rnd.integers(1, 300)
+        only, other = rnd.integers(0, 1 + both * (den - num) // num, 2)
+        if den * both < num * (both + only + other):
+            continue
+        linked += 1
+        order = rnd.permutation(both + only + other)  # places of the shingles in the order
+        x, y = np.sort(order[:both + only]), np.sort(np.concatenate([order[:both], order[both + only:]]))
+        prefix = [s[:jaccard_join.prefix_length(len(s), num, den) + jaccard_join.least_shared(len(s)) - 1] for s in (x, y)]
+        assert len(np.intersect1d(*prefix)) >= jaccard_join.least_shared(min(len(x), len(y)))
+    assert linked > 200
+
+
+@pytest.mark.parametrize("num,den", [(80, 100), (60, 100)])
+def test_op11_few_shared_shingles_make_no_group(spark, monkeypatch, num, den):
+    rnd = random.Random(11)
+    words = [f"v{i}" for i in range(40_000)]
+    passages = [" ".join(rnd.sample(words, 6)) for _ in range(61)]  # two shingles shared with either neighbour
+    texts = [f"{a} {' '.join(rnd.sample(words, 110))} {b}" for a, b in zip(passages, passages[1:])]
+    for n, size, edits in ((12, 150, 9), (6, 400, 20), (5, 30, 2)):
+        texts += family(rnd, n, size, edits)
+    rows = list(enumerate(texts))
+    # as in a large corpus, whose counters do not tell rare shingles apart
+    monkeypatch.setattr(jaccard_join, "_order", lambda sig: np.zeros(jaccard_join.SKETCH, np.uint32))
+    store, stored = jaccard_join.store, {}
+
+    def counted(df, name):
+        out = store(df, name)
+        stored[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "store", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_join.jaccard_join(df, similarity=(num, den)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_join(rows, 5, num, den)
+    assert 2 < stored["jaccard-members"] <= 23
+
+
 # Conversation repair
 
 def brute_repair(rows):
